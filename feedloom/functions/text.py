@@ -69,12 +69,14 @@ def to_number(c: Column) -> Column:
 
 def whole_number_text(c: Column) -> Column:
     """Number to text without decimals, ties to even, null and NaN to an empty text."""
-    whole = F.rint(c.cast("double"))
-    # Longs print fast and exactly; the formatter covers the rest, and minus zero.
-    in_long = (F.abs(whole) < F.lit(9.0e18)) & ~((whole == 0) & (c.cast("double") < 0))
+    number = c.cast("double")
+    whole = F.rint(number)
+    zero = F.when(F.startswith(number.cast("string"), F.lit("-")), F.lit("-0")).otherwise(F.lit("0"))
     return (
         F.when(c.isNull() | F.isnan(whole), F.lit(""))
-        .when(in_long, whole.try_cast("bigint").cast("string"))
+        .when(whole == 0, zero)
+        # Longs print fast and exactly; the formatter covers the rest.
+        .when(F.abs(whole) < F.lit(9.0e18), whole.try_cast("bigint").cast("string"))
         .otherwise(F.format_string("%.0f", whole))
     )
 

@@ -26,16 +26,16 @@ class RunReport:
         self.spark, self.run_id = spark, run_id
         self.rows: list[tuple] = []
 
-    def note(self, stage: str, status: str, rows: int | None = None, detail: str = "") -> None:
-        self.rows.append((self.run_id, stage, status, rows, detail))
+    def note(self, stage: str, status: str, rows: int | None = None, error: str = "", detail: str = "") -> None:
+        self.rows.append((self.run_id, stage, status, rows, error, detail))
 
     def run(self, stage: str, work: Callable[[], int | None]) -> bool:
         """Do a stage; a failure is noted with its trace and not raised."""
         self.note(stage, "start")
         try:
             rows = work()
-        except Exception:
-            self.note(stage, "failed", None, traceback.format_exc())
+        except Exception as problem:
+            self.note(stage, "failed", None, str(problem), traceback.format_exc())
             return False
         self.note(stage, "done", rows)
         return True
@@ -46,11 +46,10 @@ class RunReport:
     def failures(self) -> DataFrame:
         """Failed stages in the shape the alert operators take."""
         failed = self.frame().where("status = 'failed'")
-        lines = F.split(F.rtrim("detail"), "\n")
         return failed.select(
             "stage",
             F.concat(F.lit("stage failed: "), F.col("stage")).alias("message"),
-            F.element_at(lines, -1).alias("exception"),
+            F.col("error").alias("exception"),
             F.col("detail").alias("stack_trace"),
             F.create_map(F.lit("run_id"), F.col("run_id"), F.lit("stage"), F.col("stage")).alias("context"),
         )
@@ -135,5 +134,6 @@ def section_log(elements: DataFrame, run_id: str) -> DataFrame:
         F.concat(F.lit("elements "), F.col("section")).alias("stage"),
         F.lit("done").alias("status"),
         F.col("element_count").alias("rows"),
+        F.lit("").alias("error"),
         F.lit("").alias("detail"),
     )

@@ -444,7 +444,7 @@ def export_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return batch_report(export_batches(table(spark, sf_dir, "lineitem").select(*keys), keys))
 
 
-@query("SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS run_id, 'orders' AS stage, o_orderstatus AS status, o_custkey AS \"rows\", '' AS detail FROM orders")
+@query("SELECT 'r' || CAST(o_orderkey AS VARCHAR) AS run_id, 'orders' AS stage, o_orderstatus AS status, o_custkey AS \"rows\", '' AS error, '' AS detail FROM orders")
 def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log rows appended in two parts and read back."""
     log = work_path(spark, "run_log")
@@ -453,6 +453,7 @@ def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("orders").alias("stage"),
         F.col("o_orderstatus").alias("status"),
         F.col("o_custkey").alias("rows"),
+        F.lit("").alias("error"),
         F.lit("").alias("detail"),
     )
     append_run_log(rows.where("status = 'F'"), log)

@@ -16,7 +16,7 @@ BATCH_ROWS = 1000
 FIRST_CELL, LAST_CELL = "A", "ZZ"
 
 _PARTITION_BITS = 33
-RUN_LOG = "run_id string, stage string, status string, rows bigint, detail string"
+RUN_LOG = "run_id string, stage string, status string, rows bigint, error string, detail string"
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_index") -> DataFrame:
