@@ -59,12 +59,14 @@ class Wanted:
     ``text`` is ``'full'`` (each element carries its text), ``'span'`` (the page carries its text
     once as ``page_text`` and :func:`span_text` cuts an element's part out) or ``'none'``. Text of
     nested containers repeats page text, so keep few tags with ``'full'``, or use ``'span'``.
+    ``attrs=False`` leaves the attribute maps empty where only tags are counted.
     """
 
     tags: Sequence[str] = ()
     class_words: Sequence[str] = ()
     attributes: Sequence[str] = ()
     text: str = "full"
+    attrs: bool = True
 
     def keeps(self, tag: str, attrs: dict[str, str]) -> bool:
         if not (self.tags or self.class_words or self.attributes):
@@ -171,8 +173,9 @@ def _to_arrow(pages: Sequence[str | None], wanted: Wanted) -> tuple[pa.Array, pa
             parent.append(reader.parents[i])
             last.append(reader.last[i])
             tags.append(tag)
-            attr_names.extend(attrs.keys())
-            attr_values.extend(attrs.values())
+            if wanted.attrs:
+                attr_names.extend(attrs.keys())
+                attr_values.extend(attrs.values())
             attr_ends.append(len(attr_names))
             start, end = reader.text_span[i]
             text_at.append(chunk_at[start])
@@ -209,28 +212,28 @@ def span_text(page_text: Column, element: Column) -> Column:
     return strip_u(F.substr(page_text, element["text_at"] + 1, element["text_size"]))
 
 
-def spread(pages: DataFrame, key: str) -> DataFrame:
-    """Give every core some pages when the input has fewer partitions than cores.
+def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Give every core some pages when a table has fewer partitions than there are cores.
 
-    Parsing is the costly part, and a small file is one partition. Large inputs come with
-    more partitions than cores and are left where they are.
+    Parsing is the costly part, and a small file is one partition. Use it on a table as read from
+    files, where the number of partitions is known without running anything. Large tables come
+    with more partitions than cores and are not shuffled.
     """
     cores = pages.sparkSession.sparkContext.defaultParallelism
     return pages.repartition(cores, key) if pages.rdd.getNumPartitions() < cores else pages
 
 
-def parse_pages(pages: DataFrame, wanted: Wanted = Wanted(), html: str = "html", spread_by: str | None = "page_id") -> DataFrame:
+def parse_pages(pages: DataFrame, wanted: Wanted = Wanted(), html: str = "html") -> DataFrame:
     """Replace the HTML column by ``elements`` and ``parse_error``; all other columns stay.
 
-    Filters do not pass the Python step, so filter pages and drop columns before it.
+    Pages are parsed where they are, without a shuffle. Filters do not pass the Python step, so
+    filter pages and drop columns before it.
     """
     keep = [f for f in pages.schema.fields if f.name != html]
     added = [T.StructField("elements", ELEMENTS), T.StructField("parse_error", T.StringType())]
     if wanted.text == "span":
         added.append(T.StructField("page_text", T.StringType()))
     schema = T.StructType(keep + added)
-    if spread_by is not None and spread_by in pages.columns:
-        pages = spread(pages, spread_by)
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:

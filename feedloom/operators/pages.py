@@ -58,7 +58,7 @@ def page_profile(pages: DataFrame, html: str = "html") -> DataFrame:
 
 def elements_per_page(pages: DataFrame, html: str = "html") -> DataFrame:
     """Number of tags on each page."""
-    parsed = parse_pages(pages, Wanted(text="none"), html)
+    parsed = parse_pages(pages, Wanted(text="none", attrs=False), html)
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error")]
     return parsed.select(*keep, F.size("elements").cast("bigint").alias("element_count"))
 

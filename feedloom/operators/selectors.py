@@ -195,7 +195,7 @@ def first_match(elements: Column, steps: list[tuple[str, Test]]) -> Column:
     return narrow(None, steps)
 
 
-def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html", key: str = "page_id") -> DataFrame:
+def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html") -> DataFrame:
     """Evaluate every catalogue selector on every page.
 
     Columns: the page's, ``group``, ``name``, ``supported``, ``found``, and ``pos``, ``tag`` and
@@ -204,7 +204,7 @@ def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html"
     """
     rows = catalogue.select("group", "name", "selector_type", "selector_value").collect()
     parts = [
-        _resolve(pages, [r.asDict() for r in rows[i : i + SELECTORS_PER_PASS]], html, key)
+        _resolve(pages, [r.asDict() for r in rows[i : i + SELECTORS_PER_PASS]], html)
         for i in range(0, max(len(rows), 1), SELECTORS_PER_PASS)
     ]
     result = parts[0]
@@ -213,8 +213,8 @@ def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html"
     return result
 
 
-def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str, key: str) -> DataFrame:
-    parsed = parse_pages(pages, Wanted(text="span"), html, spread_by=key)
+def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str) -> DataFrame:
+    parsed = parse_pages(pages, Wanted(text="span"), html)
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text")]
     entries = []
     for row in rows:

@@ -192,10 +192,11 @@ def _with_pages(pages: DataFrame, steps: DataFrame, wanted: Wanted, key: str, ht
     """Steps beside the elements of their page.
 
     Pages are parsed before the join, so what is shuffled is the few tags kept, not HTML. The
-    join is on the page key; a page with very many steps is split by AQE's skew handling.
+    join is on the page key; a page with very many steps is split by AQE's skew handling. A step
+    whose page is not there stays, without a hit.
     """
-    parsed = parse_pages(pages.select(key, html), wanted, html, spread_by=key).select(key, "elements")
-    return steps.join(parsed, key, "inner")
+    parsed = parse_pages(pages.select(key, html), wanted, html).select(key, "elements")
+    return steps.join(parsed, key, "left")
 
 
 def locate_clickable(pages: DataFrame, steps: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:

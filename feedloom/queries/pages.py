@@ -9,7 +9,7 @@ from feedloom.operators import pages as P
 from feedloom.operators import steps as S
 from feedloom.operators.elements import elements_long as long_form
 from feedloom.operators.elements import elements_per_section
-from feedloom.operators.html import html_elements
+from feedloom.operators.html import Wanted, html_elements, spread
 from feedloom.operators.selectors import lookup_selector, resolve_selectors, selectors_per_group
 from feedloom.queries.registry import query, table
 from feedloom.session import work_path
@@ -32,7 +32,13 @@ _QUIET = "regexp_replace(regexp_replace(html, '<script>.*?</script>', '<script>'
 
 
 def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "pages").select("page_id", "html")
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+
+
+def pages_by_section(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages with the language part of their address as section."""
+    section = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1)
+    return spread(table(spark, sf_dir, "pages").select("page_id", "html", section.alias("section")))
 
 
 @query(
@@ -74,7 +80,7 @@ def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def page_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The flat element table, counted by tag."""
-    return html_elements(pages_of(spark, sf_dir)).groupBy("tag").agg(F.count("*").alias("times"))
+    return html_elements(pages_of(spark, sf_dir), Wanted(text="none", attrs=False)).groupBy("tag").agg(F.count("*").alias("times"))
 
 
 _LINK_TAGS = f"""SELECT page_id, regexp_extract(link, 'href="([^"]*)"', 1) AS href,
@@ -111,17 +117,15 @@ _SECTION = "regexp_extract(url, '^[a-z]+://[^/]+/([a-z]+)', 1)"
 @query(f"SELECT {_SECTION} AS section, sum(len({_LINKS})) :: BIGINT AS element_count FROM pages GROUP BY 1")
 def elements_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Element documents written by section, read back and counted."""
-    pages = table(spark, sf_dir, "pages").withColumn("section", F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1))
     path = work_path(spark, "elements")
-    write_elements(page_documents(P.page_inventories(pages.drop("url"))), path)
+    write_elements(page_documents(P.page_inventories(pages_by_section(spark, sf_dir))), path)
     return elements_per_section(scan_elements(spark, path, multi_line=False))
 
 
 @query(f"SELECT page_id, {_SECTION} AS section, array_to_string({_LINKS}, '|') AS names FROM pages WHERE len({_LINKS}) > 0")
 def element_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A flat element table gathered into one document per page, elements in order."""
-    pages = table(spark, sf_dir, "pages").withColumn("section", F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1))
-    documents = gather(P.element_inventory(pages.drop("url")))
+    documents = gather(P.element_inventory(pages_by_section(spark, sf_dir)))
     names = F.transform("elements.elements", lambda e: e["visible_text"])
     return documents.select("page_id", "section", F.array_join(names, "|").alias("names"))
 

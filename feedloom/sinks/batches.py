@@ -20,18 +20,17 @@ RUN_LOG = "run_id string, stage string, status string, rows bigint, error string
 
 
 def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_index") -> DataFrame:
-    """Add a gapless 0-based ``row_index`` in the order given, or in file order.
+    """Add a gapless 0-based ``row_index`` in the order given, ties in file order; or in file order.
 
-    Rows are range-sorted and written once with their place inside the partition. The written
-    table fixes the numbers, so a lost executor cannot shift them. Then each partition gets the
-    count of the rows before it: one short row per partition is all that meets in one task.
+    Rows are written with their place, and read back before they are sorted and again before they
+    are counted. What is numbered is so fixed on disk, and a lost executor cannot shift a number.
+    The place breaks ties, so a sort key that fills a third of the rows is still spread over many
+    tasks. One short row per partition, its number of rows, is all that meets in one task.
     """
-    spark = df.sparkSession
+    placed = _write_places(df)
     if order_by:
-        df = df.repartitionByRange(*order_by).sortWithinPartitions(*order_by)
-    placed_at = work_path(spark, "numbered")
-    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(placed_at)
-    placed = spark.read.parquet(placed_at)
+        ordered = placed.withColumnRenamed("_at", "_from").repartitionByRange(*order_by, "_from")
+        placed = _write_places(ordered.sortWithinPartitions(*order_by, "_from").drop("_from"))
     part = F.shiftright("_at", _PARTITION_BITS)
     counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
@@ -48,6 +47,13 @@ def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_in
     )
 
 
+def _write_places(df: DataFrame) -> DataFrame:
+    """The rows with ``_at``, partition and place inside it in one number, from a written table."""
+    path = work_path(df.sparkSession, "numbered")
+    df.withColumn("_at", F.monotonically_increasing_id()).write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def export_batches(
     df: DataFrame, order_by: Sequence[str] = (), batch_rows: int = BATCH_ROWS, has_header: bool = True
 ) -> DataFrame:
