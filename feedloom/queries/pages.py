@@ -265,10 +265,9 @@ def instruction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def locate_clickable(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A step on every page that names the text of its last menu link."""
-    pages = pages_of(spark, sf_dir)
-    last = F.try_element_at(
-        F.regexp_extract_all(F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1), F.lit("<a [^>]*>([^<]+)</a>"), F.lit(1)), F.lit(-1)
-    )
+    menu = F.regexp_extract("html", "(?s)<nav>(.*?)</nav>", 1)
+    last = F.try_element_at(F.regexp_extract_all(menu, F.lit("<a [^>]*>([^<]+)</a>"), F.lit(1)), F.lit(-1))
+    pages = table(spark, sf_dir, "pages")
     steps = pages.select("page_id", F.concat(last, F.lit("をクリック")).alias("operation")).where(last.isNotNull())
     targets = S.parse_steps(steps).select("page_id", "target")
-    return S.locate_clickable(pages, targets).select("page_id", "target", "rule", "tag", "text")
+    return S.locate_clickable(spread(pages), targets).select("page_id", "target", "rule", "tag", "text")

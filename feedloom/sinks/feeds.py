@@ -84,12 +84,12 @@ def append_rows(history: DataFrame, feed: DataFrame) -> DataFrame:
 def keep_last_days(history: DataFrame, days: int, day: str = DAY) -> DataFrame:
     """Rows of the newest ``days`` distinct days.
 
-    The days are found from partial results of one short row per day. The semi join on them
-    prunes partitions when the history is partitioned by day.
+    The oldest day to keep is looked up first: one value, from partial results of one short row
+    per day. As a plain filter it then prunes partitions, or row groups where there are none.
     """
     newest = history.select(day).where(quoted(day).isNotNull()).distinct().orderBy(quoted(day).desc()).limit(days)
-    # ``days`` rows of one column: the size of this broadcast is the argument.
-    return history.join(F.broadcast(newest), day, "left_semi")
+    oldest = newest.agg(F.min(day)).first()[0]
+    return history.where(quoted(day) >= F.lit(oldest)) if oldest is not None else history.limit(0)
 
 
 def clear_table(df: DataFrame, path: str) -> None:
