@@ -13,6 +13,7 @@ stripped at both ends; ``text_nodes`` are the tag's own text pieces as they stan
 
 from __future__ import annotations
 
+import sys
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -20,6 +21,7 @@ from html.parser import HTMLParser
 from itertools import accumulate
 
 import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -263,3 +265,7 @@ def html_elements(pages: DataFrame, wanted: Wanted = Wanted(), html: str = "html
         "text",
         "text_nodes",
     )
+
+
+# The parser travels with the job, so executors need not have this package installed.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])

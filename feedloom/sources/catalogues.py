@@ -76,27 +76,19 @@ def instruction_sections(texts: DataFrame, content: str, *keys: str) -> DataFram
     pieces = F.split(clean, r"(?m)^## ", -1)
     sections = texts.select(*keys, F.posexplode(pieces).alias("section_pos", "body")).where("section_pos > 0")
     lines = F.transform(F.split("body", "\n", -1), strip_u)
-    rows = sections.select(*keys, "section_pos", lines.alias("lines"))
+    rows = sections.select(*keys, "section_pos", lines.alias("lines")).withColumn("blocks", _blocks(F.col("lines")))
     title = F.concat(F.lit(SECTION), F.element_at("lines", 1))
-    fields = _section_fields(F.col("lines"))
+    blocks = F.col("blocks")
     return rows.select(
         *keys,
         "section_pos",
         strip_u(title).alias("title"),
         F.regexp_replace(F.element_at("lines", 1), r"^\d+\.\s*", "").alias("section"),
         _address(F.col("lines")).alias("url"),
-        fields.alias("f"),
+        _under(blocks, ELEMENTS).alias("elements"),
+        _operations(_under(blocks, OPERATIONS)).alias("operations"),
         _line_after(F.col("lines"), CODE_MARK).alias("login_code"),
-    ).select(
-        *keys,
-        "section_pos",
-        "title",
-        "section",
-        "url",
-        F.col("f.elements").alias("elements"),
-        F.col("f.operations").alias("operations"),
-        "login_code",
-        F.col("f.prerequisites").alias("prerequisites"),
+        _prerequisites(_under(blocks, PREREQUISITES)).alias("prerequisites"),
     )
 
 
@@ -123,51 +115,49 @@ def _address(lines: Column) -> Column:
     return _last_text(F.transform(lines, candidate))
 
 
-def _section_fields(lines: Column) -> Column:
-    """Fold the lines once, carrying the heading they stand under."""
-    texts = F.array().cast("array<string>")
-    pairs = F.array().cast("array<struct<type:string,value:string>>")
-    start = F.struct(
-        F.lit("").alias("heading"), texts.alias("elements"), texts.alias("operations"), pairs.alias("prerequisites")
-    )
+def _blocks(lines: Column) -> Column:
+    """Lines of a section as texts, one per heading: the heading's name, then its content lines.
 
-    def step(state: Column, line: Column) -> Column:
-        # Address and login-code lines leave the heading as it is.
-        aside = (
-            (line == "")
-            | F.contains(line, F.lit(URL_MARK))
-            | F.startswith(line, F.lit("@"))
-            | F.contains(line, F.lit(CODE_MARK))
-        )
-        prerequisite = F.contains(line, F.lit(PREREQUISITE_MARK))
-        heading = prerequisite | F.startswith(line, F.lit("--"))
-        content = ~aside & ~heading & ~F.startswith(line, F.lit("##"))
-        operation = F.regexp_extract(line, r"^\p{Nd}+\.[\s\p{Z}]+(.+)$", 1)
-        is_operation = content & (state["heading"] == OPERATIONS) & (operation != "")
-        is_pair = content & (state["heading"] == PREREQUISITES) & F.contains(line, F.lit(" "))
-        pair = F.struct(
-            F.substring_index(line, " ", 1).alias("type"),
-            F.substr(line, F.instr(line, " ") + 1).alias("value"),
-        )
-        return F.struct(
-            F.when(aside | ~heading, state["heading"])
-            .when(prerequisite, F.lit(PREREQUISITES))
-            .otherwise(strip_u(F.substr(line, F.lit(3))))
-            .alias("heading"),
-            F.when(content & (state["heading"] == ELEMENTS), F.array_append(state["elements"], line))
-            .otherwise(state["elements"])
-            .alias("elements"),
-            F.when(is_operation, F.array_append(state["operations"], strip_u(operation)))
-            .otherwise(state["operations"])
-            .alias("operations"),
-            F.when(is_pair, F.array_append(state["prerequisites"], pair))
-            .otherwise(state["prerequisites"])
-            .alias("prerequisites"),
+    Address and login-code lines do not end a heading's content and are no content themselves.
+    Blank lines go first, so a blank line can then mark where a heading starts.
+    """
+
+    def kept(line: Column) -> Column:
+        aside = F.contains(line, F.lit(URL_MARK)) | F.startswith(line, F.lit("@")) | F.contains(line, F.lit(CODE_MARK))
+        return (line != "") & ~aside & ~F.startswith(line, F.lit("##"))
+
+    def marked(line: Column) -> Column:
+        return (
+            F.when(F.contains(line, F.lit(PREREQUISITE_MARK)), F.lit("\n" + PREREQUISITES))
+            .when(F.startswith(line, F.lit("--")), F.concat(F.lit("\n"), strip_u(F.substr(line, F.lit(3)))))
+            .otherwise(line)
         )
 
     # The first line is the title and never content.
     body = F.slice(lines, F.lit(2), F.greatest(F.size(lines), F.lit(1)))
-    return F.aggregate(body, start, step)
+    text = F.array_join(F.transform(F.filter(body, kept), marked), "\n")
+    return F.split(F.concat(F.lit("\n"), text), "\n\n", -1)
+
+
+def _under(blocks: Column, heading: str) -> Column:
+    """Content lines under a heading."""
+    named = F.filter(blocks, lambda b: F.substring_index(b, "\n", 1) == heading)
+    rows = F.transform(named, lambda b: F.split(b, "\n", -1))
+    return F.flatten(F.transform(rows, lambda r: F.slice(r, F.lit(2), F.size(r))))
+
+
+def _operations(lines: Column) -> Column:
+    found = F.transform(lines, lambda l: F.regexp_extract(l, r"^\p{Nd}+\.[\s\p{Z}]+(.+)$", 1))
+    return F.transform(F.filter(found, lambda o: o != ""), strip_u)
+
+
+def _prerequisites(lines: Column) -> Column:
+    return F.transform(
+        F.filter(lines, lambda l: F.contains(l, F.lit(" "))),
+        lambda l: F.struct(
+            F.substring_index(l, " ", 1).alias("type"), F.substr(l, F.instr(l, " ") + 1).alias("value")
+        ),
+    )
 
 
 def find_section(sections: DataFrame, name: str) -> DataFrame:

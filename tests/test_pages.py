@@ -1,5 +1,10 @@
 """Page parsing, profiles, inventories, selectors, steps, state."""
 
+import os
+import subprocess
+import sys
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -51,6 +56,23 @@ def test_html_elements(spark):
     assert got[2]["text_nodes"] == ["two", "three"]
 
 
+def test_workers_need_no_package(tmp_path):
+    """A job whose workers cannot import this package still parses pages."""
+    script = tmp_path / "job.py"
+    script.write_text(
+        f"""import sys
+sys.path.insert(0, {str(Path(__file__).parent.parent)!r})
+from feedloom.operators.pages import elements_per_page
+from feedloom.session import build_session
+spark = build_session("away", "local[1]")
+print("tags", elements_per_page(spark.createDataFrame([(1, "<p><b>")], "page_id long, html string")).first())
+"""
+    )
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=env, capture_output=True, text=True, timeout=120)
+    assert "tags Row(page_id=1, element_count=2)" in done.stdout, done.stderr[-2000:]
+
+
 def test_wanted_and_spans(spark):
     html = "<div class='Alert'>é<p>～① x</p></div><nav><a title=t>y</a></nav>"
     kept = parse_pages(pages(spark, html), Wanted(tags=("a",), class_words=("alert",))).first()["elements"]
