@@ -254,3 +254,23 @@ def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str) -> Data
         F.col("match.tag").alias("tag"),
         F.col("match.text").alias("text"),
     )
+
+
+def check_selectors(pages: DataFrame, elements: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
+    """Element records with ``selector_found``: does their page have a tag of that id, or else name?
+
+    Null where a record gives neither. Pages come down to their ids and names before the join.
+    """
+    parsed = parse_pages(pages.select(key, html), Wanted(attributes=("id", "name"), text="none"), html)
+    named = parsed.select(
+        key,
+        F.transform("elements", lambda e: attr(e, "id")).alias("_ids"),
+        F.transform("elements", lambda e: attr(e, "name")).alias("_names"),
+    )
+    id_, name = F.col("selectors")["id"], F.col("selectors")["name"]
+    found = F.when(id_ != "", F.exists("_ids", lambda v: F.coalesce(v == id_, F.lit(False)))).when(
+        name != "", F.exists("_names", lambda v: F.coalesce(v == name, F.lit(False)))
+    )
+    given = F.coalesce(id_ != "", F.lit(False)) | F.coalesce(name != "", F.lit(False))
+    joined = elements.join(named, key, "left")
+    return joined.withColumn("selector_found", F.when(given, F.coalesce(found, F.lit(False)))).drop("_ids", "_names")

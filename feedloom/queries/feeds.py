@@ -9,13 +9,31 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.dates import date_text, feed_path
 from feedloom.operators import columns as C
-from feedloom.operators.quality import lost_signs, profile_csv, ragged_rows
+from feedloom.operators.quality import lost_signs, missing_feeds, profile_csv, ragged_rows
 from feedloom.plans.daily import run_daily_feeds
 from feedloom.queries.registry import query, table, write_lines
 from feedloom.session import work_path
-from feedloom.sinks.batches import append_run_log, batch_report, export_batches
-from feedloom.sinks.feeds import DAY, append_feed, append_rows, keep_last_days, with_day, write_feed_csv, write_parquet
-from feedloom.sources.feeds import REPORT_COLUMNS, latest_file, scan_any_encoding, scan_feed
+from feedloom.sinks.batches import append_run_log, batch_report, deliver_batches, export_batches
+from feedloom.sinks.feeds import (
+    DAY,
+    append_feed,
+    append_rows,
+    clear_table,
+    keep_last_days,
+    with_day,
+    write_feed_csv,
+    write_parquet,
+)
+from feedloom.sources.feeds import (
+    REPORT_COLUMNS,
+    feed_file_names,
+    header_width,
+    latest_file,
+    read_header,
+    scan_any_encoding,
+    scan_feed,
+    scan_feeds,
+)
 from feedloom.streaming.feeds import FILE, append_stream, stream_feed
 
 RUN_DATE = dt.date(2024, 2, 1)
@@ -150,9 +168,9 @@ def feed_append_idempotent(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(
-    """SELECT c_custkey, c_name, DATE '2024-01-31' AS feed_date FROM customer
-    UNION ALL SELECT s_suppkey, s_name, DATE '2024-02-01' FROM supplier
-    UNION ALL SELECT s_suppkey, s_name, DATE '2024-02-01' FROM supplier"""
+    """SELECT c_custkey, c_name, '2024-01-31' AS feed_date FROM customer
+    UNION ALL SELECT s_suppkey, s_name, '2024-02-01' FROM supplier
+    UNION ALL SELECT s_suppkey, s_name, '2024-02-01' FROM supplier"""
 )
 def feed_append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers, then suppliers twice, by position and without replacing."""
@@ -162,7 +180,7 @@ def feed_append_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_feed(with_day(customers, "2024-01-31"), history, mode="raw")
     for _ in range(2):
         append_feed(with_day(suppliers, "2024-02-01"), history, mode="raw")
-    return spark.read.parquet(history)
+    return spark.read.parquet(history).withColumn(DAY, F.col(DAY).cast("string"))
 
 
 @query("SELECT c_custkey, c_name FROM customer UNION ALL SELECT s_suppkey, s_name FROM supplier")
@@ -268,7 +286,8 @@ def ragged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lines that were repaired, with their raw text and number of fields."""
     customers = table(spark, sf_dir, "customer")
     path = write_lines(customers, _ragged_line(), "c_custkey,c_name,c_mktsegment", "ragged")
-    return ragged_rows(scan_feed(spark, path, with_source=True), "customer", 3).drop("file_name")
+    width = header_width(read_header(spark, path))
+    return ragged_rows(scan_feed(spark, path, with_source=True), "customer", width).drop("file_name")
 
 
 @query("SELECT count(*) AS row_count, max(CASE c_custkey % 3 WHEN 1 THEN 2 WHEN 2 THEN 5 ELSE 3 END) AS max_fields FROM customer")
@@ -459,3 +478,52 @@ def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     append_run_log(rows.where("status = 'F'"), log)
     append_run_log(rows.where("status <> 'F'"), log)
     return spark.read.parquet(log)
+
+
+@query(
+    """SELECT 'ss' AS feed, CAST(user_id AS VARCHAR) AS "key", '' AS problem FROM (SELECT DISTINCT user_id FROM events)
+    UNION ALL SELECT 'cv', CAST(c_custkey AS VARCHAR), '' FROM customer
+    UNION ALL SELECT 'cv_attr', NULL, 'file not found: 20240131_CVrepo.csv'"""
+)
+def feeds_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The three feeds of a day, one of which is not there and becomes a quality row."""
+    folder, names = work_path(spark, "day"), feed_file_names(RUN_DATE, 1)
+    users = table(spark, sf_dir, "events").select(F.col("user_id").cast("string").alias("key")).distinct()
+    customers = table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("key"))
+    write_feed_csv(users, f"{folder}/{names['ss']}")
+    write_feed_csv(customers, f"{folder}/{names['cv']}")
+    found = scan_feeds(spark, folder, names)
+    result = missing_feeds(spark, found.missing).select(
+        "feed", F.lit(None).cast("string").alias("key"), F.col("detail").alias("problem")
+    )
+    for feed, rows in found.items():
+        result = result.union(rows.select(F.lit(feed), "key", F.lit("")))
+    return result
+
+
+@query("SELECT 0 :: BIGINT AS rows_left, 'o_orderkey,o_custkey,o_orderstatus,o_totalprice,o_orderdate,o_orderpriority' AS columns_left")
+def table_cleared(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A stored table emptied: no rows, all columns."""
+    path = work_path(spark, "cleared")
+    orders = table(spark, sf_dir, "orders")
+    write_parquet(orders, path, partition_by=())
+    clear_table(orders, path)
+    cleared = spark.read.parquet(path)
+    return cleared.agg(F.count("*").alias("rows_left")).withColumn("columns_left", F.lit(",".join(cleared.columns)))
+
+
+@query(
+    """WITH n AS (SELECT o_orderkey, (row_number() OVER (ORDER BY o_orderkey) - 1) // 1000 AS b FROM orders)
+    SELECT b + 1 AS batch_num, count(*) AS row_count, CASE WHEN sum(o_orderkey % 7) % 2 = 1 THEN 'failed' ELSE 'ok' END AS status
+    FROM n GROUP BY b"""
+)
+def export_delivery(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Batches handed to a target that refuses some of them; all are reported."""
+
+    def send(range_text, rows):
+        if (rows["o_orderkey"] % 7).sum() % 2:
+            raise RuntimeError(f"{range_text} refused")
+
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
+    report = deliver_batches(export_batches(orders, ["o_orderkey"]), send)
+    return report.select("batch_num", "row_count", "status")

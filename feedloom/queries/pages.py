@@ -10,7 +10,8 @@ from feedloom.operators import steps as S
 from feedloom.operators.elements import elements_long as long_form
 from feedloom.operators.elements import elements_per_section
 from feedloom.operators.html import Wanted, html_elements, spread
-from feedloom.operators.selectors import lookup_selector, resolve_selectors, selectors_per_group
+from feedloom.operators.selectors import check_selectors, lookup_selector, resolve_selectors, selectors_per_group
+from feedloom.plans.daily import section_log
 from feedloom.queries.registry import query, table
 from feedloom.session import work_path
 from feedloom.sinks.elements import element_documents as gather
@@ -271,3 +272,104 @@ def locate_clickable(spark: SparkSession, sf_dir: str) -> DataFrame:
     steps = pages.select("page_id", F.concat(last, F.lit("をクリック")).alias("operation")).where(last.isNotNull())
     targets = S.parse_steps(steps).select("page_id", "target")
     return S.locate_clickable(spread(pages), targets).select("page_id", "target", "rule", "tag", "text")
+
+
+def form_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A page with a form for every part: a field and a select whose names and labels tell the part."""
+    name, kind = F.col("p_name"), F.col("p_type")
+    html = F.concat(
+        F.lit("<html><body><div class='error-box'>"),
+        kind,
+        F.lit("</div><a class='main-MENU'>"),
+        name,
+        F.lit("</a><form><label>"),
+        kind,
+        F.lit("</label><p><input id='f"),
+        F.col("p_partkey").cast("string"),
+        F.lit("' name='"),
+        name,
+        F.lit("' placeholder='size "),
+        F.col("p_size").cast("string"),
+        F.lit("'></p><label>pick</label><select name='sel'><option value='v1'>"),
+        F.col("p_brand"),
+        F.lit("</option><option value='"),
+        F.col("p_brand"),
+        F.lit("x'> second  one </option></select><button class='nav'>"),
+        kind,
+        F.lit("</button></form></body></html>"),
+    )
+    parts = table(spark, sf_dir, "part")
+    return spread(parts.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+
+
+@query(
+    """SELECT p_partkey AS page_id, p_type AS error_messages, p_name || '|' || p_type AS menu_items FROM part"""
+)
+def page_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Error texts and menu texts found by their classes."""
+    profile = P.page_profile(form_pages(spark, sf_dir))
+    joined = [F.array_join(c, "|").alias(c) for c in ("error_messages", "menu_items")]
+    return profile.select("page_id", *joined)
+
+
+@query(
+    """SELECT p_partkey AS page_id, CASE p_partkey % 5 WHEN 0 THEN 'name' WHEN 1 THEN 'id' WHEN 2 THEN 'placeholder'
+    WHEN 3 THEN 'label' END AS rule, CASE WHEN p_partkey % 5 < 4 THEN 'input' END AS tag FROM part"""
+)
+def locate_input(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Input steps on every form page: by name, id, placeholder, label, and one without a field."""
+    kind = F.col("p_partkey") % 5
+    target = (
+        F.when(kind == 0, F.col("p_name"))
+        .when(kind == 1, F.concat(F.lit("f"), F.col("p_partkey").cast("string")))
+        .when(kind == 2, F.concat(F.lit("size "), F.col("p_size").cast("string")))
+        .when(kind == 3, F.col("p_type"))
+        .otherwise("no such field")
+    )
+    steps = table(spark, sf_dir, "part").select(F.col("p_partkey").alias("page_id"), target.alias("target"))
+    return S.locate_input(form_pages(spark, sf_dir), steps).select("page_id", "rule", "tag")
+
+
+@query(
+    """SELECT p_partkey AS page_id, CASE WHEN p_partkey % 2 = 0 THEN 'name' ELSE 'label' END AS select_rule,
+    CASE p_partkey % 4 WHEN 0 THEN 'visible_text' WHEN 1 THEN 'value' WHEN 2 THEN 'index' END AS option_rule,
+    CASE p_partkey % 4 WHEN 0 THEN p_brand WHEN 1 THEN 'second  one' WHEN 2 THEN 'second  one' END AS option_text FROM part"""
+)
+def locate_option(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Select steps on every form page: option by text, value, place, and one that is not there."""
+    kind = F.col("p_partkey") % 4
+    value = (
+        F.when(kind == 0, F.col("p_brand"))
+        .when(kind == 1, F.concat("p_brand", F.lit("x")))
+        .when(kind == 2, F.lit("2"))
+        .otherwise("no such option")
+    )
+    target = F.when(F.col("p_partkey") % 2 == 0, "sel").otherwise("pick")
+    steps = table(spark, sf_dir, "part").select(
+        F.col("p_partkey").alias("page_id"), target.alias("target"), value.alias("value")
+    )
+    found = S.locate_option(form_pages(spark, sf_dir), steps)
+    return found.select("page_id", "select_rule", "option_rule", "option_text")
+
+
+@query(
+    """SELECT p_partkey AS page_id, p_partkey % 3 <> 1 AS selector_found FROM part WHERE p_partkey % 4 <> 3
+    UNION ALL SELECT p_partkey, NULL FROM part WHERE p_partkey % 4 = 3"""
+)
+def selector_check(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records whose id or name their page has, records whose it has not, and records without either."""
+    wrong, key = F.col("p_partkey") % 3 == 1, F.col("p_partkey")
+    id_ = F.when(key % 4 == 0, F.concat(F.when(wrong, F.lit("x")).otherwise("f"), key.cast("string"))).otherwise("")
+    name = F.when(key % 4 != 3, F.when(wrong, F.lit("absent")).otherwise(F.col("p_name"))).otherwise("")
+    selectors = F.create_map(F.lit("id"), id_, F.lit("name"), name)
+    records = table(spark, sf_dir, "part").select(key.alias("page_id"), selectors.alias("selectors"))
+    return check_selectors(form_pages(spark, sf_dir), records).select("page_id", "selector_found")
+
+
+@query(
+    f"""SELECT 'r1' AS run_id, 'elements ' || {_SECTION} AS stage, 'done' AS status, sum(len({_LINKS})) :: BIGINT AS "rows",
+    '' AS error, '' AS detail FROM pages GROUP BY ALL HAVING sum(len({_LINKS})) > 0"""
+)
+def section_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Element counts per section as run-log rows."""
+    return section_log(P.element_inventory(pages_by_section(spark, sf_dir)), "r1")

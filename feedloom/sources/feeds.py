@@ -7,7 +7,9 @@ source: rows of a wrong width are cut or padded and keep their raw record beside
 
 from __future__ import annotations
 
+import csv
 import datetime as dt
+import io
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
 from urllib.parse import urlparse
@@ -49,9 +51,18 @@ def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool =
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> list[str]:
-    """Cells of the first record, blanks included; an empty list for an empty file."""
-    first = csv_reader(spark, encoding).csv(path).limit(1).collect()
-    return [cell or "" for cell in first[0]] if first else []
+    """Cells of the first record, blanks included; an empty list for an empty file.
+
+    One small job: with a schema of one column nothing is inferred, and a record of several
+    cells keeps its raw text.
+    """
+    schema = text_schema(["_first", RAW_RECORD])
+    first = csv_reader(spark, encoding).schema(schema).csv(path).limit(1).collect()
+    if not first:
+        return []
+    if first[0][RAW_RECORD] is None:
+        return [first[0]["_first"] or ""]
+    return next(csv.reader(io.StringIO(first[0][RAW_RECORD].removeprefix("\ufeff"))))
 
 
 def header_width(header: Sequence[str]) -> int:

@@ -263,6 +263,20 @@ def test_default_selectors_resolve(spark):
     assert rows(got.select("name", "found", "pos")) == [("password", True, 1), ("submit", True, 2), ("username", True, 0)]
 
 
+def test_check_selectors(spark):
+    """An inventory may name ids its page does not have."""
+    records = [(0, {"id": "username"}), (0, {"id": "login_id", "name": "n"}), (0, {"id": "", "name": "n"}), (0, {"css": "p"}), (9, {"id": "x"})]
+    elements = spark.createDataFrame(records, "page_id long, selectors map<string,string>")
+    got = L.check_selectors(pages(spark, "<input id=username><b name=n>"), elements)
+    assert rows(got.select(F.col("selectors")["id"], "selector_found")) == [
+        ("", True),
+        ("login_id", False),
+        ("username", True),
+        ("x", False),
+        (None, None),
+    ]
+
+
 TEXT = """前書き
 ## 1. login
 --概要
