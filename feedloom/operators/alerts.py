@@ -28,6 +28,7 @@ TRACE_LIMIT = 1000
 TRACE_CUT = "(スタックトレースが長すぎるため省略されました)"
 NO_TRACE = "NoneType: None\n"
 ENVIRONMENT, HOST, TIME = "環境", "ホスト", "発生時刻"
+ICON = ":exclamation:"
 
 
 def status_message(code: Column) -> Column:
@@ -85,3 +86,13 @@ def build_notices(notices: DataFrame, title: Column | None = None) -> DataFrame:
         F.lit(GREEN).alias("color"),
         F.col("message").alias("text"),
     )
+
+
+def status_alerts(failures: DataFrame, user: str, sender: str, icon: str = ICON, code: str = "status_code") -> DataFrame:
+    """Failed requests as short messages: the user addressed, then the status's message."""
+    return failures.select(
+        "*",
+        F.concat(F.lit(f"<@{user}>"), status_message(F.col(code))).alias("text"),
+        F.lit(sender).alias("username"),
+        F.lit(icon).alias("icon_emoji"),
+    )

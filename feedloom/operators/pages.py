@@ -64,7 +64,10 @@ def elements_per_page(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def find_elements(pages: DataFrame, tag: str, text_filter: str | None = None, html: str = "html") -> DataFrame:
-    """Elements of a tag, only those whose text holds ``text_filter`` when one is given."""
+    """Elements of a tag, only those whose text holds ``text_filter`` when one is given.
+
+    The text is that of the HTML: what a style hides counts as well.
+    """
     parsed = parse_pages(pages, Wanted(tags=(tag,)), html)
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error")]
 

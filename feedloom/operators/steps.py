@@ -107,7 +107,8 @@ def _found(rule: str, element: Column) -> Column:
 def clickable(elements: Column, target: Column) -> Column:
     """Link text, part of a link text, text or label attributes: first rule with an enabled hit.
 
-    When all first hits are disabled, the first hit of the last rule is taken all the same.
+    When all first hits are disabled, the first hit of the last rule is taken all the same. A CSS
+    search for the label attributes would come last, but finds nothing the rule before did not.
     """
     links = F.filter(elements, lambda e: e["tag"] == "a")
     exact = first(F.filter(links, lambda e: collapse_spaces(e["text"]) == target))

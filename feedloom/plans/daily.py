@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import traceback
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,10 +12,20 @@ from pyspark.sql import functions as F
 from feedloom.operators.columns import coerce_numeric, fill_blank, split_feed, stamp_date
 from feedloom.operators.elements import elements_per_section
 from feedloom.operators.pages import page_inventories
+from feedloom.operators.quality import header_issues, missing_feeds
 from feedloom.sinks.batches import append_run_log, log_rows
 from feedloom.sinks.elements import page_documents, write_elements
 from feedloom.sinks.feeds import DAY, append_feed, with_day, write_parquet
-from feedloom.sources.feeds import REPORT_COLUMNS, REPORT_TOKENS, latest_file, scan_feed
+from feedloom.sources.feeds import (
+    FEED_SUFFIXES,
+    REPORT_COLUMNS,
+    REPORT_TOKENS,
+    feed_file_names,
+    latest_file,
+    read_header,
+    scan_feed,
+    scan_feeds,
+)
 from feedloom.sources.pages import scan_elements
 
 
@@ -114,6 +124,37 @@ def run_daily_feeds(
     return report.frame()
 
 
+def integrate_feeds(
+    spark: SparkSession,
+    folder: str,
+    history: str,
+    run_date: dt.date,
+    days_ago: int = 1,
+    suffixes: Mapping[str, str] = FEED_SUFFIXES,
+    mode: str = "day",
+) -> DataFrame:
+    """The feed files of one day into their histories; gives quality rows of those not found."""
+    day = run_date - dt.timedelta(days=days_ago)
+    found = scan_feeds(spark, folder, feed_file_names(run_date, days_ago, suffixes))
+    for feed, rows in found.items():
+        append_feed(with_day(rows, day), f"{history.rstrip('/')}/{feed}", mode)
+    return missing_feeds(spark, found.missing)
+
+
+def convert_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], target: str) -> DataFrame:
+    """Whole feed CSV files, cleaned, to ``<target>/<feed>`` as Parquet; gives quality rows.
+
+    Reported are files not found and odd header cells. Wrong-width rows are repaired; see
+    :func:`feedloom.operators.quality.ragged_rows` for their report.
+    """
+    found = scan_feeds(spark, folder, files)
+    issues = missing_feeds(spark, found.missing)
+    for feed, rows in found.items():
+        write_parquet(rows, f"{target.rstrip('/')}/{feed}", partition_by=())
+        issues = issues.unionByName(header_issues(spark, feed, read_header(spark, f"{folder.rstrip('/')}/{files[feed]}")))
+    return issues
+
+
 def convert_counts(spark: SparkSession, source: str, target: str) -> None:
     """Classroom counts: CSV to Parquet, listed columns numeric."""
     write_parquet(coerce_numeric(scan_feed(spark, source, currency_column=None)), target, partition_by=())

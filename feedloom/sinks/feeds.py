@@ -47,9 +47,22 @@ def write_feed_csv(df: DataFrame, path: str, encoding: str = JAPANESE) -> None:
     )
 
 
-def with_day(feed: DataFrame, day: Column | dt.date | str | None = None, date_column: str = DATE_COLUMN) -> DataFrame:
-    """Add the partition column: a given day, or the row's own date text."""
-    return feed.withColumn(DAY, as_date(day) if day is not None else parse_row_date(quoted(date_column)))
+def with_day(
+    feed: DataFrame, day: Column | dt.date | str | None = None, date_column: str = DATE_COLUMN, strict: bool = True
+) -> DataFrame:
+    """Add the partition column: a given day, or the row's own date text.
+
+    A row whose text is no date fails the job, because rows without a day would replace one
+    another in the history. With ``strict=False`` they are kept under a null day.
+    """
+    if day is not None:
+        return feed.withColumn(DAY, as_date(day))
+    text = quoted(date_column)
+    parsed = parse_row_date(text)
+    if strict:
+        problem = F.concat(F.lit(f"{date_column} holds no date: "), F.coalesce(text, F.lit("null")))
+        parsed = F.when(parsed.isNull(), F.raise_error(problem).cast("date")).otherwise(parsed)
+    return feed.withColumn(DAY, parsed)
 
 
 def append_feed(
@@ -57,7 +70,8 @@ def append_feed(
 ) -> None:
     """Add a feed, with its ``feed_date``, to the history.
 
-    ``mode='day'`` replaces the days that occur in the feed, so a second run changes nothing.
+    ``mode='day'`` replaces the days that occur in the feed, so a second run changes nothing. A
+    day that the feed has no row of stays as it was.
     ``mode='raw'`` adds the rows to what is there, by position: a second run doubles them.
     """
     if mode == "day":

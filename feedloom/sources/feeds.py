@@ -122,7 +122,7 @@ def scan_feed(
         raise ValueError(f"no header in {path}")
     if blank_header == "align":
         fresh = iter(names)
-        read_names = [next(fresh) if cell.strip() else f"_blank_{i}" for i, cell in enumerate(raw_header)]
+        read_names = [next(fresh) if cell.strip() else f"\0{i}" for i, cell in enumerate(raw_header)]
     else:
         read_names = names
     wanted = list(columns) if columns is not None else names

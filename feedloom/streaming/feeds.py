@@ -62,7 +62,7 @@ def append_stream(
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        append_feed(with_day(batch, date_column=date_column), history, by=(DAY, FILE))
+        append_feed(with_day(batch, date_column=date_column, strict=False), history, by=(DAY, FILE))
 
     writer = rows.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint)
     if available_now:

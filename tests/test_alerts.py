@@ -37,3 +37,8 @@ def test_notices(spark):
     df = spark.createDataFrame([("m", "")], "message string, t string")
     row = A.build_notices(df, F.col("t")).first()
     assert (row["title"], row["color"], row["text"]) == ("通知", "#36a64f", "m")
+
+
+def test_status_alerts(spark):
+    row = A.status_alerts(spark.createDataFrame([(404,)], "status_code int"), "U1", "bot").first()
+    assert row["text"].startswith("<@U1>リクエストされた") and (row["username"], row["icon_emoji"]) == ("bot", ":exclamation:")

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from feedloom.operators import columns as C
 from feedloom.operators import quality as Q
-from feedloom.plans.daily import RunReport, convert_counts, run_daily_feeds
+from feedloom.plans.daily import RunReport, convert_counts, convert_feeds, integrate_feeds, run_daily_feeds
 from feedloom.sinks import batches as B
 from feedloom.sinks import feeds as K
 from feedloom.sources import feeds as S
@@ -288,3 +288,29 @@ def test_classroom_counts(spark, tmp_path):
     out = spark.read.parquet(str(tmp_path / "out"))
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["double", "double", "string", "double"]
     assert sorted(map(tuple, out.collect())) == [(1.0, None, "あ", None), (2.0, 1000.0, "007", None)]
+
+
+def test_integrate_and_convert(spark, tmp_path):
+    put(tmp_path / "in" / "20240131_SS.csv", "日付,広告名,クリック数\n2024/01/31,x,007\n")
+    put(tmp_path / "in" / "20240131_CVrepo.csv", ATTRIBUTES)
+    for _ in range(2):
+        missing = integrate_feeds(spark, str(tmp_path / "in"), str(tmp_path / "h"), dt.date(2024, 2, 1))
+    assert rows(missing.select("feed", "issue")) == [("cv", "missing_feed")]
+    assert rows(spark.read.parquet(str(tmp_path / "h" / "ss")).drop("feed_date")) == [("2024/01/31", "x", "007")]
+    files = {"ss": "20240131_SS.csv", "cv_attr": "20240131_CVrepo.csv", "cv": "none.csv"}
+    issues = convert_feeds(spark, str(tmp_path / "in"), files, str(tmp_path / "out"))
+    assert rows(issues.select("feed", "issue")) == [
+        ("cv", "missing_feed"),
+        ("cv_attr", "blank_header"),
+        ("cv_attr", "blank_header"),
+        ("cv_attr", "repeated_header"),
+    ]
+    assert spark.read.parquet(str(tmp_path / "out" / "cv_attr")).columns == ["CV日", "売上金額", "広告名", "広告名_1"]
+
+
+def test_rows_without_day(spark, tmp_path):
+    odd = spark.createDataFrame([("someday", "x")], "`日付` string, x string")
+    with pytest.raises(Exception, match="holds no date: someday"):
+        K.append_feed(K.with_day(odd), str(tmp_path / "h"))
+    assert K.with_day(odd, strict=False).first()["feed_date"] is None
+    assert str(K.with_day(odd, "2024-01-31").first()["feed_date"]) == "2024-01-31"
