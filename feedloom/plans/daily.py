@@ -5,8 +5,9 @@ from __future__ import annotations
 import datetime as dt
 import traceback
 from collections.abc import Callable, Mapping, Sequence
+from functools import cache
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators.columns import coerce_numeric, fill_blank, split_feed, stamp_date
@@ -15,7 +16,7 @@ from feedloom.operators.pages import page_inventories
 from feedloom.operators.quality import header_issues, missing_feeds
 from feedloom.sinks.batches import append_run_log, log_rows
 from feedloom.sinks.elements import page_documents, write_elements
-from feedloom.sinks.feeds import DAY, append_feed, with_day, write_parquet
+from feedloom.sinks.feeds import append_feed, with_day, write_parquet
 from feedloom.sources.feeds import (
     FEED_SUFFIXES,
     REPORT_COLUMNS,
@@ -98,24 +99,23 @@ def run_daily_feeds(
         return found[token]
 
     def store(feed: str, frame: DataFrame) -> int:
-        path = f"{history.rstrip('/')}/{feed}"
-        append_feed(with_day(frame, day), path, mode)
-        # Parquet footers of the one day give the count.
-        return spark.read.parquet(path).where(F.col(DAY) == F.lit(day)).count()
+        # Rows are counted while they are written.
+        written = Observation()
+        counted = with_day(frame, day).observe(written, F.count(F.lit(1)).alias("rows"))
+        append_feed(counted, f"{history.rstrip('/')}/{feed}", mode)
+        return written.get["rows"]
 
-    def wide(feed: str) -> Callable[[], int]:
-        def work() -> int:
-            scanned = scan_feed(spark, newest(tokens[0]), columns=REPORT_COLUMNS)
-            return store(feed, split_feed(stamp_date(scanned, run_date, days_ago))[feed])
-
-        return work
+    @cache
+    def split() -> dict[str, DataFrame]:
+        scanned = scan_feed(spark, newest(tokens[0]), columns=REPORT_COLUMNS)
+        return split_feed(stamp_date(scanned, run_date, days_ago))
 
     def attributes() -> int:
         return store("cv_attr", fill_blank(scan_feed(spark, newest(tokens[1]))))
 
     report.run("find_files", find)
-    report.run("ss", wide("ss"))
-    report.run("cv", wide("cv"))
+    report.run("ss", lambda: store("ss", split()["ss"]))
+    report.run("cv", lambda: store("cv", split()["cv"]))
     report.run("cv_attr", attributes)
     if log_path:
         problem = report.save(log_path)

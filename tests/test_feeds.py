@@ -276,6 +276,12 @@ def test_daily_run_goes_on_after_failure(spark, tmp_path):
     assert [r["stage"] for r in failed] == ["cv_attr"] and "cv_attr" in failed[0]["detail"]
 
 
+def test_daily_run_of_empty_report(spark, tmp_path):
+    put(tmp_path / "drop" / "detail_analyze_1.csv", REPORT.split("\n")[0] + "\n")
+    status = run_daily_feeds(spark, str(tmp_path / "drop"), str(tmp_path / "h"), dt.date(2024, 2, 1))
+    assert rows(status.where("status = 'done'").select("stage", "rows")) == [("cv", 0), ("find_files", 1), ("ss", 0)]
+
+
 def test_run_report(spark, tmp_path):
     report = RunReport(spark, "r1")
     assert report.run("good", lambda: 3)
