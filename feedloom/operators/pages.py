@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.arrays import append_missing, attr, below, bind, class_has, first
+from feedloom.operators.arrays import append_missing, attr, bind, class_has, first, is_marked, marks
 from feedloom.operators.html import Wanted, parse_pages
 
 # Words in class names that mark errors and menus, and the element types,
@@ -36,8 +36,8 @@ def menu_texts(elements: Column) -> Column:
     """Links and buttons of a menu class, then links inside ``nav`` that are not listed yet."""
     marked = F.filter(elements, lambda e: e["tag"].isin("a", "button") & class_has(e, *MENU_WORDS))
     linked = bind(
-        F.filter(elements, lambda e: e["tag"] == "nav"),
-        lambda navs: F.filter(elements, lambda e: (e["tag"] == "a") & F.exists(navs, lambda n: below(e, n))),
+        marks(F.filter(elements, lambda e: e["tag"] == "nav"), inside=True),
+        lambda navs: F.filter(elements, lambda e: (e["tag"] == "a") & is_marked(navs, e["pos"])),
     )
     return append_missing(texts_of(marked), texts_of(linked))
 

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterable, Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.arrays import attr, below, bind, first
+from feedloom.operators.arrays import attr, bind, first, is_marked, marks
 from feedloom.operators.html import Wanted, parse_pages, span_text
 
 Test = Callable[[Column], Column]
@@ -185,12 +185,12 @@ def first_match(elements: Column, steps: list[tuple[str, Test]]) -> Column:
         def fits(e: Column) -> Column:
             if above is None:
                 return test(e)
-            if relation == "child":
-                return test(e) & F.exists(above, lambda a: e["parent_pos"] == a["pos"])
-            return test(e) & F.exists(above, lambda a: below(e, a))
+            return test(e) & is_marked(above, e["pos"] if relation == "below" else e["parent_pos"])
 
         hits = F.filter(elements, fits)
-        return bind(hits, lambda found: narrow(found, later)) if later else first(hits)
+        if not later:
+            return first(hits)
+        return bind(marks(hits, inside=later[0][0] == "below"), lambda marked: narrow(marked, later))
 
     return narrow(None, steps)
 

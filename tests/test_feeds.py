@@ -231,6 +231,17 @@ def test_export_batches(spark):
     assert rows(B.batch_report(plain).select("batch_num", "range_text", "row_count"))[0] == (1, "A1:ZZ1000", 1000)
 
 
+def test_hot_key_is_spread(spark, tmp_path):
+    """A key that fills a third of the rows: whole numbering, ties in file order, more than one task."""
+    path = str(tmp_path / "hot")
+    hot = F.when(F.col("id") % 3 == 0, F.lit(500)).otherwise(F.col("id") % 1000)
+    spark.range(0, 30000, 1, 1).select("id", hot.alias("k")).write.parquet(path)
+    numbered = B.number_rows(spark.read.parquet(path), ["k"]).collect()
+    numbered.sort(key=lambda r: r["row_index"])
+    assert [r["row_index"] for r in numbered] == list(range(30000))
+    assert [(r["k"], r["id"]) for r in numbered] == sorted((r["k"], r["id"]) for r in numbered)
+
+
 def test_export_keeps_file_order(spark, tmp_path):
     path = put(tmp_path / "o.csv", "v\n" + "\n".join(f"x{i}" for i in (5, 3, 9)) + "\n")
     got = B.export_batches(S.scan_feed(spark, path), batch_rows=2).orderBy("row_index").collect()

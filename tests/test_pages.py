@@ -6,6 +6,8 @@ import sys
 from pathlib import Path
 
 import pytest
+from hypothesis import HealthCheck, given, settings
+from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from feedloom.operators import elements as E
@@ -256,6 +258,37 @@ def test_resolve_selector(spark, kind, value, supported, text):
     assert got["text"] == ("TAbothchilddeepNodd" if text == "whole" else text)
 
 
+TREES = st.recursive(st.just(""), lambda inner: st.lists(st.tuples(st.sampled_from("biu"), inner), max_size=4), max_leaves=25)
+
+
+def markup(tree):
+    return "".join(f"<{tag}>{markup(inner)}</{tag}>" for tag, inner in tree or [])
+
+
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(TREES, min_size=5, max_size=12))
+def test_nested_selectors_model(spark, trees):
+    """Descendant and child steps against a walk up the parents."""
+    df = pages(spark, *[markup(t) for t in trees])
+    paths = {}
+    for r in html_elements(df, Wanted(text="none")).orderBy("page_id", "pos").collect():
+        above = paths[(r["page_id"], r["parent_pos"])] if r["parent_pos"] is not None else []
+        paths[(r["page_id"], r["pos"])] = [*above, r["tag"]]
+    models = {
+        "b i": lambda p: p[-1] == "i" and "b" in p[:-1],
+        "b > i": lambda p: p[-2:] == ["b", "i"],
+        "b > i u": lambda p: p[-1] == "u" and any(p[k : k + 2] == ["b", "i"] for k in range(len(p) - 2)),
+        "u b > b": lambda p: p[-2:] == ["b", "b"] and "u" in p[:-2],
+    }
+    shape = "`group` string, name string, selector_type string, selector_value string"
+    catalogue = spark.createDataFrame([("g", css, "css", css) for css in models], shape)
+    got = {(r["page_id"], r["name"]): r["pos"] for r in L.resolve_selectors(df, catalogue).collect()}
+    for css, fits in models.items():
+        for page in range(len(trees)):
+            hits = [pos for (p, pos), path in paths.items() if p == page and fits(path)]
+            assert got[(page, css)] == (min(hits) if hits else None)
+
+
 def test_default_selectors_resolve(spark):
     shape = "`group` string, name string, selector_type string, selector_value string"
     html = "<input id=username><input type=password name=q><button class='btn-login'>go</button>"
