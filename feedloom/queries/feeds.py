@@ -483,7 +483,7 @@ def run_log_append(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(
     """SELECT 'ss' AS feed, CAST(user_id AS VARCHAR) AS "key", '' AS problem FROM (SELECT DISTINCT user_id FROM events)
     UNION ALL SELECT 'cv', CAST(c_custkey AS VARCHAR), '' FROM customer
-    UNION ALL SELECT 'cv_attr', NULL, 'file not found: 20240131_CVrepo.csv'"""
+    UNION ALL SELECT 'cv_attr', NULL, 'not found or empty: 20240131_CVrepo.csv'"""
 )
 def feeds_scanned(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The three feeds of a day, one of which is not there and becomes a quality row."""

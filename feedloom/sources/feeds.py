@@ -15,7 +15,6 @@ from dataclasses import dataclass, field
 from urllib.parse import urlparse
 
 import pandas as pd
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -211,10 +210,9 @@ def scan_any_encoding(spark: SparkSession, path: str | Sequence[str], **options)
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def latest_file(spark: SparkSession, folder: str, tokens: Sequence[str] = REPORT_TOKENS) -> DataFrame:
-    """``(token, path, modified)``: the newest entry of the folder whose name holds the token.
+def folder_entries(spark: SparkSession, folder: str) -> DataFrame:
+    """``(name, path, modified)`` of a folder's files and of folders of part files written by Spark.
 
-    An entry is a file, or a folder of part files written by Spark; ties go to the later name.
     Only the listing is read, contents are pruned away. Empty files are not listed by Spark.
     """
     base = urlparse(folder).path.rstrip("/") + "/"
@@ -223,15 +221,19 @@ def latest_file(spark: SparkSession, folder: str, tokens: Sequence[str] = REPORT
     )
     name_at = F.instr("path", base) + len(base)
     name = F.split_part(F.substr("path", name_at), F.lit("/"), F.lit(1))
-    entries = files.select(
-        name.alias("name"),
-        F.concat(F.substr("path", F.lit(1), name_at - 1), name).alias("path"),
-        "modificationTime",
+    path = F.concat(F.substr("path", F.lit(1), name_at - 1), name)
+    return (
+        files.select(name.alias("name"), path.alias("path"), "modificationTime")
+        .groupBy("name", "path")
+        .agg(F.max("modificationTime").alias("modified"))
     )
+
+
+def latest_file(spark: SparkSession, folder: str, tokens: Sequence[str] = REPORT_TOKENS) -> DataFrame:
+    """``(token, path, modified)``: the folder's newest entry whose name holds the token, ties to the later name."""
     hits = F.filter(F.array(*[F.lit(t) for t in tokens]), lambda t: F.contains("name", t))
     return (
-        entries.groupBy("path", "name")
-        .agg(F.max("modificationTime").alias("modified"))
+        folder_entries(spark, folder)
         .select("path", "modified", F.explode(hits).alias("token"))
         .groupBy("token")
         .agg(F.max_by("path", F.struct("modified", "path")).alias("path"), F.max("modified").alias("modified"))
@@ -263,14 +265,15 @@ class FeedScan(Mapping):
 
 def scan_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], **options) -> FeedScan:
     """Read each feed's file; a missing or empty one is noted and does not stop the others."""
+    wanted = folder_entries(spark, folder).where(F.col("name").isin(*files.values()))
+    present = {row["name"] for row in wanted.select("name").collect()}
     found = FeedScan()
     for feed, name in files.items():
+        if name not in present:
+            found.missing[feed] = f"not found or empty: {name}"
+            continue
         try:
             found.frames[feed] = scan_feed(spark, f"{folder.rstrip('/')}/{name}", **options)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
-            found.missing[feed] = f"file not found: {name}"
         except ValueError as error:
             found.missing[feed] = str(error)
     return found
