@@ -6,6 +6,7 @@ from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.sources.pages import ELEMENT_LIST
 
@@ -64,9 +65,15 @@ def elements_long(elements: DataFrame, *keys: str) -> DataFrame:
 
 
 def parse_elements_json(text: Column) -> Column:
-    """Reply text to its element array; text that is not such JSON gives an empty array."""
-    parsed = F.from_json(text, ELEMENT_LIST, {"mode": "PERMISSIVE"})
-    return F.coalesce(parsed["elements"], F.array().cast(ELEMENT_LIST["elements"].dataType))
+    """Reply text to its element array; text that is not one whole JSON object gives an empty array.
+
+    The text is read as the only entry of an array, so anything behind the object makes it malformed.
+    """
+    replies = F.from_json(
+        F.concat(F.lit("["), text, F.lit("]")), T.ArrayType(ELEMENT_LIST), {"mode": "PERMISSIVE", "allowSingleQuotes": "false"}
+    )
+    elements = F.when(F.size(replies) == 1, F.element_at(replies, 1)["elements"])
+    return F.coalesce(elements, F.array().cast(ELEMENT_LIST["elements"].dataType))
 
 
 def elements_per_section(elements: DataFrame) -> DataFrame:

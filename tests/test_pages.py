@@ -163,11 +163,28 @@ def test_scan_elements_file(spark, tmp_path):
     ]
 
 
-def test_parse_elements_json(spark):
-    texts = ['{"elements": [{"element_name": "a"}]}', '{"elements": []}', "broken", '{"other": 1}', None, '{"elements": [{"element_na']
-    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
-    sizes = df.select("i", F.size(E.parse_elements_json(F.col("t")))).orderBy("i").collect()
-    assert [r[1] for r in sizes] == [1, 0, 0, 0, 0, 0]
+@pytest.mark.parametrize(
+    "text, found",
+    [
+        ('{"elements": [{"element_name": "a"}]}', 1),
+        (' {"elements": [{"element_name": "a"}, {"element_name": "b", "selectors": {"id": 5}}]}\n', 2),
+        ('{"elements": []}', 0),
+        ('{"elements": null}', 0),
+        ('{"other": 1}', 0),
+        ("broken", 0),
+        ("", 0),
+        (None, 0),
+        ('{"elements": [{"element_na', 0),
+        ('{"elements": [{"element_name": "a"}]} and more', 0),
+        ('{"elements": [{"element_name": "a"}]}}', 0),
+        ('{"elements": [{"element_name": "a"}]},{"elements": []}', 0),
+        ('{"elements": [{"element_name": "a"}], "x": tru}', 0),
+        ('[{"elements": [{"element_name": "a"}]}]', 0),
+        ("{'elements': [{'element_name': 'a'}]}", 0),
+    ],
+)
+def test_parse_elements_json(values, text, found):
+    assert len(values(E.parse_elements_json, [text])[0]) == found
 
 
 def test_exclude_named(spark):
