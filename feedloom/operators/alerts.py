@@ -67,10 +67,11 @@ def build_alerts(
         F.map_entries(F.col(context)), lambda e: F.struct(e["key"].alias("title"), e["value"].cast("string").alias("value"))
     )
     none = F.array().cast("array<struct<title:string,value:string>>")
+    heading = title if title is not None else F.lit(ERROR_TITLE)
     defaults = F.array(entry(ENVIRONMENT, environment), entry(HOST, host), entry(TIME, at))
     return failures.select(
         "*",
-        F.coalesce(title if title is not None else F.lit(ERROR_TITLE), F.lit(NOTICE_TITLE)).alias("title"),
+        F.coalesce(F.nullif(heading, F.lit("")), F.lit(NOTICE_TITLE)).alias("title"),
         F.lit(RED).alias("color"),
         error_text(F.col("message"), F.col("exception"), F.col("stack_trace")).alias("text"),
         F.concat(defaults, F.coalesce(extra, none)).alias("fields"),

@@ -182,11 +182,9 @@ def _to_arrow(pages: Sequence[str | None], wanted: Wanted) -> tuple[pa.Array, pa
             start, end = reader.text_span[i]
             text_at.append(chunk_at[start])
             text_size.append(chunk_at[end] - chunk_at[start])
-            if wanted.text == "full":
-                texts.append("".join(reader.chunks[start:end]).strip())
+            texts.append("".join(reader.chunks[start:end]).strip() if wanted.text == "full" else None)
+            if wanted.text != "none":
                 nodes.extend(reader.nodes[i])
-            else:
-                texts.append(None)
             node_ends.append(len(nodes))
         ends.append(len(pos))
         errors.append(error)

@@ -2,18 +2,17 @@
 
 from __future__ import annotations
 
-import re
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.operators.arrays import attr, bind, first, is_marked, marks
+from feedloom.operators.arrays import attr, bind, is_marked, marks
 from feedloom.operators.html import Wanted, parse_pages, span_text
-
-Test = Callable[[Column], Column]
+from feedloom.operators.selector_forms import BELOW, ROOT, Form, Step, selector_forms
 
 SELECTORS_PER_PASS = 100
+MATCH = "struct<pos:int,tag:string,text:string>"
 
 
 def lookup_selector(requests: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -28,171 +27,25 @@ def selectors_per_group(catalogue: DataFrame) -> DataFrame:
     return catalogue.groupBy("group").agg(F.count_distinct("name").alias("selector_count"))
 
 
-def _has_class(e: Column, name: str) -> Column:
-    classes = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(attr(e, "class"), F.lit("")), r"\s", " "), F.lit(" "))
-    return F.contains(classes, F.lit(f" {name} "))
-
-
-def _has_attr(e: Column, name: str, operator: str | None, value: str | None) -> Column:
-    found = F.coalesce(attr(e, name), F.lit(""))
-    if operator is None:
-        return attr(e, name).isNotNull()
-    if operator == "*=":
-        return F.contains(found, F.lit(value)) if value else F.lit(False)
-    return attr(e, name).isNotNull() & (found == value)
-
-
-def _all(tests: Iterable[Test]) -> Test:
-    listed = list(tests)
-
-    def check(e: Column) -> Column:
-        result = F.lit(True)
-        for test in listed:
-            result = result & test(e)
-        return result
-
-    return check
-
-
-_CSS_PART = re.compile(
-    r"""(?P<tag>^(?:\*|[A-Za-z][\w-]*))|\#(?P<id>[\w-]+)|\.(?P<cls>[\w-]+)"""
-    r"""|\[(?P<attr>[\w-]+)(?:(?P<op>\*?=)(?P<q>["']?)(?P<val>[^\]"']*)(?P=q))?\]"""
-)
-
-
-def _css_compound(text: str) -> Test | None:
-    tests: list[Test] = []
-    at = 0
-    while at < len(text):
-        part = _CSS_PART.match(text, at) if at == 0 or text[at] in "#.[" else None
-        if part is None:
-            return None
-        at = part.end()
-        found = part.groupdict()
-        if found["tag"]:
-            if found["tag"] != "*":
-                tests.append(lambda e, tag=found["tag"].lower(): e["tag"] == tag)
-        elif found["id"]:
-            tests.append(lambda e, v=found["id"]: _has_attr(e, "id", "=", v))
-        elif found["cls"]:
-            tests.append(lambda e, v=found["cls"]: _has_class(e, v))
-        else:
-            tests.append(lambda e, f=found: _has_attr(e, f["attr"].lower(), f["op"], f["val"]))
-    return _all(tests)
-
-
-def _css_steps(text: str) -> list[tuple[str, Test]] | None:
-    """Compound selectors with the way each hangs on the one before: below or child."""
-    steps: list[tuple[str, Test]] = []
-    relation = "below"
-    for word in re.findall(r"""(?:\[[^\]]*\]|[^\s>\[])+|>""", text.strip()):
-        if word == ">":
-            if not steps or relation == "child":
-                return None
-            relation = "child"
-            continue
-        test = _css_compound(word)
-        if test is None:
-            return None
-        steps.append((relation, test))
-        relation = "below"
-    return steps if steps and relation == "below" else None
-
-
-_XPATH_STEP = re.compile(r"//(?P<tag>\*|[A-Za-z][\w-]*)(?:\[(?P<cond>(?:[^\]\"']|\"[^\"]*\"|'[^']*')*)\])?")
-_XPATH_TERM = re.compile(
-    r"""@(?P<a>[\w-]+)\s*=\s*(?P<q>["'])(?P<v>.*?)(?P=q)$"""
-    r"""|contains\(\s*@(?P<ca>[\w-]+)\s*,\s*(?P<cq>["'])(?P<cv>.*?)(?P=cq)\s*\)$"""
-    r"""|@(?P<has>[\w-]+)$"""
-)
-
+def first_match(elements: Column, form: Form) -> Column:
+    """The element a selector form means: of those that pass its steps the n-th in document order."""
 
-def _xpath_term(text: str) -> Test | None:
-    term = _XPATH_TERM.match(text.strip())
-    if term is None:
-        return None
-    if term["a"]:
-        return lambda e: _has_attr(e, term["a"], "=", term["v"])
-    if term["ca"]:
-        return lambda e: F.contains(F.coalesce(attr(e, term["ca"]), F.lit("")), F.lit(term["cv"]))
-    return lambda e: attr(e, term["has"]).isNotNull()
-
-
-def _xpath_steps(text: str) -> list[tuple[str, Test]] | None:
-    """``//tag[...]`` steps; the condition is attribute tests joined by all ``or`` or all ``and``."""
-    steps: list[tuple[str, Test]] = []
-    at = 0
-    text = text.strip()
-    while at < len(text):
-        found = _XPATH_STEP.match(text, at)
-        if found is None:
-            return None
-        at = found.end()
-        tests: list[Test] = []
-        if found["tag"] != "*":
-            tests.append(lambda e, tag=found["tag"].lower(): e["tag"] == tag)
-        if found["cond"] is not None:
-            quiet = re.sub(r"\"[^\"]*\"|'[^']*'", lambda m: "_" * len(m.group()), found["cond"])
-            cuts = list(re.finditer(r"\s+(or|and)\s+", quiet))
-            words = {c.group(1) for c in cuts}
-            if len(words) > 1:
-                return None
-            bounds = [0, *[p for c in cuts for p in c.span()], len(quiet)]
-            terms = [_xpath_term(found["cond"][bounds[i] : bounds[i + 1]]) for i in range(0, len(bounds), 2)]
-            if any(t is None for t in terms):
-                return None
-            if words == {"or"}:
-                tests.append(lambda e, ts=terms: _any(ts, e))
-            else:
-                tests.extend(terms)
-        steps.append(("below", _all(tests)))
-    return steps or None
-
-
-def _any(tests: list[Test], e: Column) -> Column:
-    result = F.lit(False)
-    for test in tests:
-        result = result | test(e)
-    return result
-
-
-def selector_steps(kind: str | None, value: str | None) -> list[tuple[str, Test]] | None:
-    """Tests for a catalogue selector, or null for a kind or a form that is not supported.
-
-    CSS: tags, ``#id``, ``.class``, ``[attr]``, ``[attr=v]``, ``[attr*=v]``, with blank and ``>``.
-    XPath: ``//tag[...]`` steps with attribute equality, presence and ``contains``.
-    """
-    if not kind or not value:
-        return None
-    kind = kind.lower()
-    if kind == "css":
-        return _css_steps(value)
-    if kind == "xpath":
-        return _xpath_steps(value)
-    if kind in ("id", "name"):
-        return [("below", lambda e: _has_attr(e, kind, "=", value))]
-    if kind == "class":
-        return [("below", lambda e: _has_class(e, value))]
-    return None
-
-
-def first_match(elements: Column, steps: list[tuple[str, Test]]) -> Column:
-    """First element in document order that passes the steps."""
-
-    def narrow(above: Column | None, rest: list[tuple[str, Test]]) -> Column:
+    def narrow(above: Column | None, rest: Sequence[Step]) -> Column:
         (relation, test), later = rest[0], rest[1:]
 
         def fits(e: Column) -> Column:
+            if relation == ROOT:
+                return test(e) & e["parent_pos"].isNull()
             if above is None:
                 return test(e)
-            return test(e) & is_marked(above, e["pos"] if relation == "below" else e["parent_pos"])
+            return test(e) & is_marked(above, e["pos"] if relation == BELOW else e["parent_pos"])
 
         hits = F.filter(elements, fits)
         if not later:
-            return first(hits)
-        return bind(marks(hits, inside=later[0][0] == "below"), lambda marked: narrow(marked, later))
+            return F.try_element_at(hits, F.lit(form.nth))
+        return bind(marks(hits, inside=later[0][0] == BELOW), lambda marked: narrow(marked, later))
 
-    return narrow(None, steps)
+    return narrow(None, form.steps)
 
 
 def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html") -> DataFrame:
@@ -216,33 +69,27 @@ def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html"
 def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str) -> DataFrame:
     parsed = parse_pages(pages, Wanted(text="span"), html)
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text")]
+    nothing = F.lit(None).cast(MATCH)
+
+    def shown(form: Form) -> Column:
+        def told(m: Column) -> Column:
+            text = span_text(F.col("page_text"), m).alias("text")
+            return F.when(m.isNotNull(), F.struct(m["pos"].alias("pos"), m["tag"].alias("tag"), text))
+
+        return bind(first_match(F.col("elements"), form), told)
+
     entries = []
     for row in rows:
-        steps = selector_steps(row["selector_type"], row["selector_value"])
-        missing = F.lit(None).cast("struct<pos:int,tag:string,text:string>")
-        if steps is None:
-            match = missing
-        else:
-            match = bind(
-                first_match(F.col("elements"), steps),
-                lambda m: F.when(
-                    m.isNotNull(),
-                    F.struct(
-                        m["pos"].alias("pos"),
-                        m["tag"].alias("tag"),
-                        span_text(F.col("page_text"), m).alias("text"),
-                    ),
-                ),
-            )
+        forms = selector_forms(row["selector_type"], row["selector_value"])
         entries.append(
             F.struct(
                 F.lit(row["group"]).cast("string").alias("group"),
                 F.lit(row["name"]).cast("string").alias("name"),
-                F.lit(steps is not None).alias("supported"),
-                match.alias("match"),
+                F.lit(forms is not None).alias("supported"),
+                (F.array_min(F.array_compact(F.array(*map(shown, forms)))) if forms else nothing).alias("match"),
             )
         )
-    shape = "array<struct<group:string,name:string,supported:boolean,match:struct<pos:int,tag:string,text:string>>>"
+    shape = f"array<struct<group:string,name:string,supported:boolean,match:{MATCH}>>"
     listed = F.array(*entries).cast(shape) if entries else F.array().cast(shape)
     return parsed.select(*keep, F.inline(listed)).select(
         *keep,

@@ -8,9 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.functions.urls import host_of
-from feedloom.operators.arrays import class_has
 from feedloom.operators.html import Wanted, parse_pages
-from feedloom.operators.selectors import _has_class
+from feedloom.operators.selector_forms import has_class
 
 # Texts that only a signed-in or only a login page shows, the class of a
 # failed login's notice, record fields dropped when a record moves to another host, and the
@@ -57,7 +56,7 @@ def login_outcome(pages: DataFrame, success_host: str, login_url: str, url: str
     """Pages with ``succeeded`` and the ``rule`` that decided it."""
     parsed = parse_pages(pages, Wanted(class_words=(FAILURE_CLASS,), text="none"), html)
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error")]
-    failed = F.exists("elements", lambda e: _has_class(e, FAILURE_CLASS))
+    failed = F.exists("elements", lambda e: has_class(e, FAILURE_CLASS))
     still_there = F.contains(F.col(url), F.lit(login_url)) if login_url else F.lit(False)
     rule = (
         F.when(F.contains(F.col(url), F.lit(success_host)), "success_host")

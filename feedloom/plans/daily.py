@@ -9,8 +9,9 @@ from functools import cache
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from feedloom.operators.columns import coerce_numeric, fill_blank, split_feed, stamp_date
+from feedloom.operators.columns import coerce_numeric, fill_blank, quoted, split_feed, stamp_date
 from feedloom.operators.elements import elements_per_section
 from feedloom.operators.pages import page_inventories
 from feedloom.operators.quality import header_issues, missing_feeds
@@ -156,8 +157,11 @@ def convert_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], ta
 
 
 def convert_counts(spark: SparkSession, source: str, target: str) -> None:
-    """Classroom counts: CSV to Parquet, listed columns numeric."""
-    write_parquet(coerce_numeric(scan_feed(spark, source, currency_column=None)), target, partition_by=())
+    """Classroom counts: CSV to Parquet, listed columns numeric, blank text as null."""
+    counts = coerce_numeric(scan_feed(spark, source, currency_column=None))
+    text = [f.name for f in counts.schema.fields if f.dataType == T.StringType()]
+    blanks = {name: F.nullif(quoted(name), F.lit("")) for name in text}
+    write_parquet(counts.withColumns(blanks), target, partition_by=())
 
 
 def extract_pages(pages: DataFrame, section: str, target: str, log_path: str | None = None) -> None:

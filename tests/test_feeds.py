@@ -306,11 +306,11 @@ def test_run_report(spark, tmp_path):
 
 
 def test_classroom_counts(spark, tmp_path):
-    text = "教室グループID,企業ID,名称,掲載設定数\n1,1d,あ,\n 2 ,1e3,007,nan\n"
+    text = "教室グループID,企業ID,名称,掲載設定数\n1,1d,あ,\n 2 ,1e3,007,nan\n3,,,4\n"
     convert_counts(spark, put(tmp_path / "count.csv", text), str(tmp_path / "out"))
     out = spark.read.parquet(str(tmp_path / "out"))
     assert [f.dataType.simpleString() for f in out.schema.fields] == ["double", "double", "string", "double"]
-    assert sorted(map(tuple, out.collect())) == [(1.0, None, "あ", None), (2.0, 1000.0, "007", None)]
+    assert sorted(map(tuple, out.collect())) == [(1.0, None, "あ", None), (2.0, 1000.0, "007", None), (3.0, None, None, 4.0)]
 
 
 def test_integrate_and_convert(spark, tmp_path):

@@ -246,16 +246,31 @@ def test_lookup(spark, tmp_path):
         ("css", "[data-k*=w]", True, "child"),
         ("css", "*", True, "whole"),
         ("css", "p:first-child", False, None),
-        ("css", "a, b", False, None),
+        ("css", "div p, h1", True, "T"),
+        ("css", "i, [t=' or ']", True, "N"),
+        ("css", "h1, p:hover", False, None),
+        ("css", "[data-k=',']", True, None),
         ("css", "> p", False, None),
         ("xpath", "//p[@class='x y']", True, "both"),
         ("xpath", '//p[@id="a" or contains(@class, "y")]', True, "A"),
         ("xpath", "//*[@data-k and @data-m]", True, "child"),
         ("xpath", "//section//p", True, "deep"),
         ("xpath", "//p[@t=' or ']", True, "odd"),
-        ("xpath", "//p[text()='x']", False, None),
+        ("xpath", "//p[text()='both']", True, "both"),
+        ("xpath", "//p[contains(text(), 'ee')]", True, "deep"),
+        ("xpath", "//p[text()='bot']", True, None),
+        ("xpath", "(//p)[2]", True, "both"),
+        ("xpath", "(//p)[9]", True, None),
+        ("xpath", "//section/b/p", True, "deep"),
+        ("xpath", "//section/p", True, None),
+        ("xpath", "/html/h1", True, "T"),
+        ("xpath", "/h1", True, None),
+        ("xpath", "//i | //section//p", True, "deep"),
+        ("xpath", "//p[2]", False, None),
+        ("xpath", "//p[last()]", False, None),
+        ("xpath", "//p | ", False, None),
         ("xpath", "//p[@a or @b and @c]", False, None),
-        ("xpath", "/html/body", False, None),
+        ("xpath", "/html/body", True, None),
         ("id", "a", True, "A"),
         ("name", "n", True, "N"),
         ("class", "y", True, "both"),
