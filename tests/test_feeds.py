@@ -248,6 +248,12 @@ def test_export_keeps_file_order(spark, tmp_path):
     assert [(r["v"], r["batch_num"]) for r in got] == [("x5", 1), ("x3", 1), ("x9", 2)]
 
 
+def test_no_rows(spark):
+    none = spark.range(0).withColumnRenamed("id", "k")
+    assert B.export_batches(none, ["k"]).count() == 0 and B.export_batches(none).count() == 0
+    assert K.keep_last_days(none.withColumn("feed_date", F.lit(None).cast("date")), 3).count() == 0
+
+
 def test_deliver_batches_goes_on(spark, tmp_path):
     out = tmp_path / "sent"
     out.mkdir()
