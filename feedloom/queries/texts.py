@@ -8,7 +8,10 @@ from pyspark.sql import functions as F
 from feedloom.functions import text as X
 from feedloom.functions import urls as U
 from feedloom.queries.registry import query, table
-from feedloom.sources.pages import parse_snapshot_name, snapshot_name
+from feedloom.session import work_path
+from feedloom.sinks.batches import append_run_log
+from feedloom.sinks.pages import save_snapshots
+from feedloom.sources.pages import parse_snapshot_name, scan_pages, snapshot_name
 
 
 @query(
@@ -109,3 +112,18 @@ def snapshot_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return named.select("page_id", "file_name", parse_snapshot_name(F.col("file_name")).alias("p")).select(
         "page_id", "file_name", "p.page_slug", F.col("p.captured_at").cast("string").alias("captured_at")
     )
+
+
+@query(
+    r"""WITH p AS (SELECT page_id, html, regexp_extract(url, '^[a-z]+://([^/?#]*)', 1) AS host,
+    regexp_extract(url, '^[a-z]+://[^/?#]*([^?#]*)', 1) AS path FROM pages)
+    SELECT replace(host, '.', '_') || CASE WHEN path = '' THEN 'index' ELSE replace(replace(path, '/', '_'), '.', '_') END AS page_slug,
+    strftime(TIMESTAMP '2025-03-20 00:00:00' + to_seconds(page_id), '%Y-%m-%d %H:%M:%S') AS captured_at, html FROM p"""
+)
+def snapshot_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages saved as snapshot files, a second apart, and read back from them."""
+    folder = work_path(spark, "snapshots")
+    at = F.to_timestamp_ntz(F.lit("2025-03-20 00:00:00")) + F.make_dt_interval(secs=F.col("page_id"))
+    saved = save_snapshots(table(spark, sf_dir, "pages"), folder, F.col("url"), at)
+    append_run_log(saved, work_path(spark, "saved"))
+    return scan_pages(spark, folder).select("page_slug", F.col("captured_at").cast("string").alias("captured_at"), "html")

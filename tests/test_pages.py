@@ -17,6 +17,7 @@ from feedloom.operators import state as Z
 from feedloom.operators import steps as S
 from feedloom.operators.html import Wanted, html_elements, parse_pages
 from feedloom.plans.daily import extract_pages
+from feedloom.sinks.pages import save_snapshots
 from feedloom.sinks.elements import element_documents, page_documents, write_elements
 from feedloom.sources.catalogues import DEFAULT_SELECTORS, find_section, scan_instructions, scan_selectors
 from feedloom.sources.pages import scan_elements, scan_pages
@@ -207,6 +208,21 @@ def test_scan_pages(spark, tmp_path):
     ]
 
 
+def test_save_snapshots(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("https://a.b/c.html?x", "2025-03-20 19:27:11", "<p>é"), ("https://a.b", "2025-03-20 19:27:12", None)],
+        "url string, at string, html string",
+    )
+    folder = str(tmp_path / "pages")
+    saved = save_snapshots(df, folder, F.col("url"), F.to_timestamp("at"))
+    assert rows(saved) == [("a_b_c_html_20250320_192711.html", 5, ""), ("a_bindex_20250320_192712.html", 0, "")]
+    got = scan_pages(spark, folder).select("page_slug", F.col("captured_at").cast("string"), "html").where("html <> ''")
+    assert rows(got) == [("a_b_c_html", "2025-03-20 19:27:11", "<p>é")]
+    blocked = spark.createDataFrame([("http://x", "2025-03-20 19:27:11", "y")], df.schema)
+    (tmp_path / "pages" / "xindex_20250320_192711.html").mkdir()
+    assert save_snapshots(blocked, folder, F.col("url"), F.to_timestamp("at")).first()["problem"] != ""
+
+
 CATALOGUE = """group,name,selector_type,selector_value
 login,username,css,"input[name=""u,v""]"
 x,y,id,old
