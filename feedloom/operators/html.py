@@ -21,6 +21,7 @@ from html.parser import HTMLParser
 from itertools import accumulate
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -51,7 +52,7 @@ VOID_TAGS = frozenset(
 )
 SILENT_TAGS = frozenset("rp rt script style template".split())
 
-PAGES_PER_BATCH = 64
+BYTES_PER_BATCH = 4 << 20
 
 
 @dataclass(frozen=True)
@@ -151,6 +152,18 @@ class _PageReader(HTMLParser):
             self._close_top()
 
 
+def _portions(pages: pa.Array) -> Iterator[tuple[int, int]]:
+    """Start and length of runs of pages of a few megabytes, so results are handed on in small batches."""
+    start = total = 0
+    for i, size in enumerate(pc.binary_length(pages).to_pylist()):
+        if i > start and total + (size or 0) > BYTES_PER_BATCH:
+            yield start, i - start
+            start, total = i, 0
+        total += size or 0
+    if len(pages) > start:
+        yield start, len(pages) - start
+
+
 def _to_arrow(pages: Sequence[str | None], wanted: Wanted) -> tuple[pa.Array, pa.Array, pa.Array]:
     """Element lists of some pages as one Arrow list column, with error texts and page texts."""
     ends, errors, page_texts = [0], [], []
@@ -237,8 +250,8 @@ def parse_pages(pages: DataFrame, wanted: Wanted = Wanted(), html: str = "html")
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for start in range(0, batch.num_rows, PAGES_PER_BATCH):
-                part = batch.slice(start, PAGES_PER_BATCH)
+            for start, count in _portions(batch.column(html)):
+                part = batch.slice(start, count)
                 made = _to_arrow(part.column(html).to_pylist(), wanted)
                 columns = [part.column(f.name) for f in keep] + list(made[: len(added)])
                 yield pa.RecordBatch.from_arrays(columns, names=schema.names)

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from feedloom.operators.arrays import append_missing, attr, bind, class_has, first, is_marked, marks
-from feedloom.operators.html import Wanted, parse_pages
+from feedloom.operators.html import Wanted, parse_pages, span_text
 
 # Words in class names that mark errors and menus, and the element types,
 # attributes and selector kinds of the inventory.
@@ -15,44 +17,58 @@ MENU_WORDS = ("menu", "nav")
 INVENTORY_TAGS = ("a", "button", "input", "select", "textarea")
 INVENTORY_ATTRIBUTES = ("type", "placeholder", "value", "href", "title", "aria-label", "alt")
 
-PROFILE = Wanted(tags=("title", "h1", "a", "button", "nav"), class_words=ERROR_WORDS)
+PROFILE = Wanted(tags=("title", "h1", "a", "button", "nav"), class_words=ERROR_WORDS, text="span")
+
+TextOf = Callable[[Column], Column]
+
 
+def own_text(e: Column) -> Column:
+    return e["text"]
 
-def first_of(elements: Column, tag: str) -> Column:
+
+def first_of(elements: Column, tag: str, text: TextOf = own_text) -> Column:
     """Text of the first element of a tag in document order, null without one."""
-    return first(F.filter(elements, lambda e: e["tag"] == tag))["text"]
+    return bind(first(F.filter(elements, lambda e: e["tag"] == tag)), lambda e: F.when(e.isNotNull(), text(e)))
 
 
-def texts_of(elements: Column) -> Column:
+def texts_of(elements: Column, text: TextOf = own_text) -> Column:
     """Non-empty texts of elements, in document order."""
-    return F.filter(F.transform(elements, lambda e: e["text"]), lambda t: t != "")
+    return F.filter(F.transform(elements, text), lambda t: t != "")
 
 
-def error_texts(elements: Column) -> Column:
-    return texts_of(F.filter(elements, lambda e: class_has(e, *ERROR_WORDS)))
+def error_texts(elements: Column, text: TextOf = own_text) -> Column:
+    return texts_of(F.filter(elements, lambda e: class_has(e, *ERROR_WORDS)), text)
 
 
-def menu_texts(elements: Column) -> Column:
+def menu_texts(elements: Column, text: TextOf = own_text) -> Column:
     """Links and buttons of a menu class, then links inside ``nav`` that are not listed yet."""
     marked = F.filter(elements, lambda e: e["tag"].isin("a", "button") & class_has(e, *MENU_WORDS))
     linked = bind(
         marks(F.filter(elements, lambda e: e["tag"] == "nav"), inside=True),
         lambda navs: F.filter(elements, lambda e: (e["tag"] == "a") & is_marked(navs, e["pos"])),
     )
-    return append_missing(texts_of(marked), texts_of(linked))
+    return append_missing(texts_of(marked, text), texts_of(linked, text))
 
 
 def page_profile(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Title, first heading, error texts and menu texts of each page."""
+    """Title, first heading, error texts and menu texts of each page.
+
+    The page's text comes once from the parser, and only reported elements' parts are cut out, so
+    links that were never closed, and so hold one another, cost nothing unless they are reported.
+    """
     parsed = parse_pages(pages, PROFILE, html)
-    keep = [c for c in parsed.columns if c not in ("elements", "parse_error")]
+    keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text")]
     elements = F.col("elements")
+
+    def text(e: Column) -> Column:
+        return span_text(F.col("page_text"), e)
+
     return parsed.select(
         *keep,
-        F.coalesce(first_of(elements, "title"), F.lit("")).alias("page_title"),
-        F.coalesce(first_of(elements, "h1"), F.lit("")).alias("main_heading"),
-        error_texts(elements).alias("error_messages"),
-        menu_texts(elements).alias("menu_items"),
+        F.coalesce(first_of(elements, "title", text), F.lit("")).alias("page_title"),
+        F.coalesce(first_of(elements, "h1", text), F.lit("")).alias("main_heading"),
+        error_texts(elements, text).alias("error_messages"),
+        menu_texts(elements, text).alias("menu_items"),
     )
 
 

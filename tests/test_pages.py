@@ -76,6 +76,23 @@ print("tags", elements_per_page(spark.createDataFrame([(1, "<p><b>")], "page_id
     assert "tags Row(page_id=1, element_count=2)" in done.stdout, done.stderr[-2000:]
 
 
+def test_portions():
+    import pyarrow as pa
+
+    from feedloom.operators import html
+
+    big = "x" * html.BYTES_PER_BATCH
+    assert list(html._portions(pa.array([], pa.string()))) == []
+    assert list(html._portions(pa.array(["a", None, "b"]))) == [(0, 3)]
+    assert list(html._portions(pa.array(["a", big, "b", "c", big]))) == [(0, 1), (1, 1), (2, 2), (4, 1)]
+
+
+def test_unclosed_links(spark):
+    """Links that hold one another: text grows with their square, the profile must not."""
+    html = "<title>t</title><nav><a>one</a></nav>" + "<a>x" * 30000
+    assert rows(P.page_profile(pages(spark, html))) == [(0, "t", "", [], ["one"])]
+
+
 def test_wanted_and_spans(spark):
     html = "<div class='Alert'>é<p>～① x</p></div><nav><a title=t>y</a></nav>"
     kept = parse_pages(pages(spark, html), Wanted(tags=("a",), class_words=("alert",))).first()["elements"]
