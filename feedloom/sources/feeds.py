@@ -34,11 +34,7 @@ RAW_RECORD = "_raw_record"
 
 
 def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool = True) -> DataFrameReader:
-    """Quoted newlines and doubled quotes as in RFC 4180.
-
-    A multi-line file is read by one task; set ``multi_line=False`` for large files known
-    to hold no quoted newline, and Spark splits them.
-    """
+    """Quoted newlines and doubled quotes as in RFC 4180. A multi-line file is read by one task."""
     allow_japanese(spark)
     return (
         spark.read.option("encoding", encoding)
@@ -49,6 +45,16 @@ def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool =
     )
 
 
+def has_quoted_newlines(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """True unless no line of the files leaves a quote open, so that Spark may split them.
+
+    Lines are read split and byte-true, which is safe in UTF-8 and windows-31j: no character of two
+    or more bytes holds a quote's or a line end's byte. One yes or no per task is shuffled.
+    """
+    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
+    return bool(spark.read.text(path).agg(F.bool_or(quotes % 2 == 1)).first()[0])
+
+
 def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> list[str]:
     """Cells of the first record, blanks included; an empty list for an empty file.
 
@@ -101,7 +107,7 @@ def scan_feed(
     columns: Sequence[str] | None = None,
     encoding: str = JAPANESE,
     blank_header: str = "truncate",
-    multi_line: bool = True,
+    multi_line: bool | None = True,
     currency_column: str | None = CURRENCY_COLUMN,
     header: Sequence[str] | None = None,
     with_source: bool = False,
@@ -112,6 +118,9 @@ def scan_feed(
     values behind a blank cell in the middle move left. ``'align'`` drops that cell's column
     instead. ``with_source`` adds ``file_name``, ``raw_record`` (null unless the row had a
     wrong width) and ``field_count`` for the quality report.
+
+    With ``multi_line`` a file is read by one task. For large files say ``False`` when they hold no
+    quoted newline, or ``None`` to find that out in one parallel pass; Spark then splits them.
     """
     if blank_header not in ("truncate", "align"):
         raise ValueError(f"blank_header must be 'truncate' or 'align', not {blank_header!r}")
@@ -132,6 +141,8 @@ def scan_feed(
     schema = text_schema(read_names)
     if with_source:
         schema = schema.add(RAW_RECORD, T.StringType())
+    if multi_line is None:
+        multi_line = has_quoted_newlines(spark, path)
     raw = csv_reader(spark, encoding, multi_line).option("header", True).schema(schema).csv(path)
 
     def cell(name: str) -> Column:

@@ -71,6 +71,25 @@ def test_scan_feed_columns_and_errors(spark, tmp_path):
     assert S.header_width(S.read_header(spark, path)) == 4
 
 
+def test_large_files_are_split(spark, tmp_path):
+    """Without quoted newlines a file may be read in parts; the rows are the same."""
+    plain = "a,売上金額,b\r\n" + "".join(f'{i},￥{i:,},"～①""{i}"\r\n' if i % 5 else f"{i}\r\n" for i in range(1000))
+    path = put(tmp_path / "plain.csv", plain)
+    assert not S.has_quoted_newlines(spark, path)
+    assert S.has_quoted_newlines(spark, put(tmp_path / "a.csv", ATTRIBUTES))
+    # In other encodings these bytes would take the quote for a part of a character.
+    assert S.has_quoted_newlines(spark, put(tmp_path / "b.csv", b'a\n"x\xe3\x5c\ny\xe3\x5c"\n'))
+    assert S.has_quoted_newlines(spark, put(tmp_path / "c.csv", b'a,b\n"\xe3\x5c",\x83\x5c"\n'))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        split = S.scan_feed(spark, path, multi_line=None)
+        assert split.rdd.getNumPartitions() > 2
+        assert rows(split) == rows(S.scan_feed(spark, path)) and split.count() == 1000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_ragged_report(spark, tmp_path):
     path = put(tmp_path / "r.csv", 'a,b,c\n1,2,3\n1\n"x,y",2,"z\nz",4\n')
     scanned = S.scan_feed(spark, path, with_source=True)
@@ -373,6 +392,7 @@ def test_scan_feed_model(spark, tmp_path, header, lines):
     got = S.scan_feed(spark, path)
     assert got.columns == S.unique_names(names)
     assert rows(got) == sorted(want)
+    assert rows(S.scan_feed(spark, path, multi_line=None)) == sorted(want)
     counts = [r["field_count"] for r in S.scan_feed(spark, path, with_source=True).collect()]
     assert sorted(n for n in counts if n != len(names)) == sorted(
         len(r) for r in read[1:] if r and len(r) != len(names)
