@@ -28,6 +28,14 @@ def below(element: Column, ancestor: Column) -> Column:
     return (element["pos"] > ancestor["pos"]) & (element["pos"] <= ancestor["last_pos"])
 
 
+_START = "named_struct('text', '', 'upto', 0)"
+_OWN = """(s, e) -> if(e.pos >= s.upto,
+    named_struct('text', concat(s.text, repeat('0', e.pos - s.upto), '1'), 'upto', e.pos + 1), s)"""
+_INSIDE = """(s, e) -> if(e.pos + 1 >= s.upto,
+    named_struct('text', concat(s.text, repeat('0', e.pos + 1 - s.upto), repeat('1', e.last_pos - e.pos)),
+    'upto', e.last_pos + 1), s)"""
+
+
 def marks(elements: Column, inside: bool) -> Column:
     """A byte per page position up to the last one marked: ``1`` where an element of the array stands.
 
@@ -35,20 +43,12 @@ def marks(elements: Column, inside: bool) -> Column:
     lie apart, so elements inside an earlier one add nothing then. One pass over the array; a
     position is tested with :func:`is_marked` at once, however many elements there are.
     """
-    start = F.struct(F.lit("").alias("text"), F.lit(0).alias("upto"))
-
-    def add(state: Column, e: Column) -> Column:
-        first, size = (e["pos"] + 1, e["last_pos"] - e["pos"]) if inside else (e["pos"], F.lit(1))
-        longer = F.concat(state["text"], F.repeat(F.lit("0"), first - state["upto"]), F.repeat(F.lit("1"), size))
-        return F.when(
-            first >= state["upto"], F.struct(longer.alias("text"), (first + size).alias("upto"))
-        ).otherwise(state)
-
-    return F.aggregate(elements, start, add, lambda state: state["text"]).cast("binary")
+    add = F.expr(_INSIDE if inside else _OWN)
+    return F.call_function("aggregate", elements, F.expr(_START), add, F.expr("s -> s.text")).cast("binary")
 
 
 def is_marked(bytes_: Column, pos: Column) -> Column:
-    return F.coalesce(F.substring(bytes_, pos + 1, F.lit(1)) == F.lit(b"1"), F.lit(False))
+    return F.substring(bytes_, pos + 1, F.lit(1)) == F.lit(b"1")
 
 
 def attr(element: Column, name: str) -> Column:

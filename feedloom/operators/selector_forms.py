@@ -11,6 +11,8 @@ from __future__ import annotations
 import re
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_, or_
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -30,17 +32,20 @@ class Form:
     nth: int = 1
 
 
+# The tests are used as filters: an absent attribute gives null, which no filter keeps.
+
+
 def has_class(e: Column, name: str) -> Column:
-    classes = F.concat(F.lit(" "), F.regexp_replace(F.coalesce(attr(e, "class"), F.lit("")), r"\s", " "), F.lit(" "))
+    classes = F.concat(F.lit(" "), F.regexp_replace(attr(e, "class"), r"\s", " "), F.lit(" "))
     return F.contains(classes, F.lit(f" {name} "))
 
 
 def has_attr(e: Column, name: str, value: str) -> Column:
-    return F.coalesce(attr(e, name) == value, F.lit(False))
+    return attr(e, name) == value
 
 
 def attr_holds(e: Column, name: str, part: str) -> Column:
-    return F.coalesce(F.contains(attr(e, name), F.lit(part)), F.lit(False))
+    return F.contains(attr(e, name), F.lit(part))
 
 
 def has_tag(tag: str) -> list[Test]:
@@ -49,26 +54,12 @@ def has_tag(tag: str) -> list[Test]:
 
 def every(tests: Iterable[Test]) -> Test:
     listed = list(tests)
-
-    def check(e: Column) -> Column:
-        result = F.lit(True)
-        for test in listed:
-            result = result & test(e)
-        return result
-
-    return check
+    return lambda e: reduce(and_, [test(e) for test in listed]) if listed else F.lit(True)
 
 
 def some(tests: Iterable[Test]) -> Test:
     listed = list(tests)
-
-    def check(e: Column) -> Column:
-        result = F.lit(False)
-        for test in listed:
-            result = result | test(e)
-        return result
-
-    return check
+    return lambda e: reduce(or_, [test(e) for test in listed])
 
 
 def _quiet(text: str) -> str:
