@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from feedloom.functions.text import clean_currency
 from feedloom.session import JAPANESE
-from feedloom.sources.feeds import CURRENCY_COLUMN, RAW_RECORD, csv_reader, field_count, has_quoted_newlines, text_schema
+from feedloom.sources.feeds import CURRENCY_COLUMN, RAW_RECORD, csv_reader, field_count, may_be_split, text_schema
 
 ISSUES = "feed string, file_name string, issue string, detail string, field_count int"
 
@@ -65,7 +65,7 @@ def profile_csv(spark: SparkSession, path: str | Sequence[str], encoding: str =
     text, from which its fields are counted. One pass, two numbers per task are shuffled.
     """
     if multi_line is None:
-        multi_line = has_quoted_newlines(spark, path)
+        multi_line = not may_be_split(spark, path)
     rows = csv_reader(spark, encoding, multi_line).schema(text_schema(["_first", RAW_RECORD])).csv(path)
     fields = F.coalesce(field_count(F.col(RAW_RECORD)), F.when(F.col("_first").isNotNull(), F.lit(1)), F.lit(1))
     return rows.select(fields.alias("fields")).agg(

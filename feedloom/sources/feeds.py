@@ -45,14 +45,18 @@ def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool =
     )
 
 
-def has_quoted_newlines(spark: SparkSession, path: str | Sequence[str]) -> bool:
-    """True unless no line of the files leaves a quote open, so that Spark may split them.
+def may_be_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """True when reading the files in parts gives the same rows as reading each whole.
 
-    Lines are read split and byte-true, which is safe in UTF-8 and windows-31j: no character of two
-    or more bytes holds a quote's or a line end's byte. One yes or no per task is shuffled.
+    That is so unless a line leaves a quote open, or holds white space only, which Spark drops when
+    it reads line by line. Lines are read split and byte-true, which is safe in UTF-8 and
+    windows-31j: no character of two or more bytes holds a quote's or a line end's byte. One yes or
+    no per task is shuffled.
     """
-    quotes = F.octet_length("value") - F.octet_length(F.replace(F.col("value"), F.lit('"'), F.lit("")))
-    return bool(spark.read.text(path).agg(F.bool_or(quotes % 2 == 1)).first()[0])
+    line = F.col("value")
+    quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
+    white = F.regexp_like(line, F.lit(r"^[\x00-\x20]+$"))
+    return not spark.read.text(path).agg(F.bool_or((quotes % 2 == 1) | white)).first()[0]
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> list[str]:
@@ -119,8 +123,9 @@ def scan_feed(
     instead. ``with_source`` adds ``file_name``, ``raw_record`` (null unless the row had a
     wrong width) and ``field_count`` for the quality report.
 
-    With ``multi_line`` a file is read by one task. For large files say ``False`` when they hold no
-    quoted newline, or ``None`` to find that out in one parallel pass; Spark then splits them.
+    With ``multi_line`` a file is read by one task. For large files say ``None``: one parallel pass
+    finds out whether they may be read in parts, and Spark then splits them. ``False`` skips that
+    pass for files known to hold no quoted newline and no line of white space only.
     """
     if blank_header not in ("truncate", "align"):
         raise ValueError(f"blank_header must be 'truncate' or 'align', not {blank_header!r}")
@@ -142,7 +147,7 @@ def scan_feed(
     if with_source:
         schema = schema.add(RAW_RECORD, T.StringType())
     if multi_line is None:
-        multi_line = has_quoted_newlines(spark, path)
+        multi_line = not may_be_split(spark, path)
     raw = csv_reader(spark, encoding, multi_line).option("header", True).schema(schema).csv(path)
 
     def cell(name: str) -> Column:

@@ -75,11 +75,14 @@ def test_large_files_are_split(spark, tmp_path):
     """Without quoted newlines a file may be read in parts; the rows are the same."""
     plain = "a,売上金額,b\r\n" + "".join(f'{i},￥{i:,},"～①""{i}"\r\n' if i % 5 else f"{i}\r\n" for i in range(1000))
     path = put(tmp_path / "plain.csv", plain)
-    assert not S.has_quoted_newlines(spark, path)
-    assert S.has_quoted_newlines(spark, put(tmp_path / "a.csv", ATTRIBUTES))
+    assert S.may_be_split(spark, path)
+    assert not S.may_be_split(spark, put(tmp_path / "a.csv", ATTRIBUTES))
     # In other encodings these bytes would take the quote for a part of a character.
-    assert S.has_quoted_newlines(spark, put(tmp_path / "b.csv", b'a\n"x\xe3\x5c\ny\xe3\x5c"\n'))
-    assert S.has_quoted_newlines(spark, put(tmp_path / "c.csv", b'a,b\n"\xe3\x5c",\x83\x5c"\n'))
+    assert not S.may_be_split(spark, put(tmp_path / "b.csv", b'a\n"x\xe3\x5c\ny\xe3\x5c"\n'))
+    assert not S.may_be_split(spark, put(tmp_path / "c.csv", b'a,b\n"\xe3\x5c",\x83\x5c"\n'))
+    assert not S.may_be_split(spark, put(tmp_path / "d.csv", "a\n \n"))
+    assert S.may_be_split(spark, put(tmp_path / "e.csv", "a\n\n　\n"))
+    assert S.may_be_split(spark, put(tmp_path / "f.csv", ""))
     before = spark.conf.get("spark.sql.files.maxPartitionBytes")
     spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
     try:
