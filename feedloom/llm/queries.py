@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import table
+from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -43,3 +44,26 @@ def query(sql: str | None = None):
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce("text", F.lit("")), 256).alias("kept_sha256"))
+
+
+@query(
+    r"""
+    WITH RECURSIVE words AS (
+      SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents),
+    sets AS (
+      SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+               ELSE list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2]) END) AS s FROM words),
+    items AS (SELECT doc_id, len(s) AS n, hash(unnest(s)) AS h FROM sets),
+    spread AS (SELECT h FROM items GROUP BY h HAVING count(*) > 1),
+    pairs AS (
+      SELECT a.doc_id AS a, b.doc_id AS b FROM items a JOIN items b USING (h)
+      WHERE a.doc_id < b.doc_id AND 100 * least(a.n, b.n) >= 90 * greatest(a.n, b.n) AND h IN (SELECT h FROM spread)
+      GROUP BY a.doc_id, b.doc_id, a.n, b.n HAVING 100 * count(*) >= 90 * (a.n + b.n - count(*))),
+    links AS (SELECT a, b FROM pairs UNION SELECT b, a FROM pairs),
+    reach AS (SELECT a AS doc_id, a AS c FROM links UNION SELECT b, c FROM reach JOIN links ON links.a = reach.doc_id)
+    SELECT s.doc_id, len(s.s) AS n_shingles, coalesce(min(r.c), s.doc_id) AS component_id
+    FROM sets s LEFT JOIN reach r ON r.doc_id = s.doc_id GROUP BY s.doc_id, s.s"""
+)
+def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
