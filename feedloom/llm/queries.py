@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.repeats import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -67,3 +68,31 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(table(spark, sf_dir, "documents"), size=3, percent=90)
+
+
+@query(
+    r"""
+    WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+    windows AS (
+      SELECT doc_id, i, md5_number(substr(h, CAST(2 * i + 1 AS BIGINT), 800)) AS k
+      FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 399)) AS i FROM bytes)),
+    often AS (SELECT k FROM windows GROUP BY k HAVING count(*) > 1),
+    starts AS (SELECT doc_id, i FROM windows WHERE k IN (SELECT k FROM often)),
+    marked AS (
+      SELECT *, coalesce(i > lag(i) OVER (PARTITION BY doc_id ORDER BY i) + 400, true) AS fresh FROM starts),
+    runs AS (
+      SELECT doc_id, min(i) AS a, max(i) + 400 AS b
+      FROM (SELECT *, sum(fresh::INT) OVER (PARTITION BY doc_id ORDER BY i) AS r FROM marked) GROUP BY doc_id, r),
+    gaps AS (
+      SELECT doc_id, a, b, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS before FROM runs),
+    cut AS (
+      SELECT doc_id, count(*) AS n_spans, sum(b - a)::BIGINT AS n_removed, max(b) AS last,
+             string_agg(substr(h, 2 * before + 1, 2 * (a - before)), '' ORDER BY a) AS kept
+      FROM gaps JOIN bytes USING (doc_id) GROUP BY doc_id)
+    SELECT doc_id, length(h) // 2 AS n_bytes, coalesce(n_removed, 0) AS n_removed, coalesce(n_spans, 0) AS n_spans,
+           sha256(unhex(coalesce(kept, '') || substr(h, 2 * coalesce(last, 0) + 1))) AS kept_sha256
+    FROM bytes LEFT JOIN cut USING (doc_id)"""
+)
+def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
