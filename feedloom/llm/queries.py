@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.quality import quality_rules
 from feedloom.llm.repeats import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -96,3 +97,14 @@ def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return kept.select("doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of the documents that are labelled good."""
+    return table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+
+
+@query()
+def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
+    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
