@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.pii import KINDS, find_pii, span_text
 from feedloom.llm.quality import quality_rules
 from feedloom.llm.repeats import remove_repeats
 
@@ -108,3 +109,11 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+
+
+@query()
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_pii(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counted = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
+    counts = [counted(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
+    return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
