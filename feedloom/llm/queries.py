@@ -4,15 +4,18 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.packing import pack_documents
 from feedloom.llm.pii import KINDS, find_pii, span_text
 from feedloom.llm.quality import quality_rules
 from feedloom.llm.repeats import remove_repeats
+from feedloom.llm.tokens import bpe_decode, bpe_encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -117,3 +120,22 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     counted = lambda i: F.size(F.filter("base", lambda x: x["kind"] == i)).cast("long")
     counts = [counted(i).alias(f"n_{kind}") for i, kind in enumerate(KINDS)]
     return found.select("doc_id", *counts, F.sha2(span_text(F.col("base")), 256).alias("base_sha256"), span_text(F.col("spans")).alias("spans"))
+
+
+@query()
+def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
+    encoded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
+    decoded = bpe_decode(encoded.drop("text"), vocabulary, public_tokenizers.PATTERN)
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join("ids", ","), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+@query()
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, with_ids=False)
