@@ -23,6 +23,7 @@ from feedloom.llm.components import connect
 WORDS_KEPT = 300_000  # entries of a worker's word-hash memory; it is emptied when full
 BAND_RATIO = 1.4
 EXTRA_CELLS = 1.3  # cells of a sketch for each cell that a set enters
+BITS = 16  # parity bits for each shingle in which linked sets may differ
 BLOCK = 2048  # most members of a key that one group holds; a larger key is compared block by block
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -95,9 +96,10 @@ def sketches(shingles: np.ndarray, percent: int) -> list[tuple[int, np.ndarray,
         count = np.bincount(cell, minlength=m)
         filled = np.flatnonzero(count)
         starts = (np.cumsum(count) - count)[filled]
-        value, bits = np.zeros(m, np.uint64), np.zeros(m, np.uint64)
+        value = np.zeros(m, np.uint64)
         value[filled] = np.bitwise_xor.reduceat(shingles[order], starts)
-        bits[filled] = np.bitwise_xor.reduceat(np.uint64(1) << (shingles[order] & np.uint64(63)), starts)
+        places = ((shingles & np.uint64(0xFFFFFFFF)) % np.uint64(64 * -(-BITS * (t + 1) // 64))).astype(np.int64)
+        bits = np.packbits(np.bincount(places, minlength=64 * -(-BITS * (t + 1) // 64)).astype(np.uint8) & 1)
         tag = np.arange(m, dtype=np.uint64) * np.uint64(1 << 20) + count.astype(np.uint64)
         key = (mix(mix(value) + mix(tag)) & ~np.uint64(63)) | np.uint64(band)
         found.append((band, key[np.argsort(-count, kind="stable")[: t + 1]], bits))
