@@ -5,9 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from feedloom.llm.archive import audit, laid_out, numbered, warc_record
+from feedloom.llm.classifier import fit, in_fold, quality_scores
 from feedloom.llm.common import table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
@@ -145,3 +147,63 @@ def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+def damaged_record(page_id: Column, record: Column) -> Column:
+    """What a failing disk makes of some records: one character overwritten, the second half lost, or all of it."""
+    size = F.char_length(record)
+    return (
+        F.when(page_id % 307 == 11, None)
+        .when(page_id % 211 == 5, F.substr(record, F.lit(1), F.floor(size / 2).cast("int")))
+        .when(page_id % 101 == 7, F.concat(F.substr(record, F.lit(1), F.lit(199)), F.lit("\x00"), F.substr(record, F.lit(201))))
+        .otherwise(record)
+    )
+
+
+@query(
+    r"""
+    WITH records AS (
+      SELECT page_id, row_number() OVER (ORDER BY page_id NULLS FIRST, url, html) - 1 AS number,
+             'WARC/1.0' || E'\r\n' || 'WARC-Type: response' || E'\r\n' || 'WARC-Record-ID: <urn:record:' || coalesce(page_id::VARCHAR, '') || '>'
+             || E'\r\n' || 'WARC-Target-URI: ' || coalesce(url, '') || E'\r\n' || 'Content-Type: text/html' || E'\r\n' || 'Content-Length: '
+             || strlen(coalesce(html, ''))::VARCHAR || E'\r\n\r\n' || coalesce(html, '') || E'\r\n\r\n' AS record FROM pages),
+    both_sides AS (
+      SELECT 'l' AS side, number, record FROM records
+      UNION ALL
+      SELECT 'r', number, CASE WHEN page_id % 211 = 5 THEN left(record, length(record) // 2)
+                               WHEN page_id % 101 = 7 THEN left(record, 199) || chr(0) || substr(record, 201) ELSE record END
+      FROM records WHERE coalesce(page_id % 307 <> 11, true)),
+    leaf AS (
+      SELECT side, number // 256 AS volume, number, strlen(record) AS length, sha256(record) AS digest,
+             (coalesce(sum(strlen(record)) OVER (PARTITION BY side, number // 256 ORDER BY number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))::BIGINT AS off
+      FROM both_sides),
+    low AS (
+      SELECT side, volume, (number % 256) // 16 AS node, min(off) AS a, max(off + length) AS b,
+             sha256(min(off) || ':' || max(off + length) || ':' || string_agg(sha256(concat_ws(':', number, off, length, digest, 1)), ',' ORDER BY number)) AS h
+      FROM leaf GROUP BY ALL),
+    roots AS (
+      SELECT side, volume, sha256(min(a) || ':' || max(b) || ':' || string_agg(h, ',' ORDER BY node)) AS h FROM low GROUP BY ALL),
+    bad AS (
+      SELECT l.volume, string_agg(l.number || ':' || l.off || ':' || CASE WHEN r.number IS NULL THEN 'missing'
+               WHEN l.digest <> r.digest THEN 'changed' ELSE 'moved' END, ',' ORDER BY l.number) AS damaged
+      FROM (FROM leaf WHERE side = 'l') l LEFT JOIN (FROM leaf WHERE side = 'r') r ON r.number = l.number
+      WHERE r.number IS NULL OR l.digest <> r.digest OR l.off <> r.off GROUP BY l.volume)
+    SELECT s.volume, count(*) AS n_records, sum(s.length)::BIGINT AS n_bytes, any_value(x.h) AS root, any_value(y.h) AS replica_root,
+           coalesce(any_value(x.h) = any_value(y.h), false) AS intact, coalesce(any_value(bad.damaged), '') AS damaged
+    FROM leaf s JOIN roots x ON x.side = 'l' AND x.volume = s.volume LEFT JOIN roots y ON y.side = 'r' AND y.volume = s.volume
+    LEFT JOIN bad ON bad.volume = s.volume WHERE s.side = 'l' GROUP BY s.volume"""
+)
+def op6_warc_merkle_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = numbered(table(spark, sf_dir, "pages").select("page_id", "url", "html"), ["page_id", "url", "html"])
+    record = warc_record(F.col("page_id"), F.col("url"), F.col("html"))
+    good = laid_out(pages.select("number", record.cast("binary").alias("record")))
+    replica = laid_out(pages.select("number", damaged_record(F.col("page_id"), record).cast("binary").alias("record")).where("record is not null"))
+    return audit(good, replica)
+
+
+@query()
+def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    space = fit(docs, table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"))))
+    scored = quality_scores(docs, space)
+    return scored.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
