@@ -16,6 +16,7 @@ MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 14  # hash buckets of each of the two kinds of n-grams; all model tables have twice as many rows
 SMOOTHING = 0.5
+RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 THRESHOLD = -0.15  # mean log ratio of an n-gram: below it, the raw corpus explains the text better
 
 
@@ -36,8 +37,7 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     Words in three-word windows that occur twice are found by sorting the hashes of a text's windows inside its row:
     nothing is shuffled. A null text counts as empty.
     """
-    names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
-    kept = docs.drop(*names)
+    kept = docs.drop(*RULES)
     value = F.coalesce(F.col(text), F.lit(""))
     size = lambda c: F.char_length(c).cast("long")
     lines = F.filter(F.split(value, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
@@ -62,7 +62,7 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     covered = F.flatten(F.transform("__again", lambda i: F.array(i, i + 1, i + 2)))
     return repeats.withColumn("n_repeat_words", F.size(F.array_distinct(covered)).cast("long")).select(
         *kept.columns,
-        *names[:-1],
+        *RULES[:-1],
         ((F.col("n_words") < MIN_WORDS) | (100 * F.col("n_repeat_words") > MAX_REPEAT_PERCENT * F.col("n_words"))).alias("base_failed"),
     )
 
@@ -109,6 +109,23 @@ def ratio_scores(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", te
     )
 
 
+def judged(
+    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+) -> DataFrame:
+    """``(doc, row, ...)``: for each document its id, text hash, rule counts, ``ratio`` and ``kept``; see ``quality_rules``."""
+    # words and lines never leave their row; the corpus is shuffled once, by id, to meet the trusted ids
+    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
+    marked = narrow.join(trusted, F.col("doc") == F.col("trusted"), "left")
+    weights = ngram_weights(marked, F.col("trusted").isNotNull())
+    scores = settle(ratio_scores(narrow, weights, "doc", "text"), "ratios")
+    # written before anything filters on it, so that no filter computes the counts a second time
+    counts = settle(rule_counts(narrow.withColumn("row", F.xxhash64("text"))).drop("text"), "rule-counts")
+    joined = counts.join(scores.withColumnsRenamed({"doc": "__doc", "row": "__row"}), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")), "left")
+    kept = ~F.col("base_failed") & (F.coalesce("ratio", F.lit(0.0)) >= threshold)
+    return joined.select("doc", "row", *RULES, "ratio", kept.alias("kept"))
+
+
 def quality_rules(
     docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
@@ -121,12 +138,8 @@ def quality_rules(
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. With no trusted rows
     the ratio is that of an even target. Null ids are judged like others. An empty table gives an empty table.
     """
-    # words and lines never leave their row; the corpus is shuffled once, by id, to meet the trusted ids
-    trusted = trusted_ids.toDF("__trusted").where("__trusted is not null").distinct()
-    marked = docs.select(doc_id, text).join(trusted, F.col(doc_id) == F.col("__trusted"), "left")
-    weights = ngram_weights(marked, F.col("__trusted").isNotNull(), text)
-    scores = settle(ratio_scores(docs, weights, doc_id, text), "ratios")
-    counted = rule_counts(docs.drop("ratio", "kept"), text)
-    joined = counted.join(scores, F.col(doc_id).eqNullSafe(F.col("doc")) & F.xxhash64(text).eqNullSafe(F.col("row")), "left")
-    kept = ~F.col("base_failed") & (F.coalesce("ratio", F.lit(0.0)) >= threshold)
-    return joined.select(*counted.columns, "ratio", kept.alias("kept"))
+    kept = docs.drop(*RULES, "ratio", "kept")
+    verdicts = judged(docs, trusted_ids, doc_id, text, threshold).dropDuplicates(["doc", "row"])
+    verdicts = settle(verdicts, "verdicts").withColumnsRenamed({"doc": "__doc", "row": "__row"})
+    same = F.col(doc_id).eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__row"))
+    return kept.join(verdicts, same).select(*kept.columns, *RULES, "ratio", "kept")

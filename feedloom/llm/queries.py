@@ -16,7 +16,7 @@ from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.pii import KINDS, find_pii, span_text
-from feedloom.llm.quality import quality_rules
+from feedloom.llm.quality import judged
 from feedloom.llm.repeats import remove_repeats
 from feedloom.llm.tokens import bpe_decode, bpe_encode
 
@@ -113,8 +113,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    judged = quality_rules(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
-    return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+    verdicts = judged(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    return verdicts.select(F.col("doc").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 
 @query()
