@@ -1,23 +1,82 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality rules, line dedup, near copies, personal data, packing.
+
+Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written and read again as the next one's ``docs``.
+All but the last return the columns of the documents; only rows that a stage rejects go, only text that it
+rejects is cut, and ``n_chars`` (where there is such a column) follows the text. Null ids and texts, repeated rows and
+empty tables are handled as each operator's docstring says.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from feedloom.llm.common import settle, table
+from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.packing import pack_documents
+from feedloom.llm.pii import redact_pii
+from feedloom.llm.quality import quality_rules
+
+ORACLE_SQL = None  # the likelihood ratio, the contexts and the packing have no form in SQL
+
 
-ORACLE_SQL = None
+def _like(docs: DataFrame, changed: DataFrame) -> DataFrame:
+    """The documents' own columns, with the length of the text brought up to date."""
+    if "n_chars" in docs.columns:
+        size = F.char_length("text").cast(docs.schema["n_chars"].dataType)
+        changed = changed.withColumn("n_chars", F.coalesce(size, F.col("n_chars")))
+    return changed.select(docs.columns)
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejected documents go."""
+    trusted = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    return quality_rules(docs, trusted).where("kept").select(docs.columns)
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    return drop_repeated_lines(docs).select(docs.columns)
+    """Lines that many documents share go from all but one of them; every document stays."""
+    return _like(docs, drop_repeated_lines(docs))
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of each group linked by five-word shingles at 0.8 the document with the smallest id stays.
+
+    Of several rows with that id one stays, the one with the smallest text. Rows with a null id all stay.
+    """
+    classes = jaccard_components(docs, size=5, percent=80)
+    first = classes.where("doc_id = component_id").select("doc_id").distinct()
+    named = docs.join(first, "doc_id", "left_semi")
+    order = Window.partitionBy("doc_id").orderBy("text")
+    one = named.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(docs.columns)
+    return one.unionByName(docs.where("doc_id is null"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Personal data in the text gives way to its kind in brackets; every document stays."""
+    return _like(docs, redact_pii(docs))
+
+
+def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents as pieces of token ids, each with its sequence and its offset there."""
+    return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN)
 
 
-STAGES = [("line dedup", line_dedup)]
+STAGES = [
+    ("quality rules", quality),
+    ("line dedup", line_dedup),
+    ("n-gram Jaccard join", near_copies),
+    ("PII", personal_data),
+    ("best-fit packing", packing),
+]
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    """All stages on the documents; each but the last is written and read again."""
+    docs = table(spark, sf_dir, "documents")
+    *first, (_, last) = STAGES
+    for name, stage in first:
+        docs = settle(stage(spark, docs, sf_dir), name.replace(" ", "-").lower())
+    return last(spark, docs, sf_dir)
