@@ -8,11 +8,13 @@ from pyspark.sql import functions as F
 FULL_WIDTH = "０１２３４５６７８９"
 ASCII = "0123456789"
 QUOTES = "\"'"
+# Every character that Unicode counts as white space or a separator, and the four separators among the control characters.
+WHITE_SPACE = "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 
 
 def strip_u(c: Column) -> Column:
     """Remove any Unicode white space at both ends (Spark's ``trim`` knows U+0020 only)."""
-    return F.regexp_replace(c, r"^[\s\p{Z}\x1c-\x1f\x85]+|[\s\p{Z}\x1c-\x1f\x85]+$", "")
+    return F.btrim(c, F.lit(WHITE_SPACE))
 
 
 def is_blank(c: Column) -> Column:

@@ -38,13 +38,13 @@ def status_message(code: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*entries), status), F.lit(UNKNOWN_STATUS))
 
 
-def error_text(message: Column, exception: Column, trace: Column) -> Column:
-    """Bold message, fenced exception, and the trace cut at 1,000 characters."""
+def error_text(message: Column, exception: Column, trace: Column, trace_limit: int = TRACE_LIMIT) -> Column:
+    """Bold message, fenced exception, and the trace, cut at so many characters."""
     has_trace = F.coalesce((trace != "") & (trace != NO_TRACE), F.lit(False))
-    cut = F.when(F.length(trace) > TRACE_LIMIT, F.lit("\n" + TRACE_CUT)).otherwise(F.lit(""))
+    cut = F.when(F.length(trace) > trace_limit, F.lit("\n" + TRACE_CUT)).otherwise(F.lit(""))
     trace_part = F.when(
         has_trace,
-        F.concat(F.lit(f"\n*{TRACE_TITLE}*\n```\n"), truncate_text(trace, TRACE_LIMIT), F.lit("```"), cut),
+        F.concat(F.lit(f"\n*{TRACE_TITLE}*\n```\n"), truncate_text(trace, trace_limit), F.lit("```"), cut),
     ).otherwise(F.lit(""))
     exception_part = F.when(
         exception.isNotNull(), F.concat(F.lit("\n```\n"), exception, F.lit("\n```"), trace_part)
@@ -52,6 +52,12 @@ def error_text(message: Column, exception: Column, trace: Column) -> Column:
     return F.concat(F.lit("*"), message, F.lit("*\n"), exception_part)
 
 
+def default_fields(environment: Column, host: Column, at: Column) -> Column:
+    """The three fields that every message carries."""
+    entries = ((ENVIRONMENT, environment), (HOST, host), (TIME, at))
+    return F.array(*(F.struct(F.lit(name).alias("title"), value.cast("string").alias("value")) for name, value in entries))
+
+
 def build_alerts(
     failures: DataFrame, environment: Column, host: Column, at: Column, title: Column | None = None, context: str = "context"
 ) -> DataFrame:
@@ -60,15 +66,12 @@ def build_alerts(
     Adds ``title``, ``color``, ``text`` and ``fields``: three default fields, then the context.
     """
 
-    def entry(name: str, value: Column) -> Column:
-        return F.struct(F.lit(name).alias("title"), value.cast("string").alias("value"))
-
     extra = F.transform(
         F.map_entries(F.col(context)), lambda e: F.struct(e["key"].alias("title"), e["value"].cast("string").alias("value"))
     )
     none = F.array().cast("array<struct<title:string,value:string>>")
     heading = title if title is not None else F.lit(ERROR_TITLE)
-    defaults = F.array(entry(ENVIRONMENT, environment), entry(HOST, host), entry(TIME, at))
+    defaults = default_fields(environment, host, at)
     return failures.select(
         "*",
         F.coalesce(F.nullif(heading, F.lit("")), F.lit(NOTICE_TITLE)).alias("title"),
@@ -78,14 +81,26 @@ def build_alerts(
     )
 
 
-def build_notices(notices: DataFrame, title: Column | None = None) -> DataFrame:
-    """Plain messages as alert rows in the default colour; without a title the standard one is used."""
+def build_notices(
+    notices: DataFrame,
+    title: Column | None = None,
+    environment: Column | None = None,
+    host: Column | None = None,
+    at: Column | None = None,
+) -> DataFrame:
+    """Plain messages as alert rows in the default colour; without a title the standard one is used.
+
+    With environment, host and time the rows also get ``fields``, the three that alerts have.
+    """
+    given = environment is not None and host is not None and at is not None
+    fields = [default_fields(environment, host, at).alias("fields")] if given else []
     heading = title if title is not None else F.lit(None).cast("string")
     return notices.select(
         "*",
         F.coalesce(F.nullif(heading, F.lit("")), F.lit(NOTICE_TITLE)).alias("title"),
         F.lit(GREEN).alias("color"),
         F.col("message").alias("text"),
+        *fields,
     )
 
 

@@ -8,8 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import clean_currency
-from feedloom.session import JAPANESE
-from feedloom.sources.feeds import CURRENCY_COLUMN, RAW_RECORD, csv_reader, field_count, may_be_split, text_schema
+from feedloom.sources.feeds import CURRENCY_COLUMN, may_be_split
 
 ISSUES = "feed string, file_name string, issue string, detail string, field_count int"
 
@@ -58,16 +57,21 @@ def lost_signs(raw: DataFrame, feed: str, column: str = CURRENCY_COLUMN) -> Data
     )
 
 
-def profile_csv(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE, multi_line: bool | None = True) -> DataFrame:
+def profile_csv(spark: SparkSession, path: str | Sequence[str], multi_line: bool | None = True) -> DataFrame:
     """``(row_count, max_fields)`` of CSV text, the header row counted; 0 and 0 when empty.
 
-    Read without a header under a one-column schema: every record of another width keeps its raw
-    text, from which its fields are counted. One pass, two numbers per task are shuffled.
+    Blank lines are rows without fields, line ends and commas inside quotes do not count. Only quotes, commas and line
+    ends are looked at, which have the same bytes in UTF-8 and windows-31j. One pass, two numbers per task are shuffled.
+    With ``multi_line`` a file is one row; say ``None`` or ``False`` for large files, as for ``scan_feed``.
     """
     if multi_line is None:
         multi_line = not may_be_split(spark, path)
-    rows = csv_reader(spark, encoding, multi_line).schema(text_schema(["_first", RAW_RECORD])).csv(path)
-    fields = F.coalesce(field_count(F.col(RAW_RECORD)), F.when(F.col("_first").isNotNull(), F.lit(1)), F.lit(1))
-    return rows.select(fields.alias("fields")).agg(
-        F.count("*").alias("row_count"), F.coalesce(F.max("fields"), F.lit(0)).alias("max_fields")
-    )
+    bare = F.regexp_replace("value", r'"[^"]*+(?:"|$)', "x")
+    if multi_line:
+        cut = F.split(F.regexp_replace(bare, r"\r\n?", "\n"), "\n")
+        whole = F.when(F.element_at(cut, -1) == "", F.slice(cut, 1, F.size(cut) - 1)).otherwise(cut)
+        lines = spark.read.text(path, wholetext=True).select(F.explode(whole).alias("line"))
+    else:
+        lines = spark.read.text(path).select(bare.alias("line"))
+    fields = F.when(F.col("line") == "", 0).otherwise(F.size(F.split("line", ",")))
+    return lines.agg(F.count("*").alias("row_count"), F.coalesce(F.max(fields), F.lit(0)).alias("max_fields"))

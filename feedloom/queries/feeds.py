@@ -210,7 +210,7 @@ def feed_rotate(spark: SparkSession, sf_dir: str) -> DataFrame:
 def feed_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daily CSV files taken in as a file stream, two files at a time, into the history."""
     drop, history = work_path(spark, "stream_drop"), work_path(spark, "stream_history")
-    daily = _events_by_day(spark, sf_dir).repartitionByRange(8, "日付")
+    daily = _events_by_day(spark, sf_dir).repartitionByRange("日付")
     write_feed_csv(daily, drop)
     rows = stream_feed(spark, drop, daily.columns, max_files=2)
     append_stream(rows, history, work_path(spark, "stream_state")).awaitTermination()

@@ -9,7 +9,7 @@ from feedloom.operators import pages as P
 from feedloom.operators import steps as S
 from feedloom.operators.elements import elements_long as long_form
 from feedloom.operators.elements import elements_per_section
-from feedloom.operators.html import Wanted, html_elements, spread
+from feedloom.operators.html import Wanted, html_elements
 from feedloom.operators.selectors import check_selectors, lookup_selector, resolve_selectors, selectors_per_group
 from feedloom.plans.daily import section_log
 from feedloom.queries.registry import query, table
@@ -33,13 +33,13 @@ _QUIET = "regexp_replace(regexp_replace(html, '<script>.*?</script>', '<script>'
 
 
 def pages_of(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html"))
+    return table(spark, sf_dir, "pages").select("page_id", "html")
 
 
 def pages_by_section(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages with the language part of their address as section."""
     section = F.regexp_extract("url", "^[a-z]+://[^/]+/([a-z]+)", 1)
-    return spread(table(spark, sf_dir, "pages").select("page_id", "html", section.alias("section")))
+    return table(spark, sf_dir, "pages").select("page_id", "html", section.alias("section"))
 
 
 @query(
@@ -271,7 +271,7 @@ def locate_clickable(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     steps = pages.select("page_id", F.concat(last, F.lit("をクリック")).alias("operation")).where(last.isNotNull())
     targets = S.parse_steps(steps).select("page_id", "target")
-    return S.locate_clickable(spread(pages), targets).select("page_id", "target", "rule", "tag", "text")
+    return S.locate_clickable(pages, targets).select("page_id", "target", "rule", "tag", "text")
 
 
 def form_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -299,7 +299,7 @@ def form_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("</button></form></body></html>"),
     )
     parts = table(spark, sf_dir, "part")
-    return spread(parts.select(F.col("p_partkey").alias("page_id"), html.alias("html")))
+    return parts.select(F.col("p_partkey").alias("page_id"), html.alias("html"))
 
 
 @query(

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -43,8 +46,23 @@ def allow_japanese(spark: SparkSession) -> None:
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh folder path for a written table.
 
-    It lies in the shared folder named by ``spark.checkpoint.dir``. Only where that
-    is unset (a single-machine test) is a local temporary folder used.
+    It lies in the shared folder named by ``spark.checkpoint.dir``. Only where that is unset and the master is this
+    machine alone (a test) is a local temporary folder used; on a cluster the setting is needed, since tasks on other machines
+    would write to folders of their own. Folders are kept: a result may still read them. Jobs remove the shared
+    folder's contents when they are done with their results.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="feedloom-")
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        master = spark.conf.get("spark.master", "")
+        if not master.startswith("local") or master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        root = _own_folder()
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+@cache
+def _own_folder() -> str:
+    """One temporary folder of this process, removed when it ends."""
+    folder = tempfile.mkdtemp(prefix="feedloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder

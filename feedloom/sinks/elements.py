@@ -39,10 +39,12 @@ def _record(elements: DataFrame) -> list:
 def write_elements(documents: DataFrame, path: str, rebalance: bool = True) -> None:
     """Documents as JSON lines, one folder per section; the section stays in each document.
 
+    A section that occurs in the documents is replaced, all others in the folder stay.
+
     Rebalancing gathers a section's documents into few files and splits a large section. With one
     section there is nothing to gather.
     """
     placed = documents.withColumn("section_dir", F.col("section"))
     if rebalance:
         placed = placed.hint("rebalance", "section_dir")
-    placed.write.mode("overwrite").partitionBy("section_dir").json(path)
+    placed.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("section_dir").json(path)

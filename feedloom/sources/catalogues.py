@@ -27,12 +27,12 @@ DEFAULT_SELECTORS = [
 def scan_selectors(spark: SparkSession, path: str | Sequence[str], defaults: bool = True) -> DataFrame:
     """Catalogue ``(group, name, selector_type, selector_value)``, last entry of a name wins.
 
-    A file without one of the four columns gives no entries. File order decides which entry
-    is last; the ids used for it grow in file order and partial results are merged by them.
+    A file without one of the four columns gives no entries. Files count in the order of their paths, entries in the order
+    of their file, which one task reads; partial results are merged by that order.
     """
     raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
     if set(CATALOGUE_COLUMNS) <= set(raw.columns):
-        ordered = raw.select(*[F.col(f"`{c}`") for c in CATALOGUE_COLUMNS], F.monotonically_increasing_id().alias("at"))
+        ordered = raw.select(*[F.col(f"`{c}`") for c in CATALOGUE_COLUMNS], F.struct("_metadata.file_path", F.monotonically_increasing_id()).alias("at"))
         last = F.max_by(F.struct("selector_type", "selector_value"), "at")
         read = ordered.groupBy("group", "name").agg(last.alias("s")).select("group", "name", "s.*")
     else:

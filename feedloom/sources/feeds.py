@@ -12,7 +12,6 @@ import datetime as dt
 import io
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
-from urllib.parse import urlparse
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
@@ -48,15 +47,16 @@ def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool =
 def may_be_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
     """True when reading the files in parts gives the same rows as reading each whole.
 
-    That is so unless a line leaves a quote open, or holds white space only, which Spark drops when
-    it reads line by line. Lines are read split and byte-true, which is safe in UTF-8 and
-    windows-31j: no character of two or more bytes holds a quote's or a line end's byte. One yes or
-    no per task is shuffled.
+    That is so unless a line leaves a quote open, holds a lone carriage return, which ends a line only where
+    Spark reads in parts, or holds white space only, which Spark drops when it reads line by line. Lines are split at
+    newlines alone and read byte-true, which is safe in UTF-8 and windows-31j: no character of two or more bytes
+    holds a quote's or a line end's byte. One yes or no per task is shuffled.
     """
-    line = F.col("value")
+    line = F.rtrim(F.col("value"), F.lit("\r"))
+    lone = (F.octet_length("value") - F.octet_length(line) > 1) | F.contains(line, F.lit("\r"))
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     white = F.regexp_like(line, F.lit(r"^[\x00-\x20]+$"))
-    return not spark.read.text(path).agg(F.bool_or((quotes % 2 == 1) | white)).first()[0]
+    return not spark.read.text(path, lineSep="\n").agg(F.bool_or((quotes % 2 == 1) | white | lone)).first()[0]
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> list[str]:
@@ -74,6 +74,23 @@ def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str =
     return next(csv.reader(io.StringIO(first[0][RAW_RECORD].removeprefix("\ufeff"))))
 
 
+def file_headers(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> DataFrame:
+    """``(header, files)``: the distinct first lines of the files, with the paths of the files that have each.
+
+    One pass over the text; a line per file is shuffled.
+    """
+    allow_japanese(spark)
+    first = (
+        spark.read.text(path)
+        .where("_metadata.file_block_start = 0")
+        .select(F.col("_metadata.file_path").alias("path"), "value", F.monotonically_increasing_id().alias("at"))
+        .groupBy("path")
+        .agg(F.min_by("value", "at").alias("line"))
+    )
+    text = F.decode(F.col("line").cast("binary"), encoding)
+    return first.groupBy(F.replace(text, F.lit("\ufeff"), F.lit("")).alias("header")).agg(F.sort_array(F.collect_list("path")).alias("files"))
+
+
 def header_width(header: Sequence[str]) -> int:
     """Number of header cells that are not blank."""
     return sum(1 for cell in header if cell.strip())
@@ -123,6 +140,10 @@ def scan_feed(
     instead. ``with_source`` adds ``file_name``, ``raw_record`` (null unless the row had a
     wrong width) and ``field_count`` for the quality report.
 
+    Every file must have the header of the first: where that header's cells are plain names Spark compares each file's as
+    it reads it, and fails with the file's name; other headers are compared beforehand, in one pass. Files whose columns
+    differ in order are read with :func:`scan_mixed_feed`.
+
     With ``multi_line`` a file is read by one task. For large files say ``None``: one parallel pass
     finds out whether they may be read in parts, and Spark then splits them. ``False`` skips that
     pass for files known to hold no quoted newline and no line of white space only.
@@ -148,7 +169,11 @@ def scan_feed(
         schema = schema.add(RAW_RECORD, T.StringType())
     if multi_line is None:
         multi_line = not may_be_split(spark, path)
-    raw = csv_reader(spark, encoding, multi_line).option("header", True).schema(schema).csv(path)
+    plain = raw_header == read_names
+    if not plain and header is None:
+        require_one_header(spark, path, encoding)
+    reader = csv_reader(spark, encoding, multi_line).option("header", True).option("enforceSchema", not plain)
+    raw = reader.schema(schema).csv(path)
 
     def cell(name: str) -> Column:
         value = F.coalesce(_quoted(name), F.lit(""))
@@ -164,9 +189,39 @@ def scan_feed(
     return raw.select(*cells)
 
 
+def require_one_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> None:
+    headers = file_headers(spark, path, encoding).orderBy(F.size("files").desc(), "header").limit(2).collect()
+    if len(headers) > 1:
+        raise ValueError(f"headers differ: {headers[1]['files'][0]} does not begin like {headers[0]['files'][0]}")
+
+
+def scan_mixed_feed(spark: SparkSession, path: str | Sequence[str], columns: Sequence[str], encoding: str = JAPANESE, **options) -> DataFrame:
+    """Files whose headers hold the columns in any order, matched by name.
+
+    There is one scan per distinct header. A file without one of the columns fails the read, and is named.
+    """
+    parts = []
+    for row in file_headers(spark, path, encoding).collect():
+        cells = next(csv.reader(io.StringIO(row["header"] or "")), [])
+        missing = [c for c in columns if c not in normalise_header(cells)]
+        if missing:
+            raise ValueError(f"columns {missing} are not in the header of {row['files'][0]}")
+        parts.append(scan_feed(spark, row["files"], columns, encoding, header=cells, **options))
+    if not parts:
+        raise ValueError(f"no header in {path}")
+    result = parts[0]
+    for part in parts[1:]:
+        result = result.unionByName(part)
+    return result
+
+
 def field_count(record: Column) -> Column:
-    """Number of fields of a raw record; commas inside quotes do not count."""
-    fields = F.split(F.regexp_replace(record, r'"(?:[^"]|"")*"', ""), ",", -1)
+    """Number of fields of a raw record; commas inside quotes do not count.
+
+    A doubled quote ends one quoted span and begins the next, so a plain span pattern is enough; it runs in
+    linear time and constant stack.
+    """
+    fields = F.split(F.regexp_replace(record, r'"[^"]*+"', ""), ",", -1)
     return F.when(record.isNotNull(), F.size(fields))
 
 
@@ -227,22 +282,22 @@ def scan_any_encoding(spark: SparkSession, path: str | Sequence[str], **options)
 
 
 def folder_entries(spark: SparkSession, folder: str) -> DataFrame:
-    """``(name, path, modified)`` of a folder's files and of folders of part files written by Spark.
+    """``(name, path, modified)`` of a folder's files, empty ones too, and of folders of part files written by Spark.
 
-    Only the listing is read, contents are pruned away. Empty files are not listed by Spark.
+    The folder's listing comes from its file system; names that begin with a dot or an underscore are passed over. A folder of
+    part files is as new as its newest file.
     """
-    base = urlparse(folder).path.rstrip("/") + "/"
-    files = (
-        spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder).select("path", "modificationTime")
-    )
-    name_at = F.instr("path", base) + len(base)
-    name = F.split_part(F.substr("path", name_at), F.lit("/"), F.lit(1))
-    path = F.concat(F.substr("path", F.lit(1), name_at - 1), name)
-    return (
-        files.select(name.alias("name"), path.alias("path"), "modificationTime")
-        .groupBy("name", "path")
-        .agg(F.max("modificationTime").alias("modified"))
-    )
+    home = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    system = home.getFileSystem(spark._jsc.hadoopConfiguration())
+
+    def newest(status) -> int:
+        inside = system.listStatus(status.getPath()) if status.isDirectory() else ()
+        return max((x.getModificationTime() for x in inside), default=status.getModificationTime())
+
+    shown = [x for x in system.listStatus(home) if x.getPath().getName()[:1] not in "._"]
+    rows = [(x.getPath().getName(), x.getPath().toString(), newest(x) / 1000) for x in shown]
+    listed = spark.createDataFrame(rows, "name string, path string, at double")
+    return listed.select("name", "path", F.timestamp_seconds("at").alias("modified"))
 
 
 def latest_file(spark: SparkSession, folder: str, tokens: Sequence[str] = REPORT_TOKENS) -> DataFrame:
@@ -280,16 +335,26 @@ class FeedScan(Mapping):
 
 
 def scan_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], **options) -> FeedScan:
-    """Read each feed's file; a missing or empty one is noted and does not stop the others."""
-    wanted = folder_entries(spark, folder).where(F.col("name").isin(*files.values()))
-    present = {row["name"] for row in wanted.select("name").collect()}
+    """Read each feed's file; a missing or empty one is noted and does not stop the others.
+
+    A file name is known by its day and its end: of files that begin with the same eight digits and end alike the
+    newest is taken, whatever stands between.
+    """
+    listed = {row["name"]: row["modified"] for row in folder_entries(spark, folder).collect()}
+
+    def known(name: str) -> str | None:
+        day, end = name[:8], name[8:]
+        like = [x for x in listed if day.isdigit() and end and x.startswith(day) and x.endswith(end)]
+        return name if name in listed else max(like, key=lambda x: (listed[x], x), default=None)
+
     found = FeedScan()
     for feed, name in files.items():
-        if name not in present:
+        present = known(name)
+        if present is None:
             found.missing[feed] = f"not found or empty: {name}"
             continue
         try:
-            found.frames[feed] = scan_feed(spark, f"{folder.rstrip('/')}/{name}", **options)
+            found.frames[feed] = scan_feed(spark, f"{folder.rstrip('/')}/{present}", **options)
         except ValueError as error:
             found.missing[feed] = str(error)
     return found

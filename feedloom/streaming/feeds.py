@@ -28,10 +28,12 @@ def stream_feed(
     encoding: str = JAPANESE,
     currency_column: str | None = CURRENCY_COLUMN,
     max_files: int | None = None,
+    check_header: bool = True,
 ) -> DataFrame:
     """The folder's CSV files as a stream of text rows with their file name.
 
-    ``names`` are the normalised header names; a stream's schema must be known before it starts.
+    ``names`` are the normalised header names; a stream's schema must be known before it starts. Every file's header must
+    have these cells; without ``check_header`` (for headers with blank or repeated cells) only their number counts.
     """
     allow_japanese(spark)
     reader = (
@@ -40,6 +42,8 @@ def stream_feed(
         .option("multiLine", True)
         .option("escape", '"')
         .option("encoding", encoding)
+        # a file whose header differs fails the run, and is named
+        .option("enforceSchema", not check_header)
     )
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)

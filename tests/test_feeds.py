@@ -112,8 +112,10 @@ def test_header_issues_and_signs(spark, tmp_path):
 
 def test_profile(spark, tmp_path):
     path = put(tmp_path / "p.csv", 'a,b\n"x,1",2,3\n\nz\n')
-    assert tuple(Q.profile_csv(spark, path).first()) == (3, 3)
-    assert tuple(Q.profile_csv(spark, path, multi_line=None).first()) == (3, 3)
+    assert tuple(Q.profile_csv(spark, path).first()) == (4, 3)
+    assert tuple(Q.profile_csv(spark, path, multi_line=None).first()) == (4, 3)
+    long = put(tmp_path / "long.csv", 'a,"' + "x, " * 20_000 + '\n\n"\n\n')
+    assert tuple(Q.profile_csv(spark, long).first()) == (2, 2)
     assert tuple(Q.profile_csv(spark, put(tmp_path / "one.csv", "a\nb\n")).first()) == (2, 1)
     assert tuple(Q.profile_csv(spark, put(tmp_path / "none.csv", "")).first()) == (0, 0)
 
