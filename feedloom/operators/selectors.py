@@ -11,7 +11,7 @@ from feedloom.operators.arrays import attr, bind, is_marked, marks
 from feedloom.operators.html import Wanted, parse_pages, span_text
 from feedloom.operators.selector_forms import BELOW, ROOT, Form, Step, selector_forms
 
-SELECTORS_PER_PASS = 100
+SELECTOR_LIMIT = 1000  # selectors of a catalogue that one run evaluates; they become expressions, so the driver reads them
 MATCH = "struct<pos:int,tag:string,text:string>"
 
 
@@ -48,27 +48,30 @@ def first_match(elements: Column, form: Form) -> Column:
     return narrow(None, form.steps)
 
 
-def resolve_selectors(pages: DataFrame, catalogue: DataFrame, html: str = "html") -> DataFrame:
-    """Evaluate every catalogue selector on every page.
-
-    Columns: the page's, ``group``, ``name``, ``supported``, ``found``, and ``pos``, ``tag`` and
-    ``text`` of the first match. The catalogue is turned into expressions on the driver, so it is
-    read there; pages are parsed once per hundred selectors and nothing is shuffled.
+def resolve_selectors(
+    pages: DataFrame,
+    catalogue: DataFrame,
+    html: str = "html",
+    requests: DataFrame | None = None,
+    key: str = "page_id",
+    hits_only: bool = False,
+) -> DataFrame:
+    """Evaluate catalogue selectors on pages.
+
+    ``requests``, rows of ``(key, group, name)``, say which selectors a page is asked for: only those are evaluated, and only
+    they give rows. Without requests every selector is tried on every page; ``hits_only`` then leaves out what was not found.
+    Columns: the page's, ``group``, ``name``, ``supported``, ``found``, and ``pos``, ``tag`` and ``text`` of the first match.
+    A page is parsed once. The catalogue is turned into expressions, so at most ``SELECTOR_LIMIT`` rows of it come to the driver; a
+    larger one is refused. Requests are gathered by page, which is one narrow shuffle and a join; without them nothing is shuffled.
     """
-    rows = catalogue.select("group", "name", "selector_type", "selector_value").collect()
-    parts = [
-        _resolve(pages, [r.asDict() for r in rows[i : i + SELECTORS_PER_PASS]], html)
-        for i in range(0, max(len(rows), 1), SELECTORS_PER_PASS)
-    ]
-    result = parts[0]
-    for part in parts[1:]:
-        result = result.unionByName(part)
-    return result
-
-
-def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str) -> DataFrame:
+    rows = catalogue.select("group", "name", "selector_type", "selector_value").limit(SELECTOR_LIMIT + 1).collect()
+    if len(rows) > SELECTOR_LIMIT:
+        raise ValueError(f"the catalogue has more than {SELECTOR_LIMIT} selectors; evaluate it in parts")
+    if requests is not None:
+        asked = requests.groupBy(key).agg(F.collect_set(F.struct("group", "name")).alias("_asked"))
+        pages = pages.join(asked, key)
     parsed = parse_pages(pages, Wanted(text="span"), html)
-    keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text")]
+    keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text", "_asked")]
     nothing = F.lit(None).cast(MATCH)
 
     def shown(form: Form) -> Column:
@@ -78,20 +81,20 @@ def _resolve(pages: DataFrame, rows: list[Mapping[str, str]], html: str) -> Data
 
         return bind(first_match(F.col("elements"), form), told)
 
-    entries = []
-    for row in rows:
+    def entry(row: Mapping[str, str]) -> Column:
         forms = selector_forms(row["selector_type"], row["selector_value"])
-        entries.append(
-            F.struct(
-                F.lit(row["group"]).cast("string").alias("group"),
-                F.lit(row["name"]).cast("string").alias("name"),
-                F.lit(forms is not None).alias("supported"),
-                (F.array_min(F.array_compact(F.array(*map(shown, forms)))) if forms else nothing).alias("match"),
-            )
-        )
+        name = (F.lit(row["group"]).cast("string").alias("group"), F.lit(row["name"]).cast("string").alias("name"))
+        match = F.array_min(F.array_compact(F.array(*map(shown, forms)))) if forms else nothing
+        made = F.struct(*name, F.lit(forms is not None).alias("supported"), match.alias("match"))
+        return made if requests is None else F.when(F.array_contains("_asked", F.struct(*name)), made)
+
     shape = f"array<struct<group:string,name:string,supported:boolean,match:{MATCH}>>"
-    listed = F.array(*entries).cast(shape) if entries else F.array().cast(shape)
-    return parsed.select(*keep, F.inline(listed)).select(
+    entries = [entry(r.asDict()) for r in rows]
+    listed = F.array_compact(F.array(*entries).cast(shape)) if entries else F.array().cast(shape)
+    found = parsed.select(*keep, F.inline(listed))
+    if hits_only:
+        found = found.where("match is not null")
+    return found.select(
         *keep,
         "group",
         "name",

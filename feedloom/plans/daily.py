@@ -15,9 +15,10 @@ from feedloom.operators.columns import coerce_numeric, fill_blank, quoted, split
 from feedloom.operators.elements import elements_per_section
 from feedloom.operators.pages import page_inventories
 from feedloom.operators.quality import header_issues, missing_feeds
+from feedloom.session import work_path
 from feedloom.sinks.batches import append_run_log, log_rows
 from feedloom.sinks.elements import page_documents, write_elements
-from feedloom.sinks.feeds import append_feed, with_day, write_parquet
+from feedloom.sinks.feeds import append_feed, remove_day, with_day, write_parquet
 from feedloom.sources.feeds import (
     FEED_SUFFIXES,
     REPORT_COLUMNS,
@@ -79,11 +80,13 @@ def run_daily_feeds(
     log_path: str | None = None,
     mode: str = "day",
     tokens: Sequence[str] = REPORT_TOKENS,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """Newest reports of the drop folder into the histories ``<history>/ss``, ``cv``, ``cv_attr``.
 
     The wide report gives the SS and the CV feed, the attribute report is kept whole. Returns one
-    status row per stage step; a failed feed does not stop the others.
+    status row per stage step; a failed feed does not stop the others. In ``mode='day'`` the day's old rows go even where
+    the new report has none. ``multi_line`` is that of ``scan_feed``: unless told, files that may be read in parts are.
     """
     day = run_date - dt.timedelta(days=days_ago)
     report = RunReport(spark, f"{run_date:%Y%m%d}")
@@ -102,17 +105,24 @@ def run_daily_feeds(
     def store(feed: str, frame: DataFrame) -> int:
         # Rows are counted while they are written.
         written = Observation()
+        target = f"{history.rstrip('/')}/{feed}"
         counted = with_day(frame, day).observe(written, F.count(F.lit(1)).alias("rows"))
-        append_feed(counted, f"{history.rstrip('/')}/{feed}", mode)
+        append_feed(counted, target, mode)
+        if mode == "day" and not written.get["rows"]:
+            remove_day(spark, target, day)
         return written.get["rows"]
 
     @cache
     def split() -> dict[str, DataFrame]:
-        scanned = scan_feed(spark, newest(tokens[0]), columns=REPORT_COLUMNS)
-        return split_feed(stamp_date(scanned, run_date, days_ago))
+        # The report is parsed once: both feeds read the three columns that are written here.
+        scanned = scan_feed(spark, newest(tokens[0]), columns=REPORT_COLUMNS, multi_line=multi_line)
+        path = work_path(spark, "report")
+        scanned.write.parquet(path)
+        report_rows = spark.read.schema(scanned.schema).parquet(path)
+        return split_feed(stamp_date(report_rows, run_date, days_ago))
 
     def attributes() -> int:
-        return store("cv_attr", fill_blank(scan_feed(spark, newest(tokens[1]))))
+        return store("cv_attr", fill_blank(scan_feed(spark, newest(tokens[1]), multi_line=multi_line)))
 
     report.run("find_files", find)
     report.run("ss", lambda: store("ss", split()["ss"]))
@@ -152,7 +162,7 @@ def convert_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], ta
     issues = missing_feeds(spark, found.missing)
     for feed, rows in found.items():
         write_parquet(rows, f"{target.rstrip('/')}/{feed}", partition_by=())
-        issues = issues.unionByName(header_issues(spark, feed, read_header(spark, f"{folder.rstrip('/')}/{files[feed]}")))
+        issues = issues.unionByName(header_issues(spark, feed, read_header(spark, found.paths[feed])))
     return issues
 
 

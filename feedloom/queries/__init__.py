@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from feedloom.queries import feeds, pages, records, texts  # noqa: F401  (fills the registry)
+from feedloom.queries import feeds, jobs, pages, records, texts  # noqa: F401  (fills the registry)
 from feedloom.queries.registry import REGISTRY
 
 __all__ = ["REGISTRY"]

@@ -19,18 +19,23 @@ _PARTITION_BITS = 33
 RUN_LOG = "run_id string, stage string, status string, rows bigint, error string, detail string"
 
 
-def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_index") -> DataFrame:
+def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_index", unique: bool = False) -> DataFrame:
     """Add a gapless 0-based ``row_index`` in the order given, ties in file order; or in file order.
 
-    Rows are written with their place, and read back before they are sorted and again before they
-    are counted. What is numbered is so fixed on disk, and a lost executor cannot shift a number.
+    File order is by path, then by place in the file; rows that do not come straight from files have the order of their
+    partitions. Rows are written with their place, and read back before they are sorted and again before they
+    are counted; with ``unique`` no two rows have one key, and the first of the two writes is left out. What is numbered is so fixed on disk, and a lost executor cannot shift a number.
     The place breaks ties, so a sort key that fills a third of the rows is still spread over many
     tasks. One short row per partition, its number of rows, is all that meets in one task.
     """
-    placed = _write_places(df)
-    if order_by:
-        ordered = placed.withColumnRenamed("_at", "_from").repartitionByRange(*order_by, "_from")
-        placed = _write_places(ordered.sortWithinPartitions(*order_by, "_from").drop("_from"))
+    if unique and order_by:
+        places = []
+        ordered = df
+    else:
+        places = ["_file", "_block", "_from"]
+        ordered = _write_places(df.withColumns({"_file": F.input_file_name(), "_block": F.input_file_block_start()})).withColumnRenamed("_at", "_from")
+    keys = [*order_by, *places]
+    placed = _write_places(ordered.repartitionByRange(*keys).sortWithinPartitions(*keys).drop(*places))
     part = F.shiftright("_at", _PARTITION_BITS)
     counts = placed.groupBy(part.alias("_part")).agg(F.count("*").alias("_rows"))
     before = F.sum("_rows").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
@@ -38,10 +43,10 @@ def number_rows(df: DataFrame, order_by: Sequence[str] = (), name: str = "row_in
         "_part", F.coalesce(before, F.lit(0)).alias("_before"), F.sum("_rows").over(W.partitionBy()).alias("total_rows")
     )
     inside = F.col("_at").bitwiseAND(F.lit((1 << _PARTITION_BITS) - 1))
-    # One row per written partition: the number of tasks bounds this broadcast.
+    # One row per written partition; Spark broadcasts it while it is small.
     return (
         placed.withColumn("_part", part)
-        .join(F.broadcast(offsets), "_part")
+        .join(offsets, "_part")
         .withColumn(name, F.col("_before") + inside)
         .drop("_part", "_before", "_at")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 from collections.abc import Sequence
 
 from pyspark.errors import AnalysisException
@@ -14,6 +15,7 @@ from feedloom.operators.columns import DATE_COLUMN, quoted, whole_numbers
 from feedloom.session import JAPANESE, allow_japanese
 
 DAY = "feed_date"
+FILE = "feed_file"
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,), rebalance: bool = False) -> None:
@@ -66,14 +68,24 @@ def with_day(
 
 
 def append_feed(
-    feed: DataFrame, history: str, mode: str = "day", by: Sequence[str] = (DAY,), rebalance: bool = False
+    feed: DataFrame,
+    history: str,
+    mode: str = "day",
+    by: Sequence[str] = (DAY,),
+    rebalance: bool = False,
+    source: str | None = None,
 ) -> None:
     """Add a feed, with its ``feed_date``, to the history.
 
+    A history that a file stream also writes is laid out by day and source file. ``source`` names the batch there: what is
+    replaced is then a day's rows from this source.
+
     ``mode='day'`` replaces the days that occur in the feed, so a second run changes nothing. A
     day that the feed has no row of stays as it was.
     ``mode='raw'`` adds the rows to what is there, by position: a second run doubles them.
     """
+    if source is not None:
+        feed, by = feed.withColumn(FILE, F.lit(source)), (DAY, FILE)
     if mode == "day":
         write_parquet(feed, history, by, rebalance)
     elif mode == "raw":
@@ -106,6 +118,27 @@ def keep_last_days(history: DataFrame, days: int, day: str = DAY) -> DataFrame:
     return history.where(quoted(day) >= F.lit(oldest)) if oldest is not None else history.limit(0)
 
 
+def remove_day(spark: SparkSession, history: str, day: dt.date, column: str = DAY) -> None:
+    """Delete a day's folder of a history, if there is one."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{history.rstrip('/')}/{column}={day:%Y-%m-%d}")
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def remove_old_days(spark: SparkSession, history: str, days: int, day: str = DAY) -> list[str]:
+    """Delete the day folders of a history but the newest ``days``; gives the names of those that went.
+
+    Only the listing of the history is read. Folders of no day, and files beside them, stay.
+    """
+    home = spark._jvm.org.apache.hadoop.fs.Path(history)
+    system = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    held = {x.getPath().getName(): x.getPath() for x in system.listStatus(home) if x.isDirectory()}
+    dated = sorted(name for name in held if re.fullmatch(re.escape(day) + r"=\d{4}-\d{2}-\d{2}", name))
+    old = dated[: max(0, len(dated) - days)]
+    for name in old:
+        system.delete(held[name], True)
+    return old
+
+
 def clear_table(df: DataFrame, path: str) -> None:
     """Write the table without rows; its columns stay."""
     df.limit(0).write.mode("overwrite").parquet(path)

@@ -319,9 +319,10 @@ def feed_file_names(run_date: dt.date, days_ago: int, suffixes: Mapping[str, str
 
 @dataclass
 class FeedScan(Mapping):
-    """Feeds that were found, and those that were not with the reason."""
+    """Feeds that were found with their files, and those that were not with the reason."""
 
     frames: dict[str, DataFrame] = field(default_factory=dict)
+    paths: dict[str, str] = field(default_factory=dict)
     missing: dict[str, str] = field(default_factory=dict)
 
     def __getitem__(self, feed: str) -> DataFrame:
@@ -354,7 +355,9 @@ def scan_feeds(spark: SparkSession, folder: str, files: Mapping[str, str], **opt
             found.missing[feed] = f"not found or empty: {name}"
             continue
         try:
-            found.frames[feed] = scan_feed(spark, f"{folder.rstrip('/')}/{present}", **options)
+            path = f"{folder.rstrip('/')}/{present}"
+            found.frames[feed] = scan_feed(spark, path, **options)
+            found.paths[feed] = path
         except ValueError as error:
             found.missing[feed] = str(error)
     return found

@@ -15,11 +15,9 @@ from pyspark.sql.streaming import StreamingQuery
 from feedloom.functions.text import clean_currency
 from feedloom.operators.columns import DATE_COLUMN, quoted
 from feedloom.session import JAPANESE, allow_japanese
-from feedloom.sinks.feeds import DAY, append_feed, with_day
+from feedloom.sinks.feeds import DAY, FILE, append_feed, with_day
 from feedloom.sources.feeds import CURRENCY_COLUMN, text_schema
 
-FILE = "feed_file"
-
 
 def stream_feed(
     spark: SparkSession,
@@ -62,7 +60,8 @@ def append_stream(
     """Write a feed stream into the history.
 
     The unit that is replaced is a day's rows from one file. Two files of one day may so arrive in
-    different micro-batches, and a micro-batch that is run again after a failure changes nothing.
+    different micro-batches, and a micro-batch that is run again after a failure changes nothing. Batches join the same history
+    with ``append_feed(..., source=...)``.
     """
 
     def write(batch: DataFrame, batch_id: int) -> None:
