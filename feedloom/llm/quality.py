@@ -15,9 +15,10 @@ SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 BUCKETS = 1 << 14  # hash buckets of each of the two kinds of n-grams; all model tables have twice as many rows
-SMOOTHING = 0.5
+SMOOTHING = 0.5  # added to every bucket of the raw counts
+PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-THRESHOLD = -0.15  # mean log ratio of an n-gram: below it, the raw corpus explains the text better
+THRESHOLD = -0.5  # mean log ratio of an n-gram: below it, the raw corpus explains the text better by a clear margin
 
 
 def words_of(text: Column) -> Column:
@@ -88,8 +89,9 @@ def ngram_weights(docs: DataFrame, trusted: Column, text: str = "text") -> DataF
     every = docs.sparkSession.range(2 * BUCKETS).select(F.col("id").alias("bucket"))
     counts = settle(every.join(counts, "bucket", "left").fillna(0), "ngram-counts")
     total = counts.agg(F.sum("trusted").alias("t"), F.sum("raw").alias("r")).first()
-    share = lambda name, n: (F.col(name) + SMOOTHING) / (n + SMOOTHING * 2 * BUCKETS)
-    return counts.select("bucket", (F.log(share("trusted", total.t)) - F.log(share("raw", total.r))).alias("weight"))
+    raw = (F.col("raw") + SMOOTHING) / (total.r + SMOOTHING * 2 * BUCKETS)
+    trusted = (F.col("trusted") + PRIOR * raw) / (total.t + PRIOR)
+    return counts.select("bucket", F.log(trusted / raw).alias("weight"))
 
 
 def ratio_scores(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -136,7 +138,7 @@ def quality_rules(
     named like a new one are replaced.
 
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. With no trusted rows
-    the ratio is that of an even target. Null ids are judged like others. An empty table gives an empty table.
+    every ratio is 0. Null ids are judged like others. An empty table gives an empty table.
     """
     kept = docs.drop(*RULES, "ratio", "kept")
     verdicts = judged(docs, trusted_ids, doc_id, text, threshold).dropDuplicates(["doc", "row"])
