@@ -414,3 +414,59 @@ def test_written_feed_reads_everywhere(spark, tmp_path, lines):
     assert rows(S.scan_feed(spark, str(folder))) == sorted(lines)
     text = "".join(p.read_bytes().decode("cp932") for p in folder.glob("*.csv"))
     assert sorted(tuple(r) for r in csv.reader(io.StringIO(text, newline=""))) == sorted([("名", "v"), *lines])
+
+
+def test_headers_of_several_files(spark, tmp_path):
+    folder = tmp_path / "turned"
+    put(folder / "a.csv", "a,b\n1,2\n")
+    put(folder / "b.csv", "b,a\n2,1\n")
+    assert rows(S.scan_mixed_feed(spark, str(folder), ["a", "b"])) == [("1", "2"), ("1", "2")]
+    with pytest.raises(Exception, match="b.csv"):
+        S.scan_feed(spark, [str(folder / "a.csv"), str(folder / "b.csv")]).collect()
+    put(folder / "c.csv", "x,y\n3,4\n")
+    with pytest.raises(ValueError, match="c.csv"):
+        S.scan_mixed_feed(spark, str(folder), ["a", "b"])
+    odd = tmp_path / "odd"
+    put(odd / "a.csv", "a,,b\n1,2,3\n")
+    put(odd / "b.csv", "a,b,\n1,2,3\n")
+    with pytest.raises(ValueError, match="headers differ"):
+        S.scan_feed(spark, str(odd))
+
+
+def test_field_count_of_long_fields(spark):
+    record = '"' + 'x""y,' * 50_000 + '",b,"c'
+    assert spark.range(1).select(S.field_count(F.lit(record))).first()[0] == 3
+
+
+def test_lone_returns_are_not_split(spark, tmp_path):
+    assert S.may_be_split(spark, put(tmp_path / "plain.csv", "a,b\r\n1,2\r\n"))
+    assert not S.may_be_split(spark, put(tmp_path / "lone.csv", 'a,b\n"1\r1",2\n'))
+    path = str(tmp_path / "lone.csv")
+    assert rows(S.scan_feed(spark, path, multi_line=None)) == [("1\r1", "2")]
+
+
+def test_newest_report_may_be_empty(spark, tmp_path):
+    put(tmp_path / "detail_analyze_1.csv", "a\n1\n")
+    put(tmp_path / "detail_analyze_2.csv", "")
+    os.utime(tmp_path / "detail_analyze_1.csv", (1, 1))
+    newest = S.latest_file(spark, str(tmp_path), ["detail_analyze"]).first()["path"]
+    assert newest.endswith("detail_analyze_2.csv")
+    with pytest.raises(ValueError):
+        S.scan_feed(spark, newest)
+
+
+def test_feed_files_by_day_and_end(spark, tmp_path):
+    put(tmp_path / "20240131_own_CVrepo.csv", "a\n1\n")
+    put(tmp_path / "20240130_own_CVrepo.csv", "a\n2\n")
+    found = S.scan_feeds(spark, str(tmp_path), S.feed_file_names(dt.date(2024, 2, 1), 1))
+    assert rows(found["cv_attr"]) == [("1",)] and set(found.missing) == {"ss", "cv"}
+
+
+def test_old_days_are_deleted(spark, tmp_path):
+    history = str(tmp_path / "history")
+    for day in ("2024-01-01", "2024-01-02", "2024-01-05"):
+        K.append_feed(K.with_day(spark.createDataFrame([(day,)], "v string"), day), history)
+    assert K.remove_old_days(spark, history, 2) == ["feed_date=2024-01-01"]
+    assert rows(spark.read.parquet(history).select("v")) == [("2024-01-02",), ("2024-01-05",)]
+    K.remove_day(spark, history, dt.date(2024, 1, 5))
+    assert rows(spark.read.parquet(history).select("v")) == [("2024-01-02",)]
