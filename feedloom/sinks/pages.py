@@ -17,8 +17,9 @@ def save_snapshots(pages: DataFrame, folder: str, url: Column, captured_at: Colu
     """One HTML file per page in the folder, named by address and time; gives a row per file.
 
     Files are written by the tasks, wherever the folder is, when the result is used. A page that
-    cannot be written is reported and does not stop the rest. A repeated task writes the same files
-    again; of pages with one name the last one written stays, so give them times that differ.
+    cannot be written is reported and does not stop the rest. Pages of one name would overwrite one another: they are
+    found beforehand (names alone are counted), reported and not written; give them times that differ. A repeated task
+    writes the same files again.
     """
 
     def save(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -28,8 +29,12 @@ def save_snapshots(pages: DataFrame, folder: str, url: Column, captured_at: Colu
         target.create_dir(root, recursive=True)
         for batch in batches:
             sizes, problems = [], []
-            for name, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            for name, text, times in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 content = (text or "").encode()
+                if times:
+                    sizes.append(0)
+                    problems.append(f"{times} pages have this name")
+                    continue
                 try:
                     with target.open_output_stream(f"{root}/{name}") as out:
                         out.write(content)
@@ -42,4 +47,6 @@ def save_snapshots(pages: DataFrame, folder: str, url: Column, captured_at: Colu
             yield pa.RecordBatch.from_arrays(columns, names=["file_name", "size", "problem"])
 
     named = pages.select(snapshot_name(url, captured_at).alias("file_name"), F.col(html).alias("html"))
-    return named.mapInArrow(save, SAVED)
+    counts = named.groupBy(F.col("file_name").alias("name")).agg(F.count("*").alias("times")).where("times > 1")
+    checked = named.join(counts, F.col("file_name") == F.col("name"), "left").select("file_name", "html", "times")
+    return checked.mapInArrow(save, SAVED)

@@ -225,6 +225,21 @@ def test_scan_pages(spark, tmp_path):
     ]
 
 
+def test_snapshots_of_one_name_are_not_written(spark, tmp_path):
+    df = spark.createDataFrame(
+        [("https://h/x.y", "<a>1</a>", "2024-01-31 01:02:03"), ("https://h/x/y", "<a>2</a>", "2024-01-31 01:02:03"), ("https://h/z", "<a>3</a>", "2024-01-31 01:02:03")],
+        "url string, html string, at string",
+    )
+    folder = tmp_path / "same"
+    saved = save_snapshots(df, str(folder), F.col("url"), F.to_timestamp("at")).collect()
+    names = [r["file_name"] for r in saved]
+    problems = {r["file_name"]: r["problem"] for r in saved}
+    if len(set(names)) < 3:
+        assert sorted(problems.values()) == ["", "2 pages have this name"] and len(list(folder.glob("*.html"))) == 1
+    else:
+        assert set(problems.values()) == {""}
+
+
 def test_save_snapshots(spark, tmp_path):
     df = spark.createDataFrame(
         [("https://a.b/c.html?x", "2025-03-20 19:27:11", "<p>é"), ("https://a.b", "2025-03-20 19:27:12", None)],
