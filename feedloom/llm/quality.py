@@ -5,20 +5,24 @@ Everything here is built-in Spark functions.
 
 from __future__ import annotations
 
+from math import log
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import BLANKS, lower_ascii, settle
+from feedloom.llm.common import BLANKS, settle
 
 SPLIT = r"[\x20\x09-\x0D]+"
+# A word from its start, and ahead of it the word with its neighbour.
+PAIR = r"(?<![^\x20\x09-\x0D])(?=([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++))[^\x20\x09-\x0D]++"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-BUCKETS = 1 << 14  # hash buckets of each of the two kinds of n-grams; all model tables have twice as many rows
+BUCKETS = 1 << 14  # hash buckets of the n-grams, and so the size of the model
 SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-THRESHOLD = -0.5  # mean log ratio of an n-gram: below it, the raw corpus explains the text better by a clear margin
+THRESHOLD = -1.0  # mean log ratio of an n-gram: below it, the raw corpus explains each n-gram e times as well
 
 
 def words_of(text: Column) -> Column:
@@ -26,8 +30,8 @@ def words_of(text: Column) -> Column:
 
 
 def shapes_of(text: Column) -> Column:
-    """The text with each run of capitals, other letters or digits as one ``A``, ``a`` or ``9``."""
-    for pattern, mark in ((r"\p{Lu}+", "A"), (r"[\p{L}\p{M}&&[^A]]+", "a"), (r"\p{N}+", "9")):
+    """The text with each run of capitals, other letters or digits as one ``A``, ``a`` or ``9``; marks count as letters."""
+    for pattern, mark in ((r"[A-Z\p{Lu}]++", "A"), (r"[a-z[^\x00-\x7f\p{Lu}\p{N}\p{P}\p{S}\p{Z}]]++", "a"), (r"[0-9\p{N}]++", "9")):
         text = F.regexp_replace(text, pattern, mark)
     return text
 
@@ -69,63 +73,50 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 
 
 def ngram_buckets(text: Column) -> Column:
-    """The buckets of a text's words, and of its pairs of word shapes; both sets are as large as the text is long."""
-    shapes = words_of(shapes_of(text))
-    pairs = F.zip_with(shapes, F.slice(shapes, 2, F.greatest(F.size(shapes) - 1, F.lit(0))), lambda x, y: F.when(y.isNotNull(), BUCKETS + F.pmod(F.xxhash64(x, y), F.lit(BUCKETS))))
-    words = F.transform(words_of(lower_ascii(text)), lambda word: F.pmod(F.xxhash64(word), F.lit(BUCKETS)))
-    return F.concat(words, F.filter(pairs, lambda bucket: bucket.isNotNull()))
+    """The hash buckets of a text's pairs of neighbouring word shapes, as many as it has words less one."""
+    pairs = F.regexp_extract_all(shapes_of(text), F.lit(PAIR), F.lit(1))
+    return F.transform(pairs, lambda pair: F.pmod(F.xxhash64(pair), F.lit(BUCKETS)).cast("int"))
 
 
-def ngram_weights(docs: DataFrame, trusted: Column, text: str = "text") -> DataFrame:
-    """``(bucket, weight)``: the log ratio of a bucket's share in the trusted rows to its share in all rows.
+def ngram_weights(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[int]:
+    """By bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
-    All n-grams of all rows are counted, with partial results; the table has ``2 * BUCKETS`` rows at any size.
+    All n-grams of all rows are counted, with partial results. Not the texts but their buckets, which compress well, are
+    shuffled to meet the trusted ids. There are ``BUCKETS`` numbers at any size.
     """
+    trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
+    rows = docs.select(F.col(doc_id).alias("doc"), ngram_buckets(F.coalesce(F.col(text), F.lit(""))).alias("buckets"))
     counts = (
-        docs.select(trusted.cast("long").alias("t"), F.explode(ngram_buckets(F.coalesce(F.col(text), F.lit("")))).alias("bucket"))
+        rows.join(trusted, F.col("doc") == F.col("trusted"), "left")
+        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode("buckets").alias("bucket"))
         .groupBy("bucket")
         .agg(F.sum("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
+        .collect()
     )
-    every = docs.sparkSession.range(2 * BUCKETS).select(F.col("id").alias("bucket"))
-    counts = settle(every.join(counts, "bucket", "left").fillna(0), "ngram-counts")
-    total = counts.agg(F.sum("trusted").alias("t"), F.sum("raw").alias("r")).first()
-    raw = (F.col("raw") + SMOOTHING) / (total.r + SMOOTHING * 2 * BUCKETS)
-    trusted = (F.col("trusted") + PRIOR * raw) / (total.t + PRIOR)
-    return counts.select("bucket", F.log(trusted / raw).alias("weight"))
+    total_t, total_r = sum(r["trusted"] for r in counts), sum(r["raw"] for r in counts)
+    weights = [0] * BUCKETS
+    for r in counts:
+        raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * BUCKETS)
+        weights[r["bucket"]] = round(1_000_000 * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
+    return weights
 
 
-def ratio_scores(docs: DataFrame, weights: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``(doc, row, ratio)``: the mean weight of a text's n-grams, by id and text hash; texts without n-grams have no row.
-
-    The weights are broadcast: their number is fixed. Sums are of whole numbers (millionths), so that they do not depend
-    on the order of rows.
-    """
-    rows = docs.select(
-        F.col(doc_id).alias("doc"), F.xxhash64(text).alias("row"), F.explode(ngram_buckets(F.coalesce(F.col(text), F.lit("")))).alias("bucket")
-    )
-    exact = weights.select("bucket", F.round(F.col("weight") * 1_000_000).cast("long").alias("weight"))
-    return (
-        rows.join(F.broadcast(exact), "bucket")
-        .groupBy("doc", "row")
-        .agg((F.sum("weight") / F.count(F.lit(1)) / 1_000_000).alias("ratio"))
-    )
+def ratio(text: Column, weights: list[int]) -> Column:
+    """The mean weight of a text's n-grams; 0 for a text without any. Sums of whole numbers do not depend on an order."""
+    table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")  # folded into one constant
+    buckets = ngram_buckets(text)
+    state = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("n"))
+    add = lambda s, b: F.struct((s["sum"] + F.get(table, b)).alias("sum"), (s["n"] + 1).alias("n"))
+    return F.aggregate(buckets, state, add, lambda s: F.when(s["n"] == 0, 0.0).otherwise(s["sum"] / s["n"] / 1_000_000))
 
 
-def judged(
+def rated(
     docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
 ) -> DataFrame:
-    """``(doc, row, ...)``: for each document its id, text hash, rule counts, ``ratio`` and ``kept``; see ``quality_rules``."""
-    # words and lines never leave their row; the corpus is shuffled once, by id, to meet the trusted ids
-    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
-    trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
-    marked = narrow.join(trusted, F.col("doc") == F.col("trusted"), "left")
-    weights = ngram_weights(marked, F.col("trusted").isNotNull())
-    scores = settle(ratio_scores(narrow, weights, "doc", "text"), "ratios")
-    # written before anything filters on it, so that no filter computes the counts a second time
-    counts = settle(rule_counts(narrow.withColumn("row", F.xxhash64("text"))).drop("text"), "rule-counts")
-    joined = counts.join(scores.withColumnsRenamed({"doc": "__doc", "row": "__row"}), F.col("doc").eqNullSafe(F.col("__doc")) & (F.col("row") == F.col("__row")), "left")
-    kept = ~F.col("base_failed") & (F.coalesce("ratio", F.lit(0.0)) >= threshold)
-    return joined.select("doc", "row", *RULES, "ratio", kept.alias("kept"))
+    """``quality_rules``, not yet written: a filter on it would compute the counts twice."""
+    weights = ngram_weights(docs, trusted_ids, doc_id, text)
+    counted = rule_counts(docs.drop("ratio", "kept"), text).withColumn("ratio", ratio(F.coalesce(F.col(text), F.lit("")), weights))
+    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
 
 
 def quality_rules(
@@ -140,8 +131,4 @@ def quality_rules(
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. With no trusted rows
     every ratio is 0. Null ids are judged like others. An empty table gives an empty table.
     """
-    kept = docs.drop(*RULES, "ratio", "kept")
-    verdicts = judged(docs, trusted_ids, doc_id, text, threshold).dropDuplicates(["doc", "row"])
-    verdicts = settle(verdicts, "verdicts").withColumnsRenamed({"doc": "__doc", "row": "__row"})
-    same = F.col(doc_id).eqNullSafe(F.col("__doc")) & (F.xxhash64(text) == F.col("__row"))
-    return kept.join(verdicts, same).select(*kept.columns, *RULES, "ratio", "kept")
+    return settle(rated(docs, trusted_ids, doc_id, text, threshold), "rated")

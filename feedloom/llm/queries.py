@@ -10,13 +10,13 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.archive import audit, laid_out, numbered, warc_record
 from feedloom.llm.classifier import fit, in_fold, quality_scores
-from feedloom.llm.common import table
+from feedloom.llm.common import settle, table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.pii import KINDS, find_pii, span_text
-from feedloom.llm.quality import judged
+from feedloom.llm.quality import rated
 from feedloom.llm.repeats import remove_repeats
 from feedloom.llm.tokens import bpe_decode, bpe_encode
 
@@ -113,8 +113,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query()
 def op9_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
-    verdicts = judged(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
-    return verdicts.select(F.col("doc").alias("doc_id"), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
+    verdicts = rated(table(spark, sf_dir, "documents").select("doc_id", "text"), trusted_ids(spark, sf_dir))
+    return verdicts.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "ratio")
 
 
 @query()
@@ -129,7 +129,8 @@ def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_byte_level_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     vocabulary = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     encoded = bpe_encode(table(spark, sf_dir, "documents").select("doc_id", "text"), vocabulary, public_tokenizers.PATTERN)
-    decoded = bpe_decode(encoded.drop("text"), vocabulary, public_tokenizers.PATTERN)
+    # written, so that encoding and decoding run in turn: their Python workers share the executors' memory
+    decoded = bpe_decode(settle(encoded.drop("text"), "token-ids"), vocabulary, public_tokenizers.PATTERN)
     return decoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),

@@ -13,7 +13,7 @@ from feedloom.llm.components import connect
 from feedloom.llm.jaccard import bands, jaccard_components, shingle_set, sketches
 from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.pii import KINDS, base_spans, find_pii, redact_pii, span_text
-from feedloom.llm.quality import judged, quality_rules, rule_counts
+from feedloom.llm.quality import quality_rules, rated, rule_counts
 from feedloom.llm.repeats import remove_repeats
 
 ODD = [None, "", " ", "\n\n", "é" * 500, "a" * 3000, "x y " * 900, "\x1c\x85  ", "日本語 テキスト\n" * 40]
@@ -312,7 +312,7 @@ def test_quality_ratio(spark):
     trusted = spark.createDataFrame([(i,) for i in range(0, 30, 2)] + [(None,)], "doc_id long")
     got = quality_rules(docs, trusted).collect()
     assert len(got) == 42 and {r.doc_id for r in got if r.kept} == set(range(30))
-    assert judged(empty(spark), trusted).collect() == []
+    assert rated(empty(spark), trusted).collect() == []
     assert sorted(quality_rules(frame(spark, clean[:2], [None, 1]), trusted).columns)[:2] == ["base_failed", "doc_id"]
 
 
