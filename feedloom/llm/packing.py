@@ -8,8 +8,10 @@ go; ranks are given by counting in each partition, and every piece then finds it
 from __future__ import annotations
 
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -43,9 +45,9 @@ class _Words:
             if len(self.known) > WORDS_KEPT:
                 self.known.clear()
             split = [self.split.findall(text) for text in part]
-            new = list({word for words in split for word in words if word not in self.known})
+            new = list(set(chain.from_iterable(split)).difference(self.known))
             for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[word] = np.array(found.ids, "<u4").tobytes()
+                self.known[word] = array("I", found.ids).tobytes()
             for words in split:
                 yield b"".join(map(self.known.__getitem__, words))
 
