@@ -220,7 +220,9 @@ def remove_repeats(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     kept = docs.drop("spans", "n_bytes", "n_removed", "kept")
     found = settle(_runs(docs, doc_id, text, length, gram), "runs")
     often = found.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("print").alias("x"), F.max("print").alias("y")).where("n > 1")
-    shared = settle(found.join(often.select("hash", (F.col("x") != F.col("y")).alias("mixed")), "hash"), "shared-runs")
+    # written, so that the join reads two plain tables and a hot anchor's partition can be split
+    often = settle(often.select("hash", (F.col("x") != F.col("y")).alias("mixed")), "shared-anchors")
+    shared = settle(found.join(often, "hash"), "shared-runs")
     mixed = shared.where("mixed")
     texts = settle(_texts(mixed, docs, doc_id, text, length).dropDuplicates(["hash", "print"]), "run-texts")
     groups = settle(_slices(texts, length, False).groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1"), "slice-groups")
