@@ -176,7 +176,7 @@ def nearest(vectors: DataFrame, query: Column, vec_id: str = "vec_id", embedding
     a vector that a third of all rows share is one entry. Repeated ids are rows of their own. An empty table or no
     query gives an empty table.
     """
-    rows = _usable(vectors.where(F.lit(True)), vec_id, embedding)
+    rows = _usable(vectors, vec_id, embedding)
     size = rows.agg(F.min(F.size("vector"))).first()[0] or 1
     rows = rows.where(F.size("vector") == size)
     classes = settle(_classes(rows, k), "vector-classes")
