@@ -24,6 +24,7 @@ WORDS_KEPT = 300_000  # entries of a worker's word-hash memory; it is emptied wh
 BAND_RATIO = 1.4
 EXTRA_CELLS = 1.3  # cells of a sketch for each cell that a set enters
 BITS = 16  # parity bits for each shingle in which linked sets may differ
+FILTER_BITS = 25  # of the bitmap that passes over documents without near copies: 4 MB
 BLOCK = 2048  # most members of a key that one group holds; a larger key is compared block by block
 
 _MULTIPLIERS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F], np.uint64)
@@ -175,20 +176,59 @@ def _verified(pairs: DataFrame, texts: DataFrame, doc_id: str, text: str, size:
     return map_batches(both, run, f"a {name}, b {name}")
 
 
-def _members(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
-    """``(key, place, total, doc)`` of the keys that two documents or more have, numbered within the key."""
+def _members(docs: DataFrame, named: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """``(key, place, total, doc)`` of the keys that two documents or more have, numbered within the key.
+
+    Copies enter together with the document that stands for them, which takes their place where a key is shared: so the
+    texts need not be filtered, and the few shared keys are all that is joined.
+    """
     by_key = Window.partitionBy("key")
-    up_to = by_key.orderBy("first").rowsBetween(Window.unboundedPreceding, -1)
-    rows = F.size("others") + 1
-    return (
+    shared = (
         _entries(docs, doc_id, text, size, percent)
-        .withColumns({"total": F.sum(rows).over(by_key), "before": F.coalesce(F.sum(rows).over(up_to), F.lit(0))})
+        .withColumn("n", F.sum(F.size("others") + 1).over(by_key))
+        .where("n > 1")
+        .select("key", F.explode(F.concat(F.array("first"), "others")).alias("doc"))
+    )
+    names = named.where("rep is not null").select("doc", "rep").distinct()
+    reps = settle(shared.join(names, "doc").select("key", F.col("rep").alias("doc")).distinct(), "sketch-keys")
+    order = by_key.orderBy("doc")
+    return (
+        reps.withColumns({"total": F.count(F.lit(1)).over(by_key), "place": F.row_number().over(order) - 1})
         .where("total > 1")
-        .select("key", "total", "before", F.posexplode(F.concat(F.array("first"), "others")).alias("i", "doc"))
-        .select("key", (F.col("before") + F.col("i")).alias("place"), "total", "doc")
+        .select("key", "place", "total", "doc")
     )
 
 
+def _only(docs: DataFrame, wanted: DataFrame, doc_id: str) -> DataFrame:
+    """The documents whose id is wanted, and a few others: a bitmap of hashed ids passes over the rest where they are read.
+
+    The bitmap has ``2 ** FILTER_BITS`` bits at any size, so it may be broadcast; the more ids, the more others pass.
+    """
+    place = F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+    found = (
+        wanted.select(place.alias("at"))
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+        .collect()
+    )
+    bitmap = np.zeros((1 << FILTER_BITS) // 8 + 8192, np.uint8)
+    for r in found:
+        begin = (r["bucket"] - 1) * 4096
+        bitmap[begin : begin + 4096] |= np.frombuffer(r["bits"], np.uint8)
+    shared = docs.sparkSession.sparkContext.broadcast(bitmap)
+    # bucket and position as the bitmap functions count them
+    marked = docs.select("*", ((F.bitmap_bucket_number(place) - 1) * 32768 + F.bitmap_bit_position(place)).alias("__at"))
+    schema = docs.schema
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        at = batch.column(batch.num_columns - 1).to_numpy(zero_copy_only=False).astype(np.int64)
+        keep = (shared.value[at >> 3] >> (at & 7).astype(np.uint8)) & 1
+        kept = batch.filter(pa.array(keep.astype(bool)))
+        return pa.RecordBatch.from_arrays(kept.columns[:-1], [f.name for f in schema])
+
+    return map_batches(marked, run, schema)
+
+
 def _bits(docs: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
     """``(doc, band, n, bits)``: the parity bits of every set in its bands."""
     kind = arrow_kind(docs, doc_id)
@@ -309,10 +349,10 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     docs = docs.select(doc_id, text)
     sizes = settle(_sizes(docs, doc_id, text, size), "shingle-sizes")
     classes = settle(sizes.where("print is not null and doc is not null").groupBy("print").agg(F.min("doc").alias("rep")), "shingle-classes")
-    named = sizes.join(classes, "print", "left").select("doc", "n", F.coalesce("rep", "doc").alias("rep"))
-    reps = docs.join(classes.select(F.col("rep").alias(doc_id)).distinct(), doc_id, "left_semi")
-    members = settle(_members(reps, doc_id, text, size, percent), "sketch-members")
-    texts = settle(docs.join(members.select(F.col("doc").alias(doc_id)).distinct(), doc_id, "left_semi").dropDuplicates([doc_id]), "sketch-texts")
+    named = sizes.join(classes, "print", "left").select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("rep", "doc")).alias("rep"))
+    members = settle(_members(docs, named, doc_id, text, size, percent), "sketch-members")
+    wanted = members.select(F.col("doc").alias(doc_id)).distinct()
+    texts = settle(_only(docs, wanted, doc_id).join(wanted, doc_id, "left_semi").dropDuplicates([doc_id]), "sketch-texts")
     bits = settle(_bits(texts, doc_id, text, size, percent), "sketch-bits")
 
     def candidates(rows: DataFrame, all_pairs: bool) -> DataFrame:
