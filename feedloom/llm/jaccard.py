@@ -23,7 +23,7 @@ from feedloom.llm.components import connect
 WORDS_KEPT = 300_000  # entries of a worker's word-hash memory; it is emptied when full
 BAND_RATIO = 1.4
 EXTRA_CELLS = 1.3  # cells of a sketch for each cell that a set enters
-BITS = 16  # parity bits for each shingle in which linked sets may differ
+BITS = 8  # parity bits for each shingle in which linked sets may differ
 FILTER_BITS = 25  # of the bitmap that passes over documents without near copies: 4 MB
 BLOCK = 2048  # most members of a key that one group holds; a larger key is compared block by block
 
