@@ -11,6 +11,7 @@ import base64
 import heapq
 from collections.abc import Iterable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -20,7 +21,7 @@ from pyspark.sql import types as T
 
 from feedloom.llm.common import map_batches
 
-WORDS_KEPT = 400_000  # words that a worker remembers; the memory is emptied when full
+WORDS_KEPT = 400_000  # words that a worker remembers: half of them the last ones met, half those before
 CHARS_AT_ONCE = 2_000_000  # of texts whose words are looked up together
 WORDS_AT_ONCE = 40_000  # words of one recursive query
 LONG_WORD = 64  # bytes; the rounds of a longer word would cost the square of its length, so it is merged with a heap
@@ -73,6 +74,7 @@ class BytePairs:
         self.split = regex.compile(pattern)
         self.bytes = [self.ranks[bytes([i])] for i in range(256)]
         self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
         pairs = [
             (self.ranks[t[:i]], self.ranks[t[i:]], rank) for t, rank in self.ranks.items() for i in range(1, len(t)) if t[:i] in self.ranks and t[i:] in self.ranks
@@ -150,10 +152,13 @@ class BytePairs:
         """The ids of each text as int32 bytes."""
         found: list[bytes] = []
         for part in parts(texts):
-            if len(self.known) > WORDS_KEPT:
-                self.known.clear()
+            if len(self.known) > WORDS_KEPT // 2:
+                self.earlier, self.known = self.known, {}
             split = [self.split.findall(text) for text in part]
-            self._learn({word for words in split for word in words if word not in self.known})
+            new = set(chain.from_iterable(split)).difference(self.known)
+            met = new.intersection(self.earlier)
+            self.known.update((word, self.earlier[word]) for word in met)
+            self._learn(new - met)
             found += [b"".join(map(self.known.__getitem__, words)) for words in split]
         return found
 

@@ -51,6 +51,19 @@ def test_bpe_round_trip(spark):
     assert bpe_encode(frame(spark, [None]).limit(0), RANKS, PATTERN).collect() == []
 
 
+def test_words_are_forgotten_in_turn(monkeypatch):
+    from feedloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 40)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 100)
+    rng, pairs, encoding = random.Random(7), BytePairs(RANKS, PATTERN), reference_encoding()
+    texts = [" ".join(f"wort{rng.randrange(rng.choice([9, 900]))}" for _ in range(12)) for _ in range(60)]
+    monkeypatch.setattr(tokens.parts, "__defaults__", (100,))
+    for _ in range(2):
+        assert [np.frombuffer(x, np.int32).tolist() for x in pairs.encode(texts)] == [encoding.encode_ordinary(t) for t in texts]
+    assert len(pairs.known) <= 40 and pairs.earlier
+
+
 def test_long_words_like_short_ones():
     rng, pairs = random.Random(3), BytePairs(RANKS, PATTERN)
     words = ["".join(rng.choice("etaoin shrdlu".replace(" ", "")) for _ in range(rng.randrange(2, 60))) for _ in range(300)]
