@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from math import log
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import BLANKS, settle
@@ -18,11 +18,12 @@ PAIR = r"(?<![^\x20\x09-\x0D])(?=([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-BUCKETS = 1 << 14  # hash buckets of the n-grams, and so the size of the model
+KINDS = 3  # of n-grams: words, pairs of words, pairs of word shapes
+BUCKETS = 1 << 14  # hash buckets of each kind; the model has KINDS times as many numbers
 SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
-THRESHOLD = -1.0  # mean log ratio of an n-gram: below it, the raw corpus explains each n-gram e times as well
+DEVIATIONS = 3  # a text of the target is rarely rated further below the mean of the trusted documents
 
 
 def words_of(text: Column) -> Column:
@@ -72,61 +73,91 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     )
 
 
-def ngram_buckets(text: Column) -> Column:
-    """The hash buckets of a text's pairs of neighbouring word shapes, as many as it has words less one."""
-    pairs = F.regexp_extract_all(shapes_of(text), F.lit(PAIR), F.lit(1))
-    return F.transform(pairs, lambda pair: F.pmod(F.xxhash64(pair), F.lit(BUCKETS)).cast("int"))
+def with_buckets(rows: DataFrame, text: str) -> DataFrame:
+    """The rows with ``__buckets``: the hash buckets of a text's words, of its words with the next one, and of its pairs of word shapes.
+
+    Words are lower-cased; the last one's neighbour is the text's end. Each kind has ``BUCKETS`` buckets of its own.
+    """
+    value = F.coalesce(F.col(text), F.lit(""))
+    bucket = lambda kind, *gram: (F.pmod(F.xxhash64(*gram), F.lit(BUCKETS)) + kind * BUCKETS).cast("int")
+    # the words are a column of their own, so that a look at a neighbour does not split the text again
+    split = rows.select("*", words_of(F.lower(value)).alias("__lower"), F.regexp_extract_all(shapes_of(value), F.lit(PAIR), F.lit(1)).alias("__shapes"))
+    words = F.transform("__lower", lambda word: bucket(0, word))
+    pairs = F.transform("__lower", lambda word, i: bucket(1, word, F.get("__lower", i + 1)))
+    shapes = F.transform("__shapes", lambda pair: bucket(2, pair))
+    return split.select(*rows.columns, F.concat(words, pairs, shapes).alias("__buckets"))
 
 
-def ngram_weights(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> list[int]:
-    """By bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
+def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[list[int], float]:
+    """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
     All n-grams of all rows are counted, with partial results. Not the texts but their buckets, which compress well, are
-    shuffled to meet the trusted ids. There are ``BUCKETS`` numbers at any size.
+    shuffled to meet the trusted ids. There are ``KINDS * BUCKETS`` numbers at any size.
+
+    The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
+    also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
+    counts taken away), and the threshold is ``DEVIATIONS`` standard deviations below the mean if that is less than 0.
+    Documents with fewer than ``MIN_WORDS`` words fail by the base rules and have no say.
     """
     trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
-    rows = docs.select(F.col(doc_id).alias("doc"), ngram_buckets(F.coalesce(F.col(text), F.lit(""))).alias("buckets"))
-    counts = (
-        rows.join(trusted, F.col("doc") == F.col("trusted"), "left")
-        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode("buckets").alias("bucket"))
+    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
+    counted = (
+        with_buckets(narrow, "text").select("doc", "__buckets")
+        .join(trusted, F.col("doc") == F.col("trusted"), "left")
+        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode_outer("__buckets").alias("bucket"))
+        .where("bucket is not null")
         .groupBy("bucket")
         .agg(F.sum("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
-        .collect()
     )
-    total_t, total_r = sum(r["trusted"] for r in counts), sum(r["raw"] for r in counts)
-    weights = [0] * BUCKETS
-    for r in counts:
-        raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * BUCKETS)
+    counts = settle(counted, "ngram-counts")
+    found = counts.collect()
+    total_t, total_r = sum(r["trusted"] for r in found), sum(r["raw"] for r in found)
+    weights = [0] * (KINDS * BUCKETS)
+    for r in found:
+        raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
         weights[r["bucket"]] = round(1_000_000 * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
-    return weights
+    # one row for each trusted document and bucket, less its own count
+    told = with_buckets(narrow.join(trusted, F.col("doc") == F.col("trusted"), "left_semi"), "text")
+    own = told.select("doc", F.explode_outer("__buckets").alias("bucket")).where("bucket is not null").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    raw = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
+    weight = F.log((F.col("trusted") - F.col("n") + PRIOR * raw) / raw)
+    ratings = (
+        own.join(F.broadcast(counts), "bucket")
+        .groupBy("doc")
+        .agg(F.sum("n").alias("size"), F.sum(F.col("n") * weight).alias("sum"))
+        .where(F.col("size") >= KINDS * MIN_WORDS - 1)
+        .select((F.col("sum") / F.col("size") - F.log(total_t - F.col("size") + PRIOR)).alias("ratio"))
+    )
+    mean, spread = ratings.agg(F.avg("ratio"), F.coalesce(F.stddev("ratio"), F.lit(0.0))).first()
+    return weights, 0.0 if mean is None else min(0.0, round(mean - DEVIATIONS * spread, 6))
 
 
-def ratio(text: Column, weights: list[int]) -> Column:
+def ratio(buckets: str, weights: list[int]) -> Column:
     """The mean weight of a text's n-grams; 0 for a text without any. Sums of whole numbers do not depend on an order."""
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")  # folded into one constant
-    buckets = ngram_buckets(text)
-    state = F.struct(F.lit(0).cast("long").alias("sum"), F.lit(0).cast("long").alias("n"))
-    add = lambda s, b: F.struct((s["sum"] + F.get(table, b)).alias("sum"), (s["n"] + 1).alias("n"))
-    return F.aggregate(buckets, state, add, lambda s: F.when(s["n"] == 0, 0.0).otherwise(s["sum"] / s["n"] / 1_000_000))
+    total = F.aggregate(buckets, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
+    return F.when(F.size(buckets) == 0, 0.0).otherwise(total / F.size(buckets) / 1_000_000)
 
 
 def rated(
-    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float | None = None
 ) -> DataFrame:
     """``quality_rules``, not yet written: a filter on it would compute the counts twice."""
-    weights = ngram_weights(docs, trusted_ids, doc_id, text)
-    counted = rule_counts(docs.drop("ratio", "kept"), text).withColumn("ratio", ratio(F.coalesce(F.col(text), F.lit("")), weights))
-    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= threshold))
+    weights, least = ngram_model(docs, trusted_ids, doc_id, text)
+    hashed = with_buckets(rule_counts(docs.drop("ratio", "kept"), text), text)
+    counted = hashed.withColumn("ratio", ratio("__buckets", weights)).drop("__buckets")
+    return counted.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= (least if threshold is None else threshold)))
 
 
 def quality_rules(
-    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float = THRESHOLD
+    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float | None = None
 ) -> DataFrame:
     """The documents with the rule counts, ``ratio`` and ``kept``: whether they pass the base rules and the ratio.
 
     ``trusted_ids`` has one column, the ids of the target corpus. The target's n-grams are counted against those of all
-    documents; a document whose mean log ratio is below ``threshold`` is rejected. Rows keep all their columns; those
-    named like a new one are replaced.
+    documents; a document whose mean log ratio is below ``threshold`` is rejected; without one, ``ngram_model`` takes it
+    from the trusted documents. Rows keep all their columns; those named like a new one are replaced.
 
     Null and empty texts have no words and fail the base rules. Repeated rows are judged alike. With no trusted rows
     every ratio is 0. Null ids are judged like others. An empty table gives an empty table.

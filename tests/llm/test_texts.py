@@ -316,5 +316,18 @@ def test_quality_ratio(spark):
     assert sorted(quality_rules(frame(spark, clean[:2], [None, 1]), trusted).columns)[:2] == ["base_failed", "doc_id"]
 
 
+def test_quality_ratio_sees_words(spark):
+    """Bad documents with the word shapes of the good ones, but other words; then the same words in another order."""
+    rng = random.Random(11)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(5))
+    good, bad, names = ([word() for _ in range(200)] for _ in range(3))
+    text = lambda words: " ".join(rng.choice(words) for _ in range(120))
+    phrases = lambda step: " ".join(f"{names[i]} {names[(i + step) % 200]}" for i in rng.choices(range(0, 200, 2), k=60))
+    trusted = spark.createDataFrame([(i,) for i in range(0, 60, 2)], "doc_id long")
+    for texts in ([text(good) for _ in range(60)] + [text(bad) for _ in range(60)], [phrases(1) for _ in range(60)] + [phrases(101) for _ in range(60)]):
+        got = {r.doc_id: r.kept for r in quality_rules(frame(spark, texts), trusted).collect()}
+        assert sum(got[i] for i in range(60)) >= 58 and not any(got[i] for i in range(60, 120))
+
+
 def test_hash_of_kept_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
