@@ -31,11 +31,12 @@ WORDS_KEPT = 400_000
 class _Words:
     """Ids of words by a tokenizer file; its byte-level splitting is the pattern's, so words are encoded one by one and kept."""
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        self.tokenizer.encode_special_tokens = not added_tokens  # their strings in a text are ordinary text
+        self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.split = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
 
@@ -44,36 +45,43 @@ class _Words:
         for part in parts(texts):
             if len(self.known) > WORDS_KEPT:
                 self.known.clear()
-            split = [self.split.findall(text) for text in part]
+            # the pattern would cut an added token, so the library takes a text that holds one as a whole
+            whole = {text for text in part if any(x in text for x in self.added)}
+            split = [[] if text in whole else self.split.findall(text) for text in part]
             new = list(set(chain.from_iterable(split)).difference(self.known))
             for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
                 self.known[word] = array("I", found.ids).tobytes()
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
+            for text, words in zip(part, split, strict=True):
+                if text in whole:
+                    yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()
+                else:
+                    yield b"".join(map(self.known.__getitem__, words))
 
 
 @lru_cache(maxsize=1)
-def _words(path: str, pattern: str) -> _Words:
+def _words(path: str, pattern: str, added_tokens: bool) -> _Words:
     import os
 
     os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one task, one thread
-    return _Words(path, pattern)
+    return _Words(path, pattern, added_tokens)
 
 
 def token_pieces(
-    docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True
+    docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, added_tokens: bool = False
 ) -> DataFrame:
     """``(doc_id, piece, start, length, ids_crc32, ids)``: every document's ids and an end id, cut only where longer than a sequence.
 
     All pieces but the first are full. A null text counts as empty: its only id is the end id. Repeated rows and null
     ids give pieces like others; an empty table gives none. ``ids`` is left out without ``with_ids``.
+    With ``added_tokens`` the strings of the file's added tokens in a text are those tokens, as the library has it; else
+    they are ordinary text.
     """
     kind = arrow_kind(docs, doc_id)
     end = np.array([end_id], "<u4").tobytes()
 
     def run(batch: pa.RecordBatch) -> pa.RecordBatch:
         out: tuple[list, ...] = ([], [], [], [], [], [])
-        words = _words(path, pattern)
+        words = _words(path, pattern, added_tokens)
         for doc, found in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
             raw = found + end
             size = len(raw) // 4
@@ -190,7 +198,7 @@ def pack(pieces: DataFrame, order: list[str], length: str = "length", capacity:
     return map_batches(ranked, run, schema)
 
 
-def pack_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True) -> DataFrame:
+def pack_documents(docs: DataFrame, path: str, pattern: str, doc_id: str = "doc_id", text: str = "text", capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = True, added_tokens: bool = False) -> DataFrame:
     """All documents, tokenized, cut and packed: see ``token_pieces`` and ``pack``."""
-    pieces = token_pieces(docs, path, pattern, doc_id, text, capacity, end_id, with_ids)
+    pieces = token_pieces(docs, path, pattern, doc_id, text, capacity, end_id, with_ids, added_tokens)
     return pack(pieces, [doc_id, "piece", "ids_crc32"], "length", capacity)

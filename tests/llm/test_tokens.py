@@ -101,6 +101,24 @@ def test_packing_documents(spark):
             assert p.length == len(part) and p.ids_crc32 == zlib.crc32(part.tobytes())
 
 
+def test_packing_takes_added_tokens_as_the_library(spark, monkeypatch):
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+    from feedloom.llm import queries
+
+    tokenizer = Tokenizer.from_file(WORDS)
+    texts = ["one <|endoftext|> two", "<|endoftext|><|endoftext|>x", "<|endoftext|", "plain text", None, *ODD[:7]]
+    expected = [[*tokenizer.encode(text or "", add_special_tokens=False).ids, 2] for text in texts]
+    assert expected[0] == [505, 220, 50256, 734, 2]
+    docs = frame(spark, texts)
+    rows = corpus_pipeline.packing(spark, docs, "").orderBy("doc_id").collect()
+    assert [r.ids for r in rows] == expected
+    monkeypatch.setattr(queries, "table", lambda *_: docs)
+    rows = queries.op3_best_fit_packing(spark, "").orderBy("doc_id").collect()
+    assert [r.ids_crc32 for r in rows] == [zlib.crc32(np.array(x, "<u4").tobytes()) for x in expected]
+
+
 @pytest.mark.parametrize("seed", range(20))
 def test_plan_places_all(seed):
     rng = random.Random(seed)
