@@ -7,6 +7,7 @@ blocks around its own on every curve. The results of all curves are merged and r
 
 from __future__ import annotations
 
+from functools import reduce
 from math import ceil
 
 import numpy as np
@@ -171,17 +172,23 @@ def nearest(vectors: DataFrame, query: Column, vec_id: str = "vec_id", embedding
     Nearness is the cosine of the original vectors in double precision; ties go to the smaller id. All rows but the
     query's own are candidates; with fewer than ``k``, all of them are given.
 
-    Null or all-zero vectors, vectors with null or non-finite components, rows with a null id and vectors of another
-    length than the shortest take no part. Rows of one vector are one class on the curves and are listed by id, so
+    Null or all-zero vectors, vectors with null or non-finite components and rows with a null id take no part. Vectors are
+    compared with those of their own length; each length is searched on its own. Rows of one vector are one class on the curves and are listed by id, so
     a vector that a third of all rows share is one entry. Repeated ids are rows of their own. An empty table or no
     query gives an empty table.
     """
     rows = _usable(vectors, vec_id, embedding)
-    size = rows.agg(F.min(F.size("vector"))).first()[0] or 1
-    rows = rows.where(F.size("vector") == size)
+    wanted = _usable(vectors.where(query), vec_id, embedding)
+    # only lengths that a query has are searched; a table has one, or a few with ragged rows
+    sizes = sorted(r["size"] for r in wanted.select(F.size("vector").alias("size")).distinct().collect()) or [1]
+    found = [_nearest(rows.where(F.size("vector") == size), wanted.where(F.size("vector") == size), size, k) for size in sizes]
+    return reduce(DataFrame.unionByName, found)
+
+
+def _nearest(rows: DataFrame, wanted: DataFrame, size: int, k: int) -> DataFrame:
+    """``nearest`` for the vectors of one length."""
     classes = settle(_classes(rows, k), "vector-classes")
-    wanted = _usable(vectors.where(query), vec_id, embedding).join(classes.select("vector", "rep"), "vector")
-    asked = settle(wanted.select(F.col("id").alias("query_id"), "rep"), "vector-queries")
+    asked = settle(wanted.join(classes.select("vector", "rep"), "vector").select(F.col("id").alias("query_id"), "rep"), "vector-queries")
     ranks = settle(_ordered(classes, size), "vector-ranks")
     width = window_width(asked, classes, ranks, size, k)
     kind, name = arrow_kind(classes, "rep"), kind_of(classes, "rep")

@@ -234,6 +234,17 @@ def test_neighbours_odd_tables(spark):
     assert [(r.rank, r.vec_id, round(r.score, 6)) for r in got] == [(1, 1, 0.707107), (2, 2, 0.0)]
 
 
+def test_neighbours_of_ragged_tables(spark):
+    rows = [(i, [1.0, float(i), 0.0, 0.0]) for i in range(8)] + [(100, [1.0, 0.0, 0.0]), (101, [0.0, 1.0, 0.0]), (102, [2.0]), (103, [])]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {}
+    for r in sorted(nearest(table, F.col("vec_id").isin(0, 3, 100, 102, 103), k=3).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append(r.vec_id)
+    assert got == {0: [1, 2, 3], 3: [4, 5, 2], 100: [101]}
+    one_short = nearest(table.where("vec_id < 8 or vec_id = 102"), F.col("vec_id") == 0, k=3).orderBy("rank")
+    assert [r.vec_id for r in one_short.collect()] == [1, 2, 3]
+
+
 # classifier
 
 
