@@ -18,6 +18,7 @@ from feedloom.llm.packing import pack_documents
 from feedloom.llm.pii import KINDS, find_pii, span_text
 from feedloom.llm.quality import rated
 from feedloom.llm.repeats import remove_repeats
+from feedloom.llm.tokenfiles import read_token_documents, write_token_files
 from feedloom.llm.tokens import bpe_decode, bpe_encode
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,3 +209,10 @@ def op10_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     space = fit(docs, table(spark, sf_dir, "labels").where(~in_fold(F.col("doc_id"))))
     scored = quality_scores(docs, space)
     return scored.select("doc_id", in_fold(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted"))
+
+
+@query()
+def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    manifest = write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"))
+    return read_token_documents(manifest, docs.schema["doc_id"].dataType.simpleString())
