@@ -15,7 +15,6 @@ import zlib
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -23,48 +22,117 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from feedloom.llm.common import arrow_kind, kind_of, settle
-from feedloom.llm.tokens import parts
 from feedloom.session import work_path
 
 LENGTH = 1024  # tokens of a sequence; a multiple of 8, so that masks begin at whole bytes
 BATCH = 256  # sequences of a record batch
 FILE_SEQUENCES = 1 << 16  # sequences of a file, more or less
 EXTENT = 4096  # sequences looked up by one key
-WORDS_KEPT = 400_000
-CHARS_KEPT = 64  # longer words are encoded each time
-WORD = re.compile(r"[^ \t\n\r]+")
+PIECES_KEPT = 1_200_000  # that a worker remembers: half of them the last ones met, half those before
+BYTES_KEPT = 64  # longer pieces are encoded each time
+BYTES_AT_ONCE = 2_000_000  # of texts whose pieces are looked up together
+AT_ONCE = 1000  # words encoded as one text
+WORD_END = "</w>"
+LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
+WORD = re.compile(rf"({LETTERS.pattern})([.,;:!?]*)")
 
 MANIFEST = "part int, nth int, file string, n_documents long, n_tokens long, n_sequences long"
 
 
 class _Ids:
-    """Ids of words by a tokenizer file that drops white space: no token spans it, so words are encoded one by one and kept."""
+    """Ids of texts by a tokenizer file that drops white space and lower-cases: pieces between blanks are encoded one by one and kept.
+
+    No token spans a blank, nor the place between letters and punctuation behind them. Letters alone are one word to the
+    tokenizer, which ends in a token with the mark of a word's end, so many such words are encoded as one text.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {}
-        self.earlier: dict[str, bytes] = {}
-        self.letter, self.kind = ("H", "<u2") if self.tokenizer.get_vocab_size() <= 1 << 16 else ("I", "<u4")
-
-    def encode(self, texts: list[str | None]) -> Iterator[bytes]:
-        """The ids of each text as little-endian bytes of ``kind``."""
-        for part in parts(texts):
-            if len(self.known) > WORDS_KEPT // 2:
-                self.earlier, self.known = self.known, {}
-            split = [WORD.findall(text) for text in part]
-            new = set(chain.from_iterable(split)).difference(self.known)
-            found = {word: self.earlier[word] for word in new.intersection(self.earlier)}
-            fresh = list(new.difference(found))
-            for word, out in zip(fresh, self.tokenizer.encode_batch_fast(fresh, add_special_tokens=False), strict=True):
-                found[word] = array(self.letter, out.ids).tobytes()
-            self.known.update(found)
-            for words in split:
-                yield b"".join(map(self.known.__getitem__, words))
-            for word in found:
-                if len(word) > CHARS_KEPT:
-                    del self.known[word]
+        self.known: dict[bytes, bytes] = {}
+        self.earlier: dict[bytes, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.letter, self.kind = ("H", "<u2") if len(vocabulary) <= 1 << 16 else ("I", "<u4")
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)
+        self.last[[i for token, i in vocabulary.items() if token.endswith(WORD_END)]] = True
+
+    def _look(self, piece: bytes) -> bytes | None:
+        return self.known.get(piece) or self.earlier.get(piece)
+
+    def _words(self, words: list[str]) -> dict[str, bytes]:
+        """The ids of words of letters."""
+        found = {}
+        chunks = [words[i : i + AT_ONCE] for i in range(0, len(words), AT_ONCE)]
+        for chunk, out in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(out.ids, self.kind)
+            ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
+            if len(ends) != len(chunk):  # a tokenizer that cuts words of letters
+                found |= self._others(chunk)
+                continue
+            raw, begin = ids.tobytes(), 0
+            for word, end in zip(chunk, ends.tolist(), strict=True):
+                found[word] = raw[begin:end]
+                begin = end
+        return found
+
+    def _others(self, pieces: list[str]) -> dict[str, bytes]:
+        outs = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+        return {piece: array(self.letter, out.ids).tobytes() for piece, out in zip(pieces, outs, strict=True)}
+
+    def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
+        """The ids of pieces that are not known."""
+        found = {piece: self.earlier[piece] for piece in pieces.intersection(self.earlier)}
+        cut, words, others = {}, {}, []
+        for piece in pieces.difference(found):
+            text = piece.decode()
+            match = WORD.fullmatch(text)
+            if match is None:
+                others.append(text)
+                continue
+            cut[piece] = word, behind = match.groups()
+            for part in (word, behind):
+                if part not in words:
+                    words[part] = self._look(part.encode())
+        words |= self._words([w for w, ids in words.items() if ids is None and w and LETTERS.fullmatch(w)])
+        words |= self._others([w for w, ids in words.items() if ids is None])
+        found |= {piece: words[word] + words[behind] for piece, (word, behind) in cut.items()}
+        found |= {word.encode(): ids for word, ids in words.items()}
+        return found | {text.encode(): ids for text, ids in self._others(others).items()}
+
+    def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
+        """The ids of each UTF-8 text as little-endian bytes of ``kind``."""
+        rows, gaps, size = [], [], 0
+        for text in texts:
+            raw = text or b""
+            # A-Z may be lower-cased at once unless a mark may join a letter or there is an added token
+            pieces = (raw if b"\xcc" in raw or b"\xcd" in raw or b"<|" in raw else raw.lower()).split()
+            row = list(map(self.known.get, pieces))
+            gaps.append([(i, pieces[i]) for i in _nones(row)])
+            rows.append(row)
+            size += len(raw)
+            if size >= BYTES_AT_ONCE:
+                yield from self._filled(rows, gaps)
+                rows, gaps, size = [], [], 0
+        yield from self._filled(rows, gaps)
+
+    def _filled(self, rows: list[list], gaps: list[list]) -> Iterator[bytes]:
+        found = self._learn({piece for gap in gaps for _, piece in gap})
+        for row, gap in zip(rows, gaps, strict=True):
+            for i, piece in gap:
+                row[i] = found[piece]
+            yield b"".join(row)
+        if len(self.known) > PIECES_KEPT // 2:
+            self.earlier, self.known = self.known, {}
+        self.known.update((piece, ids) for piece, ids in found.items() if len(piece) <= BYTES_KEPT)
+
+
+def _nones(row: list) -> Iterator[int]:
+    """Where a list holds None."""
+    at = -1
+    for _ in range(row.count(None)):
+        at = row.index(None, at + 1)
+        yield at
 
 
 @lru_cache(maxsize=1)
@@ -163,7 +231,7 @@ def write_token_files(
         end = np.array([end_id], words.kind).tobytes()
         for batch in batches:
             part = batch.column(2)
-            for doc, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).to_pylist()), strict=True):
+            for doc, raw in zip(batch.column(0).to_pylist(), words.encode(batch.column(1).cast(pa.binary()).to_pylist()), strict=True):
                 writer = writer or _Writer(folder, words.kind, id_kind, length)
                 writer.add(doc, raw + end)
                 if writer.n_tokens >= file_sequences * length:
