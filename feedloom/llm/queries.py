@@ -13,6 +13,7 @@ from feedloom.llm.classifier import fit, in_fold, quality_scores
 from feedloom.llm.common import settle, table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
+from feedloom.llm.manifest import dataset_manifest, leaf_hash, verify
 from feedloom.llm.neighbours import nearest
 from feedloom.llm.packing import pack_documents
 from feedloom.llm.pii import KINDS, find_pii, span_text
@@ -216,3 +217,66 @@ def op11_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     manifest = write_token_files(docs, public_tokenizers.path("word_bpe_49k.json"))
     return read_token_documents(manifest, docs.schema["doc_id"].dataType.simpleString())
+
+
+def lower_ascii(text: Column) -> Column:
+    return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+@query(
+    r"""
+    WITH RECURSIVE docs AS (
+      SELECT *, coalesce('=' || source, '') AS tree,
+             (4294967295 - list_reduce([4294967295::BIGINT] || list_transform(string_split(doc_id::VARCHAR, ''), lambda c: ascii(c)::BIGINT),
+               lambda a, c: list_reduce([xor(a, c)] || [0::BIGINT, 0, 0, 0, 0, 0, 0, 0],
+                 lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc FROM documents),
+    both_texts AS (SELECT *, CASE WHEN crc % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS now FROM docs),
+    leaves AS (
+      SELECT doc_id, tree, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf, sha256(head || coalesce(strlen(now) || ':' || now, '-')) AS claim
+      FROM (SELECT *, coalesce(strlen(doc_id::VARCHAR) || ':' || doc_id, '-') || coalesce(strlen(source) || ':' || source, '-')
+                   || coalesce(strlen(lang) || ':' || lang, '-') || coalesce(strlen(n_chars::VARCHAR) || ':' || n_chars, '-') AS head FROM both_texts)),
+    placed AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i FROM leaves),
+    nodes AS (
+      SELECT tree, 0 AS level, i, leaf AS h FROM placed
+      UNION ALL
+      SELECT tree, level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i))
+      FROM (SELECT *, count(*) OVER (PARTITION BY tree) AS n FROM nodes) WHERE n > 1 GROUP BY tree, level, i // 16),
+    heights AS (SELECT tree, max(level) AS height FROM nodes GROUP BY tree),
+    subroots AS (SELECT tree, height, h, row_number() OVER (ORDER BY tree) - 1 AS i FROM nodes JOIN heights USING (tree) WHERE level = height),
+    tops AS (
+      SELECT 0 AS level, i, h FROM subroots
+      UNION ALL
+      SELECT level + 1, i // 16, sha256(string_agg(h, '' ORDER BY i)) FROM (SELECT *, count(*) OVER () AS n FROM tops) WHERE n > 1 GROUP BY level, i // 16),
+    root AS (SELECT h AS root FROM tops ORDER BY level DESC LIMIT 1),
+    up AS (SELECT max(level) AS height FROM tops),
+    steps AS (
+      SELECT p.doc_id, p.i AS leaf_at, p.tree, n.level, string_agg(n.h, '' ORDER BY n.i) FILTER (n.i < (p.i >> (4 * n.level))) AS l,
+             string_agg(n.h, '' ORDER BY n.i) FILTER (n.i > (p.i >> (4 * n.level))) AS r
+      FROM placed p JOIN heights USING (tree)
+      JOIN nodes n ON n.tree = p.tree AND n.level < height AND n.i // 16 = (p.i >> (4 * n.level + 4)) GROUP BY ALL),
+    top_steps AS (
+      SELECT s.tree, s.height + t.level AS level, string_agg(t.h, '' ORDER BY t.i) FILTER (t.i < (s.i >> (4 * t.level))) AS l,
+             string_agg(t.h, '' ORDER BY t.i) FILTER (t.i > (s.i >> (4 * t.level))) AS r
+      FROM subroots s, up JOIN tops t ON t.level < up.height AND t.i // 16 = (s.i >> (4 * t.level + 4)) GROUP BY ALL),
+    path AS (
+      SELECT doc_id, leaf_at, tree, level, coalesce(l, '') AS l, coalesce(r, '') AS r FROM steps
+      UNION ALL
+      SELECT p.doc_id, p.i, p.tree, t.level, coalesce(l, ''), coalesce(r, '') FROM placed p JOIN top_steps t USING (tree)),
+    fold AS (
+      SELECT tree, i, 0 AS level, claim AS h FROM placed
+      UNION ALL
+      SELECT f.tree, f.i, f.level + 1, sha256(l || h || r) FROM fold f JOIN path ON path.tree = f.tree AND path.leaf_at = f.i AND path.level = f.level),
+    proofs AS (SELECT tree, leaf_at, sha256(string_agg(l || r, '' ORDER BY level)) AS proof FROM path GROUP BY ALL)
+    SELECT p.doc_id, p.leaf, s.h AS subroot, root.root, coalesce(proof, sha256('')) AS proof_sha256, f.h AS folded_root, f.h = root.root AS verified
+    FROM placed p JOIN subroots s USING (tree) CROSS JOIN root CROSS JOIN up
+    JOIN fold f ON f.tree = p.tree AND f.i = p.i AND f.level = s.height + up.height
+    LEFT JOIN proofs ON proofs.tree = p.tree AND proofs.leaf_at = p.i"""
+)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    fields = lambda text: [*map(F.col, ("doc_id", "source", "lang", "n_chars")), text]
+    tampered = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    leaf = leaf_hash(*fields(F.col("text")))
+    claim = F.when(tampered, leaf_hash(*fields(lower_ascii(F.col("text"))))).otherwise(leaf)
+    rows = settle(table(spark, sf_dir, "documents").select("doc_id", "source", leaf.alias("leaf"), claim.alias("claimed")), "manifest-rows")
+    found = verify(dataset_manifest(rows, "source", ["doc_id"]), "claimed")
+    return found.select("doc_id", F.lower(F.hex("leaf")).alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", "verified")
