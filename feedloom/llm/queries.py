@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.archive import audit, laid_out, numbered, warc_record
 from feedloom.llm.classifier import fit, in_fold, quality_scores
+from feedloom.llm.collocations import collocations
 from feedloom.llm.common import settle, table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
@@ -280,3 +281,33 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = settle(table(spark, sf_dir, "documents").select("doc_id", "source", leaf.alias("leaf"), claim.alias("claimed")), "manifest-rows")
     found = verify(dataset_manifest(rows, "source", ["doc_id"]), "claimed")
     return found.select("doc_id", F.lower(F.hex("leaf")).alias("leaf"), "subroot", "root", "proof_sha256", "folded_root", "verified")
+
+
+@query(
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+               'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+    words AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+    phrases AS (
+      SELECT lang, k, unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i : i + k - 1], ' '))) AS phrase
+      FROM words, (SELECT unnest(range(1, 6)) AS k) WHERE len(w) >= k),
+    f AS (SELECT lang, k, phrase, count(*) AS c FROM phrases GROUP BY ALL),
+    totals AS (SELECT lang, sum(c)::HUGEINT AS n FROM f WHERE k = 1 GROUP BY lang),
+    often AS (SELECT *, string_split(phrase, ' ') AS w FROM f WHERE k >= 2 AND c >= 100),
+    cuts AS (
+      SELECT lang, phrase, c, cut, array_to_string(w[1 : cut], ' ') AS a_part, array_to_string(w[cut + 1 :], ' ') AS b_part
+      FROM (SELECT *, unnest(range(1, k)) AS cut FROM often)),
+    scored AS (
+      SELECT cuts.lang, cuts.phrase, cuts.c AS a, cut, x.c AS l, y.c AS r, n, 1000::HUGEINT * cuts.c * n // (x.c::HUGEINT * y.c) AS score
+      FROM cuts JOIN f x ON x.lang = cuts.lang AND x.phrase = a_part JOIN f y ON y.lang = cuts.lang AND y.phrase = b_part JOIN totals ON totals.lang = cuts.lang),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, cut) = 1),
+    inner_parts AS (
+      SELECT lang, array_to_string(w[i : i + size - 1], ' ') AS phrase, max(c) AS longer
+      FROM (SELECT *, unnest(range(1, k - size + 2)) AS i FROM (SELECT *, unnest(range(2, k)) AS size FROM often)) GROUP BY ALL),
+    kept AS (SELECT best.* FROM best LEFT JOIN inner_parts USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 100 * a)
+    SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase, a, l, r, n::BIGINT AS n, score::BIGINT AS score
+    FROM kept QUALIFY rank <= 2000"""
+)
+def op13_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations(table(spark, sf_dir, "documents").select("lang", "text"))
