@@ -28,7 +28,7 @@ LONGEST = 5  # words of a phrase
 LEAST = 100  # occurrences of a phrase
 SAMPLE = 0.1
 BITS = 27  # the bitmap has 2 ** BITS bits
-BYTES_AT_ONCE = 8_000_000  # of texts that are counted together
+BYTES_AT_ONCE = 3_000_000  # of texts that are counted together
 TOP = 2000
 
 # lower case, every sign that ends a piece as a newline, tab as a blank; a capital letter is then free to mark the end of a piece
@@ -134,8 +134,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
     """The words of a partition, some megabytes of a language at a time; long texts are cut between pieces."""
     waiting: dict[str, list[bytes]] = {}
     size = 0
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+    for part in (batch.slice(i, 200) for batch in batches for i in range(0, batch.num_rows, 200)):
+        for lang, text in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
             words = waiting.setdefault(lang, [])
             words += words_of(text)
             words.append(END)
@@ -218,11 +218,11 @@ def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", le
 
     Words are parted by blanks and tabs, pieces by ``.,;:!?`` and line ends; A-Z is lower-cased; phrases lie within a piece, and
     occurrences may overlap. The row with ``words`` 0 and an empty phrase holds the number of all words. ``sample`` is the share of rows that
-    proposes phrases, at a count lowered by twice its spread; it affects the work, not the result. Null languages are ``und``.
+    proposes phrases, at a count lowered by its spread; it affects the work, not the result. Null languages are ``und``.
     """
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text is not null")
     expected = least * sample
-    lowered = max(2, ceil(expected - 2 * sqrt(expected)))
+    lowered = max(2, ceil(expected - sqrt(expected)))
     # places of the bitmap functions go in blocks of 4,096 bytes, the first place is 1
     empty = np.zeros((1 << BITS) // 8 + 4096, np.uint8)
     drawn = settle(texts.sample(False, sample, seed), "phrase-sample")
