@@ -1,18 +1,19 @@
 """Phrases whose words keep company, mined as by Toivonen.
 
-A sample proposes the phrases that are frequent there at a lowered count. One pass over all texts counts them exactly together
-with their negative border: phrases that are not proposed, though both phrases of one word less in them are. If a phrase of
-the border turns out frequent, longer ones may have been missed, and another pass counts what it opens: phrases whose parts are
-proposed, frequent or counted in this pass, at every length, so that nothing stays open. The result does not depend on the sample.
+A sample proposes the phrases that are frequent there at a lowered count. One pass over all texts counts them together with
+their negative border: phrases that are not proposed, though both phrases of one word less in them are. It sums counts by hash, which
+is little to shuffle. Phrases of the border that turn out frequent are failures: longer ones may have been missed. A closing pass
+counts by words, exactly, what the first one found frequent, and with it all that failures open, at every length, so that nothing
+stays open. The result depends neither on the sample nor on hashes.
 
-Proposed phrases travel as a bitmap of hashes of fixed size. A hash shared by chance only makes a pass count a few phrases
-more; counts themselves are of words, never of hashes.
+Phrases travel between passes as bitmaps of hashes of fixed size. A bit shared by chance only makes a pass count a few phrases more.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import chain
 from math import ceil, sqrt
 
 import numpy as np
@@ -56,21 +57,14 @@ def _join_hash(left: np.ndarray, right: np.ndarray) -> np.ndarray:
     return ((left ^ (left >> np.uint64(29))) * _MIX) ^ ((right << np.uint64(7)) + (right >> np.uint64(11)))
 
 
-def phrase_hash(lang: str, phrase: str) -> int:
-    found = None
-    for word in phrase.encode().split(b" "):
-        own = np.array([word_hash(lang, word)], np.uint64)
-        found = own if found is None else _join_hash(found, own)
-    return int(found[0])
-
-
-def _bit(hashes: np.ndarray) -> np.ndarray:
-    return ((hashes * _MIX) >> np.uint64(64 - BITS)).astype(np.int64)
+def _bit(keys: np.ndarray) -> np.ndarray:
+    """The place in the bitmap; a key's last three bits are the number of words and take no part."""
+    return ((keys >> np.uint64(3)) * _MIX >> np.uint64(64 - BITS)).astype(np.int64)
 
 
 @dataclass
-class Known:
-    """The phrases counted upon, as a bitmap that all tasks share."""
+class Phrases:
+    """A set of phrases as a bitmap that all tasks share."""
 
     shared: object
 
@@ -89,49 +83,48 @@ class _Chunk:
         names = self.names.to_pylist()
         self.hashes = np.array([word_hash(lang, w) for w in names], np.uint64)
         self.is_word = np.array([w != END for w in names], bool)
+        self.number = np.bincount(self.ids, minlength=len(names))
+        self.number[~self.is_word] = 0
 
-    def counts(self, now: Known | None, before: Known | None, first: bool, closing: bool, longest: int) -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-        """``(words, phrases, counts)`` of the phrases that ``now`` lets count and ``before`` did not; single words only on the first pass.
+    def counts(self, upon: Phrases | None, before: Phrases | None, longest: int, closing: bool) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """``(words, first places, hashes, counts)`` of phrases of two words and more.
 
-        When ``closing``, the phrases counted let longer ones count at once.
+        A phrase is looked at if both its parts of one word less are in ``upon``; those that ``before`` let count are passed over. When
+        ``closing``, a phrase that ``before`` let count is counted if it is in ``upon`` itself, any other at once, and
+        what is counted opens longer ones.
         """
-        inside = self.is_word[self.ids]
-        if first:
-            found = np.bincount(self.ids, minlength=len(self.names))
-            found[~self.is_word] = 0
-            at = np.flatnonzero(found)
-            yield 1, self.names.take(pa.array(at)), found[at]
-            yield 0, pa.array([b""]), np.array([found.sum()])
-        if now is None:
+        if upon is None:
             return
-        # of each length: where phrases begin, whether now and before count them and count upon them, their number, their hash
-        can_now, can_old = inside, inside
-        is_now = now.has(self.hashes)[self.ids] & inside
-        is_old = before.has(self.hashes)[self.ids] & inside if before else np.zeros(len(self.ids), bool)
+        inside = self.is_word[self.ids]
+        on = upon.has(self.hashes)[self.ids] & inside
+        old = before.has(self.hashes)[self.ids] & inside if before else np.zeros(len(self.ids), bool)
         number, hashes = self.ids, self.hashes[self.ids]
         for size in range(2, longest + 1):
-            can_now = is_now & np.append(is_now[1:], False)
-            can_old = is_old & np.append(is_old[1:], False)
-            at = np.flatnonzero(can_now)
+            both = on & np.append(on[1:], False)
+            let = old & np.append(old[1:], False)
+            at = np.flatnonzero(both)
             if not len(at):
                 return
-            last = self.ids[at + size - 1]
-            keys, place, which, found = np.unique(number[at] * len(self.names) + last, return_index=True, return_inverse=True, return_counts=True)
+            keys = number[at] * len(self.names) + self.ids[at + size - 1]
+            _, place, which, found = np.unique(keys, return_index=True, return_inverse=True, return_counts=True)
             begin = at[place]
-            fresh = ~can_old[begin]
-            if fresh.any():
-                parts = [self.names.take(pa.array(self.ids[begin[fresh] + i])) for i in range(size)]
-                yield size, pc.binary_join_element_wise(*parts, pa.scalar(b" ")), found[fresh]
             own = _join_hash(hashes[begin], self.hashes[self.ids[begin + size - 1]])
-            grown_now, grown_old, grown_number, grown_hash = (np.zeros(len(self.ids), t) for t in (bool, bool, np.int64, np.uint64))
-            grown_now[at] = (now.has(own) | fresh if closing else now.has(own))[which]
-            grown_old[at] = (before.has(own) & can_old[begin])[which] if before else False
+            fresh, known = ~let[begin], upon.has(own)
+            counted = fresh | known if closing else fresh
+            yield size, begin[counted], own[counted], found[counted]
+            grown_on, grown_old, grown_number, grown_hash = (np.zeros(len(self.ids), t) for t in (bool, bool, np.int64, np.uint64))
+            grown_on[at] = (counted if closing else known)[which]
+            grown_old[at] = (before.has(own) & ~fresh)[which] if before else False
             grown_number[at], grown_hash[at] = which, own[which]
-            is_now, is_old, number, hashes = grown_now, grown_old, grown_number, grown_hash
+            on, old, number, hashes = grown_on, grown_old, grown_number, grown_hash
+
+    def phrases(self, begin: np.ndarray, size: int) -> pa.Array:
+        parts = [self.names.take(pa.array(self.ids[begin + i])) for i in range(size)]
+        return (pc.binary_join_element_wise(*parts, pa.scalar(b" ")) if size > 1 else parts[0]).cast(pa.string())
 
 
 def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
-    """The words of a partition, some megabytes of a language at a time; long texts are cut between pieces."""
+    """The words of a partition, some megabytes at a time and by language."""
     waiting: dict[str, list[bytes]] = {}
     size = 0
     for part in (batch.slice(i, 200) for batch in batches for i in range(0, batch.num_rows, 200)):
@@ -146,88 +139,95 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[_Chunk]:
     yield from (_Chunk(name, found) for name, found in waiting.items())
 
 
-def phrase_counts(texts: DataFrame, now: Known | None, before: Known | None, first: bool, closing: bool, longest: int) -> DataFrame:
-    """``(lang, phrase, words, n)`` of the phrases of ``(lang, text)`` that this pass counts; ``words`` 0: all words."""
+def hashed_counts(texts: DataFrame, upon: Phrases | None, before: Phrases | None, longest: int) -> DataFrame:
+    """``(key, n)`` of the phrases of ``(lang, text)`` that ``upon`` lets count and ``before`` did not, with all words if there is no ``before``.
+
+    The key is the hash of language and words, its last three bits the number of words.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for chunk in _chunks(batches):
+            single = np.flatnonzero(chunk.number)
+            words = [] if before else [(1, single, chunk.hashes[single], chunk.number[single])]
+            for size, _, hashes, found in chain(words, chunk.counts(upon, before, longest, False)):
+                keys = (hashes >> np.uint64(3) << np.uint64(3) | np.uint64(size)).view(np.int64)
+                for i in range(0, len(keys), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 50_000]), pa.array(found[i : i + 50_000])], ["key", "n"])
+
+    return texts.select("lang", "text").mapInArrow(run, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def closing_counts(texts: DataFrame, frequent: Phrases, proposed: Phrases, longest: int) -> DataFrame:
+    """``(lang, phrase, words, n)`` of all phrases that may be frequent, by their words; ``words`` 0: all words of a language."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for chunk in _chunks(batches):
-            for size, phrases, found in chunk.counts(now, before, first, closing, longest):
-                for i in range(0, len(phrases), 20_000):
-                    part = phrases[i : i + 20_000]
-                    columns = [pa.array([chunk.lang] * len(part)), part.cast(pa.string()), pa.array(np.full(len(part), size, np.int32)), pa.array(found[i : i + 20_000])]
-                    yield pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
+            single = np.flatnonzero((chunk.number > 0) & frequent.has(chunk.hashes))
+            order = np.full(len(chunk.names), -1)
+            order[chunk.ids[::-1]] = np.arange(len(chunk.ids))[::-1]
+            words = (1, order[single], chunk.hashes[single], chunk.number[single])
+            yield _rows(chunk.lang, pa.array([""]), 0, chunk.number.sum(keepdims=True))
+            for size, begin, _, found in chain([words], chunk.counts(frequent, proposed, longest, True)):
+                for i in range(0, len(begin), 20_000):
+                    yield _rows(chunk.lang, chunk.phrases(begin[i : i + 20_000], size), size, found[i : i + 20_000])
 
     return texts.select("lang", "text").mapInArrow(run, COUNTS).groupBy("lang", "phrase", "words").agg(F.sum("n").alias("n"))
 
 
-def _bits_of(phrases: DataFrame) -> DataFrame:
-    """The phrases with the place of their hash in the bitmap."""
-    names = [*phrases.columns, "bit"]
+def _rows(lang: str, phrases: pa.Array, size: int, found: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([lang] * len(phrases)), phrases, pa.array(np.full(len(phrases), size, np.int32)), pa.array(found)]
+    return pa.RecordBatch.from_arrays(columns, ["lang", "phrase", "words", "n"])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        langs, texts = batch.column(names.index("lang")).to_pylist(), batch.column(names.index("phrase")).to_pylist()
-        hashes = np.array([phrase_hash(a, b) for a, b in zip(langs, texts, strict=True)], np.uint64)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(_bit(hashes))], names)
 
-    return map_batches(phrases, run, ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in phrases.schema) + ", bit long")
+def _bitmap(keys: DataFrame) -> np.ndarray:
+    """The bitmap of the keys. It is put together from blocks, so at most its own size comes to the driver."""
 
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        # places count from 1, as the bitmap functions have it
+        return pa.RecordBatch.from_arrays([pa.array(_bit(batch.column(0).to_numpy().view(np.uint64)) + 1)], ["at"])
 
-def _grown(bitmap: np.ndarray, phrases: DataFrame) -> tuple[np.ndarray, int]:
-    """The bitmap with the phrases ``(…, bit)`` added, and how many bits are new. At most the bitmap's size comes to the driver."""
-    # places count from 1 here, as the bitmap functions have it
-    place = F.col("bit") + 1
-    found = phrases.select(place.alias("at")).groupBy(F.bitmap_bucket_number("at").alias("bucket")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits")).collect()
-    grown = bitmap.copy()
-    for r in found:
+    blocks = (
+        map_batches(keys.select("key"), run, "at long")
+        .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("at")).alias("bits"))
+    )
+    bitmap = np.zeros((1 << BITS) // 8, np.uint8)
+    for r in blocks.toLocalIterator():
         begin = (r["bucket"] - 1) * 4096
-        grown[begin : begin + 4096] |= np.frombuffer(r["bits"], np.uint8)
-    return grown, int(np.bitwise_count(grown).sum()) - int(np.bitwise_count(bitmap).sum())
+        bitmap[begin : begin + 4096] |= np.frombuffer(r["bits"], np.uint8)
+    return bitmap
 
 
-def mine(texts: DataFrame, least: int, bitmap: np.ndarray, longest: int) -> tuple[DataFrame, np.ndarray, int]:
-    """All phrases of ``(lang, text)`` with at least so many occurrences, the bitmap grown by them, and the number of passes.
-
-    A pass counts what the bitmap newly lets count: phrases of which both parts of one word less are in it. Without proposals
-    there is a pass for each length. With proposals the second pass closes: it counts all that the first one's frequent phrases
-    open. The last pass is the one that finds no frequent phrase that could open longer ones and whose bit was not yet set.
-    """
+def mine_hashes(texts: DataFrame, least: int, longest: int) -> np.ndarray:
+    """The bitmap of all phrases of ``(lang, text)`` with at least so many occurrences, or a few more: a pass for each length."""
     context = texts.sparkSession.sparkContext
-    tables, before, proposed = [], None, bool(bitmap.any())
-    while True:
-        now = Known(context.broadcast(bitmap)) if bitmap.any() else None
-        closing = proposed and bool(tables)
-        counted = phrase_counts(texts, now, before, not tables, closing, longest).where((F.col("words") == 0) | (F.col("n") >= least))
-        found = settle(_bits_of(counted), "phrase-counts")
-        tables.append(found.drop("bit"))
-        grown, more = _grown(bitmap, found.where((F.col("words") > 0) & (F.col("words") < longest)))
-        if before:
-            before.shared.unpersist()
-        if closing or not more:
+    bitmap, upon, before = np.zeros((1 << BITS) // 8, np.uint8), None, None
+    for size in range(1, longest + 1):
+        found = settle(hashed_counts(texts, upon, before if size > 2 else None, size).where(F.col("n") >= least), "phrase-hashes")
+        grown = bitmap | _bitmap(found)
+        if (grown == bitmap).all():
             break
-        before, bitmap = now, grown
-    if now:
-        now.shared.unpersist()
-    whole = tables[0]
-    for other in tables[1:]:
-        whole = whole.unionByName(other)
-    return whole, grown, len(tables)
+        before, upon, bitmap = upon, Phrases(context.broadcast(grown)), grown
+    return bitmap
 
 
 def frequent_phrases(docs: DataFrame, lang: str = "lang", text: str = "text", least: int = LEAST, longest: int = LONGEST, sample: float = SAMPLE, seed: int = 1) -> DataFrame:
     """``(lang, phrase, words, n)``: every phrase of 1 to ``longest`` words with at least ``least`` occurrences in its language.
 
     Words are parted by blanks and tabs, pieces by ``.,;:!?`` and line ends; A-Z is lower-cased; phrases lie within a piece, and
-    occurrences may overlap. The row with ``words`` 0 and an empty phrase holds the number of all words. ``sample`` is the share of rows that
-    proposes phrases, at a count lowered by its spread; it affects the work, not the result. Null languages are ``und``.
+    occurrences may overlap. ``longest`` is at most 7. The row with ``words`` 0 and an empty phrase holds the number of all words. ``sample`` is
+    the share of rows that proposes phrases, at a count lowered by its spread; it affects the work, not the result. Null languages are ``und``.
     """
+    if not 1 <= longest <= 7:
+        raise ValueError("phrases have 1 to 7 words")
     texts = docs.select(F.coalesce(F.col(lang).cast("string"), F.lit("und")).alias("lang"), F.col(text).alias("text")).where("text is not null")
+    context = docs.sparkSession.sparkContext
     expected = least * sample
-    lowered = max(2, ceil(expected - sqrt(expected)))
-    # places of the bitmap functions go in blocks of 4,096 bytes, the first place is 1
-    empty = np.zeros((1 << BITS) // 8 + 4096, np.uint8)
     drawn = settle(texts.sample(False, sample, seed), "phrase-sample")
-    _, proposed, _ = mine(drawn, lowered, empty, longest)
-    return mine(texts, least, proposed, longest)[0]
+    proposed = Phrases(context.broadcast(mine_hashes(drawn, max(2, ceil(expected - sqrt(expected))), longest)))
+    found = settle(hashed_counts(texts, proposed, None, longest).where(F.col("n") >= least), "phrase-hashes")
+    frequent = Phrases(context.broadcast(_bitmap(found)))
+    return closing_counts(texts, frequent, proposed, longest).where((F.col("words") == 0) | (F.col("n") >= least))
 
 
 def _part(first: int | Column, size: Column) -> Column:

@@ -7,7 +7,7 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 
-from feedloom.llm.collocations import BITS, collocations, cut_score, frequent_phrases, mine, words_of
+from feedloom.llm.collocations import BITS, Phrases, _bitmap, closing_counts, collocations, cut_score, frequent_phrases, hashed_counts, mine_hashes, words_of
 
 PIECE, WORD = re.compile("[.,;:!?\n-\r]"), re.compile("[^ \t]+")
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -79,17 +79,20 @@ def test_limits(spark):
     assert sorted(map(tuple, got.collect())) == expected(rows, 5, 3, 90, 7)
 
 
-def test_second_pass_closes(spark):
-    """Proposals without the words of a phrase: its parts of every length are found by one more pass."""
-    texts = spark.createDataFrame([("en", "one two three four five six. " * 30 + "a b. " * 50)], "lang string, text string")
-    nothing = np.zeros((1 << BITS) // 8 + 4096, np.uint8)
-    proposed = mine(texts.where("false").unionAll(spark.sql("select 'en' lang, repeat('a b. ', 60) text")), 10, nothing, 5)[1]
-    found, _, passes = mine(texts, 30, proposed, 5)
-    want = {(p, c) for p, c in counted([tuple(texts.first())], 5)["en"].items() if c >= 30}
-    assert passes == 2
-    assert {(tuple(r.phrase.split(" ")), r.n) for r in found.where("words > 0").collect()} == want
-    rows = [tuple(r) for r in found.collect()]
-    assert len(rows) == len(set(rows)) and mine(texts, 30, nothing, 5)[2] == 5
+def test_closing_pass_finds_what_no_sample_proposed(spark):
+    """Proposals without the words of a phrase: its parts of every length come from the closing pass."""
+    rows = [("en", "one two three four five six. " * 30 + "a b. " * 50 + "one b a two. " * 12)]
+    texts = spark.createDataFrame(rows, "lang string, text string")
+    share = spark.sparkContext.broadcast
+    proposals = [np.zeros((1 << BITS) // 8, np.uint8), mine_hashes(spark.sql("select 'en' lang, repeat('a b. three four.', 60) text"), 10, 5)]
+    for bitmap in proposals:
+        proposed = Phrases(share(bitmap))
+        first = hashed_counts(texts, proposed, None, 5).where("n >= 30")
+        sizes = {r.key & 7 for r in first.collect()}
+        assert sizes == ({1, 2} if bitmap.any() else {1})  # neither "one two" nor any phrase of three words
+        found = closing_counts(texts, Phrases(share(_bitmap(first))), proposed, 5).where("n >= 30").collect()
+        assert {(tuple(r.phrase.split(" ")), r.n) for r in found if r.words} == {(p, c) for p, c in counted(rows, 5)["en"].items() if c >= 30}
+        assert len(found) == len({(r.phrase, r.words) for r in found})
 
 
 def test_empty_table(spark):
