@@ -29,7 +29,7 @@ LONGEST = 5  # words of a phrase
 LEAST = 100  # occurrences of a phrase
 SAMPLE = 0.1
 BITS = 27  # the bitmap has 2 ** BITS bits
-BYTES_AT_ONCE = 3_000_000  # of texts that are counted together
+BYTES_AT_ONCE = 2_000_000  # of texts that are counted together
 TOP = 2000
 
 # lower case, every sign that ends a piece as a newline, tab as a blank; a capital letter is then free to mark the end of a piece
