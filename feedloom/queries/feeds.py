@@ -74,6 +74,16 @@ def feed_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan_feed(spark, path, columns=["o_orderkey", "広告名"])
 
 
+@query(
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, {_ORDERS_NAME} AS "広告名", o_orderstatus FROM orders"""
+)
+def feed_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A feed with line ends inside quotes, cut into records in parts of its files."""
+    path = work_path(spark, "orders_feed")
+    write_feed_csv(_orders_feed(spark, sf_dir), path)
+    return scan_feed(spark, path, columns=["o_orderkey", "広告名", "o_orderstatus"], multi_line=None)
+
+
 def wide_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Events as a wide report: a row per user with clicks, signups and columns to leave out.
 
@@ -280,12 +290,15 @@ def ragged_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     f"""SELECT 'customer' AS feed, CASE c_custkey % 3 WHEN 1 THEN 'short_row' ELSE 'long_row' END AS issue,
-    {_RAGGED} AS detail, CASE c_custkey % 3 WHEN 1 THEN 2 ELSE 5 END AS field_count FROM customer WHERE c_custkey % 3 <> 0"""
+    {_RAGGED} AS detail, CASE c_custkey % 3 WHEN 1 THEN 2 ELSE 5 END AS field_count, record_number
+    FROM (SELECT *, 1 + row_number() OVER (PARTITION BY c_custkey // 4096 ORDER BY c_custkey) AS record_number FROM customer) WHERE c_custkey % 3 <> 0"""
 )
 def ragged_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The lines that were repaired, with their raw text and number of fields."""
-    customers = table(spark, sf_dir, "customer")
-    path = write_lines(customers, _ragged_line(), "c_custkey,c_name,c_mktsegment", "ragged")
+    """The lines that were repaired, with their raw text, number of fields and number in their file."""
+    customers = table(spark, sf_dir, "customer").withColumn("part", F.floor(F.col("c_custkey") / 4096))
+    path = work_path(spark, "ragged")
+    lines = customers.repartition("part").sortWithinPartitions("part", "c_custkey").select(_ragged_line().alias("c_custkey,c_name,c_mktsegment"), "part")
+    lines.write.options(header=True, sep="\x01", quote="").partitionBy("part").csv(path)
     width = header_width(read_header(spark, path))
     return ragged_rows(scan_feed(spark, path, with_source=True), "customer", width).drop("file_name")
 

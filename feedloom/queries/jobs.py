@@ -136,7 +136,8 @@ def feed_lone_returns(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def catalogue_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two catalogue files of unlike size: the later file's last entry of a name wins."""
-    parts = table(spark, sf_dir, "part").coalesce(1).sortWithinPartitions("p_partkey")
+    # the names of part files keep the order of the ranges
+    parts = table(spark, sf_dir, "part").repartitionByRange(8, "p_partkey").sortWithinPartitions("p_partkey")
     folder = work_path(spark, "catalogue")
     cells = [F.col("p_brand").alias("group"), F.concat(F.lit("n"), F.col("p_size").cast("string")).alias("name"), F.lit("css").alias("selector_type")]
     padded = F.concat(F.lit("early "), F.repeat(F.lit("x"), F.lit(50)))
@@ -153,7 +154,7 @@ def export_file_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows numbered in the order of their files, the larger file first or not."""
     folder = work_path(spark, "ordered")
     for name, source, key in (("a", "customer", "c_custkey"), ("b", "supplier", "s_suppkey")):
-        rows = table(spark, sf_dir, source).select(F.col(key).alias("key")).coalesce(1).sortWithinPartitions("key")
+        rows = table(spark, sf_dir, source).select(F.col(key).alias("key")).repartitionByRange(8, "key").sortWithinPartitions("key")
         rows.write.parquet(f"{folder}/{name}")
     return export_batches(spark.read.parquet(f"{folder}/a", f"{folder}/b")).select("key", "row_index")
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.operators import pages as P
@@ -16,7 +16,7 @@ from feedloom.queries.registry import query, table
 from feedloom.session import work_path
 from feedloom.sinks.elements import element_documents as gather
 from feedloom.sinks.elements import page_documents, write_elements
-from feedloom.sources.catalogues import instruction_sections, scan_selectors
+from feedloom.sources.catalogues import instruction_sections, scan_instructions, scan_selectors
 from feedloom.sources.pages import scan_elements
 
 
@@ -221,20 +221,19 @@ def step_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return S.parse_steps(parts).drop("operation")
 
 
-@query(
-    """SELECT c_custkey, p.section_pos, '## ' || CAST(p.section_pos AS VARCHAR) || '. ' || CASE p.section_pos WHEN 1 THEN 'login' ELSE c_name END AS title,
+_SECTION_COLUMNS = """'## ' || CAST(p.section_pos AS VARCHAR) || '. ' || CASE p.section_pos WHEN 1 THEN 'login' ELSE c_name END AS title,
     CASE p.section_pos WHEN 1 THEN 'login' ELSE c_name END AS section,
     CASE p.section_pos WHEN 1 THEN 'https://login.example.com/' ELSE 'https://app.example.com/' || CAST(c_custkey AS VARCHAR) END AS url,
     CASE p.section_pos WHEN 1 THEN 'ID　欄|パスワード　欄' ELSE c_mktsegment || '　ボタン|期間' END AS elements,
     CASE p.section_pos WHEN 1 THEN '' ELSE c_name || 'をクリック|5秒待機' END AS operations,
     CASE p.section_pos WHEN 1 THEN 'login.py' ELSE '' END AS login_code,
-    CASE p.section_pos WHEN 1 THEN '' ELSE 'ログイン=login.py x' END AS prerequisites
-    FROM customer CROSS JOIN (VALUES (1), (2)) p(section_pos)"""
-)
-def instruction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Instruction texts, one per customer, as their sections."""
-    text = F.concat(
-        F.lit("前書き\n## 1. login\n--概要\n説明\n--url\nhttps://login.example.com/\n--ログインコード\nlogin.py\n--取得要素\nID　欄\n\nパスワード　欄\n\n## 2. "),
+    CASE p.section_pos WHEN 1 THEN '' ELSE 'ログイン=login.py x' END AS prerequisites"""
+
+
+def _instructions() -> Column:
+    """An instruction text of two sections for a customer."""
+    return F.concat(
+        F.lit("## 1. login\n--概要\n説明\n--url\nhttps://login.example.com/\n--ログインコード\nlogin.py\n--取得要素\nID　欄\n\nパスワード　欄\n\n## 2. "),
         "c_name",
         F.lit("\n@https://app.example.com/"),
         F.col("c_custkey").cast("string"),
@@ -244,11 +243,12 @@ def instruction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
         "c_mktsegment",
         F.lit("　ボタン\n　期間"),
     )
-    customers = table(spark, sf_dir, "customer").select("c_custkey", text.alias("content"))
-    sections = instruction_sections(customers, "content", "c_custkey")
+
+
+def _shown_sections(sections: DataFrame, *keys: str) -> DataFrame:
     pairs = F.transform("prerequisites", lambda p: F.concat(p["type"], F.lit("="), p["value"]))
     return sections.select(
-        "c_custkey",
+        *keys,
         "section_pos",
         "title",
         "section",
@@ -260,6 +260,27 @@ def instruction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query(f"SELECT c_custkey, p.section_pos, {_SECTION_COLUMNS} FROM customer CROSS JOIN (VALUES (1), (2)) p(section_pos)")
+def instruction_parse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction texts, one per customer, as their sections."""
+    content = F.concat(F.lit("前書き\n"), _instructions()).alias("content")
+    customers = table(spark, sf_dir, "customer").select("c_custkey", content)
+    return _shown_sections(instruction_sections(customers, "content", "c_custkey"), "c_custkey")
+
+
+@query(
+    f"""SELECT (2 * rank - 2 + p.section_pos)::INT AS section_pos, {_SECTION_COLUMNS}
+    FROM (SELECT *, row_number() OVER (PARTITION BY c_custkey // 4096 ORDER BY c_custkey) AS rank FROM customer) CROSS JOIN (VALUES (1), (2)) p(section_pos)"""
+)
+def instruction_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instruction files that hold the texts of many customers: sections numbered in their file."""
+    path = work_path(spark, "instructions")
+    customers = table(spark, sf_dir, "customer").withColumn("part", F.floor(F.col("c_custkey") / 4096))
+    texts = customers.repartition("part").sortWithinPartitions("part", "c_custkey").select(_instructions().alias("value"), "part")
+    texts.write.partitionBy("part").text(path)
+    return _shown_sections(scan_instructions(spark, path))
+
+
 @query(
     f"""WITH p AS (SELECT page_id, {_LINKS} AS links FROM pages), t AS (SELECT page_id, links, links[-1] AS target FROM p)
     SELECT page_id, target, 'link_text' AS rule, 'a' AS tag, target AS text FROM t WHERE len(links) > 0 AND target <> ''"""

@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.functions.text import strip_u
+from feedloom.sources.feeds import parsed_records, read_header
+from feedloom.sources.records import REPLACE_BAD_BYTES, file_pieces, sections_of
 
 CATALOGUE_COLUMNS = ("group", "name", "selector_type", "selector_value")
 
@@ -27,12 +29,13 @@ DEFAULT_SELECTORS = [
 def scan_selectors(spark: SparkSession, path: str | Sequence[str], defaults: bool = True) -> DataFrame:
     """Catalogue ``(group, name, selector_type, selector_value)``, last entry of a name wins.
 
-    A file without one of the four columns gives no entries. Files count in the order of their paths, entries in the order
-    of their file, which one task reads; partial results are merged by that order.
+    The first file's header names the columns of all; without one of the four there are no entries. Files count in the order of
+    their paths, entries by their record's number in the file: files are read in parts and partial results are merged by that order.
     """
-    raw = spark.read.option("header", True).option("multiLine", True).option("escape", '"').csv(path)
-    if set(CATALOGUE_COLUMNS) <= set(raw.columns):
-        ordered = raw.select(*[F.col(f"`{c}`") for c in CATALOGUE_COLUMNS], F.struct("_metadata.file_path", F.monotonically_increasing_id()).alias("at"))
+    names = read_header(spark, path, "UTF-8")
+    if set(CATALOGUE_COLUMNS) <= set(names):
+        rows, cells = parsed_records(spark, path, names, "UTF-8", False)
+        ordered = rows.select(*[cells[c].alias(c) for c in CATALOGUE_COLUMNS], F.struct("path", "number").alias("at"))
         last = F.max_by(F.struct("selector_type", "selector_value"), "at")
         read = ordered.groupBy("group", "name").agg(last.alias("s")).select("group", "name", "s.*")
     else:
@@ -58,11 +61,19 @@ OPERATIONS = "操作手順"
 
 
 def scan_instructions(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
-    """Instruction files as one row per section; see :func:`instruction_sections`."""
-    files = spark.read.text(path, wholetext=True).select(
-        F.col("_metadata.file_name").alias("file_name"), F.col("value").alias("content")
+    """Instruction files as one row per section, with ``file_name``; see :func:`instruction_sections`.
+
+    Files are read in parts, line by line. A section's number follows from the headings before it in its file, and only its own lines meet.
+    """
+    spark.conf.set(REPLACE_BAD_BYTES, "true")
+    found = file_pieces(spark, path, sections_of(SECTION)).where("number > 0")
+    text = F.replace(F.decode("raw", "UTF-8"), F.lit("\r\n"), F.lit("\n"))
+    sections = found.select(
+        F.substring_index("path", "/", -1).alias("file_name"),
+        F.col("number").cast("int").alias("section_pos"),
+        F.rtrim(F.substr(text, F.lit(len(SECTION) + 1)), F.lit("\r")).alias("body"),
     )
-    return instruction_sections(files, "content", "file_name")
+    return _read_sections(sections, "file_name")
 
 
 def instruction_sections(texts: DataFrame, content: str, *keys: str) -> DataFrame:
@@ -75,6 +86,11 @@ def instruction_sections(texts: DataFrame, content: str, *keys: str) -> DataFram
     clean = F.replace(F.col(content), F.lit("\r\n"), F.lit("\n"))
     pieces = F.split(clean, r"(?m)^## ", -1)
     sections = texts.select(*keys, F.posexplode(pieces).alias("section_pos", "body")).where("section_pos > 0")
+    return _read_sections(sections, *keys)
+
+
+def _read_sections(sections: DataFrame, *keys: str) -> DataFrame:
+    """``(keys, section_pos, body)`` as the columns of :func:`instruction_sections`; a body begins behind its heading's mark."""
     lines = F.transform(F.split("body", "\n", -1), strip_u)
     rows = sections.select(*keys, "section_pos", lines.alias("lines")).withColumn("blocks", _blocks(F.col("lines")))
     title = F.concat(F.lit(SECTION), F.element_at("lines", 1))

@@ -20,6 +20,7 @@ from pyspark.sql import types as T
 
 from feedloom.functions.text import clean_currency
 from feedloom.session import JAPANESE, allow_japanese
+from feedloom.sources.records import csv_records
 
 # The money column that is cleaned while a feed is read, the three columns
 # of the wide report, the feeds with the ends of their file names, and the name parts
@@ -44,19 +45,25 @@ def csv_reader(spark: SparkSession, encoding: str = JAPANESE, multi_line: bool =
     )
 
 
-def may_be_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
-    """True when reading the files in parts gives the same rows as reading each whole.
+def reading(spark: SparkSession, path: str | Sequence[str]) -> str:
+    """How the files are to be read: ``lines``, ``records`` or ``whole``.
 
-    That is so unless a line leaves a quote open, holds a lone carriage return, which ends a line only where
-    Spark reads in parts, or holds white space only, which Spark drops when it reads line by line. Lines are split at
-    newlines alone and read byte-true, which is safe in UTF-8 and windows-31j: no character of two or more bytes
-    holds a quote's or a line end's byte. One yes or no per task is shuffled.
+    Spark may read line by line unless a line leaves a quote open, or holds white space only, which it drops then: such
+    files are cut into records first (:func:`feedloom.sources.records.csv_records`), in parts too. Only a lone carriage return,
+    whose meaning hangs on the file's first line end, needs the file whole. Lines are split at newlines alone and read
+    byte-true, which is safe in UTF-8 and windows-31j. Two answers per task are shuffled.
     """
     line = F.rtrim(F.col("value"), F.lit("\r"))
     lone = (F.octet_length("value") - F.octet_length(line) > 1) | F.contains(line, F.lit("\r"))
     quotes = F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"'), F.lit("")))
     white = F.regexp_like(line, F.lit(r"^[\x00-\x20]+$"))
-    return not spark.read.text(path, lineSep="\n").agg(F.bool_or((quotes % 2 == 1) | white | lone)).first()[0]
+    found = spark.read.text(path, lineSep="\n").agg(F.bool_or(lone).alias("lone"), F.bool_or((quotes % 2 == 1) | white).alias("cut")).first()
+    return "whole" if found["lone"] else "records" if found["cut"] else "lines"
+
+
+def may_be_split(spark: SparkSession, path: str | Sequence[str]) -> bool:
+    """True when reading the files line by line gives the same rows as reading each whole."""
+    return reading(spark, path) == "lines"
 
 
 def read_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> list[str]:
@@ -138,15 +145,15 @@ def scan_feed(
     ``blank_header='truncate'`` drops blank header cells and cuts rows from the right, so
     values behind a blank cell in the middle move left. ``'align'`` drops that cell's column
     instead. ``with_source`` adds ``file_name``, ``raw_record`` (null unless the row had a
-    wrong width) and ``field_count`` for the quality report.
+    wrong width), ``field_count`` and ``record_number`` for the quality report: the header is record 1 and blank lines count.
 
     Every file must have the header of the first: where that header's cells are plain names Spark compares each file's as
     it reads it, and fails with the file's name; other headers are compared beforehand, in one pass. Files whose columns
     differ in order are read with :func:`scan_mixed_feed`.
 
-    With ``multi_line`` a file is read by one task. For large files say ``None``: one parallel pass
-    finds out whether they may be read in parts, and Spark then splits them. ``False`` skips that
-    pass for files known to hold no quoted newline and no line of white space only.
+    With ``multi_line`` a file is read by one task. For large files say ``None``: one parallel pass finds out how
+    they are read in parts, line by line or cut into records (see :func:`reading`). ``False`` skips that
+    pass for files known to hold no quoted newline and no line of white space only. ``with_source`` always reads records in parts.
     """
     if blank_header not in ("truncate", "align"):
         raise ValueError(f"blank_header must be 'truncate' or 'align', not {blank_header!r}")
@@ -164,29 +171,47 @@ def scan_feed(
     if missing:
         raise ValueError(f"columns {missing} are not in the header of {path}")
 
-    schema = text_schema(read_names)
-    if with_source:
-        schema = schema.add(RAW_RECORD, T.StringType())
-    if multi_line is None:
-        multi_line = not may_be_split(spark, path)
     plain = raw_header == read_names
+    way = "records" if with_source else {True: "whole", False: "lines"}.get(multi_line) or reading(spark, path)
     if not plain and header is None:
         require_one_header(spark, path, encoding)
-    reader = csv_reader(spark, encoding, multi_line).option("header", True).option("enforceSchema", not plain)
-    raw = reader.schema(schema).csv(path)
 
-    def cell(name: str) -> Column:
-        value = F.coalesce(_quoted(name), F.lit(""))
+    def cell(name: str, value: Column) -> Column:
+        value = F.coalesce(value, F.lit(""))
         return (clean_currency(value) if name == currency_column else value).alias(name)
 
-    cells = [cell(name) for name in wanted]
-    if with_source:
-        cells += [
-            F.col("_metadata.file_name").alias("file_name"),
-            F.col(RAW_RECORD).alias("raw_record"),
-            F.coalesce(field_count(F.col(RAW_RECORD)), F.lit(len(read_names))).alias("field_count"),
-        ]
-    return raw.select(*cells)
+    if way == "records":
+        rows, value = parsed_records(spark, path, read_names, encoding, plain)
+        cells = [cell(name, value[name]) for name in wanted]
+        if with_source:
+            cells += [
+                F.substring_index("path", "/", -1).alias("file_name"),
+                F.when(F.col("cells")[RAW_RECORD].isNotNull(), F.col("raw")).alias("raw_record"),
+                F.coalesce(field_count(F.col("cells")[RAW_RECORD]), F.lit(len(read_names))).alias("field_count"),
+                F.col("number").alias("record_number"),
+            ]
+        return rows.select(*cells)
+    reader = csv_reader(spark, encoding, way == "whole").option("header", True).option("enforceSchema", not plain)
+    raw = reader.schema(text_schema(read_names)).csv(path)
+    return raw.select(*[cell(name, _quoted(name)) for name in wanted])
+
+
+def parsed_records(spark: SparkSession, path: str | Sequence[str], names: Sequence[str], encoding: str, plain: bool) -> tuple[DataFrame, dict[str, Column]]:
+    """Records without headers and blank lines, parsed into ``cells``, and the cell of each name.
+
+    A file whose header is not made of the names fails the read, and is named, where the names are as they stand in the file.
+    """
+    schema = ", ".join([*(f"c{i} string" for i in range(len(names))), f"{RAW_RECORD} string"])
+    options = {"escape": '"', "mode": "PERMISSIVE", "columnNameOfCorruptRecord": RAW_RECORD}
+    rows = csv_records(spark, path, encoding).where("record <> ''").withColumn("cells", F.from_csv("record", schema, options))
+    value = {name: F.col("cells")[f"c{i}"] for i, name in enumerate(names)}
+    is_header = F.col("header")
+    if plain:
+        alike = [F.lower(F.coalesce(value[name], F.lit(""))) == name.lower() for name in names]
+        right = F.forall(F.array(*alike), lambda x: x) & F.col("cells")[RAW_RECORD].isNull()
+        problem = F.raise_error(F.concat(F.lit("another header in "), F.col("path"))).cast("boolean")
+        is_header = F.when(is_header & ~right, problem).otherwise(is_header)
+    return rows.where(~is_header), value
 
 
 def require_one_header(spark: SparkSession, path: str | Sequence[str], encoding: str = JAPANESE) -> None:

@@ -98,8 +98,8 @@ def test_ragged_report(spark, tmp_path):
     scanned = S.scan_feed(spark, path, with_source=True)
     assert rows(scanned.select("a", "b", "c")) == [("1", "", ""), ("1", "2", "3"), ("x,y", "2", "z\nz")]
     assert rows(Q.ragged_rows(scanned, "feed", 3)) == [
-        ("feed", "r.csv", "long_row", '"x,y",2,"z\nz",4', 4),
-        ("feed", "r.csv", "short_row", "1", 1),
+        ("feed", "r.csv", "long_row", '"x,y",2,"z\nz",4', 4, 4),
+        ("feed", "r.csv", "short_row", "1", 1, 3),
     ]
 
 
