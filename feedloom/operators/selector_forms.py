@@ -9,7 +9,6 @@ between paths, and ``(path)[n]``. Any other form is not supported and gives noth
 from __future__ import annotations
 
 import re
-from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_, or_
@@ -20,8 +19,12 @@ from pyspark.sql import functions as F
 from feedloom.operators.arrays import attr, first
 
 ROOT, CHILD, BELOW = "root", "child", "below"
-Test = Callable[[Column], Column]
-Step = tuple[str, Test]
+# What one element must have: an operation, an attribute's name and a value, empty where the operation takes none.
+Term = tuple[str, str, str]
+# A test holds in one of its ways if all terms of the way hold; a way without terms always holds.
+Ways = tuple[tuple[Term, ...], ...]
+Step = tuple[str, Ways]
+ANY: Ways = ((),)
 
 
 @dataclass(frozen=True)
@@ -32,34 +35,55 @@ class Form:
     nth: int = 1
 
 
-# The tests are used as filters: an absent attribute gives null, which no filter keeps.
+def has_class(e: Column, name: Column | str) -> Column:
+    classes = F.concat(F.lit(" "), F.regexp_replace(attr(e, "class"), r"\s", " "), F.lit(" "))
+    return F.contains(classes, F.concat(F.lit(" "), F.lit(name), F.lit(" ")))
 
 
-def has_class(e: Column, name: str) -> Column:
-    classes = F.concat(F.lit(" "), F.regexp_replace(attr(e, "class"), r"\s", " "), F.lit(" "))
-    return F.contains(classes, F.lit(f" {name} "))
+# Null counts as false: an absent attribute gives null. XPath takes the first text piece in ``in_text``, and an empty
+# text where there is none.
+OPERATIONS = {
+    "tag": lambda e, name, value: e["tag"] == value,
+    "equals": lambda e, name, value: e["attrs"][name] == value,
+    "contains": lambda e, name, value: F.contains(e["attrs"][name], value),
+    "has": lambda e, name, value: e["attrs"][name].isNotNull(),
+    "class": lambda e, name, value: has_class(e, value),
+    "text": lambda e, name, value: F.array_contains(e["text_nodes"], value),
+    "in_text": lambda e, name, value: F.contains(F.coalesce(first(e["text_nodes"]), F.lit("")), value),
+    "never": lambda e, name, value: F.lit(False),
+}
+
+
+def fits(e: Column, ways: Ways) -> Column:
+    """A known test on an element, as an expression."""
 
+    def all_of(way: tuple[Term, ...]) -> Column:
+        return reduce(and_, [OPERATIONS[op](e, F.lit(name), F.lit(value)) for op, name, value in way]) if way else F.lit(True)
 
-def has_attr(e: Column, name: str, value: str) -> Column:
-    return attr(e, name) == value
+    return reduce(or_, map(all_of, ways))
 
 
-def attr_holds(e: Column, name: str, part: str) -> Column:
-    return F.contains(attr(e, name), F.lit(part))
+def fits_row(e: Column, ways: Column) -> Column:
+    """A test that stands in a column, ``array<array<struct<op,name,value>>>``, on an element."""
 
+    def holds(term: Column) -> Column:
+        found = F.lit(False)
+        for op, test in OPERATIONS.items():
+            found = F.when(term["op"] == op, test(e, term["name"], term["value"])).otherwise(found)
+        return F.coalesce(found, F.lit(False))
 
-def has_tag(tag: str) -> list[Test]:
-    return [] if tag == "*" else [lambda e: e["tag"] == tag.lower()]
+    return F.exists(ways, lambda way: F.forall(way, holds))
 
 
-def every(tests: Iterable[Test]) -> Test:
-    listed = list(tests)
-    return lambda e: reduce(and_, [test(e) for test in listed]) if listed else F.lit(True)
+def key_of(way: tuple[Term, ...]) -> Term:
+    """The term of a way that fewest elements are likely to fulfil, among those that an index of elements can hold."""
+    rank = {"equals": 1, "class": 2, "contains": 3, "has": 3, "tag": 4}
+    found = min((t for t in way if t[0] in rank), key=lambda t: (rank[t[0]], t[:2] != ("equals", "id")), default=("any", "", ""))
+    return ("has", found[1], "") if found[0] == "contains" else found
 
 
-def some(tests: Iterable[Test]) -> Test:
-    listed = list(tests)
-    return lambda e: reduce(or_, [test(e) for test in listed])
+def _tag(tag: str) -> tuple[Term, ...]:
+    return () if tag == "*" else (("tag", "", tag.lower()),)
 
 
 def _quiet(text: str) -> str:
@@ -79,8 +103,8 @@ _CSS_PART = re.compile(
 )
 
 
-def _css_compound(text: str) -> Test | None:
-    tests: list[Test] = []
+def _css_compound(text: str) -> Ways | None:
+    terms: list[Term] = []
     at = 0
     while at < len(text):
         part = _CSS_PART.match(text, at) if at == 0 or text[at] in "#.[" else None
@@ -88,20 +112,20 @@ def _css_compound(text: str) -> Test | None:
             return None
         at = part.end()
         if part["tag"]:
-            tests += has_tag(part["tag"])
+            terms += _tag(part["tag"])
         elif part["id"]:
-            tests.append(lambda e, v=part["id"]: has_attr(e, "id", v))
+            terms.append(("equals", "id", part["id"]))
         elif part["cls"]:
-            tests.append(lambda e, v=part["cls"]: has_class(e, v))
+            terms.append(("class", "", part["cls"]))
         elif part["op"] is None:
-            tests.append(lambda e, n=part["attr"].lower(): attr(e, n).isNotNull())
+            terms.append(("has", part["attr"].lower(), ""))
         elif part["op"] == "=":
-            tests.append(lambda e, n=part["attr"].lower(), v=part["val"]: has_attr(e, n, v))
+            terms.append(("equals", part["attr"].lower(), part["val"]))
         elif part["val"]:
-            tests.append(lambda e, n=part["attr"].lower(), v=part["val"]: attr_holds(e, n, v))
+            terms.append(("contains", part["attr"].lower(), part["val"]))
         else:
-            tests.append(lambda e: F.lit(False))
-    return every(tests) if tests or text == "*" else None
+            terms.append(("never", "", ""))
+    return (tuple(terms),) if terms or text == "*" else None
 
 
 def _css_form(text: str) -> Form | None:
@@ -113,10 +137,10 @@ def _css_form(text: str) -> Form | None:
                 return None
             relation = CHILD
             continue
-        test = _css_compound(word)
-        if test is None:
+        ways = _css_compound(word)
+        if ways is None:
             return None
-        steps.append((relation, test))
+        steps.append((relation, ways))
         relation = BELOW
     return Form(tuple(steps)) if steps and relation == BELOW else None
 
@@ -131,30 +155,29 @@ _XPATH_TERM = re.compile(
 )
 
 
-def _xpath_term(text: str) -> Test | None:
+def _xpath_term(text: str) -> Term | None:
     term = _XPATH_TERM.match(text.strip())
     if term is None:
         return None
     if term["attr"]:
-        return lambda e: has_attr(e, term["attr"], term["value"])
+        return "equals", term["attr"], term["value"]
     if term["in_attr"]:
-        return lambda e: attr_holds(e, term["in_attr"], term["part"])
+        return "contains", term["in_attr"], term["part"]
     if term["text"] is not None:
-        return lambda e: F.array_contains(e["text_nodes"], F.lit(term["text"]))
+        return "text", "", term["text"]
     if term["in_text"] is not None:
-        # XPath takes the first text piece here, and an empty text where there is none.
-        return lambda e: F.contains(F.coalesce(first(e["text_nodes"]), F.lit("")), F.lit(term["in_text"]))
-    return lambda e: attr(e, term["present"]).isNotNull()
+        return "in_text", "", term["in_text"]
+    return "has", term["present"], ""
 
 
-def _xpath_condition(text: str) -> Test | None:
+def _xpath_condition(text: str) -> Ways | None:
     ways = [_cut(part, r"\s+and\s+") for part in _cut(text, r"\s+or\s+")]
     if len(ways) > 1 and any(len(way) > 1 for way in ways):
         return None
     terms = [[_xpath_term(t) for t in way] for way in ways]
     if any(t is None for way in terms for t in way):
         return None
-    return some(every(way) for way in terms)
+    return tuple(map(tuple, terms))
 
 
 def _xpath_form(text: str) -> Form | None:
@@ -170,7 +193,7 @@ def _xpath_form(text: str) -> Form | None:
             return None
         at = found.end()
         relation = BELOW if found["axis"] == "//" else CHILD if steps else ROOT
-        steps.append((relation, every([*has_tag(found["tag"]), *([condition] if condition else [])])))
+        steps.append((relation, tuple((*_tag(found["tag"]), *way) for way in condition or ANY)))
     return Form(tuple(steps), nth) if steps else None
 
 
@@ -184,9 +207,9 @@ def selector_forms(kind: str | None, value: str | None) -> list[Form] | None:
     elif kind == "xpath":
         forms = [_xpath_form(part) for part in _cut(value, r"\|")]
     elif kind in ("id", "name"):
-        forms = [Form(((BELOW, lambda e: has_attr(e, kind, value)),))]
+        forms = [Form(((BELOW, ((("equals", kind, value),),)),))]
     elif kind == "class":
-        forms = [Form(((BELOW, lambda e: has_class(e, value)),))]
+        forms = [Form(((BELOW, ((("class", "", value),),)),))]
     else:
         return None
     return forms if all(forms) else None

@@ -159,6 +159,27 @@ def selector_resolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resolved.select("page_id", "name", "supported", "found", "text")
 
 
+@query(
+    """SELECT p_partkey // 50 AS page_id, 'p' || CAST(p_partkey AS VARCHAR) AS name, 'li' AS tag, p_name AS text FROM part WHERE p_partkey % 4 <> 3"""
+)
+def selector_catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A catalogue with a selector for every part, found on the pages that list the parts; a quarter names another list."""
+    parts = table(spark, sf_dir, "part").select("p_partkey", "p_name", F.col("p_partkey").cast("string").alias("key"))
+    item = F.concat(F.lit("<li id='p"), "key", F.lit("' class='part c"), "key", F.lit("' data-key='"), "key", F.lit("'>"), "p_name", F.lit("</li>"))
+    listed = parts.groupBy(F.floor(F.col("p_partkey") / 50).alias("page_id")).agg(F.sort_array(F.collect_list(F.struct("p_partkey", item.alias("item")))).alias("items"))
+    pages = listed.select("page_id", F.concat(F.lit("<html><body><ul>"), F.array_join("items.item", ""), F.lit("</ul></body></html>")).alias("html"))
+    kind = F.col("p_partkey") % 4
+    value = (
+        F.when(kind == 0, F.concat(F.lit("#p"), "key"))
+        .when(kind == 1, F.concat(F.lit("ul > li.c"), "key"))
+        .when(kind == 2, F.concat(F.lit('//body//li[@data-key="'), "key", F.lit('"]')))
+        .otherwise(F.concat(F.lit("ol li.c"), "key"))
+    )
+    way = F.when(kind == 2, "xpath").otherwise("css")
+    catalogue = parts.select(F.lit("parts").alias("group"), F.concat(F.lit("p"), "key").alias("name"), way.alias("selector_type"), value.alias("selector_value"))
+    return resolve_selectors(pages, catalogue, hits_only=True).select("page_id", "name", "tag", "text")
+
+
 def _catalogue(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Part names by brand as a catalogue file, read back."""
     parts = table(spark, sf_dir, "part").select(

@@ -338,6 +338,45 @@ def test_resolve_selector(spark, kind, value, supported, text):
     assert got["text"] == ("TAbothchilddeepNodd" if text == "whole" else text)
 
 
+def _selector_cases():
+    marks = [m for m in test_resolve_selector.pytestmark if m.name == "parametrize"]
+    return [(f"n{i}", kind, value) for i, (kind, value, _, _) in enumerate(marks[0].args[1])]
+
+
+SHAPE = "`group` string, name string, selector_type string, selector_value string"
+PAGES = (
+    "<html><h1>T</h1><p id=a>A</p><p class='x y'>both</p><div><p data-k='v w' data-m>child</p></div>"
+    "<section><b><p>deep</p></b></section><i name=n>N</i><p t=' or '>odd</p></html>",
+    "<p>one<p>two<div class=y><section><p id=a>in</section></div><i t=' or '>x</i>",
+    "",
+    "<section><p><b><p id=a class='y  x'>z</p></b></section><section><div><p>q</div></section>" * 3,
+)
+
+
+def test_index_gives_what_expressions_give(spark):
+    """Every selector form on several pages, evaluated in place and by the index of elements."""
+    catalogue = spark.createDataFrame([("g" if i % 2 else None, *row) for i, row in enumerate(_selector_cases())], SHAPE)
+    data = pages(spark, *PAGES).withColumn("row", F.col("page_id") * 2)
+    for hits_only in (False, True):
+        whole = rows(L.resolve_selectors(data, catalogue, hits_only=hits_only))
+        assert rows(L.resolve_selectors(data, catalogue, hits_only=hits_only, in_place=0)) == whole and whole
+    asked = spark.createDataFrame([(0, "g", "n1"), (0, "g", "n1"), (3, "g", "n3"), (1, "g", "none"), (9, "g", "n1"), (2, "g", "n5")], "page_id long, `group` string, name string")
+    for hits_only in (False, True):
+        some = rows(L.resolve_selectors(data, catalogue, requests=asked, hits_only=hits_only))
+        assert rows(L.resolve_selectors(data, catalogue, requests=asked, hits_only=hits_only, in_place=0)) == some and some
+
+
+def test_large_catalogue(spark):
+    """20,000 selectors on a few pages; requests cut the catalogue down before it is evaluated."""
+    catalogue = spark.range(20_000).select(F.lit("g").alias("group"), F.concat(F.lit("n"), "id").alias("name"), F.lit("css").alias("selector_type"), F.concat(F.lit("ul > #p"), "id").alias("selector_value"))
+    data = pages(spark, *("<ul>" + "".join(f"<li id=p{i}>t{i}</li>" for i in range(first, 20_000, 4000)) + "</ul>" for first in (0, 7, 3999)))
+    found = L.resolve_selectors(data, catalogue, hits_only=True)
+    want = {(page, f"n{i}", f"t{i}") for page, first in enumerate((0, 7, 3999)) for i in range(first, 20_000, 4000)}
+    assert {(r.page_id, r.name, r.text) for r in found.collect()} == want
+    asked = spark.createDataFrame([(1, "g", "n7"), (1, "g", "n8")], "page_id long, `group` string, name string")
+    assert rows(L.resolve_selectors(data, catalogue, requests=asked).select("page_id", "name", "text")) == [(1, "n7", "t7"), (1, "n8", None)]
+
+
 TREES = st.recursive(st.just(""), lambda inner: st.lists(st.tuples(st.sampled_from("biu"), inner), max_size=4), max_leaves=25)
 
 
