@@ -104,6 +104,49 @@ def feed_shared_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(history).select(*events.columns, way)
 
 
+def _delivered(df: DataFrame, drop: str, hours: int) -> None:
+    """One more delivery in the drop folder, its files modified so many hours after a fixed time."""
+    spark, path = df.sparkSession, work_path(df.sparkSession, "delivery")
+    write_feed_csv(df, path)
+    home, target = (spark._jvm.org.apache.hadoop.fs.Path(x) for x in (path, drop))
+    system = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    system.mkdirs(target)
+    for file in system.listStatus(home):
+        if file.getPath().getName().endswith(".csv"):
+            system.setTimes(file.getPath(), 1_700_000_000_000 + hours * 3_600_000, -1)
+            system.rename(file.getPath(), spark._jvm.org.apache.hadoop.fs.Path(target, file.getPath().getName()))
+
+
+@query(
+    """SELECT strftime(ts, '%Y/%m/%d') AS "日付", CAST(event_id AS VARCHAR) AS event_id,
+    CASE WHEN day(ts) % 2 = 0 THEN 'corrected' ELSE 'first' END AS version FROM events"""
+)
+def feed_corrected(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deliveries of the same days: a first one, a correction of even days, an older one that comes late, and all of them again."""
+    drop, history = work_path(spark, "corrected_drop"), work_path(spark, "corrected_history")
+    events = table(spark, sf_dir, "events").select(
+        F.date_format("ts", "yyyy/MM/dd").alias("日付"), F.col("event_id").cast("string").alias("event_id"), F.dayofmonth("ts").alias("day")
+    )
+    by_day = events.repartitionByRange("日付")  # a day lies in one file of a delivery
+
+    def version(name: str) -> DataFrame:
+        return by_day.select("日付", "event_id", F.lit(name).alias("version"))
+
+    def take_in(state: str) -> None:
+        rows = stream_feed(spark, drop, ["日付", "event_id", "version"])
+        append_stream(rows, history, state, newest_wins=True).awaitTermination()
+
+    state = work_path(spark, "corrected_state")
+    _delivered(version("first"), drop, 1)
+    take_in(state)
+    _delivered(by_day.where("day % 2 = 0").select("日付", "event_id", F.lit("corrected").alias("version")), drop, 2)
+    take_in(state)
+    _delivered(version("stale").where("event_id % 3 = 0"), drop, 0)
+    take_in(state)
+    take_in(work_path(spark, "corrected_again"))
+    return spark.read.parquet(history).select("日付", "event_id", "version")
+
+
 @query(
     """SELECT strftime(ts, '%Y/%m/%d') AS "日付", CAST(event_id AS VARCHAR) AS event_id FROM events
     WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events ORDER BY d DESC LIMIT 5)"""

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import datetime as dt
 import re
+import uuid
 from collections.abc import Sequence
+from urllib.parse import unquote
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +18,8 @@ from feedloom.session import JAPANESE, allow_japanese
 
 DAY = "feed_date"
 FILE = "feed_file"
+MODIFIED = "feed_modified"
+DELIVERIES = "_deliveries"  # readers pass over folders whose names begin so
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = (DAY,), rebalance: bool = False) -> None:
@@ -95,6 +99,53 @@ def append_feed(
         raise ValueError(f"mode must be 'day' or 'raw', not {mode!r}")
 
 
+def append_newest(feed: DataFrame, history: str) -> None:
+    """Add rows of files, with ``feed_date``, ``feed_file`` and ``feed_modified``, so that each day holds its newest file alone.
+
+    The files of every day that were ever delivered this way are listed in a table beside the days. Of a day's files the one modified last
+    wins, ties to the later name: its rows replace those of the others, and rows of an older file that comes late are not
+    written. Run again with the same rows nothing changes, whatever step a failed run had reached: first the list grows, then
+    the winners' rows are written, then the folders of files that lost go. Rows without a day stay by file. Rows that
+    ``append_feed`` writes with another ``source`` are not touched. The list has a row per file and day; only what the feed's own days lost
+    comes to the driver.
+    """
+    spark = feed.sparkSession
+    listing = f"{history.rstrip('/')}/{DELIVERIES}"
+    home = spark._jvm.org.apache.hadoop.fs.Path(listing)
+    system = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    earlier = [x.getPath() for x in system.listStatus(home)] if system.exists(home) else []
+    shape = f"{DAY} date, {FILE} string, {MODIFIED} timestamp"
+    arrived = feed.where(F.col(DAY).isNotNull()).groupBy(DAY, FILE).agg(F.max(MODIFIED).alias(MODIFIED))
+    known = arrived.select(DAY, FILE, MODIFIED)
+    for path in earlier:  # one, or two where a run failed between writing and removing
+        known = known.unionByName(spark.read.schema(shape).parquet(path.toString()))
+    version = f"{listing}/{uuid.uuid4().hex}"
+    known.groupBy(DAY, FILE).agg(F.max(MODIFIED).alias(MODIFIED)).write.parquet(version)
+
+    deliveries = spark.read.schema(shape).parquet(version)
+    winners = deliveries.groupBy(DAY).agg(F.max_by(FILE, F.struct(MODIFIED, FILE)).alias("_winner"))
+    rows = feed.join(winners, DAY, "left").where(F.col(FILE).eqNullSafe(F.coalesce("_winner", FILE)))
+    write_parquet(rows.select(*[c for c in feed.columns if c != MODIFIED]), history, (DAY, FILE))
+
+    days = feed.select(DAY).distinct()
+    lost = deliveries.join(winners, DAY).join(days, DAY, "left_semi").where(F.col(FILE) != F.col("_winner"))
+    for row in lost.select(DAY, FILE).collect():
+        remove_file(spark, history, row[DAY], row[FILE])
+    for path in earlier:
+        system.delete(path, True)
+
+
+def remove_file(spark: SparkSession, history: str, day: dt.date, file: str) -> None:
+    """Delete the folder of one file of a day, if there is one."""
+    home = spark._jvm.org.apache.hadoop.fs.Path(f"{history.rstrip('/')}/{DAY}={day:%Y-%m-%d}")
+    system = home.getFileSystem(spark._jsc.hadoopConfiguration())
+    # Spark writes some characters of a partition's value as % and two digits
+    held = [x.getPath() for x in system.listStatus(home)] if system.exists(home) else []
+    for path in held:
+        if unquote(path.getName()) == f"{FILE}={file}":
+            system.delete(path, True)
+
+
 def history_columns(spark: SparkSession, history: str, default: Sequence[str]) -> list[str]:
     try:
         return spark.read.parquet(history).columns

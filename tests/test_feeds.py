@@ -245,6 +245,59 @@ def test_stream_equals_batch(spark, tmp_path, max_files):
     assert rows(spark.read.parquet(history).select("売上金額")) == [("1",), ("2",), ("30",), ("4",)]
 
 
+@pytest.mark.parametrize("max_files", [None, 1])
+def test_newest_delivery_wins(spark, tmp_path, max_files):
+    """A correction replaces, a late older file does not, and any number of further runs changes nothing."""
+    drop, history = tmp_path / "drop", str(tmp_path / "h")
+
+    def deliver(name, hour, *lines):
+        put(drop / name, "日付,v\n" + "".join(f"{line}\n" for line in lines))
+        os.utime(drop / name, (1_700_000_000 + hour * 3600,) * 2)
+
+    def run(state="state"):
+        rows_ = stream_feed(spark, str(drop), ["日付", "v"], max_files=max_files)
+        append_stream(rows_, history, str(tmp_path / state), newest_wins=True).awaitTermination()
+        return rows(spark.read.parquet(history).select("日付", "v"))
+
+    deliver("a b=1%.csv", 1, "2024/01/30,first", "2024/01/31,first", "never,kept")
+    assert run() == [("2024/01/30", "first"), ("2024/01/31", "first"), ("never", "kept")]
+    deliver("b.csv", 3, "2024/01/31,corrected")
+    want = [("2024/01/30", "first"), ("2024/01/31", "corrected"), ("never", "kept")]
+    assert run() == want
+    deliver("late.csv", 2, "2024/01/31,stale")
+    deliver("early.csv", 0, "2024/01/30,stale")
+    assert run() == want
+    deliver("c.csv", 3, "2024/01/31,tie")  # the later name of two of one time
+    want = [("2024/01/30", "first"), ("2024/01/31", "tie"), ("never", "kept")]
+    assert run() == want and run("other state") == want
+    K.append_feed(K.with_day(spark.createDataFrame([("2024/01/31", "batch")], "`日付` string, v string")), history, source="batch")
+    assert run("third state") == sorted([*want, ("2024/01/31", "batch")])
+
+
+def test_delivery_that_failed_half_way(spark, tmp_path, monkeypatch):
+    """Whatever step a run failed at, the next one gives the newest file's rows."""
+    from feedloom.sinks import feeds as sinks
+
+    def feed(file, hour, value):
+        rows_ = [("2024-01-31", file, dt.datetime(2024, 2, 1, hour), value)]
+        return spark.createDataFrame(rows_, f"d string, {FILE} string, {K.MODIFIED} timestamp, v string").withColumn(K.DAY, F.to_date("d"))
+
+    def broken(*args, **options):
+        raise OSError("lost")
+
+    for step in ("write_parquet", "remove_file"):
+        history = str(tmp_path / step)
+        K.append_newest(feed("a.csv", 1, "old"), history)
+        with monkeypatch.context() as patch:
+            patch.setattr(sinks, step, broken)
+            with pytest.raises(OSError, match="lost"):
+                K.append_newest(feed("b.csv", 2, "new"), history)
+        assert "old" in {r.v for r in spark.read.parquet(history).collect()}
+        K.append_newest(feed("b.csv", 2, "new"), history)
+        assert rows(spark.read.parquet(history).select("v")) == [("new",)]
+        assert len([x for x in os.listdir(f"{history}/{K.DELIVERIES}") if not x.startswith(".")]) == 1
+
+
 def test_export_batches(spark):
     df = spark.range(2500).select((2499 - F.col("id")).alias("k")).repartition(7)
     got = B.export_batches(df, ["k"]).orderBy("row_index").collect()
