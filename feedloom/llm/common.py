@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,9 @@ from pyspark.sql import types as T
 
 from feedloom.session import work_path
 
+# Spark removes the shuffle files of an execution at its end where this is on.
+FREE_SHUFFLES = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 # White space of word and line rules: blank and the five control characters 09-0D.
 BLANKS = "\t\n\x0b\x0c\r "
 
@@ -18,11 +22,39 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     """Write the rows to the shared folder and read them back.
 
     This cuts the lineage (a lost executor never repeats the work before it), fixes the rows, and lets
-    Spark know the table's true size, so that it broadcasts it only below its own threshold.
+    Spark know the table's true size, so that it broadcasts it only below its own threshold. The shuffles that made the rows are
+    not needed once they are written, and go.
     """
-    path = work_path(df.sparkSession, name)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    spark, path = df.sparkSession, work_path(df.sparkSession, name)
+    before = spark.conf.get(FREE_SHUFFLES, "false")
+    spark.conf.set(FREE_SHUFFLES, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FREE_SHUFFLES, before)
+    for tables in _RECORDS:
+        tables.append(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+_RECORDS: list[list[str]] = []
+
+
+@contextmanager
+def recorded(tables: list[str]) -> Iterator[None]:
+    """The folders of the tables that are settled inside are added to the list."""
+    _RECORDS.append(tables)
+    try:
+        yield
+    finally:
+        _RECORDS.remove(tables)
+
+
+def remove_tables(spark: SparkSession, tables: list[str]) -> None:
+    """Delete folders of settled tables that nothing reads any more, and empty the list."""
+    while tables:
+        path = spark._jvm.org.apache.hadoop.fs.Path(tables.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def map_batches(df: DataFrame, function: Callable[[pa.RecordBatch], pa.RecordBatch | None], schema: T.StructType | str) -> DataFrame:
