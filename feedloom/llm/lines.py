@@ -39,19 +39,26 @@ def drop_repeated_lines(
     """The documents without the lines that at least ``min_docs`` documents share.
 
     A line's key is the line stripped of blanks and tabs at both ends with A-Z lower-cased. Keys of at least
-    ``min_chars`` code points found in ``min_docs`` rows or more lose all their lines, except in the largest
+    ``min_chars`` code points found in ``min_docs`` documents or more lose all their lines, except in the largest
     ``doc_id`` that holds them. Columns: those of ``docs`` with the shorter text, ``n_lines`` (before) and
     ``n_dropped``; columns of these two names are replaced.
 
-    Null or empty text: one empty line; a null text stays null. Repeated rows count once each. A null id sorts
-    below all others. An empty table gives an empty table.
+    Null or empty text: one empty line; a null text stays null. Rows of one id are one document; rows without an id count
+    together as one, below all others. An empty table gives an empty table.
 
     Keys are counted with partial results, so a line in every document is one row per task. The (document, key)
     pairs to drop are joined to the texts by document, which is never hot.
     """
     keys = settle(line_keys(docs, doc_id, text, min_chars), "line-keys")
+    # only documents of several rows can hold a key more than once
+    repeated = settle(docs.groupBy(F.col(doc_id).alias("doc")).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("doc"), "line-repeated")
+    counted = keys
+    if not repeated.isEmpty():
+        many = repeated.select(F.col("doc").alias("__d"))
+        same = F.col("doc").eqNullSafe(F.col("__d"))
+        counted = keys.join(many, same, "left_anti").unionByName(keys.join(many, same, "left_semi").distinct())
     common = settle(
-        keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).where(F.col("n") >= min_docs).select("key", "last"),
+        counted.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.max("doc").alias("last")).where(F.col("n") >= min_docs).select("key", "last"),
         "line-common",
     )
     drops = (
