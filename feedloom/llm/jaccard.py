@@ -204,7 +204,7 @@ def _only(docs: DataFrame, wanted: DataFrame, doc_id: str) -> DataFrame:
 
     The bitmap has ``2 ** FILTER_BITS`` bits at any size, so it may be broadcast; the more ids, the more others pass.
     """
-    place = F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS))
+    place = F.pmod(F.xxhash64(doc_id), F.lit(1 << FILTER_BITS)) + 1  # from 1, as the bitmap functions count
     found = (
         wanted.select(place.alias("at"))
         .groupBy(F.bitmap_bucket_number("at").alias("bucket"))
@@ -338,8 +338,7 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     named by the smallest id reachable by links, the own one included. All links count: none is sampled or capped.
 
     Null or blank text has an empty set and links with nothing. Rows with a null id are given back, linked with
-    nothing. Rows of one id count as one document if their texts have equal sets; otherwise each row has its own
-    ``n_shingles`` and they share a class. An empty table gives an empty table.
+    nothing. Rows of one id are one document: each has the ``n_shingles`` of its own text, all texts' links count, and rows with a set share a class. An empty table gives an empty table.
 
     Copies are classed by a 128-bit fingerprint with partial results, so a group of copies is one row per task,
     and one document stands for them. Its near copies are found by the sketch join; a hot key is compared
@@ -348,6 +347,9 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
     """
     docs = docs.select(doc_id, text)
     sizes = settle(_sizes(docs, doc_id, text, size), "shingle-sizes")
+    prints = sizes.where("print is not null and doc is not null").groupBy("doc").agg(F.min("print").alias("x"), F.max("print").alias("y"))
+    if not prints.where("x <> y").isEmpty():
+        return _by_text(docs, sizes, doc_id, text, size, percent)
     classes = settle(sizes.where("print is not null and doc is not null").groupBy("print").agg(F.min("doc").alias("rep")), "shingle-classes")
     named = sizes.join(classes, "print", "left").select("doc", "n", F.when(F.col("doc").isNotNull(), F.coalesce("rep", "doc")).alias("rep"))
     members = settle(_members(docs, named, doc_id, text, size, percent), "sketch-members")
@@ -370,3 +372,28 @@ def jaccard_components(docs: DataFrame, doc_id: str = "doc_id", text: str = "tex
         labels = connect(links.unionByName(late))
     found = named.join(labels, F.col("rep") == F.col("node"), "left")
     return found.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("label", "rep").alias("component_id"))
+
+
+def _by_text(docs: DataFrame, sizes: DataFrame, doc_id: str, text: str, size: int, percent: int) -> DataFrame:
+    """``jaccard_components`` where ids have several unlike sets: sets are joined first, by their fingerprints, then ids through their sets."""
+    named = settle(_prints(docs, doc_id, text, size), "shingle-prints")
+    nodes = jaccard_components(named.where("node is not null").select("node", text), "node", text, size, percent)
+    labels = settle(nodes.select("node", F.col("component_id").alias("label")).distinct(), "print-labels")
+    held = settle(named.where("doc is not null and node is not null").select("doc", "node").distinct().join(labels, "node").select("doc", "label").distinct(), "print-documents")
+    links = held.join(held.groupBy("doc").agg(F.min("label").alias("b")), "doc").where("label <> b").select(F.col("label").alias("a"), "b").distinct()
+    joined = held.join(connect(links).withColumnRenamed("label", "whole"), F.col("label") == F.col("node"), "left").select("doc", F.coalesce("whole", "label").alias("whole"))
+    first = joined.groupBy("whole").agg(F.min("doc").alias("component_id"))
+    ids = settle(joined.join(first, "whole").groupBy("doc").agg(F.min("component_id").alias("component_id")), "print-components")
+    found = sizes.select("doc", "n").join(ids, "doc", "left")
+    return found.select(F.col("doc").alias(doc_id), F.col("n").alias("n_shingles"), F.coalesce("component_id", "doc").alias("component_id"))
+
+
+def _prints(docs: DataFrame, doc_id: str, text: str, size: int) -> DataFrame:
+    """``(doc, node, text)``: the documents with their set's fingerprint as text, null for an empty set."""
+    kind = arrow_kind(docs, doc_id)
+
+    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+        found = [blake2b(s.tobytes(), digest_size=16).hexdigest() if len(s := shingle_set(t, size)) else None for t in batch.column(1).to_pylist()]
+        return pa.RecordBatch.from_arrays([batch.column(0).cast(kind), pa.array(found, pa.string()), batch.column(1)], ["doc", "node", text])
+
+    return map_batches(docs.select(doc_id, text), run, f"doc {kind_of(docs, doc_id)}, node string, `{text}` string")
