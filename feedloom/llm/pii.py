@@ -33,7 +33,40 @@ ROUNDS = 3
 MIN_SEEDS = 3  # distinct known identifiers that a context must have had
 MIN_CONFIDENCE = 0.8
 
-_PLACES = "array<struct<start:int,stop:int,hit:string,before:string>>"
+BLOCK = 256  # array entries that are gathered at once
+
+_PLACE = "struct<start:int,stop:int,hit:string,before:string>"
+_ITEM = "struct<start:int,found:int,stop:int,item:string,kind:int,before:string>"
+
+
+def scanned(items: Column, start: Column, step: Callable[[Column, Column], Column], emit: Callable[[Column, Column], Column], kind: str) -> Column:
+    """What ``emit`` makes of each item and the state before it; nulls go. ``step`` gives the state after an item.
+
+    Arrays can only grow by being copied, so items are taken ``BLOCK`` at a time: the state at each block's begin first, then
+    the blocks, each by itself.
+    """
+    last = F.floor((F.size(items) - 1) / BLOCK).cast("int")
+    cut = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(items, i * BLOCK + 1, F.lit(BLOCK)))
+    after = lambda block, state: F.aggregate(block, state, step)
+
+    def grow(states: Column, block: Column) -> Column:
+        return F.concat(states, F.array(after(block, F.element_at(states, -1))))
+
+    def inner(block: Column, state: Column) -> Column:
+        begin = F.struct(state.alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+        more = lambda s, x: F.struct(step(s["at"], x).alias("at"), F.concat(s["out"], F.array(emit(s["at"], x))).alias("out"))
+        return F.aggregate(block, begin, more, lambda s: F.array_compact(s["out"]))
+
+    def whole(blocks: Column) -> Column:
+        states = F.aggregate(blocks, F.array(start), grow)
+        return F.flatten(F.transform(F.arrays_zip(blocks.alias("block"), states.alias("state")), lambda z: F.when(z["block"].isNotNull(), inner(z["block"], z["state"])).otherwise(F.array())))
+
+    return F.when(F.size(items) > 0, _bound(cut, whole)).otherwise(F.array().cast(f"array<{kind}>"))
+
+
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """Evaluate a value once and use it many times."""
+    return F.element_at(F.transform(F.array(value), use), 1)
 
 
 def located(text: Column, pattern: str) -> Column:
@@ -42,23 +75,17 @@ def located(text: Column, pattern: str) -> Column:
     The text between the matches gives their places: its pieces and the matches alternate.
     """
     hits = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
-    length = lambda c: F.char_length(c)
     parts = F.zip_with(hits, F.split(text, pattern, -1), lambda hit, gap: F.struct(hit.alias("hit"), gap.alias("gap")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast(_PLACES).alias("out"))
+    length = lambda c: F.coalesce(F.char_length(c), F.lit(0))
 
-    def add(state: Column, part: Column) -> Column:
-        begin = state["at"] + length(part["gap"])
+    def place(at: Column, part: Column) -> Column:
+        begin = at + length(part["gap"])
         stop = begin + length(part["hit"])
-        place = F.struct(
-            begin.alias("start"), stop.alias("stop"), part["hit"].alias("hit"), F.right(part["gap"], F.lit(CONTEXT_CHARS)).alias("before")
-        )
-        return F.struct(
-            F.coalesce(stop, begin).alias("at"),
-            F.when(part["hit"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(place))).alias("out"),
-        )
+        found = F.struct(begin.alias("start"), stop.alias("stop"), part["hit"].alias("hit"), F.right(part["gap"], F.lit(CONTEXT_CHARS)).alias("before"))
+        return F.when(part["hit"].isNotNull(), found)
 
-    found = F.aggregate(parts, start, add, lambda state: state["out"])
-    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(_PLACES))
+    found = _bound(parts, lambda p: scanned(p, F.lit(0), lambda at, x: at + length(x["gap"]) + length(x["hit"]), place, _PLACE))
+    return F.when(F.regexp_like(text, F.lit(pattern)), found).otherwise(F.array().cast(f"array<{_PLACE}>"))
 
 
 def luhn(digits: Column) -> Column:
@@ -112,30 +139,34 @@ def _contexts(before: Column) -> Column:
 def _occurrences(found: DataFrame, doc_id: str, text: str) -> DataFrame:
     """``(doc, row, start, stop, item, kind, contexts)``: known identifiers, and tokens like identifiers (kind null)."""
     value = F.coalesce(F.col(text), F.lit(""))
-    known = F.transform(
-        "base",
-        lambda x: F.struct(
-            x["start"].alias("start"), x["stop"].alias("stop"), x["hit"].alias("item"), x["kind"].alias("kind"), x["before"].alias("before")
-        ),
+    field = lambda start, found, stop, item, kind, before: F.struct(
+        start.alias("start"), F.lit(found).alias("found"), stop.alias("stop"), item.alias("item"), kind.cast("int").alias("kind"), before.alias("before")
     )
+    known = F.transform("base", lambda x: field(x["start"], 0, x["stop"], x["hit"], x["kind"], x["before"]))
     trimmed = lambda hit: F.regexp_replace(F.regexp_replace(hit, TRIM_LEFT, ""), TRIM_RIGHT, "")
     lead = lambda hit: F.char_length(hit) - F.char_length(F.regexp_replace(hit, TRIM_LEFT, ""))
-    tokens = F.transform(
-        located(value, TOKEN),
-        lambda x: F.struct(
-            (x["start"] + lead(x["hit"])).alias("start"),
-            (x["start"] + lead(x["hit"]) + F.char_length(trimmed(x["hit"]))).alias("stop"),
-            trimmed(x["hit"]).alias("item"),
-            F.lit(None).cast("int").alias("kind"),
-            x["before"].alias("before"),
-        ),
-    )
-    like = F.filter(tokens, lambda x: (F.char_length(_digits(x["item"])) >= MIN_DIGITS) | F.contains(x["item"], F.lit("@")))
-    apart = F.filter(like, lambda x: ~F.exists("base", lambda b: (b["start"] < x["stop"]) & (x["start"] < b["stop"])))
-    rows = found.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("row"), F.explode(F.concat(known, apart)).alias("x"))
+
+    def token(x: Column) -> Column:
+        start, item = x["start"] + lead(x["hit"]), trimmed(x["hit"])
+        return field(start, 1, start + F.char_length(item), item, F.lit(None), x["before"])
+
+    like = F.filter(F.transform(located(value, TOKEN), token), lambda x: (F.char_length(_digits(x["item"])) >= MIN_DIGITS) | F.contains(x["item"], F.lit("@")))
+    rows = found.select(F.col(doc_id).alias("doc"), F.xxhash64(text).alias("row"), F.explode(_apart(F.concat(known, like))).alias("x"))
     return rows.select("doc", "row", "x.start", "x.stop", "x.item", "x.kind", _contexts(F.col("x.before")).alias("contexts"))
 
 
+def _apart(items: Column) -> Column:
+    """The items without found tokens that overlap a known form: one pass in order of places, one backwards."""
+    unknown = lambda x: x["found"] == 1
+    behind = lambda rows: scanned(
+        rows, F.lit(0), lambda at, x: F.when(unknown(x), at).otherwise(F.greatest(at, x["stop"])), lambda at, x: F.when(~unknown(x) | (at <= x["start"]), x), _ITEM
+    )
+    ahead = lambda rows: scanned(
+        rows, F.lit(2**31 - 1), lambda at, x: F.when(unknown(x), at).otherwise(F.least(at, x["start"])), lambda at, x: F.when(~unknown(x) | (at >= x["stop"]), x), _ITEM
+    )
+    return _bound(F.sort_array(items), lambda rows: _bound(F.reverse(behind(rows)), ahead))
+
+
 def discovered(occurrences: DataFrame) -> DataFrame:
     """``(item, kind)``: unknown identifiers whose contexts are those of known ones.
 
@@ -216,17 +247,34 @@ def span_text(spans: Column) -> Column:
 def redact_pii(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """The documents, with every span replaced by its kind in square brackets; overlapping spans become one."""
     found = find_pii(docs, doc_id, text)
-    state = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
     value = F.col(text)
     name = lambda k: F.element_at(F.array(*map(F.lit, KINDS)), k + 1)
+    # the text is cut once for each block of spans, so that no piece is looked for from the text's begin
+    span = "struct<start:int,kind:int,stop:int,after:int>"
+    known = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop"), F.lit(0).alias("after")))
+    apart = scanned(
+        known,
+        F.lit(0),
+        lambda at, x: F.greatest(at, x["stop"]),
+        lambda at, x: F.when((x["start"] >= at) | (x["stop"] > at), F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["stop"].alias("stop"), at.alias("after"))),
+        span,
+    )
 
-    def add(state: Column, x: Column) -> Column:
-        piece = F.concat(F.substr(value, state["at"] + 1, x["start"] - state["at"]), F.lit("["), name(x["kind"]), F.lit("]"))
-        inside = x["start"] < state["at"]
-        return F.struct(
-            F.greatest(state["at"], x["stop"]).alias("at"),
-            F.when(inside, state["out"]).otherwise(F.concat(state["out"], F.array(piece))).alias("out"),
-        )
+    def cleaned(spans: Column) -> Column:
+        last = F.floor((F.size(spans) - 1) / BLOCK).cast("int")
+        blocks = F.transform(F.sequence(F.lit(0), last), lambda i: F.slice(spans, i * BLOCK + 1, F.lit(BLOCK)))
+
+        def of_block(block: Column) -> Column:
+            begin, end = F.element_at(block, 1)["after"], F.element_at(block, -1)["stop"]
+
+            def pieces(part: Column) -> Column:
+                # a span that begins inside the one before it only carries that one's cover on
+                gap = lambda x: F.substr(part, x["after"] - begin + 1, F.greatest(x["start"] - x["after"], F.lit(0)))
+                mark = lambda x: F.when(x["start"] >= x["after"], F.concat(F.lit("["), name(x["kind"]), F.lit("]"))).otherwise("")
+                return F.array_join(F.transform(block, lambda x: F.concat(gap(x), mark(x))), "")
+
+            return _bound(F.substr(value, begin + 1, end - begin), pieces)
+
+        return F.concat(F.array_join(F.transform(blocks, of_block), ""), F.substr(value, F.element_at(spans, -1)["stop"] + 1))
 
-    clean = F.aggregate("spans", state, add, lambda s: F.concat(F.array_join(s["out"], ""), F.substr(value, s["at"] + 1)))
-    return found.withColumn(text, F.when(F.size("spans") > 0, clean).otherwise(value)).select(docs.columns)
+    return found.withColumn(text, F.when(F.size("spans") > 0, _bound(apart, cleaned)).otherwise(value)).select(docs.columns)
