@@ -7,6 +7,7 @@ blocks around its own on every curve. The results of all curves are merged and r
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from functools import reduce
 from math import ceil
 
@@ -25,6 +26,7 @@ SEED = 7
 SAMPLE = 64  # queries whose exact neighbours set the width of the window
 COVERAGE = 0.95  # share of those neighbours that some curve's window must hold
 SPARE = 2  # candidates that are reranked for each that is asked for
+GROUP = 64  # neighbouring blocks that one task compares with the queries around them
 
 
 def hilbert_keys(points: np.ndarray, bits: int) -> np.ndarray:
@@ -72,9 +74,19 @@ def _unit(vectors: np.ndarray) -> np.ndarray:
 
 
 def cosine(a: Column, b: Column) -> Column:
-    """In double precision, summed in order."""
-    total = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
-    return total(a, b) / (F.sqrt(total(a, a)) * F.sqrt(total(b, b)))
+    """In double precision, summed in order; scaled by the largest components where a sum of squares would leave the range."""
+
+    def of(x: Column, y: Column) -> Column:
+        total = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p.cast("double") * q.cast("double")), F.lit(0.0), lambda s, v: s + v)
+        parts = F.struct(total(x, y).alias("xy"), total(x, x).alias("xx"), total(y, y).alias("yy"))
+        plain = lambda t: t["xx"].between(1e-280, 1e280) & t["yy"].between(1e-280, 1e280)
+        return F.element_at(F.transform(F.array(parts), lambda t: F.when(plain(t), t["xy"] / (F.sqrt(t["xx"]) * F.sqrt(t["yy"])))), 1)
+
+    def scaled(x: Column) -> Column:
+        largest = F.array_max(F.transform(x, lambda v: F.abs(v.cast("double"))))
+        return F.element_at(F.transform(F.array(largest), lambda m: F.transform(x, lambda v: v.cast("double") / m)), 1)
+
+    return F.coalesce(of(a, b), of(scaled(a), scaled(b)))
 
 
 def _usable(vectors: DataFrame, vec_id: str, embedding: str) -> DataFrame:
@@ -125,17 +137,56 @@ def _packs(ranks: DataFrame, classes: DataFrame) -> DataFrame:
 
 
 def _best(unit_queries: np.ndarray, unit_others: np.ndarray, own: np.ndarray | None, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows, columns and scores of each query's ``k`` best."""
+    """Rows, columns and scores of each query's ``k`` best; of equal ones those that come first."""
     scores = unit_queries @ unit_others.T
     if own is not None:
         scores[own] = -np.inf
     k = min(k, scores.shape[1])
-    columns = np.argpartition(-scores, k - 1, axis=1)[:, :k]
-    rows = np.repeat(np.arange(len(scores)), k)
-    columns = columns.ravel()
+    if k < scores.shape[1]:
+        least = -np.partition(-scores, k - 1, axis=1)[:, k - 1 : k]
+        # the scores above the k-th, then as many equal to it as there is room for
+        above, even = scores > least, scores == least
+        chosen = above | (even & (np.cumsum(even, axis=1) <= k - above.sum(axis=1, keepdims=True)))
+    else:
+        chosen = np.ones(scores.shape, bool)
+    rows, columns = np.nonzero(chosen)
     return rows, columns, scores[rows, columns]
 
 
+class _Search:
+    """The best candidates of queries that meet one block of vectors after another."""
+
+    def __init__(self, spare: int):
+        self.spare = spare
+        self.blocks: list[tuple[int, np.ndarray, np.ndarray]] = []
+        self.found: list[tuple[np.ndarray, np.ndarray, np.ndarray] | None] = []
+
+    def ask(self, block: int, reps: np.ndarray, unit: np.ndarray) -> None:
+        self.blocks.append((block, reps, unit))
+        self.found.append(None)
+
+    def meet(self, block: int, reps: np.ndarray, unit: np.ndarray, width: int) -> None:
+        order = np.argsort(reps, kind="stable")  # equal scores go to the smaller id
+        reps, unit = reps[order], unit[order]
+        for i, (own, asking, asked) in enumerate(self.blocks):
+            if abs(own - block) <= width:
+                rows, columns, scores = _best(asked, unit, None, self.spare)
+                new = (rows, reps[columns], scores)
+                if self.found[i] is not None:
+                    new = tuple(np.concatenate(pair) for pair in zip(self.found[i], new, strict=True))
+                    order = np.lexsort((new[1], -new[2], new[0]))
+                    row = new[0][order]
+                    nth = np.arange(len(row)) - np.searchsorted(row, row)
+                    keep = order[nth < self.spare]
+                    new = tuple(x[keep] for x in new)
+                self.found[i] = new
+
+    def result(self) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        for (_, asking, _), found in zip(self.blocks, self.found, strict=True):
+            if found is not None:
+                yield asking[found[0]], found[1], found[2]
+
+
 def window_width(asked: DataFrame, classes: DataFrame, ranks: DataFrame, size: int, k: int) -> int:
     """Blocks on each side of a query's own that hold ``COVERAGE`` of the neighbours of a sample of queries.
 
@@ -175,7 +226,8 @@ def nearest(vectors: DataFrame, query: Column, vec_id: str = "vec_id", embedding
     Null or all-zero vectors, vectors with null or non-finite components and rows with a null id take no part. Vectors are
     compared with those of their own length; each length is searched on its own. Rows of one vector are one class on the curves and are listed by id, so
     a vector that a third of all rows share is one entry. Repeated ids are rows of their own. An empty table or no
-    query gives an empty table.
+    query gives an empty table. Ties are of scores as computed: of more than ``SPARE * (k + 1)`` unlike vectors whose cosines with a query
+    differ by rounding alone, those with the largest rounded score are reranked.
     """
     rows = _usable(vectors, vec_id, embedding)
     wanted = _usable(vectors.where(query), vec_id, embedding)
@@ -192,22 +244,35 @@ def _nearest(rows: DataFrame, wanted: DataFrame, size: int, k: int) -> DataFrame
     ranks = settle(_ordered(classes, size), "vector-ranks")
     width = window_width(asked, classes, ranks, size, k)
     kind, name = arrow_kind(classes, "rep"), kind_of(classes, "rep")
-    queries = _packs(ranks.join(asked.select("rep").distinct(), "rep", "left_semi"), classes).select(
-        "curve", F.explode(F.sequence(F.col("block") - width, F.col("block") + width)).alias("block"), F.col("reps").alias("asking"), F.col("data").alias("asked")
+    # blocks go by groups of neighbours; a query's block goes to the groups that its window reaches
+    group = lambda block: F.floor(block / GROUP)
+    asking = _packs(ranks.join(asked.select("rep").distinct(), "rep", "left_semi"), classes).select(
+        "curve", F.explode(F.sequence(group(F.col("block") - width), group(F.col("block") + width))).alias("group"), F.lit(0).alias("kind"), "block", "reps", "data"
     )
-    met = queries.join(_packs(ranks, classes), ["curve", "block"]).select("asking", "asked", "reps", "data")
+    others = _packs(ranks, classes).select("curve", group(F.col("block")).alias("group"), F.lit(1).alias("kind"), "block", "reps", "data")
+    met = asking.unionByName(others).repartition("curve", "group").sortWithinPartitions("curve", "group", "kind", "block")
     spare = SPARE * (k + 1)
 
     def run(batches):
+        def rows(search: _Search):
+            for asking_, other, score in search.result():
+                yield pa.RecordBatch.from_arrays([pa.array(asking_).cast(kind), pa.array(other).cast(kind), pa.array(score)], ["rep", "other", "near"])
+
+        at, search = None, _Search(spare)
+        # one block is some hundred kilobytes, so rows are taken out of their batch one by one
         for batch in batches:
-            out: tuple[list, ...] = ([], [], [])
             for i in range(batch.num_rows):
-                asking, asked_, reps, data = (batch.column(c)[i].values for c in range(4))
-                q, c, s = _best(*(_unit(x.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size)) for x in (asked_, data)), None, spare)
-                for column, x in zip(out, (asking.take(pa.array(q)), reps.take(pa.array(c)), pa.array(s)), strict=True):
-                    column.append(x)
-            if out[0]:
-                yield pa.RecordBatch.from_arrays([pa.concat_arrays(out[0]).cast(kind), pa.concat_arrays(out[1]).cast(kind), pa.concat_arrays(out[2])], ["rep", "other", "near"])
+                curve, group_, kind_, block = (batch.column(c)[i].as_py() for c in range(4))
+                if (curve, group_) != at:
+                    yield from rows(search)
+                    at, search = (curve, group_), _Search(spare)
+                reps = batch.column(4)[i].values.to_numpy(zero_copy_only=False)
+                unit = _unit(batch.column(5)[i].values.to_numpy(zero_copy_only=False).astype(np.float64).reshape(-1, size))
+                if kind_ == 0:
+                    search.ask(block, reps, unit)
+                else:
+                    search.meet(block, reps, unit, width)
+        yield from rows(search)
 
     found = met.mapInArrow(run, f"rep {name}, other {name}, near double").groupBy("rep", "other").agg(F.max("near").alias("near"))
     order = Window.partitionBy("rep").orderBy(F.desc("near"), "other")
