@@ -55,6 +55,15 @@ def test_stages_against_plain_rules(spark):
     assert {r.doc_id for r in packed.select("doc_id").collect()} == {r.doc_id for r in clear.collect()}
 
 
+def test_near_copies_keep_texts_of_one_id(spark):
+    """A row without words does not push out a text of its id; texts that differ in case and blanks alone are one."""
+    texts = [" ".join(f"{name}{k}" for k in range(40)) for name in "abc"]
+    rows = [(1, None), (1, texts[0]), (1, texts[1]), (1, "  " + texts[1].upper()), (2, texts[0] + " x"), (3, None), (3, " "), (4, texts[2]), (5, texts[2]), (None, texts[2])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = [tuple(r) for r in dict(corpus_pipeline.STAGES)["n-gram Jaccard join"](spark, docs, SF).collect()]
+    assert len(got) == 5 and {(i, (t or "").strip().lower()) for i, t in got} == {(1, texts[0]), (1, texts[1]), (3, ""), (4, texts[2]), (None, texts[2])}
+
+
 def test_stages_on_odd_documents(spark):
     shape = "doc_id long, text string, lang string, source string, n_chars long, key int, label string"
     rows = [(None, None, None, None, None, None, None), (1, "", "en", "s", 0, 1, "x"), (1, "", "en", "s", 0, 1, "x"), (2, "w " * 3000, "en", "s", 6000, 1, "x")]

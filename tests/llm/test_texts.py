@@ -45,7 +45,7 @@ def lines_expected(rows):
     held = {}
     for i, text in rows:
         for k in {key(x) for x in (text or "").split("\n")} - {None}:
-            held.setdefault(k, []).append(i)
+            held.setdefault(k, set()).add(i)
     out = []
     for i, text in rows:
         lines = (text or "").split("\n")
@@ -67,6 +67,16 @@ def test_lines(spark):
     assert drop_repeated_lines(empty(spark)).collect() == []
 
 
+def test_lines_of_repeated_documents(spark):
+    """A line counts once for an id, however many rows the id has."""
+    line = "a line that several documents hold " + "x" * 20
+    rows = [(1, line), (1, line + "\nown"), (2, line), (2, line), (3, line)]
+    assert lines_expected(rows) == sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in drop_repeated_lines(frame(spark, [t for _, t in rows], [i for i, _ in rows])).collect())
+    more = [*rows, (4, line), (5, line), (5, "other\n" + line)]
+    got = sorted((r.doc_id, r.text, r.n_lines, r.n_dropped) for r in drop_repeated_lines(frame(spark, [t for _, t in more], [i for i, _ in more])).collect())
+    assert got == lines_expected(more) and got[0] == (1, "", 1, 1)
+
+
 # repeats
 
 
@@ -171,6 +181,19 @@ def test_components(spark, size, percent):
     assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == components_expected(rows, size, percent)
 
 
+def test_components_of_odd_ids(spark):
+    """Ids whose hash falls on the filter's ends, and several texts of one id."""
+    rng = random.Random(7)
+    a, b, c = (words_text(rng, 120, 10**6) for _ in range(3))
+    got = jaccard_components(frame(spark, [a, a + " more", b], [5, 25317696, 60270852]), size=3, percent=90).collect()
+    assert {(r.doc_id, r.component_id) for r in got} == {(5, 5), (25317696, 5), (60270852, 60270852)}
+    rows = [(1, a), (1, b), (2, a + " x"), (3, b + " x"), (4, c), (4, None), (7, c + " x"), (9, None), (9, "")]
+    got = jaccard_components(frame(spark, [t for _, t in rows], [i for i, _ in rows]), size=3, percent=90).collect()
+    assert sorted((r.doc_id, r.n_shingles, r.component_id) for r in got) == [
+        (1, 118, 1), (1, 118, 1), (2, 119, 1), (3, 119, 1), (4, 0, 4), (4, 118, 4), (7, 119, 4), (9, 0, 9), (9, 0, 9)
+    ]
+
+
 def test_components_in_blocks(spark, monkeypatch):
     from feedloom.llm import jaccard
 
@@ -266,6 +289,35 @@ def test_base_spans(spark):
     assert [got[i] for i in range(len(texts))] == [spans_expected(t) for t in texts]
 
 
+def test_many_matches_in_one_text(spark):
+    """Tens of thousands of addresses: places and cuts take time in proportion."""
+    import time
+
+    text = " ".join(f"user{i}@mail.example.com tel +1 (017) 555-{i:04d}" if i % 7 else "é plain words 4111111111111111" for i in range(20_000))
+    start = time.monotonic()
+    (row,) = base_spans(frame(spark, [text])).select(span_text(F.col("base")).alias("s")).collect()
+    assert row.s == spans_expected(text) and row.s.count(":") > 60_000
+    (row,) = redact_pii(frame(spark, [text])).collect()
+    assert "@" not in row.text and row.text.startswith("é plain words [card] [email] tel [phone]") and row.text.count("[email]") == 20_000 - 2858
+    assert time.monotonic() - start < 60
+
+
+def test_redacted_cover(spark):
+    """Spans that overlap or touch, in more than one block of spans, against a cover by code points."""
+    rng = random.Random(9)
+    pieces = ["+1 (017) 555-7713", "4111 1111 1111 1111", "+4111 1111 1111 1111", "1.2.3.4", "a@b.cd", "+1.2.3.4.5.6.7.8.9.10.11", " ", "é", "x"]
+    texts = ["".join(rng.choice(pieces) for _ in range(n)) for n in (0, 5, 30, 900)]
+    spans = {r.doc_id: r.spans for r in find_pii(frame(spark, texts)).collect()}
+    got = {r.doc_id: r.text for r in redact_pii(frame(spark, texts)).collect()}
+    for i, text in enumerate(texts):
+        out, at = [], 0
+        for x in sorted(spans[i], key=lambda x: (x.start, x.kind)):
+            if x.start >= at:
+                out.append(text[at : x.start] + f"[{KINDS[x.kind]}]")
+            at = max(at, x.stop)
+        assert got[i] == "".join(out) + text[at:]
+
+
 def test_contexts_discover(spark):
     known = [f"please mail to user{i}@mail{i}.example.com now" for i in range(8)]
     new = ["please mail to someone@localhost now", "the year 123456789 was"]

@@ -245,6 +245,22 @@ def test_neighbours_of_ragged_tables(spark):
     assert [r.vec_id for r in one_short.collect()] == [1, 2, 3]
 
 
+def test_neighbours_of_scaled_copies(spark):
+    """Copies scaled by powers of two score the same: the smaller ids win. Components near the ends of the range are fine."""
+    rng = np.random.default_rng(3)
+    base = rng.standard_normal(8).round(3)
+    rows = [(i, rng.standard_normal(8).tolist()) for i in range(1, 50)]
+    rows += [(1000 - i, (base * 2.0 ** (i % 40 - 20)).tolist()) for i in range(300)]
+    rows += [(0, base.tolist()), (5000, (base * 1e200).tolist()), (5050, (rng.standard_normal(8) * 1e-200).tolist())]
+    got = {}
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    for r in sorted(nearest(table, F.col("vec_id").isin(0, 5000, 5050)).collect(), key=lambda r: (r.query_id, r.rank)):
+        got.setdefault(r.query_id, []).append((r.vec_id, r.score))
+    assert [i for i, _ in got[0]] == [701, 702, 703, 704, 705]
+    assert all(abs(s - 1) < 1e-12 for _, s in got[5000]) and len(got[5050]) == 5
+    assert all(np.isfinite(s) for near in got.values() for _, s in near)
+
+
 # classifier
 
 
