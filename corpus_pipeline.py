@@ -3,16 +3,19 @@
 Each stage takes ``(spark, docs, sf_dir)`` and returns a DataFrame that is written and read again as the next one's ``docs``.
 All but the last return the columns of the documents; only rows that a stage rejects go, only text that it
 rejects is cut, and ``n_chars`` (where there is such a column) follows the text. Null ids and texts, repeated rows and
-empty tables are handled as each operator's docstring says.
+empty tables are handled as each operator's docstring says. A stage's output must be written before the next stage is called on it.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import settle, table
+from feedloom.llm.common import recorded, remove_tables, settle, table
 from feedloom.llm.jaccard import jaccard_components
 from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.packing import pack_documents
@@ -44,14 +47,22 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group linked by five-word shingles at 0.8 the document with the smallest id stays.
 
-    Of several rows with that id one stays, the one with the smallest text. Rows with a null id all stay.
+    Of several rows with that id one of each text stays, upper and lower case and blanks aside; rows without words only where the
+    id has no other. Rows with a null id all stay.
     """
     classes = jaccard_components(docs, size=5, percent=80)
-    first = classes.where("doc_id = component_id").select("doc_id").distinct()
+    first = classes.groupBy("doc_id").agg(F.min("component_id").alias("component_id")).where("doc_id = component_id").select("doc_id")
     named = docs.join(first, "doc_id", "left_semi")
-    order = Window.partitionBy("doc_id").orderBy("text")
-    one = named.withColumn("__n", F.row_number().over(order)).where("__n = 1").select(docs.columns)
-    return one.unionByName(docs.where("doc_id is null"))
+    own = Window.partitionBy("doc_id")
+    words = F.nullif(F.trim(F.regexp_replace(F.lower("text"), r"[\x20\x09-\x0D]+", " ")), F.lit(""))
+    # texts are looked at only where an id has several rows
+    counted = named.withColumn("__rows", F.count(F.lit(1)).over(own)).withColumn("__words", F.when(F.col("__rows") > 1, F.xxhash64(words)))
+    worded = counted.withColumn("__filled", (F.col("__rows") == 1) | words.isNotNull())
+    ranked = worded.withColumns(
+        {"__any": F.bool_or("__filled").over(own), "__n": F.row_number().over(Window.partitionBy("doc_id", "__words").orderBy("text"))}
+    )
+    kept = ranked.where((F.col("__n") == 1) & (F.col("__filled") | ~F.col("__any"))).select(docs.columns)
+    return kept.unionByName(docs.where("doc_id is null"))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -64,12 +75,30 @@ def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return pack_documents(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.PATTERN, added_tokens=True)
 
 
+_INNER: list[str] = []
+
+
+def staged(stage: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """The stage, which first removes the inner tables of the stage before it.
+
+    Its input is that stage's written output, so nothing reads them any more, also if an executor is lost now.
+    """
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        remove_tables(spark, _INNER)
+        with recorded(_INNER):
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
+
+
 STAGES = [
-    ("quality rules", quality),
-    ("line dedup", line_dedup),
-    ("n-gram Jaccard join", near_copies),
-    ("PII", personal_data),
-    ("best-fit packing", packing),
+    ("quality rules", staged(quality)),
+    ("line dedup", staged(line_dedup)),
+    ("n-gram Jaccard join", staged(near_copies)),
+    ("PII", staged(personal_data)),
+    ("best-fit packing", staged(packing)),
 ]
 
 
