@@ -5,7 +5,7 @@ Everything here is built-in Spark functions.
 
 from __future__ import annotations
 
-from math import log
+from math import log, sqrt
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -23,6 +23,7 @@ BUCKETS = 1 << 14  # hash buckets of each kind; the model has KINDS times as man
 SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+MILLION = 1_000_000
 DEVIATIONS = 3  # a text of the target is rarely rated further below the mean of the trusted documents
 
 
@@ -91,8 +92,8 @@ def with_buckets(rows: DataFrame, text: str) -> DataFrame:
 def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[list[int], float]:
     """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
-    All n-grams of all rows are counted, with partial results. Not the texts but their buckets, which compress well, are
-    shuffled to meet the trusted ids. There are ``KINDS * BUCKETS`` numbers at any size.
+    All n-grams of all rows are counted with partial results and without a join, so no text is shuffled for it. The trusted documents'
+    buckets are written once, for their counts and for the threshold. There are ``KINDS * BUCKETS`` numbers at any size.
 
     The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
     also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
@@ -102,42 +103,42 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
     trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
     narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
     # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
-    counted = (
-        with_buckets(narrow, "text").select("doc", "__buckets")
-        .join(trusted, F.col("doc") == F.col("trusted"), "left")
-        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode_outer("__buckets").alias("bucket"))
-        .where("bucket is not null")
-        .groupBy("bucket")
-        .agg(F.sum("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
-    )
-    counts = settle(counted, "ngram-counts")
+    single = lambda rows, *keys: rows.select(*keys, F.explode_outer("__buckets").alias("bucket")).where("bucket is not null")
+    raw = single(with_buckets(narrow, "text")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
+    told = settle(with_buckets(narrow.join(trusted, F.col("doc") == F.col("trusted"), "left_semi"), "text").select("doc", "__buckets"), "trusted-buckets")
+    held = single(told).groupBy("bucket").agg(F.count(F.lit(1)).alias("trusted"))
+    counts = settle(raw.join(held, "bucket", "left").select("bucket", F.coalesce("trusted", F.lit(0)).alias("trusted"), "raw"), "ngram-counts")
     found = counts.collect()
     total_t, total_r = sum(r["trusted"] for r in found), sum(r["raw"] for r in found)
     weights = [0] * (KINDS * BUCKETS)
     for r in found:
-        raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
-        weights[r["bucket"]] = round(1_000_000 * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
-    # one row for each trusted document and bucket, less its own count
-    told = with_buckets(narrow.join(trusted, F.col("doc") == F.col("trusted"), "left_semi"), "text")
-    own = told.select("doc", F.explode_outer("__buckets").alias("bucket")).where("bucket is not null").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
-    raw = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
-    weight = F.log((F.col("trusted") - F.col("n") + PRIOR * raw) / raw)
+        raw_share = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
+        weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw_share) / (total_t + PRIOR) / raw_share))
+    # one row for each trusted document and bucket, less its own count; sums of whole numbers do not depend on an order
+    own = single(told, "doc").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    share = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
+    weight = F.round(MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)).cast("long")
+    rest = F.round(MILLION * F.log(total_t - F.col("size") + PRIOR)).cast("long")
     ratings = (
         own.join(F.broadcast(counts), "bucket")
         .groupBy("doc")
         .agg(F.sum("n").alias("size"), F.sum(F.col("n") * weight).alias("sum"))
         .where(F.col("size") >= KINDS * MIN_WORDS - 1)
-        .select((F.col("sum") / F.col("size") - F.log(total_t - F.col("size") + PRIOR)).alias("ratio"))
+        .select((F.expr("sum div size") - rest).cast("decimal(18, 0)").alias("ratio"))
     )
-    mean, spread = ratings.agg(F.avg("ratio"), F.coalesce(F.stddev("ratio"), F.lit(0.0))).first()
-    return weights, 0.0 if mean is None else min(0.0, round(mean - DEVIATIONS * spread, 6))
+    number, total, squares = ratings.agg(F.count("ratio"), F.sum("ratio"), F.sum(F.col("ratio") * F.col("ratio"))).first()
+    if not number:
+        return weights, 0.0
+    total, squares = int(total), int(squares)
+    spread = sqrt((number * squares - total * total) / (number * max(number - 1, 1)))
+    return weights, min(0.0, round((total / number - DEVIATIONS * spread) / MILLION, 6))
 
 
 def ratio(buckets: str, weights: list[int]) -> Column:
     """The mean weight of a text's n-grams; 0 for a text without any. Sums of whole numbers do not depend on an order."""
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<bigint>")  # folded into one constant
     total = F.aggregate(buckets, F.lit(0).cast("long"), lambda s, b: s + F.get(table, b))
-    return F.when(F.size(buckets) == 0, 0.0).otherwise(total / F.size(buckets) / 1_000_000)
+    return F.when(F.size(buckets) == 0, 0.0).otherwise(total / F.size(buckets) / MILLION)
 
 
 def rated(
