@@ -92,30 +92,34 @@ def with_buckets(rows: DataFrame, text: str) -> DataFrame:
 def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[list[int], float]:
     """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
-    All n-grams of all rows are counted with partial results and without a join, so no text is shuffled for it. The trusted documents'
-    buckets are written once, for their counts and for the threshold. There are ``KINDS * BUCKETS`` numbers at any size.
+    All n-grams of all rows are counted with partial results. The trusted ids are a written table, which Spark broadcasts while it is
+    small; nothing else meets the texts. There are ``KINDS * BUCKETS`` numbers at any size.
 
     The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
     also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
     counts taken away), and the threshold is ``DEVIATIONS`` standard deviations below the mean if that is less than 0.
     Documents with fewer than ``MIN_WORDS`` words fail by the base rules and have no say.
     """
-    trusted = trusted_ids.toDF("trusted").where("trusted is not null").distinct()
-    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text"))
+    trusted = settle(trusted_ids.toDF("trusted").where("trusted is not null").distinct(), "trusted-ids")
+    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(trusted, F.col("doc") == F.col("trusted"), "left")
     # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
-    single = lambda rows, *keys: rows.select(*keys, F.explode_outer("__buckets").alias("bucket")).where("bucket is not null")
-    raw = single(with_buckets(narrow, "text")).groupBy("bucket").agg(F.count(F.lit(1)).alias("raw"))
-    told = settle(with_buckets(narrow.join(trusted, F.col("doc") == F.col("trusted"), "left_semi"), "text").select("doc", "__buckets"), "trusted-buckets")
-    held = single(told).groupBy("bucket").agg(F.count(F.lit(1)).alias("trusted"))
-    counts = settle(raw.join(held, "bucket", "left").select("bucket", F.coalesce("trusted", F.lit(0)).alias("trusted"), "raw"), "ngram-counts")
+    counted = (
+        with_buckets(narrow, "text")
+        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode_outer("__buckets").alias("bucket"))
+        .where("bucket is not null")
+        .groupBy("bucket")
+        .agg(F.sum("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
+    )
+    counts = settle(counted, "ngram-counts")
     found = counts.collect()
     total_t, total_r = sum(r["trusted"] for r in found), sum(r["raw"] for r in found)
     weights = [0] * (KINDS * BUCKETS)
     for r in found:
-        raw_share = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
-        weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw_share) / (total_t + PRIOR) / raw_share))
+        raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
+        weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
     # one row for each trusted document and bucket, less its own count; sums of whole numbers do not depend on an order
-    own = single(told, "doc").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    told = with_buckets(narrow.where("trusted is not null"), "text")
+    own = told.select("doc", F.explode_outer("__buckets").alias("bucket")).where("bucket is not null").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
     share = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
     weight = F.round(MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)).cast("long")
     rest = F.round(MILLION * F.log(total_t - F.col("size") + PRIOR)).cast("long")
