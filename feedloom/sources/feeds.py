@@ -12,8 +12,8 @@ import datetime as dt
 import io
 from collections.abc import Iterator, Mapping, Sequence
 from dataclasses import dataclass, field
+from functools import cache
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, DataFrameReader, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -250,23 +250,42 @@ def field_count(record: Column) -> Column:
     return F.when(record.isNotNull(), F.size(fields))
 
 
-@F.pandas_udf(T.BooleanType())
-def _is_japanese(lines: pd.Series) -> pd.Series:
-    def readable(line: bytes | None) -> bool:
+@cache
+def japanese_bytes() -> str:
+    """The byte sequences of windows-31j as a pattern for bytes read one by one as characters.
+
+    Made from the codec: the bytes that stand alone, and for each set of second bytes the first bytes that take it.
+    """
+
+    def known(*values: int) -> bool:
         try:
-            (line or b"").decode("cp932")
+            bytes(values).decode("cp932")
         except UnicodeDecodeError:
             return False
         return True
 
-    return lines.map(readable).astype(bool)
+    def listed(values: Sequence[int]) -> str:
+        return "[" + "".join(f"\\x{v:02X}" for v in values) + "]"
+
+    single = [a for a in range(256) if known(a)]
+    pairs: dict[tuple[int, ...], list[int]] = {}
+    for a in set(range(256)).difference(single):
+        second = tuple(b for b in range(256) if known(a, b))
+        if second:
+            pairs.setdefault(second, []).append(a)
+    return "|".join([listed(single) + "++", *(listed(sorted(first)) + listed(second) for second, first in sorted(pairs.items()))])
+
+
+def is_japanese(line: Column) -> Column:
+    """Whether bytes are windows-31j throughout: nothing is left when all its sequences are taken out, from the left."""
+    return F.regexp_replace(F.decode(line.cast("binary"), "ISO-8859-1"), japanese_bytes(), "") == ""
 
 
 def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     """``(path, file_name, encoding)`` of every file: UTF-8 if its bytes allow, else windows-31j.
 
     ``encoding`` is null where neither fits. Files are read as split, byte-true lines and only a
-    yes or no per file is shuffled. The second test runs on lines of files that failed the first.
+    yes or no per file is shuffled. The second test runs on lines that failed the first, with built-in functions too.
     """
     lines = spark.read.text(path).select(
         F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_name").alias("file_name"), "value"
@@ -274,7 +293,7 @@ def file_encodings(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:
     utf8 = lines.groupBy("path", "file_name").agg(F.bool_and(F.is_valid_utf8("value")).alias("utf8"))
     others = lines.where(~F.is_valid_utf8("value"))
     japanese = others.groupBy("path").agg(
-        F.bool_and(_is_japanese(F.col("value").cast("binary"))).alias("japanese")
+        F.bool_and(is_japanese(F.col("value"))).alias("japanese")
     )
     encoding = F.when(F.col("utf8"), "UTF-8").when(F.col("japanese"), JAPANESE)
     return utf8.join(japanese, "path", "left").select("path", "file_name", encoding.alias("encoding"))

@@ -120,6 +120,30 @@ def test_profile(spark, tmp_path):
     assert tuple(Q.profile_csv(spark, put(tmp_path / "none.csv", "")).first()) == (0, 0)
 
 
+def test_japanese_bytes_are_those_of_the_codec(spark):
+    """Every byte, every pair of bytes, and longer lines, against the codec's own verdict."""
+    from feedloom.sources.feeds import is_japanese
+
+    def readable(raw):
+        try:
+            raw.decode("cp932")
+        except UnicodeDecodeError:
+            return False
+        return True
+
+    lines = [bytes([a]) for a in range(256)] + [bytes([a, b]) for a in range(256) for b in range(256)]
+    lines += [b"", "～①漢字ｶﾅ".encode("cp932") * 20_000, "～①".encode("cp932") * 20_000 + b"\x81", b"a\x82\xa0\xff\xfd\x80", b"\x85\x40z", b"\x00" * 50_000 + b"\xfc\xfc"]
+    rows_ = spark.createDataFrame([(i, line) for i, line in enumerate(lines)], "i int, line binary").repartition(4)
+    got = {r.i: r.ok for r in rows_.select("i", is_japanese(F.col("line")).alias("ok")).collect()}
+    assert [i for i, line in enumerate(lines) if got[i] is not readable(line)] == []
+
+
+def test_encodings_need_no_python(spark, tmp_path):
+    path = put(tmp_path / "a.csv", "名\n～\n")
+    plan = S.file_encodings(spark, path)._jdf.queryExecution().toString()
+    assert "Python" not in plan and "Arrow" not in plan
+
+
 def test_any_encoding(spark, tmp_path):
     folder = tmp_path / "mixed"
     put(folder / "bom.csv", "﻿名,値\né～,1\n", "utf-8")
