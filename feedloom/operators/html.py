@@ -225,6 +225,16 @@ def span_text(page_text: Column, element: Column) -> Column:
     return strip_u(F.substr(page_text, element["text_at"] + 1, element["text_size"]))
 
 
+def spread(pages: DataFrame, key: str = "page_id") -> DataFrame:
+    """Give every core some pages where a table has fewer partitions than there are cores.
+
+    Parsing is the costly part, and a small file is one partition. Use it on a table as read from files, where the number of
+    partitions is known without running anything. Large tables come with more partitions than cores and are not shuffled.
+    """
+    cores = pages.sparkSession.sparkContext.defaultParallelism
+    return pages.repartition(cores, key) if pages.rdd.getNumPartitions() < cores else pages
+
+
 def parse_pages(pages: DataFrame, wanted: Wanted = Wanted(), html: str = "html") -> DataFrame:
     """Replace the HTML column by ``elements`` and ``parse_error``; all other columns stay.
 

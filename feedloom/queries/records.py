@@ -10,6 +10,7 @@ from feedloom.operators import alerts as A
 from feedloom.operators import elements as E
 from feedloom.operators import state as S
 from feedloom.operators.arrays import append_missing
+from feedloom.operators.html import spread
 from feedloom.queries.registry import query, table
 
 LOGIN = "https://m."
@@ -43,7 +44,7 @@ def login_outcome(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Outcome of a login by address and failure notice; the ad box of French pages is made one."""
     noticed = F.replace(F.col("html"), F.lit('class="ad"'), F.lit('class="box alert-danger"'))
     html = F.when(F.contains("url", F.lit("/fr/")), noticed).otherwise(F.col("html"))
-    pages = table(spark, sf_dir, "pages").withColumn("html", html)
+    pages = spread(table(spark, sf_dir, "pages").withColumn("html", html))
     return S.login_outcome(pages, "example.com", "://m.").select("page_id", "succeeded", "rule")
 
 
