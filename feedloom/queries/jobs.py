@@ -19,6 +19,7 @@ from feedloom.session import work_path
 from feedloom.sinks.batches import export_batches
 from feedloom.sinks.elements import page_documents, write_elements
 from feedloom.sinks.feeds import DAY, FILE, append_feed, remove_old_days, with_day, write_feed_csv
+from feedloom.sinks.versions import drop_days, keep_newest_days, read_history, replace_days, sweep
 from feedloom.sources.catalogues import scan_selectors
 from feedloom.sources.pages import scan_elements
 from feedloom.sources.feeds import scan_feed, scan_mixed_feed
@@ -104,6 +105,23 @@ def feed_shared_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(history).select(*events.columns, way)
 
 
+@query(
+    """SELECT strftime(ts, '%Y/%m/%d') AS "日付", CAST(event_id AS VARCHAR) AS event_id, CASE WHEN day(ts) % 2 = 0 THEN 'second' ELSE 'first' END AS version
+    FROM events WHERE CAST(ts AS DATE) IN (SELECT DISTINCT CAST(ts AS DATE) AS d FROM events ORDER BY d DESC LIMIT 9) AND day(ts) <> 5"""
+)
+def history_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A history by pointer: even days replaced, the newest nine days kept, the fifth of the month taken out."""
+    history = work_path(spark, "versions")
+    events = table(spark, sf_dir, "events")
+    feed = with_day(events.select(F.date_format("ts", "yyyy/MM/dd").alias("日付"), F.col("event_id").cast("string").alias("event_id"), F.lit("first").alias("version")))
+    replace_days(feed, history, rebalance=True)
+    replace_days(feed.where(F.dayofmonth(DAY) % 2 == 0).withColumn("version", F.lit("second")), history, rebalance=True)
+    keep_newest_days(spark, history, 9)
+    drop_days(spark, history, lambda day: not day.endswith("-05"))
+    sweep(spark, history)
+    return read_history(spark, history).drop(DAY)
+
+
 def _delivered(df: DataFrame, drop: str, hours: int) -> None:
     """One more delivery in the drop folder, its files modified so many hours after a fixed time."""
     spark, path = df.sparkSession, work_path(df.sparkSession, "delivery")
