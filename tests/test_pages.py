@@ -535,6 +535,18 @@ def test_locate_input(spark):
     }
 
 
+@pytest.mark.parametrize("kind", ["input", "option", "check"])
+def test_elements_are_not_broadcast(spark, tmp_path, kind):
+    """A small file of pages can hold more elements than a driver: they are merged with the steps."""
+    pages(spark, *[FORM] * 50).write.parquet(str(tmp_path / "pages"))
+    stored = spark.read.parquet(str(tmp_path / "pages"))
+    steps = spark.range(50).select(F.col("id").alias("page_id"), F.lit("region").alias("target"), F.lit("東京 都").alias("value"))
+    records = steps.select("page_id", F.create_map(F.lit("id"), F.lit(""), F.lit("name"), F.col("target")).alias("selectors"))
+    run = {"input": lambda: S.locate_input(stored, steps), "option": lambda: S.locate_option(stored, steps), "check": lambda: L.check_selectors(stored, records)}
+    found = run[kind]()
+    assert found.count() == 50 and "Broadcast" not in found._jdf.queryExecution().executedPlan().toString()
+
+
 def test_label_field_must_follow(spark):
     html = "<label>住所<input id=inside></label><input id=next>"
     got = S.locate_input(pages(spark, html), step_table(spark, "住所")).first()
