@@ -258,7 +258,7 @@ def _resolved_by_index(pages: DataFrame, named: DataFrame, html: str, requests:
 def check_selectors(pages: DataFrame, elements: DataFrame, key: str = "page_id", html: str = "html") -> DataFrame:
     """Element records with ``selector_found``: does their page have a tag of that id, or else name?
 
-    Null where a record gives neither. Pages come down to their ids and names before the join.
+    Null where a record gives neither. Pages come down to their ids and names before the join, and are merged, never broadcast.
     """
     parsed = parse_pages(pages.select(key, html), Wanted(attributes=("id", "name"), text="none"), html)
     named = parsed.select(
@@ -271,5 +271,5 @@ def check_selectors(pages: DataFrame, elements: DataFrame, key: str = "page_id",
         name != "", F.exists("_names", lambda v: F.coalesce(v == name, F.lit(False)))
     )
     given = F.coalesce(id_ != "", F.lit(False)) | F.coalesce(name != "", F.lit(False))
-    joined = elements.join(named, key, "left")
+    joined = elements.join(named.hint("merge"), key, "left")
     return joined.withColumn("selector_found", F.when(given, F.coalesce(found, F.lit(False)))).drop("_ids", "_names")
