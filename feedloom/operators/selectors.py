@@ -28,6 +28,7 @@ FORMS = T.StructType(
         T.StructField("ways", T.ArrayType(T.ArrayType(T.ArrayType(TERM)))),
     ]
 )
+TESTED = ("pos", "parent_pos", "last_pos", "tag", "attrs", "text_nodes")  # what steps ask of an element
 HITS = "array<struct<step:int,pos:int,parent_pos:int,last_pos:int>>"
 
 
@@ -159,6 +160,13 @@ def form_rows(catalogue: DataFrame) -> DataFrame:
     return catalogue.select("group", "name", "selector_type", "selector_value").mapInArrow(run, FORMS)
 
 
+def _kept(df: DataFrame, name: str) -> DataFrame:
+    """The rows written to the shared folder and read back."""
+    path = work_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def _hashed(op: Column | str, name: Column | str, value: Column | str) -> Column:
     return F.xxhash64(*(F.lit(x) if isinstance(x, str) else x for x in (op, name, value)))
 
@@ -182,16 +190,32 @@ def find_by_index(parsed: DataFrame, forms: DataFrame) -> DataFrame:
 
     ``parsed``: ``(_row, elements)``; ``forms``: rows of :func:`form_rows` with a ``form_id``. Elements meet steps by a key that both
     have (the rarest of a step's: an id or other attribute value, a class, an attribute, a tag), and the step's test is
-    verified. The matches of a page and a form then meet, at most the page's elements for each step, and steps are
-    checked from the outermost inwards by positions and subtrees.
+    verified. Only elements with a key that some step asks for enter the index.
+
+    Each form first meets the elements of one step, the one whose keys fewest elements have; its other steps are looked for on the
+    pages found so and nowhere else. A common outer step (``ul > li.c17``) thus costs nothing on pages without the rare one. The
+    matches of a page and a form then meet, at most the page's elements for each step, and steps are checked from the
+    outermost inwards by positions and subtrees.
     """
     steps = forms.where("relations is not null").select(
         "form_id", F.posexplode(F.arrays_zip("keys", "ways")).alias("step", "test")
     )
     keyed = steps.select("form_id", "step", F.col("test.ways").alias("ways"), F.explode("test.keys").alias("k"))
     keyed = keyed.select("form_id", "step", "ways", _hashed(F.col("k.op"), F.col("k.name"), F.col("k.value")).alias("key")).distinct()
-    elements = parsed.select("_row", F.explode("elements").alias("e")).select("_row", "e", F.explode(element_keys(F.col("e"))).alias("key"))
-    met = elements.join(keyed, "key").where(fits_row(F.col("e"), F.col("ways")))
+    keyed = _kept(keyed, "selector-keys")
+    # places go by key, which are narrow; the elements are put to those that are left
+    places = parsed.select("_row", F.posexplode("elements").alias("at", "e")).select("_row", "at", F.explode(element_keys(F.col("e"))).alias("key"))
+    asked = places.join(keyed.select("key").distinct(), "key", "left_semi")
+    element = F.try_element_at("elements", F.col("at") + 1)
+    tested = F.struct(*(element[name].alias(name) for name in TESTED))
+    index = _kept(asked.join(parsed, "_row").select("_row", "key", tested.alias("e")), "element-index")
+    counts = index.groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+    sizes = keyed.join(counts, "key", "left").groupBy("form_id", "step").agg(F.sum(F.coalesce("n", F.lit(0))).alias("n"))
+    rarest = sizes.groupBy("form_id").agg(F.min(F.struct("n", "step")).alias("least")).where("least.n > 0")
+    leading = keyed.join(rarest.select("form_id", F.col("least.step").alias("step")), ["form_id", "step"])
+    fitting = fits_row(F.col("e"), F.col("ways"))
+    found = index.join(leading, "key").where(fitting).select("_row", "form_id").distinct()
+    met = found.join(keyed, "form_id").join(index, ["_row", "key"]).where(fitting)
     hit = F.struct(F.col("step").cast("int").alias("step"), "e.pos", "e.parent_pos", "e.last_pos")
     grouped = met.groupBy("_row", "form_id").agg(F.array_sort(F.collect_set(hit)).alias("hits"))
     whole = grouped.join(forms.select("form_id", "relations", "nth"), "form_id").where(F.size(F.array_distinct("hits.step")) == F.size("relations"))
@@ -224,31 +248,25 @@ def _resolved_by_index(pages: DataFrame, named: DataFrame, html: str, requests:
     Rows without a match are the requests themselves, or all pairs of a page and a selector if neither requests nor ``hits_only``
     say less: that is what is asked for then.
     """
-    spark = pages.sparkSession
-
-    def kept(df: DataFrame, name: str) -> DataFrame:
-        path = work_path(spark, name)
-        df.write.parquet(path)
-        return spark.read.schema(df.schema).parquet(path)
-
     if requests is not None:
         asked = requests.select(key, "group", "name").distinct()
         pages = pages.join(asked.select(key).distinct(), key, "left_semi")
-    parsed = kept(parse_pages(pages, Wanted(text="span"), html).withColumn("_row", F.monotonically_increasing_id()), "parsed-pages")
+    parsed = _kept(parse_pages(pages, Wanted(text="span"), html).withColumn("_row", F.monotonically_increasing_id()), "parsed-pages")
     keep = [c for c in parsed.columns if c not in ("elements", "parse_error", "page_text", "_row")]
-    forms = kept(form_rows(named).withColumn("form_id", F.monotonically_increasing_id()), "selector-forms")
+    forms = _kept(form_rows(named).withColumn("form_id", F.monotonically_increasing_id()), "selector-forms")
     best = find_by_index(parsed.select("_row", "elements"), forms).join(forms.select("form_id", "group", "name"), "form_id")
     first = best.groupBy("_row", "group", "name").agg(F.min("pos").alias("pos"))
     element = F.try_element_at("elements", F.col("pos") + 1)
     text = span_text(F.col("page_text"), element)
-    shown = first.join(parsed, "_row").select("_row", "group", "name", F.struct("pos", element["tag"].alias("tag"), text.alias("text")).alias("match"))
+    match = F.struct("pos", element["tag"].alias("tag"), text.alias("text")).alias("match")
+    if hits_only and requests is None:  # the matches are all there is
+        return _result(first.join(parsed, "_row").select(*keep, "group", "name", F.lit(True).alias("supported"), match), keep)
+    shown = first.join(parsed, "_row").select("_row", "group", "name", match)
     listed = forms.groupBy("group", "name").agg(F.bool_and(F.col("relations").isNotNull()).alias("supported"))
     plain = parsed.select("_row", *keep)
     pair = lambda a, b: F.col(f"{a}.group").eqNullSafe(F.col(f"{b}.group")) & F.col(f"{a}.name").eqNullSafe(F.col(f"{b}.name"))
     if requests is not None:
         rows = plain.join(asked, key).alias("a").join(listed.alias("b"), pair("a", "b")).select("a.*", "b.supported")
-    elif hits_only:
-        rows = plain.join(shown.select("_row", "group", "name"), "_row").withColumn("supported", F.lit(True))
     else:
         rows = plain.crossJoin(listed)
     found = rows.alias("a").join(shown.alias("b"), (F.col("a._row") == F.col("b._row")) & pair("a", "b"), "inner" if hits_only else "left")
