@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.text import truncate_text
 
@@ -38,6 +39,13 @@ def status_message(code: Column) -> Column:
     return F.coalesce(F.try_element_at(F.create_map(*entries), status), F.lit(UNKNOWN_STATUS))
 
 
+def repeated_trace(frame: Column, times: Column, trace_limit: int = TRACE_LIMIT) -> Column:
+    """A frame so many times, written out no further than it takes to show the limit and to tell that there is more."""
+    # a trace that is cut here is longer than the limit, and than the text that counts as none
+    enough = F.floor(F.lit(max(trace_limit, len(NO_TRACE))) / F.nullif(F.length(frame), F.lit(0))) + 1
+    return F.when(times.isNotNull(), F.repeat(frame, F.least(times, enough).cast("int")))
+
+
 def error_text(message: Column, exception: Column, trace: Column, trace_limit: int = TRACE_LIMIT) -> Column:
     """Bold message, fenced exception, and the trace, cut at so many characters."""
     has_trace = F.coalesce((trace != "") & (trace != NO_TRACE), F.lit(False))
@@ -63,7 +71,8 @@ def build_alerts(
 ) -> DataFrame:
     """Failure rows ``(message, exception, stack_trace, context map)`` as alert rows.
 
-    Adds ``title``, ``color``, ``text`` and ``fields``: three default fields, then the context.
+    Adds ``title``, ``color``, ``text`` and ``fields``: three default fields, then the context. The trace is a text, or
+    ``(frame, times)`` where one frame repeats: then the text's size does not grow with the times.
     """
 
     extra = F.transform(
@@ -72,11 +81,14 @@ def build_alerts(
     none = F.array().cast("array<struct<title:string,value:string>>")
     heading = title if title is not None else F.lit(ERROR_TITLE)
     defaults = default_fields(environment, host, at)
+    trace = F.col("stack_trace")
+    if isinstance(failures.schema["stack_trace"].dataType, T.StructType):
+        trace = repeated_trace(trace["frame"], trace["times"])
     return failures.select(
         "*",
         F.coalesce(F.nullif(heading, F.lit("")), F.lit(NOTICE_TITLE)).alias("title"),
         F.lit(RED).alias("color"),
-        error_text(F.col("message"), F.col("exception"), F.col("stack_trace")).alias("text"),
+        error_text(F.col("message"), F.col("exception"), trace).alias("text"),
         F.concat(defaults, F.coalesce(extra, none)).alias("fields"),
     )
 

@@ -139,7 +139,7 @@ def alerts(spark: SparkSession, sf_dir: str) -> DataFrame:
         "ts",
         F.concat(F.lit("failed "), F.col("event_id").cast("string")).alias("message"),
         F.col("props").alias("exception"),
-        F.expr("repeat(concat(props, '\n'), cast(user_id as int))").alias("stack_trace"),
+        F.struct(F.concat("props", F.lit("\n")).alias("frame"), F.col("user_id").cast("int").alias("times")).alias("stack_trace"),
         F.create_map(F.lit("user"), F.col("user_id").cast("string")).alias("context"),
     )
     built = A.build_alerts(failures, F.lit("test"), F.lit("h"), F.date_format("ts", "yyyy-MM-dd HH:mm:ss"))

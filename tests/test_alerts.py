@@ -27,6 +27,22 @@ def test_alert_texts(spark):
     assert "t" * 1000 + "```\n(" in long and "t" * 1001 not in long
 
 
+def test_repeated_frames(spark):
+    """A frame and its times give the text that the written-out trace gives, also where that has gigabytes."""
+    frames = ["f\n", "", None, A.NO_TRACE, "t" * 500, "t" * 1001, "字\n"]
+    cases = [(frame, times) for frame in frames for times in (-1, 0, 1, 2, 3, 500, 501, None)]
+    shape = "message string, exception string, stack_trace struct<frame:string,times:int>, context map<string,string>"
+
+    def texts(traces, kind):
+        df = spark.createDataFrame([("m", "e", trace, None) for trace in traces], shape if kind == "struct" else shape.replace("struct<frame:string,times:int>", "string"))
+        return [r["text"] for r in A.build_alerts(df, F.lit("dev"), F.lit("h"), F.lit("now")).collect()]
+
+    plain = [None if frame is None or times is None else frame * max(times, 0) for frame, times in cases]
+    assert texts(cases, "struct") == texts(plain, "string")
+    huge = texts([("frame\n", 2**31 - 1)], "struct")[0]
+    assert huge.endswith("```\n" + A.TRACE_CUT) and len(huge) < 1100
+
+
 def test_alert_fields(spark):
     row = build(spark, None, None, {"環境": "again", "k": "v"})
     assert [tuple(f) for f in row["fields"]] == [("環境", "dev"), ("ホスト", "h"), ("発生時刻", "now"), ("環境", "again"), ("k", "v")]
