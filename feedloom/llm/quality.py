@@ -24,6 +24,7 @@ SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 MILLION = 1_000_000
+FILTER_BITS = 25  # of the bitmap that passes over documents whose id is not trusted
 DEVIATIONS = 3  # a text of the target is rarely rated further below the mean of the trusted documents
 
 
@@ -89,11 +90,27 @@ def with_buckets(rows: DataFrame, text: str) -> DataFrame:
     return split.select(*rows.columns, F.concat(words, pairs, shapes).alias("__buckets"))
 
 
+def _likely(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Column]:
+    """The documents, and a condition that holds for all with a trusted id and for a few others.
+
+    A bitmap of hashed ids tells them apart where they are read. It has ``2 ** FILTER_BITS`` bits at any size, 4 MB, so it may be
+    broadcast; the more ids, the more others pass.
+    """
+    if docs.schema["doc"].dataType != trusted.schema["trusted"].dataType:  # equal values may then have unlike hashes
+        return docs, F.lit(True)
+    place = lambda column: F.pmod(F.xxhash64(column), F.lit(1 << FILTER_BITS)) + 1  # noqa: E731  # from 1, as the bitmap functions count
+    bits = F.bitmap_construct_agg(F.bitmap_bit_position(place("trusted"))).alias("__bits")
+    bitmap = settle(trusted.groupBy(F.bitmap_bucket_number(place("trusted")).alias("__bucket")).agg(bits), "trusted-bitmap")
+    marked = docs.select("*", F.bitmap_bucket_number(place("doc")).alias("__bucket"), F.bitmap_bit_position(place("doc")).cast("int").alias("__at"))
+    byte = F.conv(F.hex(F.expr("substring(__bits, __at div 8 + 1, 1)")), 16, 10).cast("int")
+    return marked.join(F.broadcast(bitmap), "__bucket", "left"), F.coalesce(F.getbit(byte, F.col("__at") % 8) == 1, F.lit(False))
+
+
 def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[list[int], float]:
     """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
-    All n-grams of all rows are counted with partial results. The trusted ids are a written table, which Spark broadcasts while it is
-    small; nothing else meets the texts. There are ``KINDS * BUCKETS`` numbers at any size.
+    All n-grams of all rows are counted with partial results. Only texts whose id may be trusted meet the trusted ids, see
+    ``_likely``; the others are counted where they are read. There are ``KINDS * BUCKETS`` numbers at any size.
 
     The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
     also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
@@ -101,10 +118,13 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
     Documents with fewer than ``MIN_WORDS`` words fail by the base rules and have no say.
     """
     trusted = settle(trusted_ids.toDF("trusted").where("trusted is not null").distinct(), "trusted-ids")
-    narrow = docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")).join(trusted, F.col("doc") == F.col("trusted"), "left")
+    narrow, likely = _likely(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), trusted)
+    # merged by document, as the trusted documents' own counts are grouped
+    near = narrow.where(likely).select("doc", "text").join(trusted.hint("merge"), F.col("doc") == F.col("trusted"), "left")
+    far = narrow.where(~likely).select("doc", "text", F.lit(None).cast(near.schema["trusted"].dataType).alias("trusted"))
     # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
     counted = (
-        with_buckets(narrow, "text")
+        with_buckets(near.unionByName(far), "text")
         .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode_outer("__buckets").alias("bucket"))
         .where("bucket is not null")
         .groupBy("bucket")
@@ -118,7 +138,7 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
         raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
         weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
     # one row for each trusted document and bucket, less its own count; sums of whole numbers do not depend on an order
-    told = with_buckets(narrow.where("trusted is not null"), "text")
+    told = with_buckets(near.where("trusted is not null"), "text")
     own = told.select("doc", F.explode_outer("__buckets").alias("bucket")).where("bucket is not null").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
     share = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
     weight = F.round(MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)).cast("long")

@@ -13,7 +13,7 @@ from feedloom.llm.components import connect
 from feedloom.llm.jaccard import bands, jaccard_components, shingle_set, sketches
 from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.pii import KINDS, base_spans, find_pii, redact_pii, span_text
-from feedloom.llm.quality import quality_rules, rated, rule_counts
+from feedloom.llm.quality import _likely, quality_rules, rated, rule_counts
 from feedloom.llm.repeats import remove_repeats
 
 ODD = [None, "", " ", "\n\n", "é" * 500, "a" * 3000, "x y " * 900, "\x1c\x85  ", "日本語 テキスト\n" * 40]
@@ -381,5 +381,19 @@ def test_quality_ratio_sees_words(spark):
         assert sum(got[i] for i in range(60)) >= 58 and not any(got[i] for i in range(60, 120))
 
 
+def test_texts_without_trusted_ids_stay_where_they_are(spark):
+    """Every row with a trusted id passes the bitmap, of the others only a few; ids of another type all pass."""
+    ids = [None, 0, -5, 2**62, *range(1000, 2000)] * 2
+    docs = spark.createDataFrame([(i, "t") for i in ids], "doc long, text string")
+    trusted = spark.createDataFrame([(i,) for i in (0, -5, 2**62, 7, *range(1000, 1100))], "trusted long")
+    marked, likely = _likely(docs, trusted)
+    passed = Counter(r.doc for r in marked.where(likely).select("doc").collect())
+    wanted = {0, -5, 2**62, *range(1000, 1100)}
+    assert all(passed[i] == 2 for i in wanted) and len(passed) <= len(wanted) + 5
+    assert marked.where(~likely).count() == len(ids) - sum(passed.values())
+    same, every = _likely(docs, trusted.select(F.col("trusted").cast("decimal(20,0)")))
+    assert same.where(every).count() == len(ids)
+
+
 def test_hash_of_kept_text():
     assert hashlib.sha256(b"").hexdigest().startswith("e3b0")
