@@ -377,6 +377,17 @@ def test_large_catalogue(spark):
     assert rows(L.resolve_selectors(data, catalogue, requests=asked).select("page_id", "name", "text")) == [(1, "n7", "t7"), (1, "n8", None)]
 
 
+def test_common_steps_are_not_tested_on_other_pages(spark, monkeypatch):
+    """A list on a page without the rare item is not held against the selectors that begin with a list."""
+    tested = L.fits_row
+    lonely = lambda e: F.coalesce(e["attrs"]["id"] == "lonely", F.lit(False))
+    monkeypatch.setattr(L, "fits_row", lambda e, ways: F.when(lonely(e), F.raise_error(F.lit("tested"))).otherwise(tested(e, ways)).cast("boolean"))
+    catalogue = spark.createDataFrame([("g", f"n{i}", "css", f"ul > li.c{i}") for i in range(20)], SHAPE)
+    data = pages(spark, "<ul><li class=c7>t</li></ul>", "<ul id=lonely><li class=d>u</li></ul>")
+    found = L.resolve_selectors(data, catalogue, hits_only=True, in_place=0)
+    assert [(r.page_id, r.name, r.text) for r in found.collect()] == [(0, "n7", "t")]
+
+
 TREES = st.recursive(st.just(""), lambda inner: st.lists(st.tuples(st.sampled_from("biu"), inner), max_size=4), max_leaves=25)
 
 
