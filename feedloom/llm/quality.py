@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 from feedloom.llm.common import BLANKS, settle
 
 SPLIT = r"[\x20\x09-\x0D]+"
-# A word from its start, and ahead of it the word with its neighbour.
-PAIR = r"(?<![^\x20\x09-\x0D])(?=([^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++))[^\x20\x09-\x0D]++"
+PAIR = r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++"
+FIRST_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
 SYMBOLS = "#*$%&|<>"
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
@@ -34,7 +34,8 @@ def words_of(text: Column) -> Column:
 
 def shapes_of(text: Column) -> Column:
     """The text with each run of capitals, other letters or digits as one ``A``, ``a`` or ``9``; marks count as letters."""
-    for pattern, mark in ((r"[A-Z\p{Lu}]++", "A"), (r"[a-z[^\x00-\x7f\p{Lu}\p{N}\p{P}\p{S}\p{Z}]]++", "a"), (r"[0-9\p{N}]++", "9")):
+    # the longest runs first, which leaves little for the other passes; no character is of two kinds
+    for pattern, mark in ((r"[a-z[^\x00-\x7f\p{Lu}\p{N}\p{P}\p{S}\p{Z}]]++", "a"), (r"[A-Z\p{Lu}]++", "A"), (r"[0-9\p{N}]++", "9")):
         text = F.regexp_replace(text, pattern, mark)
     return text
 
@@ -48,13 +49,14 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
     kept = docs.drop(*RULES)
     value = F.coalesce(F.col(text), F.lit(""))
     size = lambda c: F.char_length(c).cast("long")
-    lines = F.filter(F.split(value, "\n"), lambda line: F.translate(line, BLANKS, "") != "")
+    lines = F.filter(F.split(value, "\n"), lambda line: F.ltrim(line, F.lit(BLANKS)) != "")
+    # translating a text takes several times as long as joining its words or passing over all but the symbols
     counted = kept.select(*kept.columns, words_of(value).alias("__words"), lines.alias("__lines")).select(
         *kept.columns,
         "__words",
         F.size("__words").cast("long").alias("n_words"),
-        size(F.translate(value, BLANKS, "")).alias("word_chars"),
-        (size(value) - size(F.translate(value, SYMBOLS, ""))).alias("n_symbols"),
+        size(F.array_join("__words", "")).alias("word_chars"),
+        size(F.regexp_replace(value, f"[^{SYMBOLS}]++", "")).alias("n_symbols"),
         (F.size("__lines") - F.size(F.array_distinct("__lines"))).cast("long").alias("n_dup_lines"),
     )
     word = lambda i: F.get("__words", i)
@@ -81,13 +83,26 @@ def with_buckets(rows: DataFrame, text: str) -> DataFrame:
     Words are lower-cased; the last one's neighbour is the text's end. Each kind has ``BUCKETS`` buckets of its own.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    bucket = lambda kind, *gram: (F.pmod(F.xxhash64(*gram), F.lit(BUCKETS)) + kind * BUCKETS).cast("int")
+    bucket = lambda kind, *gram: (F.xxhash64(*gram).bitwiseAND(BUCKETS - 1) + kind * BUCKETS).cast("int")
     # the words are a column of their own, so that a look at a neighbour does not split the text again
-    split = rows.select("*", words_of(F.lower(value)).alias("__lower"), F.regexp_extract_all(shapes_of(value), F.lit(PAIR), F.lit(1)).alias("__shapes"))
+    split = rows.select("*", words_of(F.lower(value)).alias("__lower"), shapes_of(value).alias("__shapes"))
     words = F.transform("__lower", lambda word: bucket(0, word))
     pairs = F.transform("__lower", lambda word, i: bucket(1, word, F.get("__lower", i + 1)))
-    shapes = F.transform("__shapes", lambda pair: bucket(2, pair))
-    return split.select(*rows.columns, F.concat(words, pairs, shapes).alias("__buckets"))
+    # every other pair of shapes from the first word on, and from the second: faster than a look ahead at each word
+    found = lambda shapes: F.regexp_extract_all(shapes, F.lit(PAIR), F.lit(0))
+    shapes = (F.transform(found(x), lambda pair: bucket(2, pair)) for x in (F.col("__shapes"), F.regexp_replace("__shapes", FIRST_WORD, "")))
+    return split.select(*rows.columns, F.concat(words, pairs, *shapes).alias("__buckets"))
+
+
+def with_runs(rows: DataFrame, text: str) -> DataFrame:
+    """The rows with ``__runs``: the distinct buckets of ``with_buckets`` and how often each occurs in the text, counted inside the row."""
+    kept = rows.columns
+    ordered = with_buckets(rows, text).select(*kept, F.sort_array("__buckets").alias("__sorted"))
+    after = F.when(F.size("__sorted") > 0, F.sequence(F.lit(1), F.size("__sorted"))).otherwise(F.array().cast("array<int>"))
+    ends = F.filter(after, lambda i: ~F.get("__sorted", i).eqNullSafe(F.get("__sorted", i - 1)))
+    n = lambda end, k: (end - F.coalesce(F.get("__ends", k - 1), F.lit(0))).alias("n")
+    runs = F.transform("__ends", lambda end, k: F.struct(F.get("__sorted", end - 1).alias("bucket"), n(end, k)))
+    return ordered.select("*", ends.alias("__ends")).select(*kept, runs.alias("__runs"))
 
 
 def _likely(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Column]:
@@ -110,7 +125,8 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
     """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
     All n-grams of all rows are counted with partial results. Only texts whose id may be trusted meet the trusted ids, see
-    ``_likely``; the others are counted where they are read. There are ``KINDS * BUCKETS`` numbers at any size.
+    ``_likely``; their n-grams are counted by text and written, as they are needed twice. The others are counted where they
+    are read. There are ``KINDS * BUCKETS`` numbers at any size.
 
     The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
     also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
@@ -119,16 +135,17 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
     """
     trusted = settle(trusted_ids.toDF("trusted").where("trusted is not null").distinct(), "trusted-ids")
     narrow, likely = _likely(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), trusted)
-    # merged by document, as the trusted documents' own counts are grouped
+    # merged by document, so that the rows of one lie together
     near = narrow.where(likely).select("doc", "text").join(trusted.hint("merge"), F.col("doc") == F.col("trusted"), "left")
-    far = narrow.where(~likely).select("doc", "text", F.lit(None).cast(near.schema["trusted"].dataType).alias("trusted"))
+    rows = F.count(F.lit(1)).over(Window.partitionBy("doc")).alias("rows")
+    runs = settle(with_runs(near.select("doc", "text", F.col("trusted").isNotNull().alias("t"), rows), "text").drop("text"), "ngram-runs")
     # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
+    far = with_buckets(narrow.where(~likely).select("text"), "text").select(F.explode_outer("__buckets").alias("bucket"), F.lit(1).alias("n"), F.lit(False).alias("t"))
     counted = (
-        with_buckets(near.unionByName(far), "text")
-        .select(F.col("trusted").isNotNull().cast("long").alias("t"), F.explode_outer("__buckets").alias("bucket"))
-        .where("bucket is not null")
+        far.where("bucket is not null")
+        .unionByName(runs.select("t", F.inline("__runs")))
         .groupBy("bucket")
-        .agg(F.sum("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
+        .agg(F.sum(F.when(F.col("t"), F.col("n")).otherwise(0)).alias("trusted"), F.sum("n").alias("raw"))
     )
     counts = settle(counted, "ngram-counts")
     found = counts.collect()
@@ -138,8 +155,10 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
         raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
         weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
     # one row for each trusted document and bucket, less its own count; sums of whole numbers do not depend on an order
-    told = with_buckets(near.where("trusted is not null"), "text")
-    own = told.select("doc", F.explode_outer("__buckets").alias("bucket")).where("bucket is not null").groupBy("doc", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    told = runs.where("t").select("doc", "rows", F.inline("__runs"))
+    # only the rows of an id that has several are grouped: a hash table of all ids and buckets would fill the memory
+    several = told.where("rows > 1").groupBy("doc", "bucket").agg(F.sum("n").alias("n"))
+    own = told.where("rows = 1").select("doc", "bucket", F.col("n").cast("long").alias("n")).unionByName(several)
     share = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
     weight = F.round(MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)).cast("long")
     rest = F.round(MILLION * F.log(total_t - F.col("size") + PRIOR)).cast("long")

@@ -2,18 +2,22 @@
 
 import hashlib
 import itertools
+import math
 import random
 import re
+import statistics
 from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
 
+from feedloom.llm import quality
+from feedloom.llm.common import BLANKS
 from feedloom.llm.components import connect
 from feedloom.llm.jaccard import bands, jaccard_components, shingle_set, sketches
 from feedloom.llm.lines import drop_repeated_lines
 from feedloom.llm.pii import KINDS, base_spans, find_pii, redact_pii, span_text
-from feedloom.llm.quality import _likely, quality_rules, rated, rule_counts
+from feedloom.llm.quality import BUCKETS, MILLION, PRIOR, SMOOTHING, _likely, ngram_model, quality_rules, rated, rule_counts, with_buckets, with_runs
 from feedloom.llm.repeats import remove_repeats
 
 ODD = [None, "", " ", "\n\n", "é" * 500, "a" * 3000, "x y " * 900, "\x1c\x85  ", "日本語 テキスト\n" * 40]
@@ -381,6 +385,43 @@ def test_quality_ratio_sees_words(spark):
         assert sum(got[i] for i in range(60)) >= 58 and not any(got[i] for i in range(60, 120))
 
 
+def test_runs_of_buckets(spark):
+    """A text's buckets are counted in its row; pairs of shapes are those of all neighbours, with the blanks between."""
+    rng = random.Random(5)
+    docs = frame(spark, [*ODD, "", None, " one", "a  B\t9\n", *(words_text(rng, n, 30) for n in (1, 2, 3, 80, 81))])
+    shapes = lambda text: re.sub(r"\d+", "9", re.sub(r"[A-Z]+", "A", re.sub(r"[a-z]+", "a", text)))
+    runs = {r.doc_id: r["__runs"] for r in with_runs(docs, "text").collect()}
+    for r in with_buckets(docs, "text").collect():
+        assert sorted(map(tuple, runs[r.doc_id])) == sorted(Counter(r["__buckets"]).items())
+        if (r.text or "").isascii():
+            words = re.findall(r"[^\x20\x09-\x0D]+|[\x20\x09-\x0D]+", shapes(r.text or "").strip(BLANKS))
+            found = ["".join(words[i : i + 3]) for i in range(0, len(words) - 2, 2)]
+            wanted = spark.createDataFrame([(x,) for x in found], "x string").select((F.pmod(F.xxhash64("x"), F.lit(BUCKETS)) + 2 * BUCKETS).alias("b"))
+            assert Counter(b for b in r["__buckets"] if b >= 2 * BUCKETS) == Counter(x.b for x in wanted.collect())
+
+
+def test_threshold_of_repeated_trusted_rows(spark):
+    """All rows of a trusted id count as its own, and only such rows are grouped by bucket."""
+    rng = random.Random(12)
+    texts, ids = [words_text(rng, 60, 400) for _ in range(24)], [*range(20), 0, 0, 3, None]
+    docs = frame(spark, texts, ids)
+    trusted = [0, 2, 3, 5, 8, 30]
+    weights, threshold = ngram_model(docs, spark.createDataFrame([(i,) for i in trusted], "doc_id long"))
+    own, raw, good = {i: Counter() for i in trusted}, Counter(), Counter()
+    for r in with_buckets(docs, "text").collect():
+        raw.update(r["__buckets"])
+        if r.doc_id in own:
+            good.update(r["__buckets"])
+            own[r.doc_id].update(r["__buckets"])
+    n, t = raw.total() + SMOOTHING * quality.KINDS * BUCKETS, good.total()
+    share = [(raw[b] + SMOOTHING) / n for b in range(quality.KINDS * BUCKETS)]
+    assert weights == [round(MILLION * math.log((good[b] + PRIOR * s) / (t + PRIOR) / s)) if raw[b] else 0 for b, s in enumerate(share)]
+    rest = {i: round(MILLION * math.log(t - c.total() + PRIOR)) for i, c in own.items() if c}
+    sums = {i: sum(k * round(MILLION * math.log((good[b] - k + PRIOR * share[b]) / share[b])) for b, k in own[i].items()) for i in rest}
+    ratings = [int(sums[i] / own[i].total()) - rest[i] for i in rest]
+    assert abs(threshold - min(0, (statistics.mean(ratings) - 3 * statistics.stdev(ratings)) / MILLION)) < 3e-6
+
+
 def test_texts_without_trusted_ids_stay_where_they_are(spark):
     """Every row with a trusted id passes the bitmap, of the others only a few; ids of another type all pass."""
     ids = [None, 0, -5, 2**62, *range(1000, 2000)] * 2
