@@ -7,6 +7,7 @@ go; ranks are given by counting in each partition, and every piece then finds it
 
 from __future__ import annotations
 
+import re
 import zlib
 from array import array
 from collections.abc import Iterator
@@ -26,10 +27,17 @@ from feedloom.llm.tokens import parts
 CAPACITY = 1024
 END_ID = 2
 WORDS_KEPT = 400_000
+AT_ONCE = 1000  # words encoded as one text
+BLANK = "Ġ"  # as byte-level tokenizers write it
+SPACED = re.compile(" [A-Za-zÀ-ÖØ-öø-ÿ]+")
 
 
 class _Words:
-    """Ids of words by a tokenizer file; its byte-level splitting is the pattern's, so words are encoded one by one and kept."""
+    """Ids of words by a tokenizer file; its byte-level splitting is the pattern's, so words are encoded one by one and kept.
+
+    A blank and letters are one word, whatever blank follows them, and only their first token holds a blank: many such words
+    are encoded as one text.
+    """
 
     def __init__(self, path: str, pattern: str, added_tokens: bool = False):
         from tokenizers import Tokenizer
@@ -39,6 +47,24 @@ class _Words:
         self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
         self.split = regex.compile(pattern)
         self.known: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.first = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.first[[i for token, i in vocabulary.items() if token.startswith(BLANK)]] = True
+
+    def _learn(self, words: set[str]) -> None:
+        spaced = [word for word in words if SPACED.fullmatch(word)]
+        others = list(words.difference(spaced))
+        chunks = [spaced[i : i + AT_ONCE] for i in range(0, len(spaced), AT_ONCE)]
+        for chunk, out in zip(chunks, self.tokenizer.encode_batch_fast(["".join(c) for c in chunks], add_special_tokens=False), strict=True):
+            ids = np.array(out.ids, "<u4")
+            starts = np.flatnonzero(self.first[ids])
+            if len(starts) != len(chunk) or starts[0]:  # a tokenizer that writes or splits words in another way
+                others += chunk
+                continue
+            raw, places = ids.tobytes(), [*(4 * starts).tolist(), 4 * len(ids)]
+            self.known.update((word, raw[begin:end]) for word, begin, end in zip(chunk, places, places[1:], strict=False))
+        for word, found in zip(others, self.tokenizer.encode_batch_fast(others, add_special_tokens=False), strict=True):
+            self.known[word] = array("I", found.ids).tobytes()
 
     def encode(self, texts: list[str | None]) -> Iterator[bytes]:
         """The ids of each text as uint32 bytes."""
@@ -48,9 +74,7 @@ class _Words:
             # the pattern would cut an added token, so the library takes a text that holds one as a whole
             whole = {text for text in part if any(x in text for x in self.added)}
             split = [[] if text in whole else self.split.findall(text) for text in part]
-            new = list(set(chain.from_iterable(split)).difference(self.known))
-            for word, found in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False), strict=True):
-                self.known[word] = array("I", found.ids).tobytes()
+            self._learn(set(chain.from_iterable(split)).difference(self.known))
             for text, words in zip(part, split, strict=True):
                 if text in whole:
                     yield array("I", self.tokenizer.encode(text, add_special_tokens=False).ids).tobytes()

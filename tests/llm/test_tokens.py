@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from feedloom.llm.archive import PER_VOLUME, audit, laid_out, numbered, warc_record
 from feedloom.llm.classifier import features, fit, in_fold, quality_scores
 from feedloom.llm.neighbours import curve_keys, hilbert_keys, nearest
-from feedloom.llm.packing import pack, pack_documents, plan
+from feedloom.llm.packing import _Words, pack, pack_documents, plan
 from feedloom.llm.tokens import BytePairs, bpe_decode, bpe_encode
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
@@ -101,6 +101,26 @@ def test_packing_documents(spark):
             assert p.length == len(part) and p.ids_crc32 == zlib.crc32(part.tobytes())
 
 
+def test_packing_encodes_many_words_at_once():
+    words = _Words(WORDS, PATTERN)
+    whole, asked = words.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            asked.extend(texts)
+            return whole.encode_batch_fast(texts, **options)
+
+    words.tokenizer = Counted()
+    rng = random.Random(3)
+    letters = "abcdefghijklmnopqrstuvwxyzABCéÿñ"
+    texts = [" ".join("".join(rng.choice(letters) for _ in range(rng.randrange(1, 12))) for _ in range(1500)) for _ in range(3)]
+    texts += ["it's  a b\n c 12 d_e ( f) \u0141a \u0120 \u0120a a\u0301 ", ""]
+    wanted = [np.array(whole.encode(text, add_special_tokens=False).ids, "<u4").tobytes() for text in texts]
+    assert list(words.encode(texts)) == wanted and len(asked) < 60
+    words.known, words.first = {}, ~words.first  # word by word where the tokens do not tell the words
+    assert list(words.encode(texts)) == wanted and len(asked) > 3000
+
+
 def test_packing_takes_added_tokens_as_the_library(spark, monkeypatch):
     from tokenizers import Tokenizer
 
