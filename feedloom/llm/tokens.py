@@ -1,15 +1,16 @@
 """Byte-level BPE: encoding by recursive DuckDB queries in each partition, decoding by ordered aggregation.
 
 A text is split by the tokenizer's pattern; each match is a word. A task sends the words it has not met before to
-DuckDB as rows (word, position, token). A recursive query joins neighbouring tokens to the merge table and contracts each
-word's leftmost pair of least rank, until no word has a pair left.
+DuckDB as rows (word, list of tokens). A recursive query joins neighbouring tokens to the merge table and contracts each
+word's leftmost pair of least rank, until no word has a pair left. A word without a pair leaves the recursion.
 """
 
 from __future__ import annotations
 
 import base64
 import heapq
-from collections.abc import Iterable
+import re
+from collections.abc import Callable, Iterable
 from functools import lru_cache
 from itertools import chain
 
@@ -29,19 +30,16 @@ TOKENS_AT_ONCE = 400_000  # tokens of one decoding query
 
 ENCODE = """
 WITH RECURSIVE state AS (
-  SELECT word, pos, token, 0 AS step FROM start
+  SELECT word, ids, true AS open FROM start
   UNION ALL
-  SELECT s.word, s.pos, CASE WHEN s.pos = b.spot THEN b.merged ELSE s.token END, s.step + 1
-  FROM (SELECT *, lag(pos) OVER (PARTITION BY word ORDER BY pos) AS before FROM state) s
-  JOIN (SELECT word, min(merged) AS merged, arg_min(pos, merged::BIGINT * 65536 + pos) AS spot
-        FROM (SELECT p.word, p.pos, m.merged
-              FROM (SELECT word, pos, token, lead(token) OVER (PARTITION BY word ORDER BY pos) AS next FROM state) p
-              JOIN merges m ON m.l = p.token AND m.r = p.next)
-        GROUP BY word) b ON b.word = s.word
-  WHERE s.before IS DISTINCT FROM b.spot)
-SELECT word, list(token ORDER BY pos) AS ids
-FROM (SELECT s.* FROM state s JOIN (SELECT word, max(step) AS step FROM state GROUP BY word) l ON l.word = s.word AND l.step = s.step)
-GROUP BY word ORDER BY word
+  SELECT s.word, CASE WHEN b.spot IS NULL THEN s.ids ELSE list_concat(list_append(s.ids[:b.spot - 1], b.merged), s.ids[b.spot + 2:]) END, b.spot IS NOT NULL
+  FROM state s
+  LEFT JOIN (SELECT p.word, min(m.merged) AS merged, arg_min(p.pos, m.merged::BIGINT * 65536 + p.pos) AS spot
+             FROM (SELECT word, unnest(ids[:-2]) AS l, unnest(ids[2:]) AS r, generate_subscripts(ids[2:], 1) AS pos FROM state WHERE open) p
+             JOIN merges m ON m.l = p.l AND m.r = p.r
+             GROUP BY p.word) b ON b.word = s.word
+  WHERE s.open)
+SELECT word, ids FROM state WHERE NOT open ORDER BY word
 """
 
 DECODE = """
@@ -63,6 +61,21 @@ def parts(texts: list[str | None], chars: int = CHARS_AT_ONCE) -> Iterable[list[
         yield part
 
 
+# the usual pattern of byte-level tokenizers, and the same for texts of characters below U+0250, where the standard library is twice as fast
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+LATIN = {"letter": "A-Za-zªµºÀ-ÖØ-öø-ɏ", "number": "0-9²³¹¼½¾", "space": " \t-\r\x85\xa0"}
+LATIN_WORD = re.compile(" ?[{letter}]+|'(?:s|t|re|ve|m|ll|d)| ?[{number}]+| ?[^{space}{letter}{number}]+|[{space}]+(?![^{space}])|[{space}]+".format(**LATIN))
+BEYOND_LATIN = re.compile("[^\x00-ɏ]")
+
+
+def splitter(pattern: str) -> Callable[[str], list[str]]:
+    """The matches of a pattern in a text, in turn."""
+    found = regex.compile(pattern).findall
+    if pattern != BYTE_LEVEL:
+        return found
+    return lambda text: found(text) if BEYOND_LATIN.search(text) else LATIN_WORD.findall(text)
+
+
 class BytePairs:
     """A vocabulary of byte strings by rank, its merge table, and a DuckDB connection in this process."""
 
@@ -71,8 +84,8 @@ class BytePairs:
 
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
-        self.split = regex.compile(pattern)
-        self.bytes = [self.ranks[bytes([i])] for i in range(256)]
+        self.split = splitter(pattern)
+        self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
         self.db = duckdb.connect(config={"threads": 1, "memory_limit": "400MB", "temp_directory": ""})
@@ -102,27 +115,20 @@ class BytePairs:
         for word in words:
             raw = word.encode()
             if raw in self.ranks:
-                self.known[word] = np.array([self.ranks[raw]], np.int32).tobytes()
+                self.known[word] = self.ranks[raw].to_bytes(4, "little")
             elif len(raw) > LONG_WORD:
                 self.known[word] = np.array(self.merge_long(raw), np.int32).tobytes()
             else:
                 short.append((word, raw))
         for i in range(0, len(short), WORDS_AT_ONCE):
             part = short[i : i + WORDS_AT_ONCE]
-            sizes = np.array([len(raw) for _, raw in part])
-            total = int(sizes.sum())
+            ends = np.cumsum([0, *(len(raw) for _, raw in part)]).astype(np.int32)
             letters = np.frombuffer(b"".join(raw for _, raw in part), np.uint8)
-            start = pa.table(
-                {
-                    "word": pa.array(np.repeat(np.arange(len(part), dtype=np.int32), sizes)),
-                    "pos": pa.array((np.arange(total) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)),
-                    "token": pa.array(np.array(self.bytes, np.int32)[letters]),
-                }
-            )
+            ids = pa.ListArray.from_arrays(pa.array(ends), pa.array(self.bytes[letters]))
+            start = pa.table({"word": pa.array(np.arange(len(part), dtype=np.int32)), "ids": ids})
             found = self._ask("start", start, ENCODE)["ids"].combine_chunks()
-            tokens, ends = found.values.to_numpy().astype(np.int32), found.offsets.to_numpy()
-            for (word, _), begin, end in zip(part, ends, ends[1:], strict=False):
-                self.known[word] = tokens[begin:end].tobytes()
+            tokens, ends = found.values.to_numpy().astype(np.int32).tobytes(), (found.offsets.to_numpy() * 4).tolist()
+            self.known.update((word, tokens[begin:end]) for (word, _), begin, end in zip(part, ends, ends[1:], strict=False))
 
     def merge_long(self, raw: bytes) -> list[int]:
         """The same rule for one long word: a heap gives the leftmost pair of least rank."""
@@ -154,7 +160,7 @@ class BytePairs:
         for part in parts(texts):
             if len(self.known) > WORDS_KEPT // 2:
                 self.earlier, self.known = self.known, {}
-            split = [self.split.findall(text) for text in part]
+            split = [self.split(text) for text in part]
             new = set(chain.from_iterable(split)).difference(self.known)
             met = new.intersection(self.earlier)
             self.known.update((word, self.earlier[word]) for word in met)

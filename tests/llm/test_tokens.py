@@ -2,18 +2,21 @@
 
 import base64
 import random
+import re
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
+import regex
 from pyspark.sql import functions as F
 
 from feedloom.llm.archive import PER_VOLUME, audit, laid_out, numbered, warc_record
 from feedloom.llm.classifier import features, fit, in_fold, quality_scores
 from feedloom.llm.neighbours import curve_keys, hilbert_keys, nearest
 from feedloom.llm.packing import _Words, pack, pack_documents, plan
-from feedloom.llm.tokens import BytePairs, bpe_decode, bpe_encode
+from feedloom.llm.tokens import BYTE_LEVEL, ENCODE, LATIN, LATIN_WORD, BytePairs, bpe_decode, bpe_encode, splitter
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("byte_bpe_50k.json")
@@ -71,6 +74,29 @@ def test_long_words_like_short_ones():
     assert short == [pairs.merge_long(w.encode()) if w.encode() not in pairs.ranks else [pairs.ranks[w.encode()]] for w in words]
 
 
+def test_a_word_is_one_row_of_the_recursive_query():
+    """It has a row for each contraction and a last one, also where it has many bytes; before, every round wrote a row for each token."""
+    pairs, word = BytePairs(RANKS, PATTERN), "strawberrywindowing"
+    ids = np.frombuffer(pairs.encode([word])[0], np.int32)
+    start = pa.table({"word": pa.array([7], pa.int32()), "ids": pa.array([pairs.bytes[list(word.encode())].tolist()], pa.list_(pa.int32()))})
+    steps = pairs._ask("start", start, ENCODE.replace("SELECT word, ids FROM state WHERE NOT open", "SELECT word, ids FROM state"))
+    assert 1 < len(ids) < len(word) and steps.num_rows == len(word) - len(ids) + 2
+    assert pairs._ask("start", start, ENCODE).to_pylist() == [{"word": 7, "ids": ids.tolist()}]
+
+
+def test_latin_texts_are_split_like_others():
+    assert BYTE_LEVEL == PATTERN
+    for kind, of in (("letter", r"\p{L}"), ("number", r"\p{N}"), ("space", r"\s")):
+        latin = re.compile(f"[{LATIN[kind]}]")
+        assert all(bool(latin.match(chr(i))) == bool(regex.match(of, chr(i))) for i in range(0x250))
+    rng, split, plain = random.Random(9), splitter(PATTERN), regex.compile(PATTERN)
+    signs = [*"'''stremvld   \n\t\x0b\x1c\x85\xa0", *(chr(rng.randrange(0x250)) for _ in range(40)), "½", "É", "9"]
+    texts = ["".join(rng.choice(signs) for _ in range(rng.randrange(30))) for _ in range(3000)]
+    assert all(split(t) == LATIN_WORD.findall(t) == plain.findall(t) for t in texts)
+    assert all(split(t + c) == plain.findall(t + c) for t in texts[:300] for c in "中ɐ\u2003٣")
+    assert splitter("a|b")("cab") == ["a", "b"]
+
+
 def check_sequences(rows, capacity):
     sequences = {}
     for r in rows:
