@@ -16,13 +16,12 @@ from itertools import chain
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from feedloom.llm.common import arrow_kind, kind_of, map_batches, settle
-from feedloom.llm.tokens import parts
+from feedloom.llm.tokens import parts, splitter
 
 CAPACITY = 1024
 END_ID = 2
@@ -45,7 +44,7 @@ class _Words:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = not added_tokens  # their strings in a text are ordinary text
         self.added = [x.content for x in self.tokenizer.get_added_tokens_decoder().values()] if added_tokens else []
-        self.split = regex.compile(pattern)
+        self.split = splitter(pattern)
         self.known: dict[str, bytes] = {}
         vocabulary = self.tokenizer.get_vocab()
         self.first = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
@@ -73,7 +72,7 @@ class _Words:
                 self.known.clear()
             # the pattern would cut an added token, so the library takes a text that holds one as a whole
             whole = {text for text in part if any(x in text for x in self.added)}
-            split = [[] if text in whole else self.split.findall(text) for text in part]
+            split = [[] if text in whole else self.split(text) for text in part]
             self._learn(set(chain.from_iterable(split)).difference(self.known))
             for text, words in zip(part, split, strict=True):
                 if text in whole:
