@@ -31,10 +31,10 @@ EXTENT = 4096  # sequences looked up by one key
 PIECES_KEPT = 1_200_000  # that a worker remembers: half of them the last ones met, half those before
 BYTES_KEPT = 64  # longer pieces are encoded each time
 BYTES_AT_ONCE = 2_000_000  # of texts whose pieces are looked up together
-AT_ONCE = 1000  # words encoded as one text
+AT_ONCE = 250  # words encoded as one text; a word of a longer text takes the library more time
 WORD_END = "</w>"
-LETTERS = re.compile("[A-Za-zÀ-ÖØ-öø-ÿ]+")
-WORD = re.compile(rf"({LETTERS.pattern})([.,;:!?]*)")
+# a line of letters, A-Z, a-z, À-Ö, Ø-ö and ø-ÿ in UTF-8, and the punctuation behind them, or another line
+PIECE = re.compile(rb"((?:[A-Za-z]++|\xc3[\x80-\x96\x98-\xb6\xb8-\xbf])++)([.,;:!?]*+)\n|(.*+)\n")
 
 MANIFEST = "part int, nth int, file string, n_documents long, n_tokens long, n_sequences long"
 
@@ -60,45 +60,39 @@ class _Ids:
     def _look(self, piece: bytes) -> bytes | None:
         return self.known.get(piece) or self.earlier.get(piece)
 
-    def _words(self, words: list[str]) -> dict[str, bytes]:
+    def _words(self, words: list[bytes]) -> dict[bytes, bytes]:
         """The ids of words of letters."""
         found = {}
         chunks = [words[i : i + AT_ONCE] for i in range(0, len(words), AT_ONCE)]
-        for chunk, out in zip(chunks, self.tokenizer.encode_batch_fast([" ".join(c) for c in chunks], add_special_tokens=False), strict=True):
+        for chunk, out in zip(chunks, self.tokenizer.encode_batch_fast([b" ".join(c).decode() for c in chunks], add_special_tokens=False), strict=True):
             ids = np.array(out.ids, self.kind)
             ends = (np.flatnonzero(self.last[ids]) + 1) * ids.itemsize
             if len(ends) != len(chunk):  # a tokenizer that cuts words of letters
                 found |= self._others(chunk)
                 continue
-            raw, begin = ids.tobytes(), 0
-            for word, end in zip(chunk, ends.tolist(), strict=True):
-                found[word] = raw[begin:end]
-                begin = end
+            raw, ends = ids.tobytes(), ends.tolist()
+            found.update((word, raw[begin:end]) for word, begin, end in zip(chunk, [0, *ends], ends, strict=False))
         return found
 
-    def _others(self, pieces: list[str]) -> dict[str, bytes]:
-        outs = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
+    def _others(self, pieces: list[bytes]) -> dict[bytes, bytes]:
+        outs = self.tokenizer.encode_batch_fast([piece.decode() for piece in pieces], add_special_tokens=False)
         return {piece: array(self.letter, out.ids).tobytes() for piece, out in zip(pieces, outs, strict=True)}
 
     def _learn(self, pieces: set[bytes]) -> dict[bytes, bytes]:
         """The ids of pieces that are not known."""
         found = {piece: self.earlier[piece] for piece in pieces.intersection(self.earlier)}
-        cut, words, others = {}, {}, []
-        for piece in pieces.difference(found):
-            text = piece.decode()
-            match = WORD.fullmatch(text)
-            if match is None:
-                others.append(text)
-                continue
-            cut[piece] = word, behind = match.groups()
-            for part in (word, behind):
-                if part not in words:
-                    words[part] = self._look(part.encode())
-        words |= self._words([w for w, ids in words.items() if ids is None and w and LETTERS.fullmatch(w)])
-        words |= self._others([w for w, ids in words.items() if ids is None])
-        found |= {piece: words[word] + words[behind] for piece, (word, behind) in cut.items()}
-        found |= {word.encode(): ids for word, ids in words.items()}
-        return found | {text.encode(): ids for text, ids in self._others(others).items()}
+        new = list(pieces.difference(found))
+        # no piece holds a line's end; all are cut in one pass
+        cut = PIECE.findall(b"".join([piece + b"\n" for piece in new]))
+        words = {part: self._look(part) for part in {word for word, _, _ in cut}}
+        marks = {part: self._look(part) for part in {behind for _, behind, _ in cut}}
+        words.update(self._words([w for w, ids in words.items() if ids is None and w]))
+        marks.update(self._others([m for m, ids in marks.items() if ids is None]))
+        found.update((piece, words[word] + marks[behind]) for piece, (word, behind, _) in zip(new, cut, strict=True) if word)
+        found |= marks
+        found.update((word, ids) for word, ids in words.items() if word)
+        found |= self._others([other for _, _, other in cut if other])
+        return found
 
     def encode(self, texts: list[bytes | None]) -> Iterator[bytes]:
         """The ids of each UTF-8 text as little-endian bytes of ``kind``."""

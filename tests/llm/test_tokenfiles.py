@@ -1,6 +1,7 @@
 """Token files against the tokenizers library, one document at a time."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -8,7 +9,7 @@ import pyarrow as pa
 import public_tokenizers
 import pytest
 
-from feedloom.llm.tokenfiles import TokenFile, read_sequences, read_token_documents, write_token_files
+from feedloom.llm.tokenfiles import PIECE, TokenFile, _Ids, read_sequences, read_token_documents, write_token_files
 
 PATH = public_tokenizers.path("word_bpe_49k.json")
 ODD = [
@@ -97,3 +98,18 @@ def test_sequences_are_views_of_the_mapped_file(spark):
 def test_length_is_whole_bytes_of_mask(spark):
     with pytest.raises(ValueError, match="multiple of 8"):
         write_token_files(spark.createDataFrame([], "doc_id long, text string"), PATH, length=100)
+
+
+def test_pieces_are_cut_as_bytes(library):
+    """In one pass, letters of two bytes too; the ids are the library's, also where the tokenizer is asked for a few words at a time."""
+    signs = [chr(i) for i in range(0x100) if not chr(i).isspace()] + ["\u0142", "\u4e2d", "\u0301"]
+    rng = random.Random(4)
+    texts = [*signs, *(f"a{x}.," for x in signs), *("".join(rng.choice([*"abcXYZ\xe9\xc9.,!", *signs]) for _ in range(rng.randrange(1, 9))) for _ in range(2000))]
+    pieces = [t.encode() for t in texts]
+    cut = PIECE.findall(b"".join(piece + b"\n" for piece in pieces))
+    assert [b"".join(parts) for parts in cut] == pieces
+    plain = re.compile("([A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff]+)([.,;:!?]*)")
+    assert all((word.decode(), behind.decode()) == (m.groups() if (m := plain.fullmatch(t)) else ("", "")) for t, (word, behind, _) in zip(texts, cut, strict=True))
+    ids = _Ids(PATH)
+    got = [np.frombuffer(x, ids.kind).tolist() for x in ids.encode([*pieces, " ".join(texts).encode()])]
+    assert got == [library.encode(t, add_special_tokens=False).ids for t in [*texts, " ".join(texts)]]
