@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from feedloom.llm.common import BLANKS, settle
 
-SPLIT = r"[\x20\x09-\x0D]+"
 PAIR = r"[^\x20\x09-\x0D]++[\x20\x09-\x0D]++[^\x20\x09-\x0D]++"
 FIRST_WORD = r"^[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++"
 SYMBOLS = "#*$%&|<>"
@@ -24,12 +23,17 @@ SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 MILLION = 1_000_000
+# of the table of buckets: sorted numbers are written as their differences, which takes about a third of the space
+PACKED = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#__buckets.list.element": "false", "parquet.block.size": str(32 << 20), "compression": "zstd"}
 FILTER_BITS = 25  # of the bitmap that passes over documents whose id is not trusted
 DEVIATIONS = 3  # a text of the target is rarely rated further below the mean of the trusted documents
 
 
 def words_of(text: Column) -> Column:
-    return F.filter(F.split(text, SPLIT), lambda word: word != "")
+    # cutting at one fixed character takes less time than at a pattern
+    for blank in BLANKS.replace(" ", ""):
+        text = F.replace(text, F.lit(blank), F.lit(" "))
+    return F.array_remove(F.split(text, " "), "")
 
 
 def shapes_of(text: Column) -> Column:
@@ -80,10 +84,10 @@ def rule_counts(docs: DataFrame, text: str = "text") -> DataFrame:
 def with_buckets(rows: DataFrame, text: str) -> DataFrame:
     """The rows with ``__buckets``: the hash buckets of a text's words, of its words with the next one, and of its pairs of word shapes.
 
-    Words are lower-cased; the last one's neighbour is the text's end. Each kind has ``BUCKETS`` buckets of its own.
+    They are sorted. Words are lower-cased; the last one's neighbour is the text's end. Each kind has ``BUCKETS`` buckets of its own.
     """
     value = F.coalesce(F.col(text), F.lit(""))
-    bucket = lambda kind, *gram: (F.xxhash64(*gram).bitwiseAND(BUCKETS - 1) + kind * BUCKETS).cast("int")
+    bucket = lambda kind, *gram: F.xxhash64(*gram).bitwiseAND(BUCKETS - 1) + kind * BUCKETS
     # the words are a column of their own, so that a look at a neighbour does not split the text again
     split = rows.select("*", words_of(F.lower(value)).alias("__lower"), shapes_of(value).alias("__shapes"))
     words = F.transform("__lower", lambda word: bucket(0, word))
@@ -91,18 +95,23 @@ def with_buckets(rows: DataFrame, text: str) -> DataFrame:
     # every other pair of shapes from the first word on, and from the second: faster than a look ahead at each word
     found = lambda shapes: F.regexp_extract_all(shapes, F.lit(PAIR), F.lit(0))
     shapes = (F.transform(found(x), lambda pair: bucket(2, pair)) for x in (F.col("__shapes"), F.regexp_replace("__shapes", FIRST_WORD, "")))
-    return split.select(*rows.columns, F.concat(words, pairs, *shapes).alias("__buckets"))
+    # all numbers become integers at once: a cast of each would be evaluated word by word
+    buckets = F.sort_array(F.concat(words, pairs, *shapes).cast("array<int>"))
+    return split.select(*rows.columns, buckets.alias("__buckets"))
 
 
 def with_runs(rows: DataFrame, text: str) -> DataFrame:
     """The rows with ``__runs``: the distinct buckets of ``with_buckets`` and how often each occurs in the text, counted inside the row."""
-    kept = rows.columns
-    ordered = with_buckets(rows, text).select(*kept, F.sort_array("__buckets").alias("__sorted"))
-    after = F.when(F.size("__sorted") > 0, F.sequence(F.lit(1), F.size("__sorted"))).otherwise(F.array().cast("array<int>"))
-    ends = F.filter(after, lambda i: ~F.get("__sorted", i).eqNullSafe(F.get("__sorted", i - 1)))
+    return _runs(with_buckets(rows, text))
+
+
+def _runs(rows: DataFrame) -> DataFrame:
+    kept = [c for c in rows.columns if c != "__buckets"]
+    after = F.when(F.size("__buckets") > 0, F.sequence(F.lit(1), F.size("__buckets"))).otherwise(F.array().cast("array<int>"))
+    ends = F.filter(after, lambda i: ~F.get("__buckets", i).eqNullSafe(F.get("__buckets", i - 1)))
     n = lambda end, k: (end - F.coalesce(F.get("__ends", k - 1), F.lit(0))).alias("n")
-    runs = F.transform("__ends", lambda end, k: F.struct(F.get("__sorted", end - 1).alias("bucket"), n(end, k)))
-    return ordered.select("*", ends.alias("__ends")).select(*kept, runs.alias("__runs"))
+    runs = F.transform("__ends", lambda end, k: F.struct(F.get("__buckets", end - 1).alias("bucket"), n(end, k)))
+    return rows.select("*", ends.alias("__ends")).select(*kept, runs.alias("__runs"))
 
 
 def _likely(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Column]:
@@ -124,28 +133,32 @@ def _likely(docs: DataFrame, trusted: DataFrame) -> tuple[DataFrame, Column]:
 def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> tuple[list[int], float]:
     """``(weights, threshold)``: by bucket the log ratio, in millionths, of its share in the trusted rows to its share in all rows.
 
-    All n-grams of all rows are counted with partial results. Only texts whose id may be trusted meet the trusted ids, see
-    ``_likely``; their n-grams are counted by text and written, as they are needed twice. The others are counted where they
-    are read. There are ``KINDS * BUCKETS`` numbers at any size.
-
     The threshold is 0, below which the raw corpus explains a text better than the target. Where the trusted rows are few,
     also a text of the target has n-grams that they lack: every trusted document is therefore rated by the others (its own
     counts taken away), and the threshold is ``DEVIATIONS`` standard deviations below the mean if that is less than 0.
     Documents with fewer than ``MIN_WORDS`` words fail by the base rules and have no say.
     """
+    return _model(settle(with_buckets(docs.select(doc_id, text), text).drop(text), "buckets", **PACKED), trusted_ids, doc_id)
+
+
+def _model(hashed: DataFrame, trusted_ids: DataFrame, doc_id: str) -> tuple[list[int], float]:
+    """``ngram_model`` of a written table with the buckets of all rows, which it reads twice.
+
+    All n-grams of all rows are counted with partial results. Only rows whose id may be trusted meet the trusted ids, see
+    ``_likely``, and are written, as they are needed twice. The others are counted where they are read. There are ``KINDS * BUCKETS`` numbers at any size.
+    """
     trusted = settle(trusted_ids.toDF("trusted").where("trusted is not null").distinct(), "trusted-ids")
-    narrow, likely = _likely(docs.select(F.col(doc_id).alias("doc"), F.col(text).alias("text")), trusted)
+    narrow, likely = _likely(hashed.select(F.col(doc_id).alias("doc"), "__buckets"), trusted)
     # merged by document, so that the rows of one lie together
-    near = narrow.where(likely).select("doc", "text").join(trusted.hint("merge"), F.col("doc") == F.col("trusted"), "left")
+    near = narrow.where(likely).select("doc", "__buckets").join(trusted.hint("merge"), F.col("doc") == F.col("trusted"), "left")
     rows = F.count(F.lit(1)).over(Window.partitionBy("doc")).alias("rows")
-    runs = settle(with_runs(near.select("doc", "text", F.col("trusted").isNotNull().alias("t"), rows), "text").drop("text"), "ngram-runs")
-    # explode would filter by the buckets first, and so compute them twice, the words once for each neighbour
-    far = with_buckets(narrow.where(~likely).select("text"), "text").select(F.explode_outer("__buckets").alias("bucket"), F.lit(1).alias("n"), F.lit(False).alias("t"))
+    met = settle(near.select("doc", "__buckets", F.col("trusted").isNotNull().alias("t"), rows), "met", **PACKED)
+    far = narrow.where(~likely).select(F.lit(False).alias("t"), "__buckets")
     counted = (
-        far.where("bucket is not null")
-        .unionByName(runs.select("t", F.inline("__runs")))
+        far.unionByName(met.select("t", "__buckets"))
+        .select("t", F.explode("__buckets").alias("bucket"))
         .groupBy("bucket")
-        .agg(F.sum(F.when(F.col("t"), F.col("n")).otherwise(0)).alias("trusted"), F.sum("n").alias("raw"))
+        .agg(F.count_if("t").alias("trusted"), F.count(F.lit(1)).alias("raw"))
     )
     counts = settle(counted, "ngram-counts")
     found = counts.collect()
@@ -155,17 +168,21 @@ def ngram_model(docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id",
         raw = (r["raw"] + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
         weights[r["bucket"]] = round(MILLION * log((r["trusted"] + PRIOR * raw) / (total_t + PRIOR) / raw))
     # one row for each trusted document and bucket, less its own count; sums of whole numbers do not depend on an order
-    told = runs.where("t").select("doc", "rows", F.inline("__runs"))
+    # written, as inline would filter by the runs first, and so compute them again
+    told = settle(_runs(met.where("t")), "ngram-runs").select("doc", "rows", F.inline("__runs"))
     # only the rows of an id that has several are grouped: a hash table of all ids and buckets would fill the memory
     several = told.where("rows > 1").groupBy("doc", "bucket").agg(F.sum("n").alias("n"))
     own = told.where("rows = 1").select("doc", "bucket", F.col("n").cast("long").alias("n")).unionByName(several)
     share = (F.col("raw") + SMOOTHING) / (total_r + SMOOTHING * KINDS * BUCKETS)
-    weight = F.round(MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)).cast("long")
+    weight = MILLION * F.log((F.col("trusted") - F.col("n") + PRIOR * share) / share)
+    # halves away from 0, as round does, which makes a decimal number of each double
+    whole = F.when(F.col("weight") < 0, F.ceil(F.col("weight") - 0.5)).otherwise(F.floor(F.col("weight") + 0.5))
     rest = F.round(MILLION * F.log(total_t - F.col("size") + PRIOR)).cast("long")
     ratings = (
         own.join(F.broadcast(counts), "bucket")
+        .select("doc", "n", weight.alias("weight"))
         .groupBy("doc")
-        .agg(F.sum("n").alias("size"), F.sum(F.col("n") * weight).alias("sum"))
+        .agg(F.sum("n").alias("size"), F.sum(F.col("n") * whole).alias("sum"))
         .where(F.col("size") >= KINDS * MIN_WORDS - 1)
         .select((F.expr("sum div size") - rest).cast("decimal(18, 0)").alias("ratio"))
     )
@@ -185,11 +202,16 @@ def ratio(buckets: str, weights: list[int]) -> Column:
 
 
 def rated(
-    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float | None = None
+    docs: DataFrame, trusted_ids: DataFrame, doc_id: str = "doc_id", text: str = "text", threshold: float | None = None, keep_text: bool = True
 ) -> DataFrame:
-    """``quality_rules``, not yet written: a filter on it would compute the counts twice."""
-    weights, least = ngram_model(docs, trusted_ids, doc_id, text)
+    """``quality_rules``, not yet written: a filter on it would compute the ratio twice.
+
+    Every text is split and hashed once: its counts and buckets are written, for the model and for the rating. Without
+    ``keep_text`` the text is not written beside them.
+    """
     hashed = with_buckets(rule_counts(docs.drop("ratio", "kept"), text), text)
+    hashed = settle(hashed if keep_text else hashed.drop(text), "buckets", **PACKED)
+    weights, least = _model(hashed, trusted_ids, doc_id)
     counted = hashed.withColumn("ratio", ratio("__buckets", weights)).drop("__buckets")
     return counted.withColumn("kept", ~F.col("base_failed") & (F.col("ratio") >= (least if threshold is None else threshold)))
 

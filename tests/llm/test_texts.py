@@ -422,6 +422,22 @@ def test_threshold_of_repeated_trusted_rows(spark):
     assert abs(threshold - min(0, (statistics.mean(ratings) - 3 * statistics.stdev(ratings)) / MILLION)) < 3e-6
 
 
+def test_texts_are_hashed_once(spark, monkeypatch):
+    """The model and the rating read the buckets that were written; the text is written beside them only where it is wanted."""
+    rng, hashed, written = random.Random(13), [], []
+    plain, write = quality.with_buckets, quality.settle
+    monkeypatch.setattr(quality, "with_buckets", lambda rows, text: hashed.append(text) or plain(rows, text))
+    monkeypatch.setattr(quality, "settle", lambda df, name, **options: written.append(df.columns) or write(df, name, **options))
+    docs = frame(spark, [words_text(rng, 60, 400) for _ in range(12)])
+    trusted = spark.createDataFrame([(i,) for i in range(0, 12, 2)], "doc_id long")
+    whole = {r.doc_id: (r.text, r.ratio, r.kept) for r in rated(docs, trusted).collect()}
+    assert hashed == ["text"] and len(whole) == 12 and sum("text" in names for names in written) == 1
+    written.clear()
+    bare = rated(docs, trusted, keep_text=False)
+    assert {r.doc_id: (r.ratio, r.kept) for r in bare.collect()} == {i: found[1:] for i, found in whole.items()}
+    assert not any("text" in names for names in [bare.columns, *written])
+
+
 def test_texts_without_trusted_ids_stay_where_they_are(spark):
     """Every row with a trusted id passes the bitmap, of the others only a few; ids of another type all pass."""
     ids = [None, 0, -5, 2**62, *range(1000, 2000)] * 2
