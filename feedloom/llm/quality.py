@@ -23,7 +23,7 @@ SMOOTHING = 0.5  # added to every bucket of the raw counts
 PRIOR = 1000  # n-grams with the raw shares that are added to the trusted counts
 RULES = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
 MILLION = 1_000_000
-# of the table of buckets: sorted numbers are written as their differences, which takes about a third of the space
+# of the table of buckets: sorted numbers are written as their differences, which are small
 PACKED = {"parquet.writer.version": "PARQUET_2_0", "parquet.enable.dictionary#__buckets.list.element": "false", "parquet.block.size": str(32 << 20), "compression": "zstd"}
 FILTER_BITS = 25  # of the bitmap that passes over documents whose id is not trusted
 DEVIATIONS = 3  # a text of the target is rarely rated further below the mean of the trusted documents
