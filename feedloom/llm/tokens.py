@@ -10,23 +10,22 @@ from __future__ import annotations
 import base64
 import heapq
 import re
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Iterator
 from functools import lru_cache
-from itertools import chain
+from itertools import batched, chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from feedloom.llm.common import map_batches
-
 WORDS_KEPT = 400_000  # words that a worker remembers: half of them the last ones met, half those before
 CHARS_AT_ONCE = 2_000_000  # of texts whose words are looked up together
 WORDS_AT_ONCE = 40_000  # words of one recursive query
 LONG_WORD = 64  # bytes; the rounds of a longer word would cost the square of its length, so it is merged with a heap
-TOKENS_AT_ONCE = 400_000  # tokens of one decoding query
+TOKENS_AT_ONCE = 200_000  # tokens of one decoding query, for which 60 MB are enough; a longer list takes several
 
 ENCODE = """
 WITH RECURSIVE state AS (
@@ -85,6 +84,7 @@ class BytePairs:
         with open(path, "rb") as lines:
             self.ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
         self.split = splitter(pattern)
+        self.matches = regex.compile(pattern).finditer
         self.bytes = np.array([self.ranks[bytes([i])] for i in range(256)], np.int32)
         self.known: dict[str, bytes] = {}
         self.earlier: dict[str, bytes] = {}
@@ -158,31 +158,36 @@ class BytePairs:
         """The ids of each text as int32 bytes."""
         found: list[bytes] = []
         for part in parts(texts):
-            if len(self.known) > WORDS_KEPT // 2:
-                self.earlier, self.known = self.known, {}
-            split = [self.split(text) for text in part]
-            new = set(chain.from_iterable(split)).difference(self.known)
-            met = new.intersection(self.earlier)
-            self.known.update((word, self.earlier[word]) for word in met)
-            self._learn(new - met)
-            found += [b"".join(map(self.known.__getitem__, words)) for words in split]
+            long = part.pop() if len(part[-1]) > CHARS_AT_ONCE else None
+            found += self._ids([self.split(text) for text in part])
+            if long:  # its words would take many times its size
+                words = (match[0] for match in self.matches(long))
+                found.append(b"".join(self._ids([some])[0] for some in batched(words, WORDS_KEPT)))
         return found
 
+    def _ids(self, split: list[Iterable[str]]) -> list[bytes]:
+        """The ids of each list of words."""
+        if len(self.known) > WORDS_KEPT // 2:
+            self.earlier, self.known = self.known, {}
+        new = set(chain.from_iterable(split)).difference(self.known)
+        met = new.intersection(self.earlier)
+        self.known.update((word, self.earlier[word]) for word in met)
+        self._learn(new - met)
+        return [b"".join(map(self.known.__getitem__, words)) for words in split]
+
     def decode(self, ids: list[np.ndarray]) -> list[bytes | None]:
         """The bytes of each list of ids; None if it holds an unknown id."""
-        sizes = np.array([len(x) for x in ids])
-        tokens = pa.table(
-            {
-                "doc": pa.array(np.repeat(np.arange(len(ids), dtype=np.int32), sizes)),
-                "pos": pa.array((np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)).astype(np.int32)),
-                "token": pa.array(np.concatenate([np.zeros(0, np.int32), *ids])),
-            }
-        )
-        found = self._ask("tokens", tokens, DECODE)
-        out: list[bytes | None] = [b""] * len(ids)
-        for doc, text, unknown in zip(*(found[c].to_pylist() for c in ("doc", "text", "unknown")), strict=True):
-            out[doc] = None if unknown else text.encode("utf-16-le")[::2]
-        return out
+        self.known, self.earlier = {}, {}  # decoding needs no words, and a worker that has encoded is used again
+        docs = np.repeat(np.arange(len(ids), dtype=np.int32), [len(x) for x in ids])
+        every = np.concatenate([np.zeros(0, np.int32), *ids])
+        found: list[list[bytes | None]] = [[] for _ in ids]
+        for i in range(0, len(every), TOKENS_AT_ONCE):
+            doc, token = docs[i : i + TOKENS_AT_ONCE], every[i : i + TOKENS_AT_ONCE]
+            tokens = pa.table({"doc": pa.array(doc), "pos": pa.array(np.arange(len(doc), dtype=np.int32)), "token": pa.array(token)})
+            rows = self._ask("tokens", tokens, DECODE)
+            for at, text, unknown in zip(*(rows[c].to_pylist() for c in ("doc", "text", "unknown")), strict=True):
+                found[at].append(None if unknown else text.encode("utf-16-le")[::2])
+        return [None if None in some else b"".join(some) for some in found]
 
 
 @lru_cache(maxsize=1)
@@ -190,6 +195,16 @@ def _pairs(path: str, pattern: str) -> BytePairs:
     return BytePairs(path, pattern)
 
 
+def pieces(batch: pa.RecordBatch, sizes: pa.Array, most: int) -> Iterator[pa.RecordBatch]:
+    """The rows of a batch, a few at a time: as many as have that size together, one at least. A null has no size."""
+    ends, begin = np.cumsum(sizes.fill_null(0).to_numpy(zero_copy_only=False)), 0
+    while begin < len(ends):
+        before = ends[begin - 1] if begin else 0
+        end = min(int(np.searchsorted(ends, before + most)) + 1, len(ends))
+        yield batch.slice(begin, end - begin)
+        begin = end
+
+
 def _id_lists(column: pa.Array) -> list[np.ndarray]:
     return [np.array(x if x is not None else [], np.int32) for x in column.to_numpy(zero_copy_only=False)]
 
@@ -205,34 +220,31 @@ def bpe_encode(docs: DataFrame, path: str, pattern: str, text: str = "text", ids
     place = kept.columns.index(text)
     schema = T.StructType([*kept.schema.fields, T.StructField(ids, T.ArrayType(T.IntegerType()))])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        found = _pairs(path, pattern).encode(batch.column(place).to_pylist())
-        ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
-        lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
-        return pa.RecordBatch.from_arrays([*batch.columns, lists], [f.name for f in schema])
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, pc.binary_length(batch.column(place)), CHARS_AT_ONCE):
+                found = _pairs(path, pattern).encode(piece.column(place).to_pylist())
+                ends = np.cumsum([0, *(len(x) // 4 for x in found)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(np.frombuffer(b"".join(found), np.int32)))
+                yield pa.RecordBatch.from_arrays([*piece.columns, lists], [f.name for f in schema])
 
-    return map_batches(kept, run, schema)
+    return kept.mapInArrow(run, schema)
 
 
 def bpe_decode(docs: DataFrame, path: str, pattern: str, ids: str = "ids", raw: str = "decoded") -> DataFrame:
     """The rows with the bytes of their token ids (an existing column of that name is replaced).
 
     Null and empty lists give no bytes; a list with an unknown id gives null. Tokens join the vocabulary and are
-    aggregated in order, some hundred thousand at a time.
+    aggregated in order, some hundred thousand at a time, also those of one long list.
     """
     kept = docs.drop(raw)
     place = kept.columns.index(ids)
     schema = T.StructType([*kept.schema.fields, T.StructField(raw, T.BinaryType())])
 
-    def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-        pairs, out, waiting, size = _pairs(path, pattern), [], [], 0
-        for item in _id_lists(batch.column(place)):
-            waiting.append(item)
-            size += len(item)
-            if size >= TOKENS_AT_ONCE:
-                out += pairs.decode(waiting)
-                waiting, size = [], 0
-        out += pairs.decode(waiting)
-        return pa.RecordBatch.from_arrays([*batch.columns, pa.array(out, pa.binary())], [f.name for f in schema])
-
-    return map_batches(kept, run, schema)
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for piece in pieces(batch, pc.list_value_length(batch.column(place)), TOKENS_AT_ONCE):
+                out = _pairs(path, pattern).decode(_id_lists(piece.column(place)))
+                yield pa.RecordBatch.from_arrays([*piece.columns, pa.array(out, pa.binary())], [f.name for f in schema])
+
+    return kept.mapInArrow(run, schema)

@@ -16,7 +16,7 @@ from feedloom.llm.archive import PER_VOLUME, audit, laid_out, numbered, warc_rec
 from feedloom.llm.classifier import features, fit, in_fold, quality_scores
 from feedloom.llm.neighbours import curve_keys, hilbert_keys, nearest
 from feedloom.llm.packing import _Words, pack, pack_documents, plan
-from feedloom.llm.tokens import BYTE_LEVEL, ENCODE, LATIN, LATIN_WORD, BytePairs, bpe_decode, bpe_encode, splitter
+from feedloom.llm.tokens import BYTE_LEVEL, ENCODE, LATIN, LATIN_WORD, BytePairs, bpe_decode, bpe_encode, pieces, splitter
 
 RANKS = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
 WORDS = public_tokenizers.path("byte_bpe_50k.json")
@@ -67,6 +67,51 @@ def test_words_are_forgotten_in_turn(monkeypatch):
     assert len(pairs.known) <= 40 and pairs.earlier
 
 
+def test_a_list_of_any_length_is_decoded():
+    """One query for the whole list ended in DuckDB's OutOfMemoryException."""
+    pairs = BytePairs(RANKS, PATTERN)
+    token = {rank: raw for raw, rank in pairs.ranks.items()}
+    long = np.random.default_rng(5).choice(np.array(sorted(token), np.int32), 3_000_000)
+    short, unknown = long[:7], np.append(long[:500_000], 10**6).astype(np.int32)
+    got = pairs.decode([short, long, np.zeros(0, np.int32), unknown, short])
+    text = b"".join(token[i] for i in short.tolist())
+    assert got[0] == got[4] == text and got[1] == b"".join(map(token.__getitem__, long.tolist()))
+    assert got[2] == b"" and got[3] is None
+
+
+def test_a_long_text_is_encoded_in_pieces(monkeypatch):
+    """Its words are looked up some at a time; before, all of them were in memory at once."""
+    from feedloom.llm import tokens
+
+    monkeypatch.setattr(tokens, "WORDS_KEPT", 40)
+    monkeypatch.setattr(tokens, "CHARS_AT_ONCE", 100)
+    monkeypatch.setattr(tokens.parts, "__defaults__", (100,))
+    rng, pairs, encoding = random.Random(8), BytePairs(RANKS, PATTERN), reference_encoding()
+    asked, ids = [], pairs._ids
+    monkeypatch.setattr(pairs, "_ids", lambda split: asked.append(sum(map(len, split))) or ids(split))
+    texts = ["ein Wort", " ".join(f"wort{rng.randrange(900)}" for _ in range(500)), None, "  é\u2003 中文字符测试 " * 30, "x" * 101, *ODD, ""]
+    assert [np.frombuffer(x, np.int32).tolist() for x in pairs.encode(texts)] == [encoding.encode_ordinary(t or "") for t in texts]
+    assert max(asked) <= 100
+
+
+def test_batches_are_worked_on_in_pieces():
+    """A worker holds a few rows of a batch and what became of them, not those of the whole batch; before, there was no such cut."""
+    rows = pa.RecordBatch.from_pydict({"x": pa.array([[1] * n if n is not None else None for n in (9, None, 2, 3, 0, 30, 0, 1)], pa.list_(pa.int32()))})
+    sizes = [9, None, 2, 3, 0, 30, 0, 1]
+    cut = list(pieces(rows, pa.array(sizes, pa.int32()), 5))
+    assert [p.num_rows for p in cut] == [1, 3, 2, 2] and pa.Table.from_batches(cut).to_pylist() == rows.to_pylist()
+    assert [p.num_rows for p in pieces(rows, pa.array(sizes, pa.int32()), 10**6)] == [8]
+    assert list(pieces(rows.slice(0, 0), pa.array([], pa.int32()), 5)) == []
+
+
+def test_decoding_drops_the_words_met():
+    """A worker that has encoded decodes next, and held both the words and the tokens."""
+    pairs = BytePairs(RANKS, PATTERN)
+    ids = [np.frombuffer(x, np.int32) for x in pairs.encode(["one two", "three"])]
+    assert pairs.known and pairs.decode(ids) == [b"one two", b"three"] and not pairs.known and not pairs.earlier
+    assert [x.tobytes() for x in ids] == pairs.encode(["one two", "three"])
+
+
 def test_long_words_like_short_ones():
     rng, pairs = random.Random(3), BytePairs(RANKS, PATTERN)
     words = ["".join(rng.choice("etaoin shrdlu".replace(" ", "")) for _ in range(rng.randrange(2, 60))) for _ in range(300)]
